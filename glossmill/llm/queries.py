@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from glossmill.llm.common import table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.simhash import hex_of, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_of(found["fp"]).alias("fingerprint"), "component_id")
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.llm.media import media_columns
 
@@ -28,8 +35,16 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(write_archive(table(spark, sf_dir, "pages")))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.toxicity import fit, held_out, score
+
+    documents = table(spark, sf_dir, "documents")
+    found = score(documents, fit(documents, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out(found["doc_id"]).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_media_columns, op5_quality_rules, op7_warc)
+    f.__name__: f for f in (op1_simhash, op3_media_columns, op5_quality_rules, op7_warc, op10_toxicity)
 }
 
 #: WARC: SHA-1 is not in every SQL engine, so the digest is stated by DuckDB's own function.
