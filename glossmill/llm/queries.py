@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from glossmill.llm.common import table
 
@@ -16,6 +17,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_of(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.llm.media import media_columns
 
@@ -35,6 +42,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(write_archive(table(spark, sf_dir, "pages")))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.lines import dedup
+
+    kept = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.llm.toxicity import fit, held_out, score
 
@@ -44,7 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_media_columns, op5_quality_rules, op7_warc, op10_toxicity)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op5_quality_rules, op7_warc, op9_line_dedup, op10_toxicity)
 }
 
 #: WARC: SHA-1 is not in every SQL engine, so the digest is stated by DuckDB's own function.
