@@ -114,7 +114,7 @@ def cascade_order(df: DataFrame, stated: list[Rule], sample_rows: int = SAMPLE_R
         rows = sample.count()
         if not rows:
             return stated
-        shown = sample.crossJoin(df.sparkSession.range(SAMPLE_REPEAT)) if SAMPLE_REPEAT > 1 else sample
+        shown = sample.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(SAMPLE_REPEAT))))
         shares = sample.agg(*[F.avg(r.rejects.cast("int")).alias(r.name) for r in stated]).first()
         gains = {}
         for rule in stated:

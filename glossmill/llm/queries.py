@@ -29,6 +29,12 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_columns(table(spark, sf_dir, "documents")).drop("cosine_bits")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.urls import judge
+
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.llm.quality import quality
 
@@ -36,6 +42,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.pieces import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.llm.warc import read_archive, write_archive
 
@@ -58,7 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op5_quality_rules, op7_warc, op9_line_dedup, op10_toxicity)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op9_line_dedup, op10_toxicity)
 }
 
 #: WARC: SHA-1 is not in every SQL engine, so the digest is stated by DuckDB's own function.
