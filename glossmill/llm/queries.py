@@ -54,6 +54,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archive(write_archive(table(spark, sf_dir, "pages")))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.suffixes import dedup
+
+    kept = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.llm.lines import dedup
 
@@ -70,7 +77,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op9_line_dedup, op10_toxicity)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_line_dedup, op10_toxicity)
 }
 
 #: WARC: SHA-1 is not in every SQL engine, so the digest is stated by DuckDB's own function.
