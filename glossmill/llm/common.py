@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch are handed to the numpy code in slices of about so many text bytes.
 SLICE_BYTES = 4 << 20
@@ -60,7 +61,7 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str | int, most: int = SLICE
             yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str) -> DataFrame:
+def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, text: str) -> DataFrame:
     """mapInArrow over slices of bounded bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

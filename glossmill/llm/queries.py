@@ -76,8 +76,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"]).alias("held_out"), "score", "predicted")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_line_dedup, op10_toxicity)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_line_dedup, op10_toxicity, pipeline)
 }
 
 #: WARC: SHA-1 is not in every SQL engine, so the digest is stated by DuckDB's own function.

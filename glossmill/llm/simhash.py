@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.llm.common import cut, map_texts, utf8
+from glossmill.llm.common import cut, map_texts, stored, utf8
 from glossmill.llm.graph import components
 
 BITS = 64
@@ -56,14 +56,18 @@ def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
-    """key and fp, the fingerprint as a signed long."""
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, mark: bool = False) -> DataFrame:
+    """key and fp, the fingerprint as a signed long; with `mark`, also a 64-bit hash of the whole text."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.array([fingerprint(t, width) for t in utf8(batch.column(1))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], [key, "fp"])
+        texts = utf8(batch.column(1))
+        columns, names = [batch.column(0), pa.array(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))], [key, "fp"]
+        if mark:
+            columns.append(pa.array(np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)))
+            names.append("mark")
+        return pa.RecordBatch.from_arrays(columns, names)
 
-    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, fp long", text)
+    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, fp long{', mark long' if mark else ''}", text)
 
 
 def co_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -216,6 +220,70 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     return marked.join(found, "fp").select(key, "fp", "component_id")
 
 
+def shingle_sets(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """key and shingles: the sorted distinct hashes of a text's word shingles, as little-endian uint64 bytes."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for t in utf8(batch.column(1)):
+            words = t.lower().split()
+            some = [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
+            out.append(np.unique(np.array([xxhash.xxh64_intdigest(x, 42) for x in some], "<u8")).tobytes())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], [key, "shingles"])
+
+    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, shingles binary", text)
+
+
+def resemblance(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two shingle sets; two empty ones are equal."""
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+    if not len(x) or not len(y):
+        return float(len(x) == len(y))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def verified(edges: DataFrame, df: DataFrame, key: str, text: str, width: int, least: float) -> DataFrame:
+    """The edges (u, v) between keys whose texts' shingle sets have a Jaccard similarity of `least` or more."""
+    needed = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    sets = stored(shingle_sets(df.join(needed, df[key] == needed["id"], "left_semi"), key, text, width).select(F.col(key).alias("id"), "shingles"), "shingles")
+    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
+    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
+    pairs = edges.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        similar = pa.array([resemblance(a, b) >= least for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)], pa.bool_())
+        return batch.select(["u", "v"]).filter(similar)
+
+    return map_texts(pairs, work, "u long, v long", "a")
+
+
+def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 7, least: float = 0.8) -> DataFrame:
+    """key and group_id: groups by links that are within the radius and whose texts resemble each other.
+
+    Different texts with one fingerprint are verified too, each against the one with the smallest key. In a
+    large bucket the links to pivots are verified, and those only.
+    """
+    marked = cut(fingerprints(df, key, text, width, mark=True))
+    units = cut(marked.groupBy("fp", "mark").agg(F.min(key).alias("id")))
+    heads = cut(units.groupBy("fp").agg(F.min("id").alias("least")))
+    star = units.join(heads, "fp").where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
+    found = links(heads, radius)
+    name = lambda side: heads.select(F.col("fp").alias(side), F.col("least").alias(f"{side}_id"))
+    across = found.join(name("u"), "u").join(name("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
+    edges = cut(star.unionByName(across))
+    labels = components(verified(edges, df, key, text, width, least))
+    named = units.join(labels, units["id"] == labels["node"], "left").select("fp", "mark", F.coalesce("label", "id").alias("group_id"))
+    return marked.join(named, ["fp", "mark"]).select(key, "group_id")
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 7, least: float = 0.8) -> DataFrame:
+    """The rows of df whose key is the smallest of their group."""
+    groups = similar_groups(df, key, text, width, radius, least)
+    gone = cut(groups.where(F.col(key) != F.col("group_id")).select(key).distinct())
+    return df.join(gone, key, "left_anti")
+
+
 def hex_of(fp: Column) -> Column:
     """16 lower-case hex digits of a signed long."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

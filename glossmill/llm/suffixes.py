@@ -472,8 +472,11 @@ def _crowd_frame(strings: list[bytes], keys: np.ndarray, buckets: int, size: int
     return _blob_frame(2, [b for b, _ in out], [x for _, x in out])
 
 
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, crowd: int = CROWD) -> DataFrame:
-    """df with n_bytes, n_removed, n_spans and kept_bytes (the remaining bytes of `text`); key is an integer column."""
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, crowd: int = CROWD, replace: bool = False) -> DataFrame:
+    """df with n_bytes, n_removed, n_spans and kept_bytes (the remaining bytes of `text`); key is an integer column.
+
+    With `replace`, `text` itself becomes the remaining text, without bytes left of a cut character.
+    """
     marked = df.withColumn("_mark", F.xxhash64(text))
     spans = repeated_spans(marked, key, text, "_mark", size, crowd)
     lists = spans.groupBy("k", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
@@ -485,7 +488,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SI
     def cut_out(batches):
         for batch in sliced(batches, at_text):
             out: tuple[list, ...] = ([], [], [], [])
-            for t, spans_ in zip(utf8(batch.column(at_text)), batch.column(len(names)).to_pylist(), strict=True):
+            for given, t, spans_ in zip(batch.column(at_text), utf8(batch.column(at_text)), batch.column(len(names)).to_pylist(), strict=True):
                 removed = n = 0
                 kept = t
                 if spans_:
@@ -497,9 +500,18 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SI
                         parts.append(t[last:a])
                         last, removed, n = b, removed + b - a, n + 1
                     kept = b"".join([*parts, t[last:]])
+                if replace:
+                    kept = kept.decode(errors="ignore") if given.is_valid else None
                 for column, value in zip(out, (len(t), removed, n, kept), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True))], [*names, "n_bytes", "n_removed", "n_spans", "kept_bytes"])
+            columns = [batch.column(i) for i in range(len(names))]
+            counts = [pa.array(c, pa.int64()) for c in out[:3]]
+            if replace:
+                columns[at_text] = pa.array(out[3], batch.schema.field(at_text).type)
+                yield pa.RecordBatch.from_arrays([*columns, *counts], [*names, *added])
+            else:
+                yield pa.RecordBatch.from_arrays([*columns, *counts, pa.array(out[3], pa.binary())], [*names, *added, "kept_bytes"])
 
-    schema = StructType([*fields, *(StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")), StructField("kept_bytes", BinaryType())])
+    added = ["n_bytes", "n_removed", "n_spans"]
+    schema = StructType([*fields, *(StructField(n, LongType()) for n in added), *([] if replace else [StructField("kept_bytes", BinaryType())])])
     return joined.select(*names, "_spans").mapInArrow(cut_out, schema)

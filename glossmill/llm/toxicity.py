@@ -237,3 +237,18 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "
 
     schema = f"{key} {dict(documents.dtypes)[key]}, score double, predicted int, evidence double, passages array<struct<first:int,last:int,score:double>>"
     return map_texts(documents.select(key, text), work, schema, text)
+
+
+def keep_clean(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of df, with all columns, that the model doesn't predict toxic."""
+    at = df.columns.index(text)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        clean = []
+        for t in batch.column(at).to_pylist():
+            n, events = events_of(t or "", model.weights)
+            e = evidence(n, maximal_segments(events), model) if events else 0.0
+            clean.append(float(1 / (1 + np.exp(-np.clip(model.intercept + model.slope * e, -30, 30)))) < TOXIC_AT)
+        return batch.filter(pa.array(clean, pa.bool_()))
+
+    return map_texts(df, work, df.schema, text)
