@@ -47,5 +47,6 @@ def token_runs(df: DataFrame, text: str = "text") -> DataFrame:
     """
     found = sentences(df, text)
     rest = [c for c in found.columns if c != "sentence"]
-    runs = F.regexp_extract_all(F.lower("sentence"), F.lit(r"(\p{L}+(?:[ \t\n\r\x0B\f]+\p{L}+)*)"), F.lit(1))
+    # Split at all else than letters and blanks: a pattern of repeated words would recurse once per word.
+    runs = F.filter(F.split(F.lower("sentence"), r"[^\p{L} \t\n\r\x0B\f]+"), lambda r: r.rlike(r"\p{L}"))
     return found.select(*rest, F.posexplode(runs).alias("run_idx", "run")).select(*rest, "run_idx", words_of(F.col("run")).alias("words"))

@@ -1 +1,118 @@
-"""Queries."""
+"""Queries: coverage, expertise and co-occurrence."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glossmill.functions.scores import quantised
+from glossmill.operators import coverage, tokens
+from glossmill.plans.common import LEXICON_SQL, PHRASES_SQL, RUNS_SQL, SPLIT_SQL, UNITS_SQL, benchmark_phrases, dealt, lexicon, matches_sql, read, runs
+from glossmill.plans.registry import query
+
+KEYS = ["doc_id", "sent_idx", "run_idx"]
+_BASE = f"WITH RECURSIVE {LEXICON_SQL}, {PHRASES_SQL}, {RUNS_SQL}, {matches_sql()}, {UNITS_SQL}"
+_COUNTS = "c AS (SELECT doc_id, count(*) FILTER (WHERE category = 'TIER1') AS t1, count(*) FILTER (WHERE category = 'TIER2') AS t2, count(*) FILTER (WHERE category = 'TIER3') AS t3, count(*) FILTER (WHERE category = 'TIER4') AS t4, count(*) FILTER (WHERE category = 'UNKNOWN') AS unknown FROM units GROUP BY doc_id)"
+_SUMMED = "s AS (SELECT *, t1 + t2 + t3 + t4 + unknown AS total, (t1 + t2)::DOUBLE / (t1 + t2 + t3 + t4 + unknown) AS common, t4::DOUBLE / (t1 + t2 + t3 + t4 + unknown) AS domain FROM c), r AS (SELECT *, CASE WHEN common > 0 THEN domain / common ELSE 0 END AS ratio, CASE WHEN common > 0 THEN domain / common ELSE domain END AS signal FROM s)"
+_BAND = "CASE WHEN signal < 0.05 THEN 'general audience' WHEN signal < 0.20 THEN 'mixed audience' ELSE 'specialist' END"
+_Q = "floor({0} * 10000 + 0.5)::BIGINT"
+
+
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs(spark, sf_dir)
+    return coverage.with_summary(coverage.coverage_counts(found, benchmark_phrases(spark, sf_dir), lexicon(spark, sf_dir), KEYS, ["doc_id"]))
+
+
+@query(f"{_BASE}, {_COUNTS}, {_SUMMED} SELECT doc_id, t1, t2, t3, t4, unknown, total, {_Q.format('common')} AS common_q, {_Q.format('domain')} AS domain_q, {_Q.format('ratio')} AS ratio_q, {_BAND} AS band FROM r")
+def coverage_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: units of each document by vocabulary tier, and its expertise band."""
+    c = _counts(spark, sf_dir)
+    return c.select("doc_id", "t1", "t2", "t3", "t4", "unknown", "total", *[quantised(F.col(x)).alias(f"{x}_q") for x in ("common", "domain", "ratio")], "band")
+
+
+@query(f"{_BASE}, {_COUNTS}, {_SUMMED} SELECT {_BAND} AS band, CASE WHEN common > 0 THEN 't4_vs_common' ELSE 't4_vs_total' END AS basis, count(*) AS n_docs, sum(t4)::BIGINT AS t4 FROM r GROUP BY ALL")
+def coverage_signal_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts(spark, sf_dir).groupBy("band", "basis").agg(F.count("*").alias("n_docs"), F.sum("t4").alias("t4"))
+
+
+@query(f"{_BASE} SELECT doc_id, sent_idx, run_idx, pos, len, phrase AS matched_phrase FROM chosen")
+def domain_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = coverage.phrase_matches(runs(spark, sf_dir), benchmark_phrases(spark, sf_dir), KEYS)
+    return found.select(*[F.col(c).cast("long").alias(c) if c != "doc_id" else c for c in KEYS], F.col("pos").cast("long").alias("pos"), F.col("len"), F.col("phrase").alias("matched_phrase"))
+
+
+def _units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.classify(runs(spark, sf_dir), benchmark_phrases(spark, sf_dir), lexicon(spark, sf_dir), KEYS)
+
+
+_PER = "per AS (SELECT doc_id, sent_idx, count(*) AS n, count(*) FILTER (WHERE category = 'TIER4') AS n4, count(*) FILTER (WHERE category = 'TIER3') AS n3, count(*) FILTER (WHERE category = 'UNKNOWN') AS nu, count(DISTINCT CASE WHEN category = 'TIER4' THEN unit END) AS k FROM units GROUP BY doc_id, sent_idx), v AS (SELECT doc_id, count(DISTINCT CASE WHEN category = 'TIER4' THEN unit END) AS distinct_t4 FROM units GROUP BY doc_id), m AS (SELECT per.doc_id, count(*) AS n_sentences, sum(n)::BIGINT AS total, sum(n4)::BIGINT AS t4_units, sum(n3)::BIGINT AS t3_units, sum(nu)::BIGINT AS unknown_units, any_value(distinct_t4) AS distinct_t4, sum(k * (k - 1) // 2)::BIGINT AS pairs, count(*) FILTER (WHERE k >= 1) AS any_sentences, count(*) FILTER (WHERE k >= 2) AS multi_sentences, sum(CASE WHEN k >= 1 THEN n3 ELSE 0 END)::BIGINT AS anchored_t3 FROM per JOIN v USING (doc_id) GROUP BY per.doc_id)"
+_RATES = f"{_Q.format('distinct_t4::DOUBLE / greatest(total, 1)')} AS variety_q, {_Q.format('pairs::DOUBLE / greatest(n_sentences, 1)')} AS cooccur_q, {_Q.format('multi_sentences::DOUBLE / greatest(any_sentences, 1)')} AS multi_q, CASE WHEN t3_units > 0 THEN {_Q.format('anchored_t3::DOUBLE / t3_units')} END AS anchor_rate_q"
+
+
+def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = coverage.expertise(_units(spark, sf_dir), ["doc_id"])
+    share = lambda a, b: quantised(F.col(a).cast("double") / F.greatest(F.col(b), F.lit(1)))
+    return m.withColumns({"variety_q": share("distinct_t4", "total"), "cooccur_q": share("pairs", "n_sentences"), "multi_q": share("multi_sentences", "any_sentences"), "anchor_rate_q": F.when(F.col("t3_units") > 0, share("anchored_t3", "t3_units"))})
+
+
+@query(f"{_BASE}, {_PER} SELECT *, {_RATES} FROM m")
+def expertise_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _measured(spark, sf_dir)
+
+
+_MEANS = ["variety_q", "cooccur_q", "multi_q", "anchor_rate_q"]
+
+
+@query(f"{_BASE}, {_PER}, z AS (SELECT *, {_RATES} FROM m) SELECT lang AS stratum, count(*) AS n_files, " + ", ".join(f"floor(avg({c}) + 0.5)::BIGINT AS {c}" for c in _MEANS) + " FROM z JOIN documents USING (doc_id) GROUP BY lang")
+def stratum_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strata = read(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("stratum"))
+    return _measured(spark, sf_dir).join(strata, "doc_id").groupBy("stratum").agg(F.count("*").alias("n_files"), *[F.floor(F.avg(c) + 0.5).cast("long").alias(c) for c in _MEANS])
+
+
+@query(
+    f"{_BASE}, {_PER}, z AS (SELECT *, {_RATES} FROM m), u AS (SELECT lang, k.measure, CASE k.measure WHEN 'variety' THEN variety_q WHEN 'cooccur' THEN cooccur_q ELSE multi_q END AS v FROM z JOIN documents USING (doc_id), unnest(['variety', 'cooccur', 'multi']) AS k(measure)) "
+    "SELECT measure, floor(avg(v) FILTER (WHERE lang = 'en') + 0.5)::BIGINT AS en, floor(avg(v) FILTER (WHERE lang = 'fr') + 0.5)::BIGINT AS fr, floor(avg(v) FILTER (WHERE lang = 'de') + 0.5)::BIGINT AS de FROM u GROUP BY measure"
+)
+def measure_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strata = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    long = _measured(spark, sf_dir).join(strata, "doc_id").select("lang", F.expr("stack(3, 'variety', variety_q, 'cooccur', cooccur_q, 'multi', multi_q) as (measure, v)"))
+    return long.groupBy("measure").pivot("lang", ["en", "fr", "de"]).agg(F.floor(F.avg("v") + 0.5).cast("long"))
+
+
+@query(f"{_BASE} SELECT unit AS token, count(*) AS n FROM units WHERE category = 'UNKNOWN' GROUP BY unit")
+def unknown_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _units(spark, sf_dir).where("category = 'UNKNOWN'").groupBy(F.col("unit").alias("token")).agg(F.count("*").alias("n"))
+
+
+@query(
+    f"{_BASE}, pool AS (SELECT unit AS token, count(*) AS n FROM units WHERE category = 'UNKNOWN' GROUP BY unit), one AS (SELECT DISTINCT unnest(string_split(phrase, ' ')) AS word FROM phrases) "
+    "SELECT token, n, CASE WHEN n < 5 THEN 'frequency' WHEN length(token) < 3 THEN 'short' WHEN NOT regexp_full_match(token, '[a-z][a-z-]*[a-z]') THEN 'characters' WHEN lex.word IS NOT NULL THEN 'lexicon' WHEN one.word IS NOT NULL THEN 'domain' WHEN regexp_matches(token, '^(th|er|an)') THEN 'stem' ELSE 'kept' END AS reason FROM pool LEFT JOIN lex ON lex.word = token LEFT JOIN one ON one.word = token"
+)
+def tier3_seed_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first failing rule of every unknown token; the stems are a parameter of the operator."""
+    from glossmill.operators.lexicon import seed_reasons
+
+    domain = benchmark_phrases(spark, sf_dir).select(F.explode(F.split("phrase", " ")).alias("word")).distinct()
+    return seed_reasons(unknown_pool(spark, sf_dir), lexicon(spark, sf_dir).select("word"), domain, ["th", "er", "an"])
+
+
+_CHAT_SENTS = "sents AS (SELECT conv_id, turn, i - 1 AS sent_idx, l[i] AS sentence FROM (SELECT conv_id, turn, " + SPLIT_SQL.format("text") + " AS l FROM conversations WHERE role = 'user') d, unnest(range(1, len(l) + 1)) AS u(i))"
+_CHAT_RUNS = r"runs AS (SELECT conv_id, turn, sent_idx, j - 1 AS run_idx, regexp_extract_all(rs[j], '\p{L}+') AS words FROM (SELECT *, regexp_extract_all(lower(sentence), '\p{L}+(?:[ \t\n\r\x0B\f]+\p{L}+)*') AS rs FROM sents) s, unnest(range(1, len(rs) + 1)) AS u(j))"
+
+
+@query(
+    f"WITH RECURSIVE {LEXICON_SQL}, {PHRASES_SQL}, {_CHAT_SENTS}, {_CHAT_RUNS}, {matches_sql('conv_id, turn, sent_idx, run_idx')}, "
+    "w AS (SELECT conv_id, turn, unnest(words) AS word FROM runs), a AS (SELECT conv_id, turn, count(*) AS n, count(*) FILTER (WHERE tier IN (1, 2)) AS c FROM w LEFT JOIN lex USING (word) GROUP BY ALL), "
+    "x AS (SELECT conv_id, turn, count(*) AS t4 FROM chosen GROUP BY ALL), ins AS (SELECT conv_id, turn, unnest(string_split(phrase, ' ')) AS word FROM chosen), b AS (SELECT conv_id, turn, count(*) AS n, count(*) FILTER (WHERE tier IN (1, 2)) AS c FROM ins LEFT JOIN lex USING (word) GROUP BY ALL) "
+    "SELECT a.conv_id, a.turn, coalesce(t4, 0) AS t4, a.c - coalesce(b.c, 0) AS common_units, a.n - coalesce(b.n, 0) + coalesce(t4, 0) AS total FROM a LEFT JOIN x ON x.conv_id = a.conv_id AND x.turn = a.turn LEFT JOIN b ON b.conv_id = a.conv_id AND b.turn = a.turn"
+)
+def chat_turn_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of each user turn."""
+    turns = dealt(read(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", "text"))
+    c = coverage.coverage_counts(tokens.token_runs(turns), benchmark_phrases(spark, sf_dir), lexicon(spark, sf_dir), ["conv_id", "turn", "sent_idx", "run_idx"], ["conv_id", "turn"])
+    return c.select("conv_id", "turn", "t4", (F.col("t1") + F.col("t2")).alias("common_units"), (F.col("t1") + F.col("t2") + F.col("t3") + F.col("t4") + F.col("unknown")).alias("total"))
+
+
+@query(f"{_BASE}, {_COUNTS}, {_SUMMED} SELECT quality, toxic, count(*) AS n_docs, sum(t4)::BIGINT AS t4, sum(total)::BIGINT AS total FROM r JOIN labels USING (doc_id) GROUP BY quality, toxic")
+def quality_vs_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts(spark, sf_dir).join(read(spark, sf_dir, "labels"), "doc_id").groupBy("quality", "toxic").agg(F.count("*").alias("n_docs"), F.sum("t4").alias("t4"), F.sum("total").alias("total"))
