@@ -18,8 +18,8 @@ BLANKS = r"[ \t\n\r\x0B\f]+"
 
 
 def strip(x: Column) -> Column:
-    """Without blanks at either end; null stays null."""
-    return F.regexp_replace(x, r"^[ \t\n\r\x0B\f ]+|[ \t\n\r\x0B\f ]+$", "")
+    """Without blanks (the six ASCII ones and the no-break space) at either end; null stays null."""
+    return F.regexp_replace(x, r"^[ \t\n\r\x0B\f\u00A0]+|[ \t\n\r\x0B\f\u00A0]+$", "")
 
 
 def normalise(x: Column) -> Column:

@@ -1 +1,140 @@
-"""Queries."""
+"""Queries: roots, lines of legal texts, web pages and lexicon loads."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glossmill.functions.scores import root_tier
+from glossmill.functions.text import FLEXION, is_noise_line, slug, strip_flexion
+from glossmill.operators import lexicon as lex
+from glossmill.operators import morphology, ngrams, statutory
+from glossmill.plans.common import MINED_SQL, UNI_SQL, documents, mined, read
+from glossmill.plans.registry import query
+from glossmill.sources.html import corpus_lines
+
+_NJ = "w1 AS (SELECT word, CASE WHEN word LIKE '%n' THEN left(word, length(word) - 1) ELSE word END AS a FROM uni), w2 AS (SELECT word, CASE WHEN a LIKE '%j' THEN left(a, length(a) - 1) ELSE a END AS b FROM w1)"
+_FLEX = "CASE " + " ".join(f"WHEN b LIKE '%{e}' AND length(b) > {len(e)} THEN left(b, length(b) - {len(e)})" for e in FLEXION) + " ELSE b END"
+_STEMS = f"{MINED_SQL}, {UNI_SQL}, {_NJ}, st AS (SELECT word, {_FLEX} AS stem FROM w2)"
+
+
+def _stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.unigram_counts(mined(spark, sf_dir)).select("word", strip_flexion(F.col("word")).alias("stem"))
+
+
+@query(f"WITH {_STEMS} SELECT word, stem FROM st")
+def flexion_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stems(spark, sf_dir)
+
+
+def _round(n: int, affixes_s: str, affixes_p: str) -> str:
+    return (
+        f"c{n} AS (SELECT r.root, 0 AS k, -length(a) AS neg, left(r.root, length(r.root) - length(a)) AS rest FROM (SELECT DISTINCT root FROM r{n - 1}) r, unnest({affixes_s}) AS s(a) WHERE r.root LIKE '%' || a AND length(r.root) - length(a) >= 3 "
+        f"UNION ALL SELECT r.root, 1, -length(a), substring(r.root, length(a) + 1) FROM (SELECT DISTINCT root FROM r{n - 1}) r, unnest({affixes_p}) AS s(a) WHERE r.root LIKE a || '%' AND length(r.root) - length(a) >= 3), "
+        f"d{n} AS (SELECT root, min((k, neg, rest)) AS t FROM c{n} WHERE rest IN (SELECT stem FROM att) GROUP BY root), "
+        f"r{n} AS (SELECT r.stem, coalesce(split_part(t::VARCHAR, 'zzz', 2), '') AS junk, CASE WHEN t IS NULL THEN r.root ELSE t[3] END AS root FROM r{n - 1} r LEFT JOIN d{n} d ON d.root = r.root)"
+    )
+
+
+_S = "[" + ", ".join(f"'{x}'" for x in morphology.SUFFIXES) + "]"
+_P = "[" + ", ".join(f"'{x}'" for x in morphology.PREFIXES) + "]"
+_NUM = ", ".join(f"('{x}')" for x in morphology.NUMBER_ROOTS)
+_ROOTS = f"WITH {_STEMS}, base AS (SELECT DISTINCT stem FROM st), att AS (SELECT stem FROM base UNION SELECT x FROM (VALUES {_NUM}) v(x)), r0 AS (SELECT stem, '' AS junk, stem AS root FROM base), " + ", ".join(_round(i, _S, _P) for i in range(1, 5))
+
+
+@query(f"{_ROOTS} SELECT root, count(*) AS productivity, CASE WHEN count(*) >= 3 THEN 'core' WHEN count(*) = 2 THEN 'extended' ELSE 'tail' END AS tier FROM r4 GROUP BY root")
+def root_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four rounds of peeling, as many as the SQL states."""
+    return morphology.productivity(_stems(spark, sf_dir).select("stem").distinct(), 4)
+
+
+@query(f"{_ROOTS}, p AS (SELECT root, count(*) AS n FROM r4 GROUP BY root) SELECT CASE WHEN n >= 3 THEN 'core' WHEN n = 2 THEN 'extended' ELSE 'tail' END AS tier, count(*) AS n_roots, sum(n)::BIGINT AS n_stems FROM p GROUP BY 1")
+def root_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = morphology.productivity(_stems(spark, sf_dir).select("stem").distinct(), 4)
+    return found.groupBy(root_tier(F.col("productivity")).alias("tier")).agg(F.count("*").alias("n_roots"), F.sum("productivity").alias("n_stems"))
+
+
+#: A small inventory for the query below: root -> (tier, productivity).
+INVENTORY = {"patr": ("core", 5), "san": ("core", 9), "vapor": ("extended", 2), "ŝip": ("core", 4), "klimat": ("tail", 2), "th": ("core", 9), "er": ("core", 5), "on": ("extended", 2), "ing": ("tail", 3), "re": ("core", 4), "at": ("core", 3)}
+
+
+@query()
+def decompose_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search with memory, not expressible in SQL; tested against known analyses."""
+    return morphology.decompose(_stems(spark, sf_dir), INVENTORY)
+
+
+_LINES = "l AS (SELECT doc_id, i - 1 AS line_no, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents) d, unnest(range(1, len(ls) + 1)) AS u(i))"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+
+
+@query(f"WITH {_LINES}, t AS (SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)) AS s FROM l) SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE length(s) < 10 OR regexp_full_match(s, '[0-9]+')) AS n_noise FROM t GROUP BY doc_id")
+def noise_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(is_noise_line(F.col("line"))).alias("n_noise"))
+
+
+@query(f"WITH {_LINES}, h AS (SELECT *, CASE WHEN length(line) < 60 THEN line END AS head FROM l) SELECT doc_id, line_no::INT AS line_no, last_value(head IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no) AS context FROM h")
+def fill_forward_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short lines stand for headings here; each line carries the last one down."""
+    rows = _lines(spark, sf_dir).withColumn("head", F.when(F.length("line") < 60, F.col("line")))
+    return statutory.fill_forward(rows, ["doc_id"], "line_no", {"context": "head"}).select("doc_id", "line_no", "context")
+
+
+@query(f"WITH {_LINES}, h AS (SELECT *, sum((length(line) < 60)::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS segment FROM l) SELECT doc_id, segment::BIGINT AS segment, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars FROM h GROUP BY ALL")
+def article_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = statutory.segments(_lines(spark, sf_dir), ["doc_id"], "line_no", F.length("line") < 60)
+    return rows.groupBy("doc_id", "segment").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"))
+
+
+@query(
+    r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', '', 'g'), '(?is)<style\b.*?</style\s*>', '', 'g'), '(?is)<head\b.*?</head\s*>', '', 'g'), '(?is)<nav\b.*?</nav\s*>', '', 'g') AS h FROM pages),
+    t AS (SELECT page_id, string_split(regexp_replace(h, '(?s)<[^>]*>', chr(10), 'g'), chr(10)) AS ls FROM a), u AS (SELECT page_id, trim(x.line, ' ' || chr(9) || chr(13) || chr(11) || chr(12) || chr(160)) AS line FROM t, unnest(ls) AS x(line))
+    SELECT page_id, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars, md5(string_agg(line, chr(10) ORDER BY line)) AS lines_md5 FROM u WHERE length(line) >= 20 GROUP BY page_id"""
+)
+def html_to_corpus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "pages").select("page_id", F.explode(corpus_lines(F.col("html"))).alias("line"))
+    return rows.groupBy("page_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"), F.md5(F.array_join(F.sort_array(F.collect_list("line")), "\n")).alias("lines_md5"))
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(lower(regexp_replace(p_name, '\\([^)]*\\)', '', 'g')), '[^\\p{L}\\p{N}_]+', '-', 'g'), '^-+|-+$', '', 'g') AS entry_id FROM part")
+def entry_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select("p_partkey", slug(F.col("p_name")).alias("entry_id"))
+
+
+@query(
+    "WITH v AS (SELECT p_partkey AS id, p_name AS word, p_brand AS pos, p_size AS tier, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_type END AS eo FROM part), k AS (SELECT *, coalesce('w:' || eo, 'i:' || id) AS key FROM v), c AS (SELECT key, min(id) AS concept_id, min_by(pos, id) AS eo_pos, any_value(eo) AS eo_word FROM k GROUP BY key) SELECT concept_id, eo_word, eo_pos, CASE WHEN eo_word IS NULL THEN 'pending' ELSE 'complete' END AS eo_status FROM c"
+)
+def migrate_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("word"), F.col("p_brand").alias("pos"), F.col("p_size").alias("tier"), F.lit("v1").alias("source"), F.when(F.col("p_partkey") % 4 != 0, F.col("p_type")).alias("eo_word"))
+    return lex.migrate_vocabulary(part)[0]
+
+
+@query("WITH f AS (SELECT p_partkey AS id, lower(p_name) AS i, lower(p_type) AS l FROM part) SELECT i AS inflected, max_by(l, id) AS lemma FROM f WHERE i <> l GROUP BY i")
+def inflection_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lex.inflection_map(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("inflected_word"), F.col("p_type").alias("lemma")))
+
+
+@query("WITH e AS (SELECT p_partkey AS id, p_brand AS b, p_size AS s FROM part), m(b, s, x, ord) AS (VALUES ('Brand#13', 7, 'exact', 1), ('Brand#13', NULL, 'loose', 2), ('Brand#22', NULL, 'other', 3)), a AS (SELECT b, min_by(x, ord) AS x FROM m GROUP BY b) SELECT e.id AS concept_id, coalesce(m.x, a.x) AS mapped FROM e JOIN a ON a.b = e.b LEFT JOIN m ON m.b = e.b AND m.s = e.s")
+def word_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("concept_id"), F.col("p_brand").alias("word"), F.col("p_size").cast("string").alias("pos"), F.col("p_partkey").alias("ord"))
+    mapping = spark.createDataFrame([("Brand#13", "7", "exact", 1), ("Brand#13", None, "loose", 2), ("Brand#22", None, "other", 3)], "word string, pos string, mapped string, ord int")
+    return lex.map_words(entries, mapping).select("concept_id", "mapped")
+
+
+@query()
+def definition_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defined terms of a small statute; a state machine over lines, tested against known records."""
+    lines = ["Article 1. Scope", "1. This law applies.", "Article 2. Definitions", "1. Customs debt – the duty to pay.", "continued here", "2. Goods (hereinafter) - any thing.", "1) a part", "Article 3. Other", "1. Not – this."]
+    rows = spark.createDataFrame([("demo.txt", i, x) for i, x in enumerate(lines)], "source_file string, line_no int, line string")
+    return statutory.definitions(rows, "2", "en")
+
+
+@query()
+def html_definition_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions of a small page in markup; a tree walk, tested against known records."""
+    from glossmill.sources.markup import DEMO, definitions
+
+    return definitions(spark.createDataFrame([("demo", "en", DEMO)], "celex_id string, lang string, html string"))

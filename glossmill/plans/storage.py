@@ -1 +1,133 @@
-"""Queries."""
+"""Queries: the domain store, lifecycle, conflicts, synonyms, overrides and decisions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glossmill.operators import store
+from glossmill.plans.common import read
+from glossmill.plans.registry import query
+
+
+@query("SELECT l_partkey AS concept, count(DISTINCT l_suppkey) AS n_sources, CASE WHEN count(DISTINCT l_suppkey) >= 3 THEN 'crystallized' WHEN count(DISTINCT l_suppkey) >= 2 THEN 'established' ELSE 'emerging' END AS status FROM lineitem GROUP BY l_partkey")
+def concept_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("concept"), F.col("l_suppkey").alias("source"))
+    counts = store.source_counts(log, "concept", "source")
+    return store.with_lifecycle(log.select("concept").distinct(), counts, "concept").select("concept", "n_sources", "status")
+
+
+_DIVERGE = "n AS (SELECT {key} AS k, lower(trim({d})) AS norm, min({id}) AS id, min_by({d}, {id}) AS d FROM {t} GROUP BY ALL)"
+
+
+@query(f"WITH {_DIVERGE.format(key='p_name', d='p_type', id='p_partkey', t='part')} SELECT a.k AS phrase, a.id AS id_a, b.id AS id_b, 'A: ' || left(a.d, 100) || ' | B: ' || left(b.d, 100) AS divergence_detail FROM n a JOIN n b ON a.k = b.k AND a.id < b.id")
+def text_divergence_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = read(spark, sf_dir, "part").select(F.col("p_name").alias("phrase"), F.col("p_partkey").alias("id"), F.col("p_type").alias("definition"))
+    return store.divergences(entries, ["phrase"], "id", "definition").select("phrase", "id_a", "id_b", "divergence_detail")
+
+
+@query(
+    "WITH p AS (SELECT p_partkey AS id, p_brand AS k, p_size % 2 AS side, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_type END AS d FROM part), a AS (SELECT k, max_by(d, id) AS da FROM p WHERE side = 0 GROUP BY k) "
+    "SELECT a.k AS phrase, p.id AS id_b, lower(trim(da)) = '' OR lower(trim(d)) = '' AS incomplete FROM a JOIN p ON p.k = a.k AND p.side = 1 WHERE lower(trim(da)) <> lower(trim(d))"
+)
+def cross_domain_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("phrase"), (F.col("p_size") % 2).alias("side"), F.when(F.col("p_partkey") % 7 == 0, "").otherwise(F.col("p_type")).alias("definition"))
+    return store.cross_domain(part.where("side = 0"), part.where("side = 1"), ["phrase"], "id", "definition").select("phrase", "id_b", "incomplete")
+
+
+@query("SELECT least(p_partkey, p_partkey % 97 + 1) AS a, greatest(p_partkey, p_partkey % 97 + 1) AS b FROM part WHERE p_partkey <> p_partkey % 97 + 1 GROUP BY ALL")
+def synonym_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part")
+    return store.synonym_edges(part.select(F.col("p_partkey").alias("a"), (F.col("p_partkey") % 97 + 1).alias("b")))
+
+
+@query(
+    "WITH e AS (SELECT least(p_partkey, p_partkey % 97 + 1) AS a, greatest(p_partkey, p_partkey % 97 + 1) AS b FROM part WHERE p_partkey <> p_partkey % 97 + 1 GROUP BY ALL), j AS (SELECT v.p_name AS variant, c.p_name AS canonical, a, b, row_number() OVER (PARTITION BY v.p_name ORDER BY a, b) AS r FROM e JOIN part c ON c.p_partkey = a JOIN part v ON v.p_partkey = b) SELECT variant, canonical FROM j WHERE r = 1"
+)
+def synonym_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("phrase"))
+    return store.synonym_map(synonym_edges(spark, sf_dir), phrases)
+
+
+@query(
+    "WITH k AS (SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN p_size::VARCHAR ELSE p_brand END AS key FROM part) SELECT key, row_number() OVER (ORDER BY try_cast(key AS BIGINT) IS NULL, try_cast(key AS BIGINT), key) AS place FROM k"
+)
+def numeric_then_lexical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the few distinct keys (brands and sizes, a fixed list) in their order."""
+    keys = read(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 3 == 0, F.col("p_size").cast("string")).otherwise(F.col("p_brand")).alias("key")).distinct()
+    number = F.expr("try_cast(key as bigint)")
+    ranked = keys.agg(F.sort_array(F.collect_list(F.struct(number.isNull().alias("t"), number.alias("n"), "key"))).alias("all"))
+    return ranked.select(F.posexplode("all").alias("p", "x")).select("x.key", (F.col("p") + 1).cast("long").alias("place"))
+
+
+_OLD = "old AS (SELECT o_custkey AS k, o_orderpriority AS p FROM orders WHERE o_orderkey % 3 = 0), new AS (SELECT o_custkey AS k, o_orderpriority AS p FROM orders WHERE o_orderkey % 3 = 1)"
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    orders = read(spark, sf_dir, "orders")
+    side = lambda i: orders.where(F.col("o_orderkey") % 3 == i).select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("p"))
+    return side(0), side(1)
+
+
+@query(f"WITH {_OLD} SELECT DISTINCT k, p FROM new WHERE (k, p) NOT IN (SELECT k, p FROM old)")
+def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.insert_or_ignore(*_batches(spark, sf_dir), ["k", "p"])
+
+
+@query(f"WITH {_OLD} SELECT k, p FROM new WHERE (k, p) NOT IN (SELECT k, p FROM old)")
+def append_except_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.append_except_keys(*_batches(spark, sf_dir), ["k", "p"])
+
+
+_OVERRIDES = [("Brand#13", None, "first", 1), ("Brand#13", "STEEL", "second", 2), ("Brand#22", "BRASS", None, 3)]
+_OVERRIDES_SQL = "o(p_brand, p_type, note, ord) AS (VALUES ('Brand#13', NULL, 'first', 1), ('Brand#13', 'STEEL', 'second', 2), ('Brand#22', 'BRASS', NULL, 3))"
+
+
+@query(f"WITH {_OVERRIDES_SQL}, l AS (SELECT p_brand, p_type, note FROM o QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY ord DESC) = 1) SELECT p_partkey, part.p_brand, coalesce(l.p_type, part.p_type) AS p_type, coalesce(l.note, part.p_name) AS note FROM part LEFT JOIN l ON l.p_brand = part.p_brand")
+def override_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    overrides = spark.createDataFrame(_OVERRIDES, "p_brand string, p_type string, note string, ord int")
+    records = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", F.col("p_name").alias("note"))
+    return store.apply_overrides(records, overrides, ["p_brand"], ["p_type", "note"])
+
+
+@query("WITH m(brand, size, needle, ord) AS (VALUES ('Brand#13', NULL::INT, NULL, 1), (NULL, 7, NULL, 2), (NULL, NULL, 'steel', 3)) SELECT ord, count(p_partkey) AS n_matches FROM m LEFT JOIN part ON (brand IS NULL OR brand = p_brand) AND (size IS NULL OR size = p_size) AND (needle IS NULL OR contains(lower(p_type), needle)) GROUP BY ord")
+def override_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that each override's optional criteria hold for; overrides are a short list."""
+    rules = F.broadcast(spark.createDataFrame([("Brand#13", None, None, 1), (None, 7, None, 2), (None, None, "steel", 3)], "brand string, size int, needle string, ord int"))
+    part = read(spark, sf_dir, "part")
+    fits = store.optional_match([(F.col("brand"), F.col("p_brand")), (F.col("size"), F.col("p_size"))]) & (F.col("needle").isNull() | F.lower("p_type").contains(F.col("needle")))
+    found = part.join(rules, fits).groupBy("ord").agg(F.count("*").alias("n_matches"))
+    return rules.select("ord").join(found, "ord", "left").select("ord", F.coalesce("n_matches", F.lit(0)).alias("n_matches"))
+
+
+@query(
+    "WITH l AS (SELECT user_id AS record_key, CASE event_type WHEN 'click' THEN 'approve' WHEN 'purchase' THEN 'reject' WHEN 'refund' THEN 'undo' ELSE 'skip' END AS action, event_id AS ts FROM events), u AS (SELECT record_key, max(ts) AS t FROM l WHERE action = 'undo' GROUP BY 1) "
+    "SELECT l.record_key, max_by(action, ts) AS action FROM l LEFT JOIN u USING (record_key) WHERE action <> 'undo' AND (t IS NULL OR ts > t) GROUP BY l.record_key"
+)
+def decision_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_type")
+    log = read(spark, sf_dir, "events").select(F.col("user_id").alias("record_key"), F.when(kind == "click", "approve").when(kind == "purchase", "reject").when(kind == "refund", "undo").otherwise("skip").alias("action"), F.col("event_id").alias("ts"))
+    return store.decided(log)
+
+
+_SRC = "CASE WHEN page_id % 5 = 0 THEN 'wco-glossary/' || page_id WHEN page_id % 5 = 1 THEN '' WHEN page_id % 5 = 2 THEN NULL ELSE url END"
+
+
+@query(
+    f"WITH p AS (SELECT page_id, {_SRC} AS s FROM pages) SELECT page_id, CASE WHEN starts_with(s, 'wco-glossary/') THEN 'wco_glossary' WHEN coalesce(s, '') <> '' THEN 'normative' ELSE 'statistical_mwe' END AS source_type, CASE WHEN coalesce(s, '') = '' THEN 'undefined' ELSE 'defined' END AS definition_status, CASE WHEN contains(coalesce(s, ''), '#') THEN split_part(s, '#', 1) ELSE s END AS authority FROM p"
+)
+def source_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("page_id") % 5
+    source = F.when(m == 0, F.concat(F.lit("wco-glossary/"), "page_id")).when(m == 1, "").when(m == 2, F.lit(None)).otherwise(F.col("url"))
+    return store.backfill_source(read(spark, sf_dir, "pages").select("page_id", source.alias("s")), "s").drop("s")
+
+
+@query(
+    "WITH s AS (SELECT p_partkey AS id, p_mfgr, p_brand AS phrase, p_type AS d FROM (SELECT *, CASE p_size % 2 WHEN 0 THEN 'en' ELSE 'lt' END AS p_mfgr FROM part) x WHERE p_partkey % 2 = 0), b AS (SELECT p_partkey // 4 AS g, p_mfgr, p_brand AS phrase, p_type AS d, p_partkey FROM (SELECT *, CASE p_size % 2 WHEN 0 THEN 'en' ELSE 'lt' END AS p_mfgr FROM part) x WHERE p_partkey % 2 = 1), "
+    "f AS (SELECT p_mfgr, phrase, min(id) AS id, min_by(d, id) AS d FROM s GROUP BY ALL), c AS (SELECT b.g, min(f.id) AS cid FROM b JOIN f ON f.p_mfgr = b.p_mfgr AND f.phrase = b.phrase AND lower(trim(f.d)) = lower(trim(b.d)) GROUP BY b.g) "
+    "SELECT b.p_partkey, CASE WHEN cid IS NULL THEN 'new' WHEN s.d IS NULL THEN 'add_lang' WHEN lower(trim(s.d)) = lower(trim(b.d)) THEN 'merge' ELSE 'conflict' END AS action FROM b LEFT JOIN c ON c.g = b.g LEFT JOIN s ON s.id = cid AND s.p_mfgr = b.p_mfgr"
+)
+def definition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 2 == 0, "en").otherwise("lt").alias("lang"), F.col("p_brand").alias("phrase"), F.col("p_type").alias("definition"))
+    batch = part.where("id % 2 = 1").withColumn("group", F.expr("id div 4")).withColumnRenamed("id", "p_partkey")
+    return store.upsert_definitions(part.where("id % 2 = 0"), batch).select("p_partkey", "action")
