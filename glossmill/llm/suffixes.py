@@ -30,6 +30,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -269,6 +270,16 @@ def spans_of(ident: np.ndarray, mark: np.ndarray, start: np.ndarray, stop: np.nd
 
 # -- the distributed operator
 
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns with their types, compressed: what is exchanged is small."""
+    return pickle.dumps([(c.dtype.str, zstandard.compress(np.ascontiguousarray(c).tobytes(), 3)) for c in columns], protocol=5)
+
+
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    return [np.frombuffer(zstandard.decompress(data), kind) for kind, data in pickle.loads(blob)]
+
+
 _FOUND = "kind int, bucket int, blob binary, k long, mark long, start int, stop int"
 
 
@@ -297,21 +308,20 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
             doc, at, n, h, selfish = runs_of(utf8(batch.column(2)), size)
             if not len(doc):
                 continue
-            order = np.lexsort((np.arange(len(h)), h))
-            doc, at, n, h, selfish = (x[order] for x in (doc, at, n, h, selfish))
             bucket = (h % np.uint64(buckets)).astype(np.int64)
-            # In its bucket each hash goes once with its count; its other runs here are repeated for sure.
+            # 32 bits of the hash besides its bucket: a few strings that stand alone pass too, which does no harm.
+            short = (h >> np.uint64(32)).astype(np.uint32)
             out_b, out_blob = [], []
             for b in np.unique(bucket):
                 m = bucket == b
                 used, local = np.unique(doc[m], return_inverse=True)
                 out_b.append(int(b))
-                out_blob.append(pickle.dumps((h[m], local.astype(np.int32), at[m].astype(np.int32), n[m].astype(np.uint8), selfish[m], ids[used], marks[used]), protocol=5))
+                out_blob.append(_pack(short[m], local.astype(np.uint32), at[m].astype(np.uint32), n[m].astype(np.uint8), selfish[m], ids[used], marks[used]))
             yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out_blob, pa.binary())], ["bucket", "blob"])
 
     def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [pickle.loads(b) for b in pdf["blob"]]
-        h = np.concatenate([p[0] for p in parts])
+        parts = [_unpack(b) for b in pdf["blob"]]
+        h = np.concatenate([p[0] for p in parts]).astype(np.int64) * buckets + int(pdf["bucket"].iat[0])
         distinct, where, count = np.unique(h, return_inverse=True, return_counts=True)
         selfish = np.concatenate([p[4] for p in parts])
         keep = (count[where] > 1) | selfish
@@ -319,8 +329,8 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
             {
                 "k": np.concatenate([p[5][p[1]] for p in parts])[keep],
                 "mark": np.concatenate([p[6][p[1]] for p in parts])[keep],
-                "h": h[keep].view(np.int64),
-                "at": np.concatenate([p[2] for p in parts])[keep],
+                "h": h[keep],
+                "at": np.concatenate([p[2] for p in parts])[keep].astype(np.int32),
                 "n": np.concatenate([p[3] for p in parts])[keep].astype(np.int32),
                 "uses": count[where][keep],
             }
@@ -371,9 +381,11 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
             if len(gone):
                 starts = keys[gone, 3]
                 stops = starts + np.array([len(strings[i]) for i in gone])
-                yield _batch(_spans_frame(*spans_of(keys[gone, 1], keys[gone, 2], starts, stops)))
+                frame = _spans_frame(*spans_of(keys[gone, 1], keys[gone, 2], starts, stops))
+                frame["bucket"] = ((frame["start"] + frame["k"]) % buckets).astype(np.int32)
+                yield _batch(frame)
             kept = ranked[front]
-            target = (keys[kept, 0].view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
+            target = (keys[kept, 0] // buckets) % buckets
             if len(crowded):
                 for i in np.flatnonzero(np.isin(keys[kept, 0], crowded)):
                     target[i] = int.from_bytes(blake2b(strings[kept[i]], digest_size=8).digest(), "little") % buckets
@@ -382,20 +394,20 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
                 mine = kept[target == b]
                 some = [strings[i] for i in mine]
                 out_b.append(int(b))
-                out_blob.append(pickle.dumps((*front_code(some, common_prefixes(some)), keys[mine]), protocol=5))
+                prefixes, lengths, rests = front_code(some, common_prefixes(some))
+                out_blob.append(_pack(prefixes, lengths, np.frombuffer(rests, np.uint8), *keys[mine].T))
             if out_b:
                 yield _batch(_blob_frame(0, out_b, out_blob))
 
-    sorted_runs = stored(joined.mapInArrow(sort_runs, _FOUND), "suffix-runs")
-
     def merge_runs(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [pickle.loads(b) for b in pdf["blob"]]
-        runs = [(front_decode(*p[:3]), p[0].tolist()) for p in parts]
+        known = pdf[pdf["kind"] == 1]  # spans that a task found by itself pass through
+        parts = [_unpack(b) for b in pdf.loc[pdf["kind"] == 0, "blob"]]
+        runs = [(front_decode(p[0], p[1], p[2].tobytes()), p[0].tolist()) for p in parts]
         merged = merge(runs)
         if not merged:
-            return pd.DataFrame(_spans_frame(*[np.zeros(0, np.int64)] * 4))
+            return known
         offsets = np.cumsum([0, *(len(r[0]) for r in runs[:-1])])
-        keys = np.concatenate([p[3] for p in parts])
+        keys = np.concatenate([np.stack(p[3:], axis=1) for p in parts])
         which = np.array([offsets[r] + i for r, i, _ in merged], np.int64)
         strings = [runs[r][0][i] for r, i, _ in merged]
         lengths = np.array([len(s) for s in strings], np.int64)
@@ -412,7 +424,7 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
         _, group, size_of = np.unique(keys[front, 0], return_inverse=True, return_counts=True)
         busy = np.isin(keys[front, 0], crowded)
         open_ = front[~busy]
-        frames = []
+        frames = [known]
         by_group = open_[np.argsort(group[~busy], kind="stable")]
         for at in _blocks(keys[by_group, 0]):
             some = by_group[at]
@@ -427,11 +439,12 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
             frames.append(pd.DataFrame(_crowd_frame([strings[i] for i in front[busy]], keys[front[busy]], buckets, size)))
         return pd.concat(frames, ignore_index=True)
 
-    merged = stored(sorted_runs.where("kind = 0").groupBy("bucket").applyInPandas(merge_runs, _FOUND), "suffix-merged")
+    merged = stored(joined.mapInArrow(sort_runs, _FOUND).groupBy("bucket").applyInPandas(merge_runs, _FOUND), "suffix-merged")
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [pickle.loads(b) for b in pdf["blob"]]
+        parts = [_unpack(b) for b in pdf["blob"]]
         d, ident, mark_, start = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        d = d.reshape(-1, 2)
         order = np.lexsort((start, mark_, ident, d[:, 1], d[:, 0]))
         new = np.r_[True, (d[order][1:] != d[order][:-1]).any(axis=1)]
         head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -439,7 +452,7 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
         w = order[later]
         return pd.DataFrame(_spans_frame(*spans_of(ident[w], mark_[w], start[w], start[w] + size)))
 
-    spans = sorted_runs.where("kind = 1").unionByName(merged.where("kind = 1"))
+    spans = merged.where("kind = 1")
     if len(crowded):
         spans = spans.unionByName(merged.where("kind = 2").groupBy("bucket").applyInPandas(settle, _FOUND))
     return spans.select("k", "mark", "start", "stop")
@@ -468,7 +481,7 @@ def _crowd_frame(strings: list[bytes], keys: np.ndarray, buckets: int, size: int
     columns = (np.array(x, np.int64) for x in (ident, mark, start))
     ident, mark, start = columns
     target = (d[:, 0] % np.uint64(buckets)).astype(np.int64)
-    out = [(int(b), pickle.dumps((d[m], ident[m], mark[m], start[m]), protocol=5)) for b in np.unique(target) for m in [target == b]]
+    out = [(int(b), _pack(d[m].ravel(), ident[m], mark[m], start[m])) for b in np.unique(target) for m in [target == b]]
     return _blob_frame(2, [b for b, _ in out], [x for _, x in out])
 
 
