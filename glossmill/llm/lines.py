@@ -10,8 +10,8 @@ they share, and only the shared chunks' bytes meet for the comparison, each agai
 
 Defined cases: null texts stay null and lose nothing; a text without a repeated chunk is returned unchanged;
 empty lines count as lines but not as words; rows that repeat a key are judged alike by their own lines, and
-a chunk counts as the first one in all of them; other columns pass through; an empty table gives an empty
-result.
+a chunk counts as the first one in all of them; other columns pass through, but for those
+named like the three counts, which these replace; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -68,8 +68,8 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     # Combined by digest within tasks, so a chunk that very many texts share sends one row from each.
     found = cut(df.select(key, text).mapInArrow(places, f"digest binary, k {kind}, at int"))
     shared = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("k", "at")).alias("first")).where("n > 1").select("digest", "first")
-    wanted = found.join(shared, "digest").groupBy("k").agg(F.collect_set(F.struct("digest", "first")).alias("shared"))
-    joined = stored(df.join(wanted, F.col(key).eqNullSafe(F.col("k")), "left").drop("k"), "line-chunks")
+    wanted = found.join(shared, "digest").groupBy("k").agg(F.collect_set(F.struct("digest", "first")).alias("_gm_shared")).withColumnRenamed("k", "_gm_k")
+    joined = stored(df.join(wanted, F.col(key).eqNullSafe(F.col("_gm_k")), "left").drop("_gm_k"), "line-chunks")
 
     def bodies(batches):
         for batch in sliced(batches, 1):
@@ -84,16 +84,17 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], batch.schema.field(0).type), pa.array(out[2], pa.bool_()), pa.array(out[3], pa.binary())], ["digest", "k", "is_first", "body"])
 
-    shown = joined.where("shared is not null").select(key, text, "shared").mapInArrow(bodies, f"digest binary, k {kind}, is_first boolean, body binary")
+    shown = joined.where("_gm_shared is not null").select(key, text, "_gm_shared").mapInArrow(bodies, f"digest binary, k {kind}, is_first boolean, body binary")
     firsts = shown.where("is_first").groupBy("digest").agg(F.first("body").alias("first_body"))
-    differ = cut(shown.where("not is_first").join(firsts, "digest", "left").where("not (body <=> first_body)").groupBy("k").agg(F.collect_set("digest").alias("differ")))
+    differ = cut(shown.where("not is_first").join(firsts, "digest", "left").where("not (body <=> first_body)").groupBy("k").agg(F.collect_set("digest").alias("_gm_differ")).withColumnRenamed("k", "_gm_k"))
     # Two texts with one 128-bit digest: not seen in practice, so the join that would spare them is skipped then.
     if differ.isEmpty():
-        joined = joined.withColumn("differ", F.array().cast("array<binary>"))
+        joined = joined.withColumn("_gm_differ", F.array().cast("array<binary>"))
     else:
-        joined = joined.join(differ, joined[key].eqNullSafe(differ["k"]), "left").drop("k")
+        joined = joined.join(differ, joined[key].eqNullSafe(differ["_gm_k"]), "left").drop("_gm_k")
 
-    fields = [f for f in df.schema.fields]
+    added = ["n_lines", "n_removed_lines", "n_removed_chunks"]
+    fields = [f for f in df.schema.fields if f.name not in added]
     names = [f.name for f in fields]
     at_key, at_text = names.index(key), names.index(text)
 
@@ -119,9 +120,9 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 for column, value in zip(counts, (len(lines_), removed, gone), strict=True):
                     column.append(value)
             columns = [pa.array(texts, batch.schema.field(i).type) if i == at_text else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c, pa.int64()) for c in counts)], [*names, "n_lines", "n_removed_lines", "n_removed_chunks"])
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c, pa.int64()) for c in counts)], [*names, *added])
 
     from pyspark.sql.types import LongType, StructField, StructType
 
-    schema = StructType([*fields, *(StructField(n, LongType()) for n in ("n_lines", "n_removed_lines", "n_removed_chunks"))])
-    return joined.select(*names, "shared", "differ").mapInArrow(rebuild, schema)
+    schema = StructType([*fields, *(StructField(n, LongType()) for n in added)])
+    return joined.select(*names, "_gm_shared", "_gm_differ").mapInArrow(rebuild, schema)

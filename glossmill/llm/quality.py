@@ -3,7 +3,7 @@
 Five counts describe a text; two base rules reject on them. Further rules are tried one after another, and
 the first that rejects ends the row's evaluation. Their order comes from a bounded sample: each rule's
 rejection rate and run time are measured there and rules with the most rejections per second go first. The
-order changes the work only, never the verdict.
+order changes the work only, never the verdict; which of several failing rules is named may differ.
 
 Defined cases: a null or empty text has no words, so every count is 0 and it is rejected; repeated rows and
 ids are judged each by itself; extra columns are ignored; an empty table gives an empty result and the

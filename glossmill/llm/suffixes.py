@@ -18,8 +18,8 @@ dealt by string instead, and its windows once more by their own digest; the list
 
 Defined cases: null and empty texts and those shorter than `size` lose nothing; a null text stays null;
 matches never cross texts; rows that repeat a key are told apart by a hash of their text, equal rows are
-judged alike, by what starts earlier in other rows or in themselves; other columns pass through; an empty
-table gives an empty result. A cut inside a UTF-8 character is left as bytes in `kept_bytes`.
+judged alike, by what starts earlier in other rows or in themselves; other columns pass through, but for
+those named like the results, which these replace; an empty table gives an empty result. A cut inside a UTF-8 character is left as bytes in `kept_bytes`.
 """
 
 from __future__ import annotations
@@ -490,11 +490,12 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SI
 
     With `replace`, `text` itself becomes the remaining text, without bytes left of a cut character.
     """
-    marked = df.withColumn("_mark", F.xxhash64(text))
-    spans = repeated_spans(marked, key, text, "_mark", size, crowd)
-    lists = spans.groupBy("k", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
-    joined = marked.join(lists, (F.col(key).cast("long") == F.col("k")) & (F.col("_mark") == F.col("mark")), "left").drop("k", "mark", "_mark")
-    fields = df.schema.fields
+    added = ["n_bytes", "n_removed", "n_spans"]
+    marked = df.drop(*[c for c in (*added, "kept_bytes") if c not in (key, text)]).withColumn("_gm_text", F.xxhash64(text))
+    spans = repeated_spans(marked, key, text, "_gm_text", size, crowd)
+    lists = spans.groupBy("k", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("_gm_spans")).withColumnsRenamed({"k": "_gm_k", "mark": "_gm_mark"})
+    joined = marked.join(lists, (F.col(key).cast("long") == F.col("_gm_k")) & (F.col("_gm_text") == F.col("_gm_mark")), "left").drop("_gm_k", "_gm_mark")
+    fields = [f for f in marked.schema.fields if f.name != "_gm_text"]
     names = [f.name for f in fields]
     at_text = names.index(text)
 
@@ -525,6 +526,5 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SI
             else:
                 yield pa.RecordBatch.from_arrays([*columns, *counts, pa.array(out[3], pa.binary())], [*names, *added, "kept_bytes"])
 
-    added = ["n_bytes", "n_removed", "n_spans"]
     schema = StructType([*fields, *(StructField(n, LongType()) for n in added), *([] if replace else [StructField("kept_bytes", BinaryType())])])
-    return joined.select(*names, "_spans").mapInArrow(cut_out, schema)
+    return joined.select(*names, "_gm_spans").mapInArrow(cut_out, schema)
