@@ -32,6 +32,8 @@ UNWANTED = ["spam", "farm", "cheap", "pills", "casino", "viagra", "loan", "porn"
 SEEN = 50
 #: Size of the hashed token table, its smoothing, and the longest counted word.
 BUCKETS, SMOOTHING, LONGEST = 1 << 16, 1.0, 20
+#: Pages of one host are dealt in so many parts, each of which meets a copy of the host's words.
+SALTS = 16
 #: Host labels and path parts are cut at all else than letters and digits.
 TOKEN = re.compile(r"[a-z]+|[0-9]+")
 WORD = re.compile(r"[a-z]+")
@@ -148,7 +150,9 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     host, path = host_and_path(F.col(url))
     parsed = pages.select(key, host.alias("host"), path.alias("path")).withColumn("ruled", rule_for(F.col("host"), F.col("path"), rules))
     split = segmented(parsed.where("host <> ''").select("host").distinct(), word_counts(pages, html))
-    tokens = parsed.join(split, "host", "left").withColumn("tokens", tokens_of(F.col("words"), F.col("path")))
+    salted = parsed.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+    copies = split.withColumn("salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])))
+    tokens = salted.join(copies, ["host", "salt"], "left").withColumn("tokens", tokens_of(F.col("words"), F.col("path")))
     rows = tokens.select(key, "host", "path", F.col("ruled.rule").alias("rule"), F.col("ruled.verdict").alias("verdict"), "tokens", F.transform("tokens", bucket_of).alias("buckets"))
     from glossmill.llm.common import cut
 
