@@ -112,7 +112,8 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
 
 def allocate(n: int, both: np.ndarray, groups: list[list[int]], radius: int) -> tuple[float, list[int]]:
     """Thresholds (-1: not probed) that sum to radius - len(groups) + 1 at the least estimated cost."""
-    p = np.diag(both) / max(n, 1)
+    n = max(n, 1)  # also without fingerprints the smallest balls are the cheapest
+    p = np.diag(both) / n
     differ = 2 * p * (1 - p)
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for group in groups:
@@ -147,33 +148,57 @@ def _masks(group: list[int], threshold: int) -> list[int]:
 
 
 def pivots(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that span the components of distinct uint64 points under distance <= radius."""
-    left, heads, groups, us, vs = points, [], [], [], []
-    while len(left):
-        near = np.bitwise_count(left ^ left[0]) <= radius
-        heads.append(left[0])
-        groups.append(left[near])
-        us.append(np.full(int(near.sum()) - 1, left[0]))
-        vs.append(groups[-1][1:])
-        left = left[~near]
-    top, parent = np.array(heads, np.uint64), list(range(len(heads)))
+    """Edges that span the components of distinct uint64 points under distance <= radius.
+
+    Points go to the first pivot within the radius; a pivot that also reaches points of earlier ones is linked
+    to these. Only pairs of groups that are still apart, and whose pivots and widths leave room for a link,
+    are then searched for one.
+    """
+    owner = np.full(len(points), -1)
+    heads, widths, us, vs, parent = [], [], [], [], []
 
     def root(i: int) -> int:
         while parent[i] != i:
             parent[i] = i = parent[parent[i]]
         return i
 
+    free = 0
+    while free < len(points):
+        if owner[free] >= 0:
+            free += 1
+            continue
+        g = len(heads)
+        far = np.bitwise_count(points ^ points[free])
+        near = np.flatnonzero(far <= radius)
+        old = owner[near]
+        fresh = near[old < 0]
+        owner[fresh] = g
+        parent.append(g)
+        heads.append(points[free])
+        widths.append(int(far[fresh].max()))
+        us.append(np.full(len(fresh) - 1, points[free]))
+        vs.append(points[fresh[1:]])
+        seen, at = np.unique(old, return_index=True)
+        for k, i in zip(seen.tolist(), at.tolist(), strict=True):
+            if k >= 0 and root(k) != g:
+                parent[root(k)] = g
+                us.append(points[free : free + 1])
+                vs.append(points[near[i] : near[i] + 1])
+    top, wide = np.array(heads, np.uint64), np.array(widths, np.int64)
+    order = np.argsort(owner, kind="stable")
+    edges = np.searchsorted(owner[order], np.arange(len(heads) + 1))
     for i in range(len(top) - 1):
-        # Members lie within the radius of their pivot, so only pivots within three radii can have a link.
-        for j in (np.flatnonzero(np.bitwise_count(top[i + 1 :] ^ top[i]) <= 3 * radius) + i + 1).tolist():
+        reach = np.bitwise_count(top[i + 1 :] ^ top[i]) <= radius + wide[i] + wide[i + 1 :]
+        for j in (np.flatnonzero(reach & ((wide[i] > 0) | (wide[i + 1 :] > 0))) + i + 1).tolist():
             if root(i) == root(j):
                 continue
-            small, big = sorted((groups[i], groups[j]), key=len)
-            for x in small:
-                hit = np.flatnonzero(np.bitwise_count(big ^ x) <= radius)
+            small, big = sorted((points[order[edges[k] : edges[k + 1]]] for k in (i, j)), key=len)
+            for at in range(0, len(small), 256):
+                some = small[at : at + 256]
+                hit = np.argwhere(np.bitwise_count(some[:, None] ^ big[None, :]) <= radius)
                 if len(hit):
-                    us.append(np.array([x], np.uint64))
-                    vs.append(big[hit[:1]])
+                    us.append(some[hit[0, :1]])
+                    vs.append(big[hit[0, 1:]])
                     parent[root(j)] = root(i)
                     break
     return (np.concatenate(us), np.concatenate(vs)) if us else (points[:0], points[:0])
