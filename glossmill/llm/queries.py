@@ -88,6 +88,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: WARC: SHA-1 is not in every SQL engine, so the digest is stated by DuckDB's own function.
 ORACLES: dict[str, str] = {
+    "op8_suffix_dedup": """
+        WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT doc_id, p, substring(h, 2 * p + 1, 200) AS s FROM b, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS u(p)),
+        c AS (SELECT x FROM (SELECT hash(s) AS x FROM w) y GROUP BY x HAVING count(*) > 1),
+        d AS (SELECT doc_id, p FROM (SELECT * FROM w WHERE hash(s) IN (SELECT x FROM c)) z QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+        i AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS fresh FROM d),
+        g AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM i),
+        s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS z FROM g GROUP BY doc_id, k),
+        l AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS y FROM s),
+        r AS (SELECT l.doc_id, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, max(z) AS last, string_agg(substring(h, 2 * y + 1, 2 * (a - y)), '' ORDER BY a) AS kept FROM l JOIN b USING (doc_id) GROUP BY l.doc_id)
+        SELECT b.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM b LEFT JOIN r USING (doc_id)
+    """,
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
              h AS (SELECT d, n, max(page_id) AS holder FROM p WHERE n >= 1000 GROUP BY d, n)
