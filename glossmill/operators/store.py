@@ -120,3 +120,38 @@ def upsert_definitions(store: DataFrame, batch: DataFrame) -> DataFrame:
     same = normalise_definition(F.col("definition")) == normalise_definition(F.col("stored"))
     action = F.when(F.col("concept_id").isNull(), "new").when(F.col("stored").isNull(), "add_lang").when(same, "merge").otherwise("conflict")
     return joined.withColumn("action", action)
+
+
+def common_values(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
+    return a.select(column).intersect(b.select(column))
+
+
+def paired_by_language(records: DataFrame, key: str, langs: list[str], value: str) -> DataFrame:
+    """One row per key with the first value (by ord) of each language."""
+    return records.groupBy(key).agg(*[F.min_by(F.when(F.col("lang") == x, F.col(value)), F.when(F.col("lang") == x, F.col("ord"))).alias(x) for x in langs])
+
+
+def conflict_details(conflicts: DataFrame, phrases: DataFrame, sources: DataFrame) -> DataFrame:
+    """conflicts (id_a, id_b) with the phrases, ordered by language, and the distinct sources of both sides."""
+    named = phrases.groupBy("id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("lang", "phrase"))), lambda x: F.concat_ws(": ", x["lang"], x["phrase"])), "; ").alias("phrases"))
+    seen = sources.select("id", "source").distinct().groupBy("id").agg(F.array_join(F.sort_array(F.collect_list("source")), ", ").alias("sources"))
+    both = named.join(seen, "id", "left")
+    out = conflicts
+    for side in ("a", "b"):
+        out = out.join(both.withColumnsRenamed({"id": f"id_{side}", "phrases": f"phrases_{side}", "sources": f"sources_{side}"}), f"id_{side}", "left")
+    return out
+
+
+def recompute_signatures(concepts: DataFrame, rows: DataFrame, null_empty: bool = False) -> DataFrame:
+    """concepts (id, area_signature) with the signature of their attestation (id, area, doc_count)."""
+    from glossmill.operators.areas import area_counts
+
+    counts = rows.groupBy("id").agg(*[c.alias(f"d_{a}") for a, c in area_counts().items()])
+    fresh = counts.select("id", scores.area_signature([F.col(f"d_{a}") for a in scores.AREAS]).alias("_fresh"))
+    kept = F.lit(None).cast("string") if null_empty else F.col("area_signature")
+    return concepts.join(fresh, "id", "left").withColumn("area_signature", F.coalesce("_fresh", kept)).drop("_fresh")
+
+
+def first_domain(phrases: DataFrame) -> DataFrame:
+    """phrase and the domain of its first concept (by id); without one, the name of the store."""
+    return phrases.groupBy("phrase").agg(F.min_by(F.coalesce("domain", "store"), "id").alias("domain"))

@@ -131,3 +131,56 @@ def definition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 2 == 0, "en").otherwise("lt").alias("lang"), F.col("p_brand").alias("phrase"), F.col("p_type").alias("definition"))
     batch = part.where("id % 2 = 1").withColumn("group", F.expr("id div 4")).withColumnRenamed("id", "p_partkey")
     return store.upsert_definitions(part.where("id % 2 = 0"), batch).select("p_partkey", "action")
+
+
+@query("SELECT DISTINCT lang FROM documents INTERSECT SELECT DISTINCT lang FROM documents WHERE source = 'src1'")
+def common_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("lang", "source")
+    return store.common_values(docs, docs.where("source = 'src1'"), "lang")
+
+
+@query("WITH p AS (SELECT p_partkey // 3 AS k, CASE p_partkey % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' ELSE 'lt' END AS lang, p_name, p_partkey FROM part) SELECT k, min_by(p_name, p_partkey) FILTER (WHERE lang = 'en') AS en, min_by(p_name, p_partkey) FILTER (WHERE lang = 'fr') AS fr, min_by(p_name, p_partkey) FILTER (WHERE lang = 'lt') AS lt FROM p GROUP BY k")
+def cross_language_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = F.col("p_partkey") % 3
+    rows = read(spark, sf_dir, "part").select(F.expr("p_partkey div 3").alias("k"), F.when(m == 0, "en").when(m == 1, "fr").otherwise("lt").alias("lang"), "p_name", F.col("p_partkey").alias("ord"))
+    return store.paired_by_language(rows, "k", ["en", "fr", "lt"], "p_name")
+
+
+@query(
+    f"WITH {_DIVERGE.format(key='p_name', d='p_type', id='p_partkey', t='part')}, c AS (SELECT a.id AS id_a, b.id AS id_b FROM n a JOIN n b ON a.k = b.k AND a.id < b.id), "
+    "ph AS (SELECT p_partkey AS id, 'en: ' || p_name AS phrases FROM part), src AS (SELECT l_partkey AS id, string_agg(DISTINCT l_suppkey::VARCHAR, ', ' ORDER BY l_suppkey::VARCHAR) AS sources FROM lineitem GROUP BY l_partkey) "
+    "SELECT id_a, id_b, x.phrases AS phrases_a, y.phrases AS phrases_b, s.sources AS sources_a, t.sources AS sources_b FROM c JOIN ph x ON x.id = id_a JOIN ph y ON y.id = id_b LEFT JOIN src s ON s.id = id_a LEFT JOIN src t ON t.id = id_b"
+)
+def conflict_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = text_divergence_pairs(spark, sf_dir).select("id_a", "id_b")
+    phrases = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit("en").alias("lang"), F.col("p_name").alias("phrase"))
+    sources = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_suppkey").cast("string").alias("source"))
+    return store.conflict_details(pairs, phrases, sources).select("id_a", "id_b", "phrases_a", "phrases_b", "sources_a", "sources_b")
+
+
+@query("SELECT source_type, count(*) AS n FROM (SELECT CASE WHEN page_id % 5 = 0 THEN 'wco_glossary' WHEN page_id % 5 IN (1, 2) THEN 'statistical_mwe' ELSE CASE WHEN coalesce(url, '') <> '' THEN 'normative' ELSE 'statistical_mwe' END END AS source_type FROM pages) x GROUP BY 1")
+def source_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_backfill(spark, sf_dir).groupBy("source_type").agg(F.count("*").alias("n"))
+
+
+_AREAS = "['law', 'tariff_regulation', 'non_tariff_regulation', 'customs_procedures', 'origin', 'classification', 'valuation', 'cross_cutting']"
+
+
+@query(
+    f"WITH r AS (SELECT l_partkey AS id, ({_AREAS})[l_suppkey % 8 + 1] AS area FROM lineitem WHERE l_partkey % 5 <> 0), c AS (SELECT id, a.area, count(r.area) FILTER (WHERE r.area = a.area) AS d FROM r, unnest(({_AREAS})[1:7]) AS a(area) GROUP BY ALL), "
+    f"m AS (SELECT id, max(d) AS top FROM c GROUP BY id), s AS (SELECT c.id, string_agg(CASE WHEN top > 0 THEN upper(to_hex(least(15, floor(16.0 * d / top)::BIGINT))) ELSE '0' END, '' ORDER BY list_position({_AREAS}, area)) AS sig FROM c JOIN m USING (id) GROUP BY c.id) SELECT p_partkey AS id, sig AS area_signature FROM part LEFT JOIN s ON s.id = p_partkey"
+)
+def signature_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Concepts without attestation lose their signature."""
+    from glossmill.functions.scores import AREAS, CROSS_CUTTING
+
+    names = F.array(*[F.lit(x) for x in (*AREAS, CROSS_CUTTING)])
+    rows = read(spark, sf_dir, "lineitem").where("l_partkey % 5 <> 0").select(F.col("l_partkey").alias("id"), F.get(names, (F.col("l_suppkey") % 8).cast("int")).alias("area"), F.lit(1).alias("doc_count"))
+    concepts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit("stale").alias("area_signature"))
+    return store.recompute_signatures(concepts, rows, null_empty=True)
+
+
+@query("WITH p AS (SELECT p_partkey AS id, p_name AS phrase, CASE WHEN p_size % 2 = 0 THEN p_brand END AS domain FROM part) SELECT phrase, min_by(coalesce(domain, 'store'), id) AS domain FROM p GROUP BY phrase")
+def cross_domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part")
+    return store.first_domain(part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("phrase"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("domain"), F.lit("store").alias("store")))
