@@ -33,7 +33,7 @@ from glossmill.llm.graph import components
 
 BITS = 64
 #: Buckets with more index members than this go to the pivot path; a pivot task holds at most two blocks.
-LARGE, BLOCK = 24, 20_000
+LARGE, BLOCK = 128, 20_000
 #: Cost of one probe row against that of one verified candidate.
 PROBE_COST, VERIFY_COST = 1.0, 0.1
 
