@@ -19,7 +19,7 @@ repeated rows stay; extra columns are ignored; an empty table gives an empty res
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pandas as pd
@@ -36,38 +36,80 @@ BITS = 64
 LARGE, BLOCK = 128, 20_000
 #: Cost of one probe row against that of one verified candidate.
 PROBE_COST, VERIFY_COST = 1.0, 0.1
+#: Least hashes in a band, and the chance at most that two texts just similar enough share no band.
+ROWS, MISS = 4, 1e-5
 
 
 def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
     """The unsigned fingerprint of one text."""
+    return majority(hashes(text, width, seed))
+
+
+def hashes(text: bytes, width: int, seed: int = 42) -> np.ndarray:
+    """The uint64 hash of every word shingle; none without a word, one where the words are fewer than a shingle's."""
     words = text.lower().split()  # bytes: A-Z only, and the six ASCII blanks
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     if len(words) <= width:
-        return digest(joined, seed)
+        return np.array([digest(joined, seed)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.r_[0, ends[:-width] + 1].tolist()
     stops = ends[width - 1 :].tolist()
-    h = np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)], np.uint64)
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)], np.uint64)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the hashes set."""
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(h), 1 << 14):
         counts += np.unpackbits(h[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, mark: bool = False) -> DataFrame:
-    """key and fp, the fingerprint as a signed long; with `mark`, also a 64-bit hash of the whole text."""
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
+    """key and fp, the fingerprint as a signed long."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = utf8(batch.column(1))
-        columns, names = [batch.column(0), pa.array(np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64))], [key, "fp"]
-        if mark:
-            columns.append(pa.array(np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)))
-            names.append("mark")
-        return pa.RecordBatch.from_arrays(columns, names)
+        fps = np.array([fingerprint(t, width) for t in utf8(batch.column(1))], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], [key, "fp"])
+
+    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, fp long", text)
 
-    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, fp long{', mark long' if mark else ''}", text)
+
+def band_count(least: float) -> int:
+    """Bands of ROWS least hashes, so many that texts of similarity `least` share none with a chance of MISS at most."""
+    return 1 if least >= 1 else ceil(log(MISS) / log(1 - least**ROWS))
+
+
+def bands(h: np.ndarray, mixers: np.ndarray) -> list[int]:
+    """Signed hashes of the bands: ROWS least values each, every one under a mixing of its own."""
+    least = np.full(mixers.shape[1], np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(h), 1 << 12):
+        x = (h[at : at + (1 << 12), None] ^ mixers[0]) * mixers[1]
+        x ^= x >> np.uint64(31)
+        x *= mixers[2]
+        least = np.minimum(least, x.min(axis=0))
+    return np.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in least.reshape(-1, ROWS)], np.uint64).view(np.int64).tolist()
+
+
+def sketches(df: DataFrame, key: str, text: str, width: int, least: float) -> DataFrame:
+    """key, fp, mark (128-bit digest of the shingle set), n (its size) and bands."""
+    mixers = np.random.default_rng(42).integers(0, 1 << 64, (3, band_count(least) * ROWS), np.uint64) | np.uint64(1)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fps, marks, sizes, banded = [], [], [], []
+        for t in utf8(batch.column(1)):
+            h = hashes(t, width)
+            distinct = np.unique(h)
+            fps.append(majority(h))
+            marks.append(xxhash.xxh3_128_digest(distinct.tobytes()))
+            sizes.append(len(distinct))
+            banded.append(bands(distinct, mixers))
+        columns = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(marks, pa.binary()), pa.array(sizes, pa.int64()), pa.array(banded, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, [key, "fp", "mark", "n", "bands"])
+
+    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, fp long, mark binary, n long, bands array<long>", text)
 
 
 def co_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -249,11 +291,7 @@ def shingle_sets(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """key and shingles: the sorted distinct hashes of a text's word shingles, as little-endian uint64 bytes."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for t in utf8(batch.column(1)):
-            words = t.lower().split()
-            some = [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))] if words else []
-            out.append(np.unique(np.array([xxhash.xxh64_intdigest(x, 42) for x in some], "<u8")).tobytes())
+        out = [np.unique(hashes(t, width)).astype("<u8").tobytes() for t in utf8(batch.column(1))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], [key, "shingles"])
 
     return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, shingles binary", text)
@@ -268,10 +306,8 @@ def resemblance(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both)
 
 
-def verified(edges: DataFrame, df: DataFrame, key: str, text: str, width: int, least: float) -> DataFrame:
-    """The edges (u, v) between keys whose texts' shingle sets have a Jaccard similarity of `least` or more."""
-    needed = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    sets = stored(shingle_sets(df.join(needed, df[key] == needed["id"], "left_semi"), key, text, width).select(F.col(key).alias("id"), "shingles"), "shingles")
+def verified(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The edges (u, v) between ids whose shingle sets have a Jaccard similarity of `least` or more."""
     left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
     pairs = edges.join(left, "u").join(right, "v").select("u", "v", "a", "b")
@@ -284,22 +320,31 @@ def verified(edges: DataFrame, df: DataFrame, key: str, text: str, width: int, l
 
 
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 7, least: float = 0.8) -> DataFrame:
-    """key and group_id: groups by links that are within the radius and whose texts resemble each other.
+    """key and group_id: components of the relation that texts' shingle sets have a Jaccard similarity of `least`.
 
-    Different texts with one fingerprint are verified too, each against the one with the smallest key. In a
-    large bucket the links to pivots are verified, and those only.
+    Texts with one shingle set are one unit. Pairs of units that share a band are compared by their sets, and so
+    are links of fingerprints within the radius and units with one fingerprint.
     """
-    marked = cut(fingerprints(df, key, text, width, mark=True))
-    units = cut(marked.groupBy("fp", "mark").agg(F.min(key).alias("id")))
-    heads = cut(units.groupBy("fp").agg(F.min("id").alias("least")))
-    star = units.join(heads, "fp").where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
+    marked = cut(sketches(df, key, text, width, least))
+    units = cut(marked.groupBy("mark").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    points = cut(marked.select("fp", "mark").distinct().join(units.select("mark", "id"), "mark").select("fp", "id"))
+    heads = cut(points.groupBy("fp").agg(F.min("id").alias("least")))
+    star = points.join(heads, "fp").where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
     found = links(heads, radius)
     name = lambda side: heads.select(F.col("fp").alias(side), F.col("least").alias(f"{side}_id"))
     across = found.join(name("u"), "u").join(name("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
-    edges = cut(star.unionByName(across))
-    labels = components(verified(edges, df, key, text, width, least))
-    named = units.join(labels, units["id"] == labels["node"], "left").select("fp", "mark", F.coalesce("label", "id").alias("group_id"))
-    return marked.join(named, ["fp", "mark"]).select(key, "group_id")
+    banded = units.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
+    sizes = cut(banded.groupBy("band", "bucket").agg(F.count("*").alias("members")).where("members > 1"))
+    index = cut(banded.join(sizes, ["band", "bucket"]))
+    other = index.select("band", "bucket", F.col("id").alias("v"), F.col("n").alias("m"))
+    close = F.least("n", "m") >= F.greatest("n", "m") * (least - 1e-9)  # the similarity is no more than the sizes' ratio
+    shared = index.join(other, ["band", "bucket"]).where((F.col("v") < F.col("id")) & close).select(F.col("id").alias("u"), "v")
+    edges = cut(star.unionByName(across).unionByName(shared).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    needed = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    sets = stored(shingle_sets(df.join(needed, df[key] == needed["id"], "left_semi"), key, text, width).select(F.col(key).alias("id"), "shingles"), "shingles")
+    labels = components(verified(edges, sets, least))
+    named = units.join(labels, units["id"] == labels["node"], "left").select("mark", F.coalesce("label", "id").alias("group_id"))
+    return marked.join(named, "mark").select(key, "group_id")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 7, least: float = 0.8) -> DataFrame:

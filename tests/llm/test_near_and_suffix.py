@@ -134,6 +134,43 @@ def test_verified_groups(spark):
     assert {r.doc_id for r in kept.collect()} == {5, 7, 900, 903, 904, 905}
 
 
+def brute_similar(docs, width=5, least=0.8):
+    sets = {i: set(zip(*(t.lower().split()[k:] for k in range(width)), strict=False)) for i, t in docs}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {i: root(i) for i in sets}
+
+
+def similar_corpus(seed, families, copies, changes):
+    rng = random.Random(seed)
+    docs = []
+    for f in range(families):
+        base = [f"f{f}w{rng.randrange(500)}" for _ in range(200)]
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(rng.randrange(changes + 1)):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+            docs.append((len(docs), " ".join(words)))
+    return docs
+
+
+def test_similar_groups_as_the_pipeline_runs_them(spark):
+    docs = similar_corpus(21, 40, 2, 5)
+    want = brute_similar(docs)
+    assert {r.doc_id: r.group_id for r in simhash.similar_groups(frame(spark, docs)).collect()} == want
+    assert {r.doc_id for r in simhash.keep_one(frame(spark, docs)).collect()} == set(want.values())
+
+
 def test_components_of_a_long_path(spark):
     rng = random.Random(2)
     names = list(range(300))
