@@ -38,6 +38,8 @@ LARGE, BLOCK = 128, 20_000
 PROBE_COST, VERIFY_COST = 1.0, 0.1
 #: Least hashes in a band, and the chance at most that two texts just similar enough share no band.
 ROWS, MISS = 4, 1e-5
+#: Band buckets with more members are searched as a whole, in pairs of blocks of at most so many members and bytes.
+CROWD, CROWD_BLOCK, CROWD_BYTES = 32, 4_000, 16 << 20
 
 
 def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
@@ -319,11 +321,67 @@ def verified(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return map_texts(pairs, work, "u long, v long", "a")
 
 
+def spanning(ids: np.ndarray, labels: np.ndarray, sets: list[bytes], least: float) -> tuple[list[int], list[int]]:
+    """Similar pairs that, with the labels, keep every component of similarity `least` among the sets.
+
+    Each member, from one component to the next, is compared with all those that no component has yet; what
+    shares a label with a member found comes with it.
+    """
+    us, vs = [], []
+    _, labels = np.unique(labels, return_inverse=True)
+    arrays = [np.frombuffer(x, "<u8") for x in sets]
+    sizes = np.array([len(x) for x in arrays], np.int64)
+    vocabulary, codes = np.unique(np.concatenate(arrays), return_inverse=True)
+    starts = np.r_[0, np.cumsum(sizes)]
+    mine, present = [codes[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)], np.zeros(len(vocabulary), np.int64)
+    free = np.argsort(-sizes, kind="stable")
+    while len(free):
+        chosen = labels[free] == labels[free[0]]
+        queue, free = free[chosen].tolist(), free[~chosen]
+        flat = np.concatenate([mine[i] for i in free]) if len(free) else codes[:0]
+        while queue and len(free):
+            i = queue.pop()
+            present[mine[i]] = 1
+            ends = np.cumsum(sizes[free])
+            total = np.r_[0, np.cumsum(present[flat])]
+            both = total[ends] - total[ends - sizes[free]]
+            present[mine[i]] = 0
+            union = sizes[free] + sizes[i] - both
+            hit = np.where(union > 0, both / np.maximum(union, 1), 1.0) >= least
+            if hit.any():
+                # One link for each label that comes.
+                came, first = np.unique(labels[free[hit]], return_index=True)
+                us += [ids[i]] * len(came)
+                vs += ids[free[hit][first]].tolist()
+                chosen = np.isin(labels[free], came)
+                queue += free[chosen].tolist()
+                free = free[~chosen]
+                flat = np.concatenate([mine[j] for j in free]) if len(free) else codes[:0]
+    return us, vs
+
+
+def crowds(large: DataFrame, labels: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Similar pairs (u, v) that join the labels within each large bucket. A bucket of one label has none."""
+    named = large.join(labels, large["id"] == labels["node"], "left").select("band", "bucket", "id", "n", F.coalesce("label", "id").alias("label"))
+    mixed = named.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), F.sum("n").alias("size")).where("low < high")
+    blocks = F.ceil(F.greatest(F.col("members") / CROWD_BLOCK, F.col("size") * 8 / CROWD_BYTES)).cast("int")
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(mine, other).alias("a"), F.greatest(mine, other).alias("b")))
+    rows = named.join(mixed.select("band", "bucket", blocks.alias("blocks")), ["band", "bucket"]).select("band", "bucket", "id", "label", F.explode(pairs).alias("pair")).select("band", "bucket", "id", "label", "pair.*")
+
+    def span(pdf: pd.DataFrame) -> pd.DataFrame:
+        u, v = spanning(pdf["id"].to_numpy(), pdf["label"].to_numpy(), pdf["shingles"].tolist(), least)
+        return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
+
+    return rows.join(sets, "id").groupBy("band", "bucket", "a", "b").applyInPandas(span, "u long, v long")
+
+
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 7, least: float = 0.8) -> DataFrame:
     """key and group_id: components of the relation that texts' shingle sets have a Jaccard similarity of `least`.
 
     Texts with one shingle set are one unit. Pairs of units that share a band are compared by their sets, and so
-    are links of fingerprints within the radius and units with one fingerprint.
+    are links of fingerprints within the radius and units with one fingerprint. In buckets of over CROWD members
+    all are first compared with the least one, and then those that are still apart with each other.
     """
     marked = cut(sketches(df, key, text, width, least))
     units = cut(marked.groupBy("mark").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
@@ -336,13 +394,19 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width
     banded = units.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     sizes = cut(banded.groupBy("band", "bucket").agg(F.count("*").alias("members")).where("members > 1"))
     index = cut(banded.join(sizes, ["band", "bucket"]))
-    other = index.select("band", "bucket", F.col("id").alias("v"), F.col("n").alias("m"))
+    few, large = index.where(F.col("members") <= CROWD), index.where(F.col("members") > CROWD)
+    other = few.select("band", "bucket", F.col("id").alias("v"), F.col("n").alias("m"))
     close = F.least("n", "m") >= F.greatest("n", "m") * (least - 1e-9)  # the similarity is no more than the sizes' ratio
-    shared = index.join(other, ["band", "bucket"]).where((F.col("v") < F.col("id")) & close).select(F.col("id").alias("u"), "v")
-    edges = cut(star.unionByName(across).unionByName(shared).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    shared = few.join(other, ["band", "bucket"]).where((F.col("v") < F.col("id")) & close).select(F.col("id").alias("u"), "v")
+    hubs = large.groupBy("band", "bucket").agg(F.min("id").alias("v"))
+    spokes = large.join(hubs, ["band", "bucket"]).select(F.col("id").alias("u"), "v")
+    edges = cut(star.unionByName(across).unionByName(shared).unionByName(spokes).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     needed = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     sets = stored(shingle_sets(df.join(needed, df[key] == needed["id"], "left_semi"), key, text, width).select(F.col(key).alias("id"), "shingles"), "shingles")
-    labels = components(verified(edges, sets, least))
+    similar = cut(verified(edges, sets, least))
+    labels = components(similar)
+    if not large.isEmpty():
+        labels = components(similar.unionByName(crowds(large, cut(labels), sets, least)))
     named = units.join(labels, units["id"] == labels["node"], "left").select("mark", F.coalesce("label", "id").alias("group_id"))
     return marked.join(named, "mark").select(key, "group_id")
 

@@ -171,6 +171,37 @@ def test_similar_groups_as_the_pipeline_runs_them(spark):
     assert {r.doc_id for r in simhash.keep_one(frame(spark, docs)).collect()} == set(want.values())
 
 
+def test_similar_groups_in_large_buckets(spark, monkeypatch):
+    for name, value in (("CROWD", 2), ("CROWD_BLOCK", 12), ("LARGE", 2)):
+        monkeypatch.setattr(simhash, name, value)
+    docs = similar_corpus(5, 3, 25, 16)
+    want = brute_similar(docs)
+    assert 3 < len(set(want.values())) < 60
+    assert {r.doc_id: r.group_id for r in simhash.similar_groups(frame(spark, docs)).collect()} == want
+
+
+def test_spanning_keeps_components():
+    rng = np.random.default_rng(6)
+    for _ in range(30):
+        sets = [np.unique(rng.integers(0, 14, rng.integers(0, 14))).astype("<u8").tobytes() for _ in range(40)]
+        ids = rng.permutation(40) + 100
+        docs = {int(i): x for i, x in zip(ids, sets, strict=True)}
+        want = brute_links(docs, [(a, b) for a in docs for b in docs if a < b and simhash.resemblance(docs[a], docs[b]) >= 0.6])
+        known = [(a, b) for a in docs for b in docs if a < b < 110 and simhash.resemblance(docs[a], docs[b]) >= 0.6]
+        labels = brute_links(docs, known)
+        us, vs = simhash.spanning(ids, np.array([labels[int(i)] for i in ids]), sets, 0.6)
+        assert all(simhash.resemblance(docs[int(a)], docs[int(b)]) >= 0.6 for a, b in zip(us, vs, strict=True))
+        assert brute_links(docs, known + [(int(a), int(b)) for a, b in zip(us, vs, strict=True)]) == want
+
+
+def brute_links(nodes, pairs):
+    label = {i: i for i in nodes}
+    for a, b in pairs:
+        low, high = sorted((label[a], label[b]))
+        label = {i: low if x == high else x for i, x in label.items()}
+    return label
+
+
 def test_components_of_a_long_path(spark):
     rng = random.Random(2)
     names = list(range(300))
