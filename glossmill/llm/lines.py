@@ -5,6 +5,10 @@ inserted or deleted lines thus move only the borders next to them. A chunk with
 a word is a candidate. Candidates with one digest are compared byte by byte with the first of them (smallest
 key, then place); equal ones are removed and the first one stays.
 
+Chunks miss repeated passages that fall between their borders. With `find=passages` every window from one line
+that holds a word to the next such line is a candidate instead, and windows may overlap: all lines of a passage
+of two or more lines with words that stood before go, whatever surrounds it.
+
 Digests, keys and places are grouped without bytes. Texts are then dealt once, to be joined with the digests
 they share, and only the shared chunks' bytes meet for the comparison, each against the single first one.
 
@@ -16,7 +20,7 @@ named like the three counts, which these replace; an empty table gives an empty
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -52,15 +56,26 @@ def candidates(text: bytes) -> tuple[list[bytes], list[tuple[int, int, bytes]]]:
     return lines, [(a, b, blake2b(b"\n".join(lines[a:b]), digest_size=16).digest()) for a, b in chunks(lines) if b - a >= LEAST_LINES and sum(1 for x in lines[a:b] if x.strip()) >= LEAST_LINES]
 
 
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with repeated chunks removed from `text`, and n_lines, n_removed_lines, n_removed_chunks."""
+def passages(text: bytes) -> tuple[list[bytes], list[tuple[int, int, bytes]]]:
+    """The lines, and every window of LEAST_LINES lines that hold a word, with the empty ones between, as in `candidates`."""
+    lines = text.split(b"\n")
+    held = [i for i, x in enumerate(lines) if x.strip()]
+    ends = zip(held, held[LEAST_LINES - 1 :], strict=False)
+    return lines, [(a, b + 1, blake2b(b"\n".join(lines[a : b + 1]), digest_size=16).digest()) for a, b in ends]
+
+
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", find: Callable[[bytes], tuple[list[bytes], list[tuple[int, int, bytes]]]] = candidates) -> DataFrame:
+    """df with what `find` shows and stood before removed from `text`, and n_lines, n_removed_lines, n_removed_chunks.
+
+    Of overlapping windows, those that start behind the last removed line count as removed chunks.
+    """
     kind = dict(df.dtypes)[key]
 
     def places(batches):
         for batch in sliced(batches, 1):
             out: tuple[list, list, list] = ([], [], [])
             for k, t in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                for a, _, digest in candidates(t)[1]:
+                for a, _, digest in find(t)[1]:
                     for column, value in zip(out, (digest, k, a), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], batch.schema.field(0).type), pa.array(out[2], pa.int32())], ["digest", "k", "at"])
@@ -76,7 +91,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             out: tuple[list, ...] = ([], [], [], [])
             for k, t, share in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 held = {s["digest"]: s["first"] for s in share}
-                lines, places_ = candidates(t)
+                lines, places_ = find(t)
                 for a, b, digest in places_:
                     if digest in held:
                         is_first = held[digest]["k"] == k and held[digest]["at"] == a
@@ -110,11 +125,11 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                         held.pop(digest, None)
                     lines_, removed, gone, kept, last = t.split("\n"), 0, 0, [], 0
                     if held:
-                        for a, b, digest in candidates(t.encode())[1]:
+                        for a, b, digest in find(t.encode())[1]:
                             first = held.get(digest)
                             if first is not None and not (first["k"] == k and first["at"] == a):
                                 kept += lines_[last:a]
-                                last, removed, gone = b, removed + b - a, gone + 1
+                                last, removed, gone = b, removed + b - max(a, last), gone + (a >= last)
                         t = "\n".join(kept + lines_[last:])
                 texts.append(t)
                 for column, value in zip(counts, (len(lines_), removed, gone), strict=True):

@@ -62,9 +62,9 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from glossmill.llm.lines import dedup
+    from glossmill.llm.lines import dedup, passages
 
-    kept = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), find=passages)
     return kept.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -286,6 +286,41 @@ def test_line_dedup(spark):
     assert sum(n for _, n in want.values()) > 10
 
 
+def brute_passages(docs):
+    seen, out = set(), {}
+    for i, t in sorted(docs, key=lambda d: d[0]):
+        parts = (t or "").split("\n")
+        held, gone = [k for k, x in enumerate(parts) if x.strip()], set()
+        for a, b in zip(held, held[1:], strict=False):
+            body = tuple(parts[a : b + 1])
+            if body in seen:
+                gone |= set(range(a, b + 1))
+            seen.add(body)
+        out[i] = (None if t is None else "\n".join(x for k, x in enumerate(parts) if k not in gone), len(gone))
+    return out
+
+
+def test_all_repeated_passages_go(spark):
+    rng = random.Random(13)
+    line = lambda: " ".join(f"w{rng.randrange(900)}" for _ in range(9))
+    shared = [[line() for _ in range(n)] for n in (2, 3, 5)]
+    docs = [(i, "\n".join([line() for _ in range(4)] + rng.choice(shared) + [line() for _ in range(3)] + [""])) for i in range(30)]
+    docs += [(i + 30, t) for i, t in corpus(9, 30)] + EDGES
+    got = {r.doc_id: (r.text, r.n_removed_lines) for r in lines.dedup(frame(spark, docs), find=lines.passages).collect()}
+    assert got == brute_passages(docs)
+    for passage in shared:
+        assert sum("\n".join(passage) in (t or "") for t, _ in got.values()) == 1
+
+
+def test_the_query_removes_all_repeated_passages(spark, tmp_path):
+    import __spark_entry__ as e
+
+    docs = [(1, "a b\nc d\ne f\n1"), (2, "x\na b\nc d\ne f\ny"), (3, "p\nq\nc d\ne f"), (4, "r\na b\nc d")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = e.queries()["op9_line_dedup"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.n_removed_lines for r in rows} == {1: 0, 2: 3, 3: 2, 4: 2}
+
+
 def test_chunks_resist_shifts():
     rng = random.Random(1)
     base = [f"line {rng.random()}".encode() for _ in range(200)]
