@@ -1,31 +1,38 @@
 """Suffix-array deduplication: bytes covered by a string of `size` bytes that also starts earlier are removed.
 
-The corpus' suffixes are sampled, sorted and merged as strings with known common prefixes.
-
-1. Sampling. Every window of `size` bytes is represented by the least hash of its GRAM-byte substrings, so equal
-   windows have one representative, whatever surrounds them. Consecutive windows with one representative form
-   a run; its string is the suffix that starts at the run's first window, cut behind its last.
-2. Distinguishing prefixes. Only the representatives' hashes are exchanged first. Runs whose hash stands alone
-   in the corpus (and does not repeat in its own windows) hold no repeated window and are dropped.
-3. Sorted runs. Tasks sort the remaining strings, emit copies within the task at once, and send the others
-   front-coded: the length of the prefix shared with the string before, and the rest.
-4. Merge. A loser tree merges the sorted runs; each contender carries the length of its prefix common with the
-   last winner, so known prefixes are never compared again. Equal strings meet; all but the first go whole.
-5. Windows of different strings with one representative are compared by hash, then byte by byte.
-
-A representative with very many strings (the border of a passage that a large share of all texts holds) is
-dealt by string instead, and its windows once more by their own digest; the list of such hashes is bounded.
-
-Defined cases: null and empty texts and those shorter than `size` lose nothing; a null text stays null;
-matches never cross texts; rows that repeat a key are told apart by a hash of their text, equal rows are
-judged alike, by what starts earlier in other rows or in themselves; other columns pass through, but for
-those named like the results, which these replace; an empty table gives an empty result. A cut inside a UTF-8 character is left as bytes in `kept_bytes`.
+A sparse suffix array of the corpus is sorted and merged; the common prefixes of its neighbours are the result.
+
+1. Sampling. Every window of `size` bytes has an anchor, the least hashed GRAM-byte string in it (of equal ones the
+   first), so equal windows have equal anchors at one offset, whatever surrounds them. Consecutive windows with
+   one anchor form a run. Its suffix starts at the anchor and ends with the run's last window; the bytes from
+   the run's first window up to the anchor are its left part. Only the anchors' hashes are exchanged at first:
+   runs whose hash stands alone in the corpus hold no repeated window and are dropped. What a task knows to be
+   repeated sends one marker for each hash, so a string that very many texts hold is not gathered.
+2. Splitters. A sample of the suffixes, SAMPLE for each bucket of about BUCKET bytes, is sorted on the driver and
+   gives the ranges. A range starts at a whole anchor string, so that equal windows meet in one range. Only
+   where one anchor string fills more than a range is it cut inside, by suffix and left part.
+3. Sorted runs. Tasks sort suffixes, drop and report copies within the task, cut the order at the splitters and
+   send front-coded pieces: the length of the prefix shared with the suffix before, and the rest.
+4. Merge. For each range a loser tree merges the pieces; every contender carries its prefix common with the last
+   winner, so known prefixes are never compared again, and the merged order comes with the common prefixes of
+   neighbours. Equal suffixes with equal left parts meet; all but the first go whole.
+5. Result. The window at offset o before an anchor is its suffix' first size - o bytes and its left part's nearest o.
+   Neighbours that share that much of both, by the common prefixes of the two sorted orders, hold one window; all
+   but the first (by key, then place) go. No byte is hashed for this, and none compared twice.
+6. Windows that reach over a border inside an anchor string are settled by their own bytes, with the one first
+   window of each range beside it.
+
+Defined cases: null and empty texts and those shorter than `size` lose nothing; a null text stays null; a null
+key comes before all others; matches never cross texts; rows that repeat a key are told apart by a hash of their
+text, equal rows are judged alike, by what starts earlier in other rows or in themselves; other columns pass
+through, but for those named like the results, which these replace; an empty table gives an empty result. A cut
+inside a UTF-8 character is left as bytes in `kept_bytes`.
 """
 
 from __future__ import annotations
 
 import pickle
-from hashlib import blake2b
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -35,11 +42,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from glossmill.llm.common import sliced, stored, utf8
+from glossmill.llm.common import SLICE_BYTES, sliced, stored, utf8
 
 SIZE, GRAM = 100, 32
-#: A hash with more runs than this, and than a millionth of all, is dealt by string.
-CROWD, CROWD_SHARE = 20_000, 1_000_000
+#: Bytes of suffixes in a range, hashes' bytes of text in a bucket, sampled suffixes for each range.
+BUCKET, HASH_BUCKET, SAMPLE = 32 << 20, 256 << 20, 16
+#: A task deals its anchors' hashes when it holds so many.
+FLUSH = 1 << 20
+#: A sample of at most so many rows is sent to all tasks; a larger one is joined by key.
+SMALL_SAMPLE = 200_000
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -82,35 +93,31 @@ def _sliding(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.nd
 
 
 def runs_of(texts: list[bytes], size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all texts: index of the text, first window, number of windows, hash, and whether windows may repeat within."""
+    """Of all texts: index of the text, first window, number of windows, bytes from there to the anchor, its hash."""
     empty = np.zeros(0, np.int64)
     width = size - GRAM + 1
     lengths = np.array([len(t) for t in texts], np.int64)
     joined = np.frombuffer(b"".join(texts), np.uint8)
     if len(joined) < size:
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(bool)
+        return empty, empty, empty, empty, empty.astype(np.uint64)
     h = gram_hashes(joined)
-    least = _sliding(h, width, np.minimum, 2**64 - 1)
+    # The upper half of the hash over the place: of equal hashes the first place is the least.
+    ranked = h >> np.uint64(32) << np.uint64(32) | np.arange(len(h), dtype=np.uint64)
+    anchor = (_sliding(ranked, width, np.minimum, 2**64 - 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    doc = np.repeat(np.arange(len(texts)), lengths)[: len(least)]
-    valid = np.arange(len(least)) + size <= ends[doc]
-    fresh = np.r_[True, (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])] & valid
-    first = np.flatnonzero(fresh)
+    doc = np.repeat(np.arange(len(texts)), lengths)[: len(anchor)]
+    valid = np.arange(len(anchor)) + size <= ends[doc]
+    at = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])] & valid)
     # Valid windows of a text are contiguous, so a run ends at the next one or at the text's last window.
-    stop = np.minimum(np.r_[first[1:], len(least)], (ends - size + 1)[doc[first]])
-    # Long runs (periodic texts) are cut, which changes no window's hash.
-    pieces = -(-(stop - first) // width)
-    at = np.repeat(first, pieces) + width * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-    n = np.minimum(width, np.repeat(stop, pieces) - at)
-    # A representative that stands twice within one window's reach: windows of one run may be equal.
-    # `most` is over the windows that hold a position; elsewhere the padding is 0.
-    most = _sliding(np.r_[np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)], width, np.maximum, 0)
-    chosen = np.flatnonzero(h == most[: len(h)])
-    twice = (h[chosen[1:]] == h[chosen[:-1]]) & (chosen[1:] - chosen[:-1] < width)
-    hashes = least[at]
-    selfish = np.isin(hashes, np.unique(h[chosen[1:][twice]])) if twice.any() else np.zeros(len(at), bool)
-    return doc[at], at - starts[doc[at]], n, hashes, selfish
+    n = np.minimum(np.r_[at[1:], len(anchor)], (ends - size + 1)[doc[at]]) - at
+    return doc[at], at - starts[doc[at]], n, anchor[at] - at, h[anchor[at]]
+
+
+def suffix_key(text: bytes, at: int, n: int, left: int, size: int = SIZE) -> bytes:
+    """The suffix from a run's anchor, filled up to `size` bytes, its own length in two bytes, and the left part reversed."""
+    p, stop = at + left, at + n - 1 + size
+    return text[p:stop].ljust(size, b"\0") + (stop - p).to_bytes(2, "big") + text[at:p][::-1]
 
 
 # -- sorted runs with common prefixes
@@ -215,42 +222,47 @@ def merge(runs: list[tuple[list[bytes], list[int]]]) -> list[tuple[int, int, int
 # -- windows
 
 
-def repeated_windows(strings: list[bytes], keys: np.ndarray, size: int = SIZE) -> np.ndarray:
-    """Whether each window has an equal one earlier by (group, id, mark, start).
+def repeated_windows(strings: list[bytes], shared: np.ndarray, places: np.ndarray, size: int = SIZE, low: bytes | None = None, high: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(gone, open): of distinct sorted suffix keys and for every offset, whether that window stands earlier too.
 
-    keys: rows (group, id, mark, first window) for each string. The result runs over all windows of the
-    strings in turn. Windows are grouped by hash; each is then compared with the first of its group on bytes.
+    shared: prefix that each key has in common with the one before; places: rows (key, mark, place of the anchor).
+    A window is `open` if it is not gone and the range's borders `low` and `high` may part it from equal ones.
+    Offset o is column o; windows that a run doesn't hold are neither.
     """
-    lengths = np.array([len(s) for s in strings], np.int64)
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    count = lengths - size + 1
-    begin = np.cumsum(lengths) - lengths
-    owner = np.repeat(np.arange(len(strings)), count)
-    inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    at = begin[owner] + inner
-    h = gram_hashes(data, size)[at]
-    group, ident, mark, first = (keys[:, i][owner] for i in range(4))
-    order = np.lexsort((first + inner, mark, ident, h, group))
-    new = np.r_[True, (h[order][1:] != h[order][:-1]) | (group[order][1:] != group[order][:-1])]
-    head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    out = np.zeros(len(at), bool)
-    later = np.flatnonzero(~new)
-    span = np.arange(size)
-    clash = []
-    for i in range(0, len(later), 1 << 15):
-        a, b = order[later[i : i + (1 << 15)]], head[later[i : i + (1 << 15)]]
-        same = (data[at[a][:, None] + span] == data[at[b][:, None] + span]).all(axis=1)
-        # The same place (equal rows) is not earlier.
-        out[a] = same & ~((ident[a] == ident[b]) & (mark[a] == mark[b]) & (first[a] + inner[a] == first[b] + inner[b]))
-        clash += a[~same].tolist()
-    if clash:  # two strings with one hash: settle those groups on the bytes themselves
-        bad = set(zip(group[clash].tolist(), h[clash].tolist(), strict=True))
-        seen: dict = {}
-        for w in order.tolist():
-            if (group[w], h[w]) in bad:
-                body, place = (group[w], data[at[w] : at[w] + size].tobytes()), (ident[w], mark[w], first[w] + inner[w])
-                out[w] = seen.setdefault(body, place) != place
-    return out
+    most = size - GRAM
+    left = np.array([len(s) - size - 2 for s in strings], np.int64)
+    right = np.array([int.from_bytes(s[size : size + 2], "big") for s in strings], np.int64)
+    ahead = np.minimum(shared, size)
+    ahead[:1] = 0
+    # Left parts in order within each block of neighbours that share an anchor string.
+    block = np.cumsum(ahead < GRAM)
+    lefts = [s[size + 2 :] for s in strings]
+    order = np.array(sorted(range(len(strings)), key=lambda i: (block[i], lefts[i])), np.int64)
+    behind = common_prefixes([lefts[i] for i in order.tolist()])
+    behind[np.r_[True, block[order][1:] != block[order][:-1]]] = -1
+    by_place = np.lexsort((places[:, 2], places[:, 1], places[:, 0]))
+    edge = np.zeros(len(strings), np.int64)
+    if low is not None:
+        first = min(_extend(low, strings[0], 0), size)
+        edge = np.maximum(edge, np.minimum.accumulate(np.r_[first, ahead[1:]]))
+    if high is not None:
+        last = min(_extend(high, strings[-1], 0), size)
+        edge = np.maximum(edge, np.minimum.accumulate(np.r_[ahead[1:], last][::-1])[::-1])
+    gone, open_ = np.zeros((len(strings), most + 1), bool), np.zeros((len(strings), most + 1), bool)
+    left_id = np.empty(len(strings), np.int64)
+    for o in range(most + 1):
+        held = (left >= o) & (right >= size - o)
+        some = by_place[held[by_place]]
+        if not len(some):
+            continue
+        left_id[order] = np.cumsum(behind < o)
+        group = np.cumsum(ahead < size - o)[some] * (len(strings) + 1) + left_id[some]
+        _, first = np.unique(group, return_index=True)
+        later = np.ones(len(some), bool)
+        later[first] = False
+        gone[some[later], o] = True
+        open_[some[first], o] = edge[some[first]] >= size - o
+    return gone, open_
 
 
 def spans_of(ident: np.ndarray, mark: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -281,220 +293,225 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
 
 
 _FOUND = "kind int, bucket int, blob binary, k long, mark long, start int, stop int"
+_KINDS = {"kind": pa.int32(), "bucket": pa.int32(), "blob": pa.binary(), "k": pa.int64(), "mark": pa.int64(), "start": pa.int32(), "stop": pa.int32()}
+#: Kinds of exchanged rows: a front-coded piece, a span that goes, a window at a border.
+PIECE, SPAN, WINDOW = 0, 1, 2
 
 
-def _spans_frame(ident, mark, start, stop) -> dict:
-    return {"kind": np.ones(len(ident), np.int32), "bucket": np.zeros(len(ident), np.int32), "blob": [None] * len(ident), "k": ident, "mark": mark, "start": start.astype(np.int32), "stop": stop.astype(np.int32)}
+def _frame(kind: int, bucket, blob, k, mark, start, stop) -> dict:
+    n = len(k)
+    return {"kind": np.full(n, kind, np.int32), "bucket": np.asarray(bucket, np.int32) if np.ndim(bucket) else np.full(n, bucket, np.int32), "blob": blob or [None] * n, "k": k, "mark": mark, "start": np.asarray(start, np.int32), "stop": np.asarray(stop, np.int32)}
 
 
-def _blob_frame(kind: int, buckets: list[int], blobs: list[bytes]) -> dict:
-    n, nothing = len(blobs), np.zeros(len(blobs), np.int64)
-    return {"kind": np.full(n, kind, np.int32), "bucket": np.array(buckets, np.int32), "blob": blobs, "k": nothing, "mark": nothing, "start": nothing.astype(np.int32), "stop": nothing.astype(np.int32)}
+def _batch(frame: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(frame[c], t) for c, t in _KINDS.items()], list(_KINDS))
 
 
-def _batch(frame: dict) -> pa.RecordBatch:
-    kinds = {"kind": pa.int32(), "bucket": pa.int32(), "blob": pa.binary(), "k": pa.int64(), "mark": pa.int64(), "start": pa.int32(), "stop": pa.int32()}
-    return pa.RecordBatch.from_arrays([pa.array(frame[c], t) for c, t in kinds.items()], list(kinds))
+def _firsts(places: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows numbered by equal strings: the first one by place for each number, and for each row."""
+    order = np.lexsort((places[:, 2], places[:, 1], places[:, 0], number))
+    front = order[np.flatnonzero(np.r_[True, number[order][1:] != number[order][:-1]])] if len(number) else order
+    return front, front[number]
+
+
+def splitters_of(sample: list[bytes], ranges: int) -> list[bytes]:
+    """Borders of the ranges: whole anchor strings, and whole keys where one anchor string fills more than a range."""
+    out: list[bytes] = []
+    sample = sorted(sample)
+    for i in range(1, ranges):
+        if not sample:
+            break
+        key = sample[i * len(sample) // ranges]
+        for border in (key[:GRAM], key):
+            if not out or border > out[-1]:
+                out.append(border)
+                break
+    return out
 
 
-def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SIZE, crowd: int = CROWD) -> DataFrame:
+def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SIZE, bucket_bytes: int = BUCKET) -> DataFrame:
     """k, mark, start, stop: spans that go, of rows told apart by key (a long) and mark; spans may overlap."""
     spark = df.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    bytes_ = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-bytes_ // HASH_BUCKET))
 
     def scan(batches):
+        kept: list[tuple[np.ndarray, ...]] = []
         for batch in sliced(batches, 2):
             ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            doc, at, n, h, selfish = runs_of(utf8(batch.column(2)), size)
-            if not len(doc):
-                continue
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
-            # 32 bits of the hash besides its bucket: a few strings that stand alone pass too, which does no harm.
-            short = (h >> np.uint64(32)).astype(np.uint32)
-            out_b, out_blob = [], []
-            for b in np.unique(bucket):
-                m = bucket == b
-                used, local = np.unique(doc[m], return_inverse=True)
-                out_b.append(int(b))
-                out_blob.append(_pack(short[m], local.astype(np.uint32), at[m].astype(np.uint32), n[m].astype(np.uint8), selfish[m], ids[used], marks[used]))
-            yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out_blob, pa.binary())], ["bucket", "blob"])
+            doc, at, n, left, h = runs_of(utf8(batch.column(2)), size)
+            kept.append((ids[doc], marks[doc], at.astype(np.uint32), n.astype(np.uint8), left.astype(np.uint8), h))
+            if sum(len(x[0]) for x in kept) >= FLUSH:
+                yield from dealt(kept)
+                kept = []
+        yield from dealt(kept)
+
+    def dealt(kept: list[tuple[np.ndarray, ...]]):
+        if not sum(len(x[0]) for x in kept):
+            return
+        *columns, h = (np.concatenate(x) for x in zip(*kept, strict=True))
+        distinct, where, count = np.unique(h, return_inverse=True, return_counts=True)
+        twice = count[where] > 1
+        kinds, targets, blobs = [], [], []
+
+        def send(kind: int, b: int, chosen: np.ndarray, marker: np.ndarray, single: np.ndarray) -> None:
+            for column, value in zip((kinds, targets, blobs), (kind, b, _pack(marker, single, *(c[chosen] for c in columns))), strict=True):
+                column.append(value)
+
+        # Known to be repeated: passed on as they are, to some bucket.
+        known, none = np.flatnonzero(twice), np.zeros(0, np.uint32)
+        for i in range(0, len(known), FLUSH // 16):
+            send(1, int((h[known[i]] + np.uint64(i)) % np.uint64(buckets)), known[i : i + FLUSH // 16], none, none)
+        # 32 bits of the hash besides its bucket: a few strings that stand alone pass too, which does no harm.
+        for kind, values, places in ((0, distinct[count > 1], none), (2, h[~twice], np.flatnonzero(~twice))):
+            b = (values % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(b, kind="stable")
+            edges = np.flatnonzero(np.r_[True, np.diff(b[order]) != 0, True]) if len(b) else np.zeros(1, np.int64)
+            for x, y in zip(edges[:-1], edges[1:], strict=True):
+                short = (values[order[x:y]] >> np.uint64(32)).astype(np.uint32)
+                if kind:
+                    send(2, int(b[order[x]]), places[order[x:y]], none, short)
+                else:
+                    send(0, int(b[order[x]]), none.astype(np.int64), short, none)
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(targets, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "bucket", "blob"])
 
     def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(b) for b in pdf["blob"]]
-        h = np.concatenate([p[0] for p in parts]).astype(np.int64) * buckets + int(pdf["bucket"].iat[0])
-        distinct, where, count = np.unique(h, return_inverse=True, return_counts=True)
-        selfish = np.concatenate([p[4] for p in parts])
-        keep = (count[where] > 1) | selfish
-        return pd.DataFrame(
-            {
-                "k": np.concatenate([p[5][p[1]] for p in parts])[keep],
-                "mark": np.concatenate([p[6][p[1]] for p in parts])[keep],
-                "h": h[keep],
-                "at": np.concatenate([p[2] for p in parts])[keep].astype(np.int32),
-                "n": np.concatenate([p[3] for p in parts])[keep].astype(np.int32),
-                "uses": count[where][keep],
-            }
-        )
-
-    thin = df.select(F.col(key).cast("long").alias("k"), F.col(mark).alias("mark"), F.col(text).alias("t"))
-    repeats = stored(thin.mapInArrow(scan, "bucket int, blob binary").groupBy("bucket").applyInPandas(repeated, "k long, mark long, h long, at int, n int, uses long"), "suffix-repeats")
-    total = repeats.count()
-    least = max(crowd, total // CROWD_SHARE)
-    crowded = np.array(sorted(r["h"] for r in repeats.where(F.col("uses") > least).select("h").distinct().collect()), np.int64)
-    lists = repeats.groupBy("k", "mark").agg(F.collect_list(F.struct("h", "at", "n")).alias("runs")).withColumnsRenamed({"k": "k2", "mark": "mark2"})
-    joined = thin.join(lists, (F.col("k") == F.col("k2")) & (F.col("mark") == F.col("mark2"))).select("k", "mark", "t", "runs")
+        known, markers, parts = ([_unpack(b) for b in pdf.loc[pdf["kind"] == kind, "blob"]] for kind in (1, 0, 2))
+        if parts:
+            single = np.concatenate([p[1] for p in parts])
+            # A marker stands for two or more.
+            _, where, count = np.unique(np.concatenate([single, *[p[0] for p in markers * 2]]), return_inverse=True, return_counts=True)
+            keep = np.split(count[where[: len(single)]] > 1, np.cumsum([len(p[1]) for p in parts])[:-1])
+            known += [[*p[:2], *(c[chosen] for c in p[2:])] for p, chosen in zip(parts, keep, strict=True) if chosen.any()]
+        return pd.DataFrame({c: np.concatenate([x[i] for x in known]).astype(kind) if known else np.zeros(0, kind) for i, (c, kind) in enumerate((("k", np.int64), ("mark", np.int64), ("at", np.int32), ("n", np.int32), ("lead", np.int32)), 2)})
+
+    thin = df.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k"), F.col(mark).alias("mark"), F.col(text).alias("t"))
+    repeats = stored(thin.mapInArrow(scan, "kind int, bucket int, blob binary").groupBy("bucket").applyInPandas(repeated, "k long, mark long, at int, n int, lead int"), "suffix-repeats")
+    runs, held = repeats.agg(F.count("*"), F.sum(F.col("n") + F.lit(size - 1))).first()
+    ranges = max(spark.sparkContext.defaultParallelism, -(-(held or 0) // bucket_bytes))
+
+    def with_texts(some: DataFrame, few: bool) -> DataFrame:
+        lists = some.groupBy("k", "mark").agg(F.collect_set(F.struct("at", "n", "lead")).alias("runs")).withColumnsRenamed({"k": "k2", "mark": "mark2"})
+        return thin.join(F.broadcast(lists) if few else lists, (F.col("k") == F.col("k2")) & (F.col("mark") == F.col("mark2"))).select("k", "mark", "t", "runs")
+
+    def keyed(batch: pa.RecordBatch) -> tuple[list[bytes], np.ndarray]:
+        """Suffix keys of a slice and their places (k, mark, anchor)."""
+        listed = batch.column(3)
+        offsets = listed.offsets.to_numpy()
+        at, n, left = (listed.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        strings = [suffix_key(t, int(at[j]), int(n[j]), int(left[j]), size) for i, t in enumerate(utf8(batch.column(2))) for j in range(offsets[i], offsets[i + 1])]
+        owner, held_ = np.repeat(np.arange(len(ids)), np.diff(offsets)), slice(offsets[0], offsets[-1])
+        return strings, np.stack([ids[owner], marks[owner], at[held_].astype(np.int64) + left[held_]], axis=1)
+
+    def sampled(batches):
+        for batch in sliced(batches, 2):
+            yield pa.RecordBatch.from_arrays([pa.array(keyed(batch)[0], pa.binary())], ["key"])
+
+    borders: list[bytes] = []
+    if runs and ranges > 1:
+        share = min(1.0, SAMPLE * ranges / runs)
+        some = repeats.where(F.pmod(F.xxhash64("k", "mark", "at"), F.lit(1 << 30)) < int(share * (1 << 30)))
+        borders = splitters_of([r[0] for r in with_texts(some, SAMPLE * ranges <= SMALL_SAMPLE).mapInArrow(sampled, "key binary").collect()], ranges)
+
+    def whole_spans(strings: list[bytes], places: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The spans of whole runs."""
+        left = np.array([len(strings[i]) for i in gone], np.int64) - size - 2
+        right = np.array([int.from_bytes(strings[i][size : size + 2], "big") for i in gone], np.int64)
+        return places[gone, 0], places[gone, 1], places[gone, 2] - left, places[gone, 2] + right
 
     def sort_runs(batches):
-        for batch in sliced(batches, 2):
-            strings, keys = [], []
-            listed = batch.column(3)
-            offsets = listed.offsets.to_numpy()
-            fields = listed.values
-            h, at, n = (fields.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            base = offsets[0]
-            for i, t in enumerate(utf8(batch.column(2))):
-                for j in range(offsets[i], offsets[i + 1]):
-                    a = int(at[j])
-                    strings.append(t[a : a + int(n[j]) + size - 1])
-            lo, hi = base, offsets[-1]
-            owner = np.repeat(np.arange(len(ids)), np.diff(offsets))
-            keys = np.stack([h[lo:hi], ids[owner], marks[owner], at[lo:hi].astype(np.int64)], axis=1)
-            order = sorted(range(len(strings)), key=strings.__getitem__)
-            # Equal strings side by side, the first of them (by key, mark, place) in front.
-            ranked = np.empty(len(strings), np.int64)
-            ordered = [strings[i] for i in order]
-            same = common_prefixes(ordered)
-            lengths = np.array([len(s) for s in ordered], np.int64)
-            fresh = np.r_[True, (same[1:] != lengths[1:]) | (lengths[1:] != lengths[:-1])] if len(ordered) else np.zeros(0, bool)
-            ranked[:] = order
-            number = np.cumsum(fresh) - 1
-            by_place = np.lexsort((keys[ranked, 3], keys[ranked, 2], keys[ranked, 1], number))
-            ranked = ranked[by_place]
-            front = np.flatnonzero(np.r_[True, number[1:] != number[:-1]]) if len(number) else np.zeros(0, np.int64)
-            heads = np.zeros(len(ranked), bool)
-            heads[front] = True
-            first_of = ranked[front][number]
-            gone = ranked[~heads]
-            its = first_of[~heads]
-            gone = gone[~(keys[gone, 1:] == keys[its, 1:]).all(axis=1)]
+        for batch in sliced(batches, 2, 2 * SLICE_BYTES):
+            strings, places = keyed(batch)
+            order = np.array(sorted(range(len(strings)), key=strings.__getitem__), np.int64)
+            strings, places = [strings[i] for i in order], places[order]
+            same = common_prefixes(strings)
+            lengths = np.array([len(s) for s in strings], np.int64)
+            number = np.cumsum(np.r_[True, (same[1:] != lengths[1:]) | (lengths[1:] != lengths[:-1])][: len(strings)]) - 1
+            front, first_of = _firsts(places, number)
+            gone = np.flatnonzero((places != places[first_of]).any(axis=1))
             if len(gone):
-                starts = keys[gone, 3]
-                stops = starts + np.array([len(strings[i]) for i in gone])
-                frame = _spans_frame(*spans_of(keys[gone, 1], keys[gone, 2], starts, stops))
-                frame["bucket"] = ((frame["start"] + frame["k"]) % buckets).astype(np.int32)
-                yield _batch(frame)
-            kept = ranked[front]
-            target = (keys[kept, 0] // buckets) % buckets
-            if len(crowded):
-                for i in np.flatnonzero(np.isin(keys[kept, 0], crowded)):
-                    target[i] = int.from_bytes(blake2b(strings[kept[i]], digest_size=8).digest(), "little") % buckets
-            out_b, out_blob = [], []
-            for b in np.unique(target):
-                mine = kept[target == b]
-                some = [strings[i] for i in mine]
-                out_b.append(int(b))
-                prefixes, lengths, rests = front_code(some, common_prefixes(some))
-                out_blob.append(_pack(prefixes, lengths, np.frombuffer(rests, np.uint8), *keys[mine].T))
-            if out_b:
-                yield _batch(_blob_frame(0, out_b, out_blob))
+                k, m, a, z = spans_of(*whole_spans(strings, places, gone))
+                yield _batch(_frame(SPAN, (a + k) % ranges, None, k, m, a, z))
+            kept = [strings[i] for i in front]
+            prefixes = common_prefixes(kept)
+            cuts = [0, *(bisect_left(kept, x) for x in borders), len(kept)]
+            blobs, targets = [], []
+            for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if y > x:
+                    mine = prefixes[x:y].copy()
+                    mine[0] = 0
+                    heads, rests, data = front_code(kept[x:y], mine)
+                    blobs.append(_pack(heads, rests, np.frombuffer(data, np.uint8), *places[front[x:y]].T))
+                    targets.append(b)
+            if blobs:
+                nothing = np.zeros(len(blobs), np.int64)
+                yield _batch(_frame(PIECE, np.array(targets), blobs, nothing, nothing, nothing, nothing))
 
     def merge_runs(pdf: pd.DataFrame) -> pd.DataFrame:
-        known = pdf[pdf["kind"] == 1]  # spans that a task found by itself pass through
-        parts = [_unpack(b) for b in pdf.loc[pdf["kind"] == 0, "blob"]]
-        runs = [(front_decode(p[0], p[1], p[2].tobytes()), p[0].tolist()) for p in parts]
-        merged = merge(runs)
-        if not merged:
+        known = pdf[pdf["kind"] == SPAN]  # spans that a task found by itself pass through
+        parts = [_unpack(b) for b in pdf.loc[pdf["kind"] == PIECE, "blob"]]
+        if not parts:
             return known
-        offsets = np.cumsum([0, *(len(r[0]) for r in runs[:-1])])
-        keys = np.concatenate([np.stack(p[3:], axis=1) for p in parts])
-        which = np.array([offsets[r] + i for r, i, _ in merged], np.int64)
-        strings = [runs[r][0][i] for r, i, _ in merged]
-        lengths = np.array([len(s) for s in strings], np.int64)
+        pieces = [(front_decode(p[0], p[1], p[2].tobytes()), p[0].tolist()) for p in parts]
+        merged = merge(pieces)
+        offsets = np.cumsum([0, *(len(r[0]) for r in pieces[:-1])])
+        places = np.concatenate([np.stack(p[3:], axis=1) for p in parts])[np.array([offsets[r] + i for r, i, _ in merged], np.int64)]
+        strings = [pieces[r][0][i] for r, i, _ in merged]
         shared = np.array([p for _, _, p in merged], np.int64)
-        keys = keys[which]
+        lengths = np.array([len(s) for s in strings], np.int64)
         fresh = np.r_[True, (shared[1:] != lengths[1:]) | (lengths[1:] != lengths[:-1])]
-        number = np.cumsum(fresh) - 1
-        order = np.lexsort((keys[:, 3], keys[:, 2], keys[:, 1], number))
-        front = order[np.flatnonzero(np.r_[True, number[order][1:] != number[order][:-1]])]
-        first_of = front[number]
-        gone = np.flatnonzero((keys[:, 1:] != keys[first_of, 1:]).any(axis=1))
-        spans = [(keys[gone, 1], keys[gone, 2], keys[gone, 3], keys[gone, 3] + lengths[gone])]
-        # Different strings with one representative: all their windows.
-        _, group, size_of = np.unique(keys[front, 0], return_inverse=True, return_counts=True)
-        busy = np.isin(keys[front, 0], crowded)
-        open_ = front[~busy]
-        frames = [known]
-        by_group = open_[np.argsort(group[~busy], kind="stable")]
-        for at in _blocks(keys[by_group, 0]):
-            some = by_group[at]
-            hit = repeated_windows([strings[i] for i in some], keys[some], size)
-            count = lengths[some] - size + 1
-            owner = np.repeat(some, count)
-            inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            start = keys[owner, 3] + inner
-            spans.append(spans_of(keys[owner, 1][hit], keys[owner, 2][hit], start[hit], start[hit] + size))
-        frames.append(pd.DataFrame(_spans_frame(*spans_of(*(np.concatenate([s[i] for s in spans]) for i in range(4))))))
-        if busy.any():
-            frames.append(pd.DataFrame(_crowd_frame([strings[i] for i in front[busy]], keys[front[busy]], buckets, size)))
-        return pd.concat(frames, ignore_index=True)
-
-    merged = stored(joined.mapInArrow(sort_runs, _FOUND).groupBy("bucket").applyInPandas(merge_runs, _FOUND), "suffix-merged")
-
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpack(b) for b in pdf["blob"]]
-        d, ident, mark_, start = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        d = d.reshape(-1, 2)
-        order = np.lexsort((start, mark_, ident, d[:, 1], d[:, 0]))
-        new = np.r_[True, (d[order][1:] != d[order][:-1]).any(axis=1)]
-        head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-        later = ~((ident[order] == ident[head]) & (mark_[order] == mark_[head]) & (start[order] == start[head]))
-        w = order[later]
-        return pd.DataFrame(_spans_frame(*spans_of(ident[w], mark_[w], start[w], start[w] + size)))
-
-    spans = merged.where("kind = 1")
-    if len(crowded):
-        spans = spans.unionByName(merged.where("kind = 2").groupBy("bucket").applyInPandas(settle, _FOUND))
-    return spans.select("k", "mark", "start", "stop")
-
-
-def _blocks(groups: np.ndarray, most: int = 4096):
-    """Slices that keep equal neighbours together, of about `most` strings."""
-    edges = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1], True]) if len(groups) else np.zeros(1, np.int64)
-    at = 0
-    while at < len(groups):
-        nxt = edges[min(np.searchsorted(edges, at + most), len(edges) - 1)]
-        yield slice(at, int(nxt))
-        at = int(nxt)
-
-
-def _crowd_frame(strings: list[bytes], keys: np.ndarray, buckets: int, size: int) -> dict:
-    """Every window by its 128-bit digest, dealt to buckets by it."""
-    digests, ident, mark, start = [], [], [], []
-    for s, (_, k, m, first) in zip(strings, keys.tolist(), strict=True):
-        for i in range(len(s) - size + 1):
-            digests.append(blake2b(s[i : i + size], digest_size=16).digest())
-            ident.append(k)
-            mark.append(m)
-            start.append(first + i)
-    d = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
-    columns = (np.array(x, np.int64) for x in (ident, mark, start))
-    ident, mark, start = columns
-    target = (d[:, 0] % np.uint64(buckets)).astype(np.int64)
-    out = [(int(b), _pack(d[m].ravel(), ident[m], mark[m], start[m])) for b in np.unique(target) for m in [target == b]]
-    return _blob_frame(2, [b for b, _ in out], [x for _, x in out])
-
-
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, crowd: int = CROWD, replace: bool = False) -> DataFrame:
+        front, first_of = _firsts(places, np.cumsum(fresh) - 1)
+        gone = np.flatnonzero((places != places[first_of]).any(axis=1))
+        found = [whole_spans(strings, places, gone)]
+        # Distinct suffixes: the first of equal ones shares with the one before what any of them does.
+        b = int(pdf["bucket"].iat[0])
+        low, high = borders[b - 1] if b else None, borders[b] if b < len(borders) else None
+        ahead = np.minimum(shared[fresh], size)
+        ahead[0] = 0
+        edge = [_extend(x, strings[i], 0) if x is not None else 0 for x, i in ((low, 0), (high, len(strings) - 1))]
+        near = np.r_[edge[0], ahead[1:]] >= GRAM
+        near |= np.r_[ahead[1:], edge[1]] >= GRAM
+        some = np.flatnonzero(near)
+        opened: dict | None = None
+        if len(some):
+            # What lies between two of them shares less than an anchor string with either.
+            mine, at = [strings[i] for i in front[some]], places[front[some]]
+            reach = np.where(np.r_[True, np.diff(some) == 1], ahead[some], 0)
+            gone, open_ = repeated_windows(mine, reach, at, size, low if edge[0] >= GRAM else None, high if edge[1] >= GRAM else None)
+            # Neighbouring windows (falling offsets) as one span.
+            most = size - GRAM
+            steps = np.diff(np.pad(gone[:, ::-1], ((0, 0), (1, 1))).astype(np.int8), axis=1)
+            (row, x), (_, y) = np.nonzero(steps == 1), np.nonzero(steps == -1)
+            found.append((at[row, 0], at[row, 1], at[row, 2] - most + x, at[row, 2] - most + y - 1 + size))
+            if open_.any():
+                row, o = np.nonzero(open_)
+                bodies = [mine[i][size + 2 : size + 2 + j][::-1] + mine[i][: size - j] for i, j in zip(row.tolist(), o.tolist(), strict=True)]
+                opened = _frame(WINDOW, 0, bodies, at[row, 0], at[row, 1], at[row, 2] - o, at[row, 2] - o + size)
+        k, m, a, z = spans_of(*(np.concatenate([s[i] for s in found]) for i in range(4)))
+        frames = [known, pd.DataFrame(_frame(SPAN, 0, None, k, m, a, z))]
+        return pd.concat([*frames, *([pd.DataFrame(opened)] if opened else [])], ignore_index=True)
+
+    merged = stored(with_texts(repeats, False).mapInArrow(sort_runs, _FOUND).groupBy("bucket").applyInPandas(merge_runs, _FOUND), "suffix-merged")
+    spans = merged.where(F.col("kind") == SPAN).select("k", "mark", "start", "stop")
+    if len(set(x[:GRAM] for x in borders)) < len(borders):
+        # One window of each range at most for each string of bytes, so the lists are as short as there are ranges.
+        shown = merged.where(F.col("kind") == WINDOW).groupBy("blob").agg(F.collect_list(F.struct("k", "mark", "start", "stop")).alias("all")).where(F.size("all") > 1)
+        later = shown.select(F.explode(F.filter("all", lambda x: x != F.array_min("all"))).alias("x")).select("x.*")
+        spans = spans.unionByName(later)
+    return spans
+
+
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, bucket_bytes: int = BUCKET, replace: bool = False) -> DataFrame:
     """df with n_bytes, n_removed, n_spans and kept_bytes (the remaining bytes of `text`); key is an integer column.
 
     With `replace`, `text` itself becomes the remaining text, without bytes left of a cut character.
     """
     added = ["n_bytes", "n_removed", "n_spans"]
     marked = df.drop(*[c for c in (*added, "kept_bytes") if c not in (key, text)]).withColumn("_gm_text", F.xxhash64(text))
-    spans = repeated_spans(marked, key, text, "_gm_text", size, crowd)
+    spans = repeated_spans(marked, key, text, "_gm_text", size, bucket_bytes)
     lists = spans.groupBy("k", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("_gm_spans")).withColumnsRenamed({"k": "_gm_k", "mark": "_gm_mark"})
-    joined = marked.join(lists, (F.col(key).cast("long") == F.col("_gm_k")) & (F.col("_gm_text") == F.col("_gm_mark")), "left").drop("_gm_k", "_gm_mark")
+    joined = marked.join(lists, (F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))) == F.col("_gm_k")) & (F.col("_gm_text") == F.col("_gm_mark")), "left").drop("_gm_k", "_gm_mark")
     fields = [f for f in marked.schema.fields if f.name != "_gm_text"]
     names = [f.name for f in fields]
     at_text = names.index(text)
