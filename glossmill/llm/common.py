@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Rows of an Arrow batch are handed to the numpy code in slices of about so many text bytes.
 SLICE_BYTES = 4 << 20
+#: A key with this share of all rows, and with so many rows at least, counts as hot.
+HOT_KEYS, HOT_LEAST = 1000, 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,14 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Only a local master may do without; it gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext._jsc.sc()
     if not found:
-        jsc = spark.sparkContext._jsc.sc()
-        known = jsc.getCheckpointDir()
-        found = known.get() if known.isDefined() else f"file://{tempfile.mkdtemp(prefix='glossmill-')}"
+        known = context.getCheckpointDir()
+        if known.isDefined():
+            found = known.get()
+        elif spark.sparkContext.master.startswith("local"):
+            found = f"file://{tempfile.mkdtemp(prefix='glossmill-')}"
+        else:
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", found)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if not context.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
     return found
 
@@ -43,9 +52,35 @@ def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back."""
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+def looked_up(left: DataFrame, right: DataFrame, on: list[str], uses: str, spread: list[str], fits: Column | None = None, total: int | None = None) -> DataFrame:
+    """left with right's other columns; right has one row for each key `on`, and in `uses` how many rows of left have it.
+
+    Keys with a HOT_KEYS-th of all rows or more, HOT_KEYS at most, are broadcast; the rest meet by a shuffle in
+    which rows already served are dealt by the columns `spread`. So no task gets all rows of a hot key. Where a
+    row of right may be large, `fits` says which ones may be broadcast. right is read several times.
+    """
+    values = [c for c in right.columns if c not in on and c != uses]
+    total = right.agg(F.sum(uses)).first()[0] or 0 if total is None else total
+    is_hot = (F.col(uses) >= max(HOT_LEAST, total // HOT_KEYS)) & (fits if fits is not None else F.lit(True))
+    hot = right.where(is_hot).select(*on, F.struct(*values).alias("_gm_hot"))
+    if hot.isEmpty():
+        return left.join(right.drop(uses), on, "left")
+    rest = right.where(~is_hot).select(*on, F.struct(*values).alias("_gm_rest"), F.lit(0).cast("long").alias("_gm_salt"))
+    served = left.join(F.broadcast(hot), on, "left").withColumn("_gm_salt", F.when(F.col("_gm_hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))).cast("long"))
+    found = served.join(rest, [*on, "_gm_salt"], "left").withColumn("_gm_hot", F.coalesce("_gm_hot", "_gm_rest"))
+    return found.select(*left.columns, *[F.col(f"_gm_hot.{c}").alias(c) for c in values])
+
+
 def sliced(batches: Iterator[pa.RecordBatch], text: str | int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches into slices of at most about `most` bytes in the column `text` (a longer value stands alone)."""
     for batch in batches:

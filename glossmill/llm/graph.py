@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.llm.common import cut
+from glossmill.llm.common import cut, looked_up
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -17,8 +17,8 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """edges (u, v), any order -> (node, label), label the least node that `node` reaches.
 
     Only nodes of an edge appear. Loops and repeats do no harm. Minima are combined before each shuffle and
-    joined back by a key that stands once on one side, so a hub with very many neighbours is dealt out; no
-    neighbourhood is ever gathered. Each round is checkpointed. An empty table gives an empty result.
+    looked up by a key that stands once on one side, hot ones by broadcast, so a hub with very many neighbours
+    is dealt out; no neighbourhood is ever gathered. Each round is checkpointed. An empty table gives an empty result.
     """
     now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = _state(now)
@@ -27,12 +27,12 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
             break
         # Large star: every larger neighbour moves to the least node of the neighbourhood.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("hub"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("hub")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("uses"))).withColumn("m", F.least("u", "m"))
+        large = looked_up(both, least, ["u"], "uses", ["v"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: smaller neighbours and the node itself move to the least of them.
-        large = large.distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "hub")
-        small = large.join(low, F.col("u") == F.col("hub")).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v")
+        large = cut(large)
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("uses")))
+        small = looked_up(large, low, ["u"], "uses", ["v"]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v")
         now = cut(small.distinct())
         before, state = state, _state(now)
         if state == before:

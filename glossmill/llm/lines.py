@@ -1,89 +1,79 @@
-"""Line deduplication on content-defined chunks.
+"""Line deduplication on content-defined chunks of lines.
 
-Each line is hashed, and a rolling hash over the last WINDOW line hashes decides whether a chunk ends there;
-inserted or deleted lines thus move only the borders next to them. A chunk with at least two lines that hold
-a word is a candidate. Candidates with one digest are compared byte by byte with the first of them (smallest
-key, then place); equal ones are removed and the first one stays.
+A rolling hash runs over the hashes of the lines that hold a word, LINES of them at a time. The windows whose
+hash stands elsewhere before make the chunk: it reaches from the first line of the first such window to the last
+line of the last one next to it, so its borders lie where the rolling hashes stop being repeated. They depend on
+the lines alone, and lines put in or taken out elsewhere move none. Each window of a chunk is compared byte by byte
+with the first of its hash (smallest key, then place); the lines of equal ones go, and the first one stays.
 
-Chunks miss repeated passages that fall between their borders. With `find=passages` every window from one line
-that holds a word to the next such line is a candidate instead, and windows may overlap: all lines of a passage
-of two or more lines with words that stood before go, whatever surrounds it.
+Only hashes, keys and places are exchanged at first. Texts are then dealt once, to be joined with the hashes they
+share, and only the shared windows' bytes meet for the comparison, each against the single first one. Hashes
+that very many texts share are looked up by broadcast, a thousand of them at most.
 
-Digests, keys and places are grouped without bytes. Texts are then dealt once, to be joined with the digests
-they share, and only the shared chunks' bytes meet for the comparison, each against the single first one.
+Fixed borders (a chunk ends where the rolling hash is 0 modulo a number) are not used: they miss a passage unless
+two of them fall inside it, which for passages of two or three lines they mostly don't.
 
 Defined cases: null texts stay null and lose nothing; a text without a repeated chunk is returned unchanged;
-empty lines count as lines but not as words; rows that repeat a key are judged alike by their own lines, and
-a chunk counts as the first one in all of them; other columns pass through, but for those
-named like the three counts, which these replace; an empty table gives an empty result.
+empty lines inside a chunk go with it but don't make one; rows that repeat a key are judged alike by their own
+lines, and a window counts as the first one in all of them; a null key comes first; other columns pass through,
+but for those named like the three counts, which these replace; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from hashlib import blake2b
-
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from glossmill.llm.common import cut, sliced, stored, utf8
-
-#: Lines in the rolling hash; a chunk ends where the hash is 0 modulo ENDS, and after MOST lines.
-WINDOW, ENDS, MOST = 2, 3, 64
-LEAST_LINES = 2
-_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
-
-
-def chunks(lines: list[bytes]) -> Iterator[tuple[int, int]]:
-    """(first, behind the last) line of every chunk."""
-    hashes = [xxhash.xxh64_intdigest(line) for line in lines]
-    power = pow(_BASE, WINDOW, 1 << 64)
-    start = rolling = 0
-    for i, h in enumerate(hashes):
-        rolling = (rolling * _BASE + h - (hashes[i - WINDOW] * power if i >= WINDOW else 0)) & _MASK
-        if (rolling >> 20) % ENDS == 0 or i + 1 - start == MOST:
-            yield start, i + 1
-            start = i + 1
-    if start < len(lines):
-        yield start, len(lines)
-
+from glossmill.llm.common import cut, looked_up, sliced, stored, utf8
 
-def candidates(text: bytes) -> tuple[list[bytes], list[tuple[int, int, bytes]]]:
-    """The lines, and each candidate chunk as (first, behind the last, digest)."""
-    lines = text.split(b"\n")
-    return lines, [(a, b, blake2b(b"\n".join(lines[a:b]), digest_size=16).digest()) for a, b in chunks(lines) if b - a >= LEAST_LINES and sum(1 for x in lines[a:b] if x.strip()) >= LEAST_LINES]
+#: Lines with words in a window, the least that a chunk has.
+LINES = 2
+#: Rolling hashes are polynomials over 128-bit line hashes.
+_BASE, _MASK = 0x9E3779B97F4A7C15F39CC0605CEDC835, (1 << 128) - 1
+#: Windows up to this size may be broadcast, where very many texts hold them.
+HOT_BYTES = 16 << 10
 
 
-def passages(text: bytes) -> tuple[list[bytes], list[tuple[int, int, bytes]]]:
-    """The lines, and every window of LEAST_LINES lines that hold a word, with the empty ones between, as in `candidates`."""
+def windows(text: bytes, size: int = LINES) -> tuple[list[bytes], list[tuple[int, int, bytes]]]:
+    """The lines, and each window of `size` lines that hold a word, with the empty ones between: (first, behind the last, rolling hash)."""
     lines = text.split(b"\n")
+    out, values, rolling, last = [], [], 0, -1
+    span = 2 * size - 1  # line, gap, line, ...
+    power = pow(_BASE, span, 1 << 128)
     held = [i for i, x in enumerate(lines) if x.strip()]
-    ends = zip(held, held[LEAST_LINES - 1 :], strict=False)
-    return lines, [(a, b + 1, blake2b(b"\n".join(lines[a : b + 1]), digest_size=16).digest()) for a, b in ends]
-
-
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", find: Callable[[bytes], tuple[list[bytes], list[tuple[int, int, bytes]]]] = candidates) -> DataFrame:
-    """df with what `find` shows and stood before removed from `text`, and n_lines, n_removed_lines, n_removed_chunks.
-
-    Of overlapping windows, those that start behind the last removed line count as removed chunks.
-    """
+    for i, at in enumerate(held):
+        gap = b"".join([b"\n" + x for x in lines[last + 1 : at]]) if i else None
+        for value in (gap, lines[at]):
+            if value is not None:
+                values.append(xxhash.xxh3_128_intdigest(value))
+                rolling = (rolling * _BASE + values[-1] - (values[-1 - span] * power if len(values) > span else 0)) & _MASK
+        last = at
+        if i + 1 >= size:
+            out.append((held[i + 1 - size], at + 1, rolling.to_bytes(16, "little")))
+    return lines, out
+
+
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = LINES) -> DataFrame:
+    """df without the chunks of `text` that stood before, and n_lines, n_removed_lines, n_removed_chunks."""
     kind = dict(df.dtypes)[key]
 
     def places(batches):
         for batch in sliced(batches, 1):
             out: tuple[list, list, list] = ([], [], [])
             for k, t in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                for a, _, digest in find(t)[1]:
+                for a, _, digest in windows(t, size)[1]:
                     for column, value in zip(out, (digest, k, a), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], batch.schema.field(0).type), pa.array(out[2], pa.int32())], ["digest", "k", "at"])
 
-    # Combined by digest within tasks, so a chunk that very many texts share sends one row from each.
+    # Combined by hash within tasks, so a window that very many texts share sends one row from each.
     found = cut(df.select(key, text).mapInArrow(places, f"digest binary, k {kind}, at int"))
-    shared = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("k", "at")).alias("first")).where("n > 1").select("digest", "first")
-    wanted = found.join(shared, "digest").groupBy("k").agg(F.collect_set(F.struct("digest", "first")).alias("_gm_shared")).withColumnRenamed("k", "_gm_k")
+    shared = cut(found.groupBy("digest").agg(F.count("*").alias("uses"), F.min(F.struct("k", "at")).alias("first")).where("uses > 1"))
+    named = looked_up(found, shared, ["digest"], "uses", ["k", "at"]).where("first is not null")
+    wanted = named.groupBy("k").agg(F.collect_set(F.struct("digest", "first")).alias("_gm_shared")).withColumnRenamed("k", "_gm_k")
     joined = stored(df.join(wanted, F.col(key).eqNullSafe(F.col("_gm_k")), "left").drop("_gm_k"), "line-chunks")
 
     def bodies(batches):
@@ -91,7 +81,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", find: Callable
             out: tuple[list, ...] = ([], [], [], [])
             for k, t, share in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 held = {s["digest"]: s["first"] for s in share}
-                lines, places_ = find(t)
+                lines, places_ = windows(t, size)
                 for a, b, digest in places_:
                     if digest in held:
                         is_first = held[digest]["k"] == k and held[digest]["at"] == a
@@ -100,9 +90,10 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", find: Callable
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], batch.schema.field(0).type), pa.array(out[2], pa.bool_()), pa.array(out[3], pa.binary())], ["digest", "k", "is_first", "body"])
 
     shown = joined.where("_gm_shared is not null").select(key, text, "_gm_shared").mapInArrow(bodies, f"digest binary, k {kind}, is_first boolean, body binary")
-    firsts = shown.where("is_first").groupBy("digest").agg(F.first("body").alias("first_body"))
-    differ = cut(shown.where("not is_first").join(firsts, "digest", "left").where("not (body <=> first_body)").groupBy("k").agg(F.collect_set("digest").alias("_gm_differ")).withColumnRenamed("k", "_gm_k"))
-    # Two texts with one 128-bit digest: not seen in practice, so the join that would spare them is skipped then.
+    firsts = cut(shown.where("is_first").groupBy("digest").agg(F.first("body").alias("first_body")).join(shared.select("digest", "uses"), "digest"))
+    compared = looked_up(shown.where("not is_first"), firsts, ["digest"], "uses", ["k"], F.octet_length("first_body") <= HOT_BYTES)
+    differ = cut(compared.where("not (body <=> first_body)").groupBy("k").agg(F.collect_set("digest").alias("_gm_differ")).withColumnRenamed("k", "_gm_k"))
+    # Two texts with one 128-bit hash: not seen in practice, so the join that would spare them is skipped then.
     if differ.isEmpty():
         joined = joined.withColumn("_gm_differ", F.array().cast("array<binary>"))
     else:
@@ -125,7 +116,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", find: Callable
                         held.pop(digest, None)
                     lines_, removed, gone, kept, last = t.split("\n"), 0, 0, [], 0
                     if held:
-                        for a, b, digest in find(t.encode())[1]:
+                        for a, b, digest in windows(t.encode(), size)[1]:
                             first = held.get(digest)
                             if first is not None and not (first["k"] == k and first["at"] == a):
                                 kept += lines_[last:a]
@@ -137,7 +128,5 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", find: Callable
             columns = [pa.array(texts, batch.schema.field(i).type) if i == at_text else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c, pa.int64()) for c in counts)], [*names, *added])
 
-    from pyspark.sql.types import LongType, StructField, StructType
-
     schema = StructType([*fields, *(StructField(n, LongType()) for n in added)])
     return joined.select(*names, "_gm_shared", "_gm_differ").mapInArrow(rebuild, schema)

@@ -8,8 +8,10 @@ in some partition, up to its threshold. Each distinct fingerprint is an index ro
 probes the ball of its threshold there; candidates are verified on all bits.
 
 Large buckets (a big group of near copies shares most bits) are never paired out: their members are joined
-to pivots, and groups of pivots are then compared only until they are known to be one component. Buckets
-beyond BLOCK members are dealt in pairs of blocks.
+to pivots, and groups of pivots are then compared only until they are known to be one component. What reaches a
+bucket beyond BLOCK rows is dealt in blocks, each with the first one beside it; once the components of that are
+known, only rows outside a bucket's largest component still meet all others, in pairs of blocks. Which way a bucket
+takes changes the work and not the links' components.
 
 Defined cases: null texts and texts without a word have fingerprint 0 and link like any other; texts of
 fewer words than a shingle give one shingle; equal texts are joined by their fingerprint, not by pairs;
@@ -28,11 +30,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.llm.common import cut, map_texts, stored, utf8
+from glossmill.llm.common import cut, looked_up, map_texts, stored, utf8
 from glossmill.llm.graph import components
 
 BITS = 64
-#: Buckets with more index members than this go to the pivot path; a pivot task holds at most two blocks.
+#: Buckets with more index members than this go to the pivot path; a pivot task holds about two blocks.
 LARGE, BLOCK = 128, 20_000
 #: Cost of one probe row against that of one verified candidate.
 PROBE_COST, VERIFY_COST = 1.0, 0.1
@@ -40,6 +42,8 @@ PROBE_COST, VERIFY_COST = 1.0, 0.1
 ROWS, MISS = 4, 1e-5
 #: Band buckets with more members are searched as a whole, in pairs of blocks of at most so many members and bytes.
 CROWD, CROWD_BLOCK, CROWD_BYTES = 32, 4_000, 16 << 20
+#: Shingle sets up to this size may be broadcast, where very many links meet in them.
+HOT_BYTES = 64 << 10
 
 
 def fingerprint(text: bytes, width: int = 4, seed: int = 42) -> int:
@@ -96,22 +100,22 @@ def bands(h: np.ndarray, mixers: np.ndarray) -> list[int]:
 
 
 def sketches(df: DataFrame, key: str, text: str, width: int, least: float) -> DataFrame:
-    """key, fp, mark (128-bit digest of the shingle set), n (its size) and bands."""
+    """k, th (key and hash of the text), fp, mark (128-bit digest of the shingle set), n (its size) and bands."""
     mixers = np.random.default_rng(42).integers(0, 1 << 64, (3, band_count(least) * ROWS), np.uint64) | np.uint64(1)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps, marks, sizes, banded = [], [], [], []
-        for t in utf8(batch.column(1)):
+        for t in utf8(batch.column(2)):
             h = hashes(t, width)
             distinct = np.unique(h)
             fps.append(majority(h))
             marks.append(xxhash.xxh3_128_digest(distinct.tobytes()))
             sizes.append(len(distinct))
             banded.append(bands(distinct, mixers))
-        columns = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(marks, pa.binary()), pa.array(sizes, pa.int64()), pa.array(banded, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, [key, "fp", "mark", "n", "bands"])
+        columns = [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(marks, pa.binary()), pa.array(sizes, pa.int64()), pa.array(banded, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, ["k", "th", "fp", "mark", "n", "bands"])
 
-    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, fp long, mark binary, n long, bands array<long>", text)
+    return map_texts(df.select(F.col(key).alias("k"), F.xxhash64(text).alias("th"), F.col(text).alias("t")), work, f"k {dict(df.dtypes)[key]}, th long, fp long, mark binary, n long, bands array<long>", "t")
 
 
 def co_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -263,40 +267,64 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     few, many = sizes.where(F.col("n") <= LARGE), sizes.where(F.col("n") > LARGE)
     members = index.withColumnRenamed("fp", "v").join(few, ["part", "bucket"]).drop("n")
     small = probes.join(members, ["part", "bucket"]).where((F.col("v") < fp) & (F.bit_count(fp.bitwiseXOR(F.col("v"))) <= radius)).select(F.col("fp").alias("u"), "v")
-    # Members of large buckets, with all probes that reach them, in pairs of blocks.
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("fp"), blocks.cast("long")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(F.least(mine, other).alias("a"), F.greatest(mine, other).alias("b")))
-    reached = probes.join(many, ["part", "bucket"]).select("part", "bucket", "fp", F.explode(pairs).alias("pair")).select("part", "bucket", "fp", "pair.*")
+    if many.isEmpty():
+        return small.distinct()
+    # Members of large buckets, with all probes that reach them: in blocks, each with the first one.
+    reached = cut(probes.join(many.select("part", "bucket"), ["part", "bucket"]).distinct())
+    sizes = cut(reached.groupBy("part", "bucket").agg(F.count("*").alias("uses")).withColumn("blocks", F.ceil(F.col("uses") / BLOCK).cast("int")))
+    dealt = cut(looked_up(reached, sizes, ["part", "bucket"], "uses", ["fp"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int")))
+    others = F.when(F.col("blocks") > 1, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
 
     def span(pdf: pd.DataFrame) -> pd.DataFrame:
         u, v = pivots(np.unique(pdf["fp"].to_numpy().view(np.uint64)), radius)
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    large = reached.groupBy("part", "bucket", "a", "b").applyInPandas(span, "u long, v long")
-    return small.unionByName(large).distinct()
+    first = dealt.select("part", "bucket", "fp", F.explode(F.when(F.col("block") > 0, F.array("block")).otherwise(others)).alias("b")).groupBy("part", "bucket", "b").applyInPandas(span, "u long, v long")
+    found = cut(small.unionByName(first).distinct())
+    wide = dealt.where("blocks > 2")
+    if wide.isEmpty():
+        return found
+    return found.unionByName(apart(wide, "fp", components(found), BLOCK).groupBy("part", "bucket", "a", "b").applyInPandas(span, "u long, v long")).distinct()
+
+
+def apart(dealt: DataFrame, node: str, labels: DataFrame, most: int) -> DataFrame:
+    """Rows (part, bucket, node, label, block, blocks) in groups (a, b) in which all rows of different labels meet.
+
+    Within a bucket those outside its most frequent label, in blocks of `most`, meet every block of all rows.
+    """
+    uses = dealt.groupBy(node).agg(F.count("*").alias("uses"))
+    named = cut(looked_up(dealt, cut(uses.join(labels, F.col(node) == F.col("node"), "left").select(node, "uses", F.coalesce("label", node).alias("label"))), [node], "uses", ["part", "bucket"]))
+    counts = named.groupBy("part", "bucket", "label").agg(F.count("*").alias("n"))
+    tops = counts.groupBy("part", "bucket").agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.sum("n").alias("uses"), F.max("n").alias("best"))
+    tops = cut(tops.where("best < uses").withColumn("few", F.ceil((F.col("uses") - F.col("best")) / most).cast("int")).drop("best"))
+    rows = looked_up(named, tops, ["part", "bucket"], "uses", [node]).where("top is not null")
+    mine = F.pmod(F.xxhash64(F.lit(3), node), F.col("few").cast("long")).cast("int")
+    as_any = F.transform(F.sequence(F.lit(0), F.col("few") - 1), lambda a: F.struct(a.alias("a"), F.col("block").alias("b")))
+    as_few = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(mine.alias("a"), b.alias("b")))
+    pairs = F.when(F.col("label") == F.col("top"), as_any).otherwise(F.array_distinct(F.concat(as_any, as_few)))
+    return rows.select("part", "bucket", node, "label", F.explode(pairs).alias("at")).select("part", "bucket", node, "label", "at.*")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
     """key, fp and component_id, the smallest key that the row's text reaches by links."""
     marked = cut(fingerprints(df, key, text, width))
-    nodes = cut(marked.groupBy("fp").agg(F.min(key).alias("least")))
-    labels = components(links(nodes, radius))
+    nodes = cut(marked.groupBy("fp").agg(F.min(key).alias("least"), F.count("*").alias("uses")))
+    labels = components(links(nodes.select("fp"), radius))
     # Each fingerprint's label; one that no link touches stands for itself.
-    named = cut(nodes.join(labels, nodes["fp"] == labels["node"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label")))
-    tops = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    found = named.join(tops, "label").select("fp", "component_id")
-    return marked.join(found, "fp").select(key, "fp", "component_id")
+    named = cut(nodes.join(labels, nodes["fp"] == labels["node"], "left").select("fp", "least", "uses", F.coalesce("label", "fp").alias("label")))
+    tops = cut(named.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("members")))
+    found = cut(looked_up(named, tops, ["label"], "members", ["fp"]).select("fp", "component_id", "uses"))
+    return looked_up(marked, found, ["fp"], "uses", [key]).select(key, "fp", "component_id")
 
 
-def shingle_sets(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """key and shingles: the sorted distinct hashes of a text's word shingles, as little-endian uint64 bytes."""
+def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """mark and shingles of rows (t): the sorted distinct hashes of the word shingles, as little-endian uint64 bytes."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [np.unique(hashes(t, width)).astype("<u8").tobytes() for t in utf8(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], [key, "shingles"])
+        out = [np.unique(hashes(t, width)).astype("<u8").tobytes() for t in utf8(batch.column(0))]
+        return pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in out], pa.binary()), pa.array(out, pa.binary())], ["mark", "shingles"])
 
-    return map_texts(df.select(key, text), work, f"{key} {dict(df.dtypes)[key]}, shingles binary", text)
+    return map_texts(texts.select("t"), work, "mark binary, shingles binary", "t")
 
 
 def resemblance(a: bytes, b: bytes) -> float:
@@ -310,9 +338,11 @@ def resemblance(a: bytes, b: bytes) -> float:
 
 def verified(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The edges (u, v) between ids whose shingle sets have a Jaccard similarity of `least` or more."""
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("b"))
-    pairs = edges.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+    pairs, total = edges, edges.count()
+    for end, side in (("u", "a"), ("v", "b")):
+        uses = cut(edges.groupBy(end).agg(F.count("*").alias("uses")))
+        held = sets.select(F.col("id").alias(end), F.col("shingles").alias(side)).join(uses, end)
+        pairs = looked_up(pairs, held, [end], "uses", ["v" if end == "u" else "u"], F.octet_length(side) <= HOT_BYTES, total)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         similar = pa.array([resemblance(a, b) >= least for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)], pa.bool_())
@@ -362,18 +392,15 @@ def spanning(ids: np.ndarray, labels: np.ndarray, sets: list[bytes], least: floa
 
 def crowds(large: DataFrame, labels: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Similar pairs (u, v) that join the labels within each large bucket. A bucket of one label has none."""
-    named = large.join(labels, large["id"] == labels["node"], "left").select("band", "bucket", "id", "n", F.coalesce("label", "id").alias("label"))
-    mixed = named.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), F.sum("n").alias("size")).where("low < high")
-    blocks = F.ceil(F.greatest(F.col("members") / CROWD_BLOCK, F.col("size") * 8 / CROWD_BYTES)).cast("int")
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(mine, other).alias("a"), F.greatest(mine, other).alias("b")))
-    rows = named.join(mixed.select("band", "bucket", blocks.alias("blocks")), ["band", "bucket"]).select("band", "bucket", "id", "label", F.explode(pairs).alias("pair")).select("band", "bucket", "id", "label", "pair.*")
+    sizes = cut(large.groupBy("part", "bucket").agg(F.count("*").alias("uses"), F.sum("n").alias("size")).withColumn("blocks", F.ceil(F.greatest(F.col("uses") / CROWD_BLOCK, F.col("size") * 8 / CROWD_BYTES)).cast("int")).drop("size"))
+    dealt = cut(looked_up(large.select("part", "bucket", "id"), sizes, ["part", "bucket"], "uses", ["id"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")))
+    rows = apart(dealt, "id", labels, CROWD_BLOCK)
 
     def span(pdf: pd.DataFrame) -> pd.DataFrame:
         u, v = spanning(pdf["id"].to_numpy(), pdf["label"].to_numpy(), pdf["shingles"].tolist(), least)
         return pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
 
-    return rows.join(sets, "id").groupBy("band", "bucket", "a", "b").applyInPandas(span, "u long, v long")
+    return rows.join(sets, "id").groupBy("part", "bucket", "a", "b").applyInPandas(span, "u long, v long")
 
 
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 7, least: float = 0.8) -> DataFrame:
@@ -381,41 +408,57 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", width
 
     Texts with one shingle set are one unit. Pairs of units that share a band are compared by their sets, and so
     are links of fingerprints within the radius and units with one fingerprint. In buckets of over CROWD members
-    all are first compared with the least one, and then those that are still apart with each other.
+    all are first compared with the least one, and then those that are still apart with each other. group_id is
+    the smallest key of a group; null keys come first.
     """
+    return _members(df, key, text, width, radius, least).select(F.col("k").alias(key), F.col("best.k").alias("group_id"))
+
+
+def _members(df: DataFrame, key: str, text: str, width: int, radius: int, least: float) -> DataFrame:
+    """k, th of every row, and `best`, the least (k, th) of its group."""
     marked = cut(sketches(df, key, text, width, least))
-    units = cut(marked.groupBy("mark").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    units = marked.groupBy("mark").agg(F.min(F.struct("k", "th")).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("uses"))
+    # Numbers of the units: stable, as the checkpointed rows are numbered and checkpointed once more.
+    units = cut(cut(units).withColumn("id", F.monotonically_increasing_id()))
     points = cut(marked.select("fp", "mark").distinct().join(units.select("mark", "id"), "mark").select("fp", "id"))
-    heads = cut(points.groupBy("fp").agg(F.min("id").alias("least")))
-    star = points.join(heads, "fp").where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
-    found = links(heads, radius)
+    heads = cut(points.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("uses")))
+    star = looked_up(points, heads, ["fp"], "uses", ["id"]).where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
+    found = links(heads.select("fp"), radius)
     name = lambda side: heads.select(F.col("fp").alias(side), F.col("least").alias(f"{side}_id"))
     across = found.join(name("u"), "u").join(name("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
-    banded = units.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
-    sizes = cut(banded.groupBy("band", "bucket").agg(F.count("*").alias("members")).where("members > 1"))
-    index = cut(banded.join(sizes, ["band", "bucket"]))
+    banded = units.select("id", "n", F.posexplode("bands").alias("part", "bucket"))
+    sizes = cut(banded.groupBy("part", "bucket").agg(F.count("*").alias("uses"), F.min("id").alias("hub")).where("uses > 1").withColumn("members", F.col("uses")))
+    index = cut(looked_up(banded, sizes, ["part", "bucket"], "uses", ["id"]).where("members is not null"))
     few, large = index.where(F.col("members") <= CROWD), index.where(F.col("members") > CROWD)
-    other = few.select("band", "bucket", F.col("id").alias("v"), F.col("n").alias("m"))
+    other = few.select("part", "bucket", F.col("id").alias("v"), F.col("n").alias("m"))
     close = F.least("n", "m") >= F.greatest("n", "m") * (least - 1e-9)  # the similarity is no more than the sizes' ratio
-    shared = few.join(other, ["band", "bucket"]).where((F.col("v") < F.col("id")) & close).select(F.col("id").alias("u"), "v")
-    hubs = large.groupBy("band", "bucket").agg(F.min("id").alias("v"))
-    spokes = large.join(hubs, ["band", "bucket"]).select(F.col("id").alias("u"), "v")
+    shared = few.join(other, ["part", "bucket"]).where((F.col("v") < F.col("id")) & close).select(F.col("id").alias("u"), "v")
+    spokes = large.select(F.col("id").alias("u"), F.col("hub").alias("v"))
     edges = cut(star.unionByName(across).unionByName(shared).unionByName(spokes).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    needed = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    sets = stored(shingle_sets(df.join(needed, df[key] == needed["id"], "left_semi"), key, text, width).select(F.col(key).alias("id"), "shingles"), "shingles")
+    # One row of each unit that has a candidate shows its shingles.
+    needed = units.join(edges.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "id").select("mark", "id", "rep")
+    rows = df.select(F.col(key).alias("k"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
+    shown = rows.join(needed.select("rep"), rows["k"].eqNullSafe(F.col("rep.k")) & (rows["th"] == F.col("rep.th")), "left_semi")
+    sets = stored(shingle_sets(shown, width).join(needed.select("mark", "id"), "mark").select("id", "shingles").dropDuplicates(["id"]), "shingles")
     similar = cut(verified(edges, sets, least))
-    labels = components(similar)
+    labels = cut(components(similar))
     if not large.isEmpty():
-        labels = components(similar.unionByName(crowds(large, cut(labels), sets, least)))
-    named = units.join(labels, units["id"] == labels["node"], "left").select("mark", F.coalesce("label", "id").alias("group_id"))
-    return marked.join(named, "mark").select(key, "group_id")
+        labels = cut(components(similar.unionByName(crowds(large, labels, sets, least))))
+    named = cut(units.join(labels, units["id"] == labels["node"], "left").select("mark", "rep", "uses", F.coalesce("label", "id").alias("label")))
+    tops = cut(named.groupBy("label").agg(F.min("rep").alias("best"), F.count("*").alias("members")))
+    of_mark = cut(looked_up(named, tops, ["label"], "members", ["mark"]).select("mark", "uses", "best"))
+    return looked_up(marked.select("k", "th", "mark"), of_mark, ["mark"], "uses", ["k", "th"]).select("k", "th", "best")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 7, least: float = 0.8) -> DataFrame:
-    """The rows of df whose key is the smallest of their group."""
-    groups = similar_groups(df, key, text, width, radius, least)
-    gone = cut(groups.where(F.col(key) != F.col("group_id")).select(key).distinct())
-    return df.join(gone, key, "left_anti")
+    """The rows of df that stand first, by key and then by a hash of the text, in their group.
+
+    A row is its key and text: where a key repeats with other texts, each is judged by itself, and rows equal in
+    both stay or go together. Null keys come first.
+    """
+    members = _members(df, key, text, width, radius, least)
+    gone = cut(members.where(~(F.col("k").eqNullSafe(F.col("best.k")) & (F.col("th") == F.col("best.th")))).select(F.col("k").alias("_gm_k"), F.col("th").alias("_gm_th")).distinct())
+    return df.join(gone, df[key].eqNullSafe(gone["_gm_k"]) & (F.xxhash64(text) == gone["_gm_th"]), "left_anti")
 
 
 def hex_of(fp: Column) -> Column:

@@ -72,7 +72,7 @@ def test_components_of_near_duplicates(spark, monkeypatch):
     rng = random.Random(4)
     base = [f"t{rng.randrange(300)}" for _ in range(400)]
     docs = []
-    for i in range(80):
+    for i in range(50):
         words = list(base) if i % 3 else [f"u{rng.randrange(300)}" for _ in range(300)]
         for _ in range(rng.randrange(0, 6)):
             words[rng.randrange(len(words))] = f"e{rng.randrange(9)}"
@@ -80,10 +80,11 @@ def test_components_of_near_duplicates(spark, monkeypatch):
     docs += EDGES
     for radius in (4, 9):
         want = brute_groups({i: brute_fingerprint(t, 4) for i, t in docs}, radius)
-        for large in (24, 1):
-            monkeypatch.setattr(simhash, "LARGE", large)
-            got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, docs), radius=radius).collect()}
-            assert got == want, (radius, large)
+        if radius == 9:
+            monkeypatch.setattr(simhash, "LARGE", 1)
+            monkeypatch.setattr(simhash, "BLOCK", 7)
+        got = {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, docs), radius=radius).collect()}
+        assert got == want, radius
 
 
 def test_blocks_of_a_hot_bucket(spark, monkeypatch):
@@ -261,32 +262,6 @@ def test_merge_of_runs():
         assert [p for _, _, p in merged] == suffixes.common_prefixes(strings).tolist()
 
 
-def brute_lines(docs):
-    seen, out = {}, {}
-    for i, t in sorted(docs, key=lambda d: d[0]):
-        if t is None:
-            out[i] = (None, 0)
-            continue
-        all_lines, found = lines.candidates(t.encode())
-        kept, last, gone = [], 0, 0
-        for a, b, _ in found:
-            body = b"\n".join(all_lines[a:b])
-            if body in seen:
-                kept += all_lines[last:a]
-                last, gone = b, gone + b - a
-            seen[body] = i
-        out[i] = (b"\n".join(kept + all_lines[last:]).decode(), gone)
-    return out
-
-
-def test_line_dedup(spark):
-    docs = [*corpus(9, 60), *EDGES]
-    got = {r.doc_id: (r.text, r.n_removed_lines) for r in lines.dedup(frame(spark, docs)).collect()}
-    want = brute_lines(docs)
-    assert got == want
-    assert sum(n for _, n in want.values()) > 10
-
-
 def brute_passages(docs):
     seen, out = set(), {}
     for i, t in sorted(docs, key=lambda d: d[0]):
@@ -307,7 +282,7 @@ def test_all_repeated_passages_go(spark):
     shared = [[line() for _ in range(n)] for n in (2, 3, 5)]
     docs = [(i, "\n".join([line() for _ in range(4)] + rng.choice(shared) + [line() for _ in range(3)] + [""])) for i in range(30)]
     docs += [(i + 30, t) for i, t in corpus(9, 30)] + EDGES
-    got = {r.doc_id: (r.text, r.n_removed_lines) for r in lines.dedup(frame(spark, docs), find=lines.passages).collect()}
+    got = {r.doc_id: (r.text, r.n_removed_lines) for r in lines.dedup(frame(spark, docs)).collect()}
     assert got == brute_passages(docs)
     for passage in shared:
         assert sum("\n".join(passage) in (t or "") for t, _ in got.values()) == 1
@@ -322,10 +297,36 @@ def test_the_query_removes_all_repeated_passages(spark, tmp_path):
     assert {r.doc_id: r.n_removed_lines for r in rows} == {1: 0, 2: 3, 3: 2, 4: 2}
 
 
-def test_chunks_resist_shifts():
+def test_line_windows():
+    text = b"a b\n\nc d\n \n\ne f\nc d\n \n\ne f\n"
+    parts, found = lines.windows(text)
+    assert [b"\n".join(parts[a:b]) for a, b, _ in found] == [b"a b\n\nc d", b"c d\n \n\ne f", b"e f\nc d", b"c d\n \n\ne f"]
+    assert found[1][2] == found[3][2] and len({h for _, _, h in found}) == 3
+    alone = lines.windows(b"c d\n \n\ne f")[1]
+    assert alone[0][2] == found[1][2] and lines.windows(b"c d\n\ne f")[1][0][2] != alone[0][2]
     rng = random.Random(1)
-    base = [f"line {rng.random()}".encode() for _ in range(200)]
-    cut = lambda x: {b"\n".join(x[a:b]) for a, b in lines.chunks(x)}
-    moved = base[:50] + [b"new"] + base[50:]
-    assert len(cut(base) - cut(moved)) <= 3
-    assert b"\n".join(b"\n".join(moved[a:b]) for a, b in lines.chunks(moved)) == b"\n".join(moved)
+    base = [b"line %d" % rng.randrange(10**9) for _ in range(200)]
+    hashes = lambda x: {h for _, _, h in lines.windows(b"\n".join(x))[1]}
+    assert len(hashes(base) - hashes(base[:50] + [b"new"] + base[50:])) == 1
+
+
+def test_line_dedup_of_repeated_keys_and_nulls(spark):
+    rows = [(1, "a b\nc d"), (1, "x y\nc d"), (None, "p q\nx y\nc d"), (2, "a b\nc d\nz"), (2, "a b\nc d\nz")]
+    got = sorted((r.text, r.n_removed_lines, r.n_removed_chunks) for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([("a b\nc d", 0, 0), ("", 2, 1), ("p q\nx y\nc d", 0, 0), ("z", 2, 1), ("z", 2, 1)])
+
+
+def test_hot_keys_are_looked_up_alike(spark, monkeypatch):
+    from glossmill.llm import common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 3)
+    left = spark.createDataFrame([(i, i % 7 if i % 2 else 0) for i in range(60)] + [(99, None), (98, 50)], "i long, k long")
+    right = spark.createDataFrame([(k, 10 * k, 30 if k == 0 else 4 if k == 3 else 1) for k in range(7)], "k long, v long, uses long")
+    got = {r.i: r.v for r in common.looked_up(left, right, ["k"], "uses", ["i"]).collect()}
+    assert got == {**{i: 10 * (i % 7 if i % 2 else 0) for i in range(60)}, 99: None, 98: None}
+
+
+def test_keep_one_tells_rows_apart(spark):
+    x, y = (" ".join(f"{c}{i}" for i in range(30)) for c in "xy")
+    rows = spark.createDataFrame([(1, x), (2, x), (2, y), (None, y + " more"), (3, "z"), (3, "z")], "doc_id long, text string")
+    assert sorted(((r.doc_id or 0, r.text) for r in simhash.keep_one(rows).collect())) == sorted([(1, x), (0, y + " more"), (3, "z"), (3, "z")])
