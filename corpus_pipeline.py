@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages of two or more lines go from the texts; n_chars follows."""
-    kept = lines.dedup(docs, find=lines.passages).withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long"))
+    """Repeated chunks of two or more lines go from the texts; n_chars follows."""
+    kept = lines.dedup(docs).withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long"))
     return kept.select(*docs.columns)
 
 
