@@ -1,9 +1,10 @@
 """Quality rules as a short-circuit cascade of built-in column functions.
 
-Five counts describe a text; two base rules reject on them. Further rules are tried one after another, and
-the first that rejects ends the row's evaluation. Their order comes from a bounded sample: each rule's
-rejection rate and run time are measured there and rules with the most rejections per second go first. The
-order changes the work only, never the verdict; which of several failing rules is named may differ.
+Five counts describe a text; two base rules reject on them. Further rules, four on the counts and six that each
+read the text in their own way, are tried one after another, and the first that rejects ends the row's evaluation.
+Their order comes from a random sample of expected size SAMPLE_ROWS: each rule's rejection rate and its time for a
+row, beyond that of a rule that does nothing, are measured there, and rules with the most rejections for their cost
+go first. The order changes the work only, never the verdict; which of several failing rules is named may differ.
 
 Defined cases: a null or empty text has no words, so every count is 0 and it is rejected; repeated rows and
 ids are judged each by itself; extra columns are ignored; an empty table gives an empty result and the
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
-#: The sample has at most so many rows, and each rule is timed on it so often repeated.
+#: Expected rows of the sample, and how often each is repeated to time a rule.
 SAMPLE_ROWS, SAMPLE_REPEAT = 512, 4
 #: Low bits of a packed window key hold its position; longer texts use wide keys.
 POSITION_BITS = 20
+#: Bits of a window's hash that are used; tests take few, so that hashes collide.
+HASH_MASK = -1
 
 
 @dataclass(frozen=True)
@@ -52,7 +55,8 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
     Each step is a projection of its own over the last one's columns. Windows of three words are hashed,
-    packed with their position and sorted as plain longs; equal neighbours are then compared word by word.
+    packed with their position and sorted as plain longs; equal neighbours are then compared word by word. A
+    text in which neighbours have one hash and other words is sorted by the words themselves instead.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     low = (1 << POSITION_BITS) - 1
@@ -60,18 +64,22 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumn("_words", words_of(t)).withColumn("n_words", F.size("_words").cast("long"))
     words = F.col("_words")
     windows = F.when(F.col("n_words") < 3, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("n_words").cast("int") - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long")))
+        F.transform(F.sequence(F.lit(0), F.col("n_words").cast("int") - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(F.lit(~low & HASH_MASK)).bitwiseOR(i.cast("long")))
     )
     df = df.withColumn("_keys", F.when(F.col("n_words") <= low, F.sort_array(windows)))
     keys = F.col("_keys")
     # A pair of neighbours with one hash: compared on the words themselves.
-    same = lambda k, j: (F.get(keys, j).bitwiseAND(F.lit(~low)) == k.bitwiseAND(F.lit(~low))) & (at(words, F.get(keys, j).bitwiseAND(F.lit(low)).cast("int")) == at(words, k.bitwiseAND(F.lit(low)).cast("int")))
+    one_hash = lambda k, j: F.get(keys, j).bitwiseAND(F.lit(~low)) == k.bitwiseAND(F.lit(~low))
+    equal = lambda k, j: at(words, F.get(keys, j).bitwiseAND(F.lit(low)).cast("int")) == at(words, k.bitwiseAND(F.lit(low)).cast("int"))
+    same = lambda k, j: one_hash(k, j) & equal(k, j)
+    clash = F.size(F.filter(keys, lambda k, j: (j > 0) & one_hash(k, j - 1) & ~equal(k, j - 1))) > 0
+    df = df.withColumn("_by_words", (F.col("n_words") > low) | clash)
     packed = F.filter(keys, lambda k, j: ((j > 0) & same(k, j - 1)) | ((j < F.size(keys) - 1) & same(k, j + 1)))
     wide = F.array_sort(F.transform(F.sequence(F.lit(0), F.col("n_words").cast("int") - 3), lambda i: F.struct(at(words, i).alias("w"), i.alias("i"))))
-    df = df.withColumn("_wide", F.when(F.col("n_words") > low, wide))
+    df = df.withColumn("_wide", F.when(F.col("_by_words"), wide))
     found = F.col("_wide")
     slow = F.filter(found, lambda k, j: ((j > 0) & (F.get(found, j - 1)["w"] == k["w"])) | ((j < F.size(found) - 1) & (F.get(found, j + 1)["w"] == k["w"])))
-    positions = F.when(F.col("n_words") <= low, F.transform(packed, lambda k: k.bitwiseAND(F.lit(low)).cast("int"))).otherwise(F.transform(slow, lambda k: k["i"]))
+    positions = F.when(~F.col("_by_words"), F.transform(packed, lambda k: k.bitwiseAND(F.lit(low)).cast("int"))).otherwise(F.transform(slow, lambda k: k["i"]))
     df = df.withColumn("_at", F.sort_array(positions))
     lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     return (
@@ -85,7 +93,7 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
                 "n_repeat_words": _repeat_count(F.col("n_words"), F.col("_at")).cast("long"),
             }
         )
-        .drop("_words", "_keys", "_wide", "_at", "_lines")
+        .drop("_words", "_keys", "_by_words", "_wide", "_at", "_lines")
     )
 
 
@@ -94,8 +102,10 @@ def base_failed() -> Column:
 
 
 def rules(text: str = "text") -> list[Rule]:
-    """The stated rules, each a comparison of counts in whole numbers."""
+    """The stated rules, each a comparison of whole numbers."""
     n, t = F.col("n_words"), F.coalesce(F.col(text), F.lit(""))
+    lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    share = lambda pattern: F.size(F.filter(lines, lambda line: line.rlike(pattern)))
     return [
         Rule("word_length", ~F.col("word_chars").between(2 * n, 15 * n)),
         Rule("symbols", 10 * F.col("n_symbols") > 3 * n),
@@ -104,24 +114,34 @@ def rules(text: str = "text") -> list[Rule]:
         Rule("few_letters", 2 * F.char_length(F.regexp_replace(t, r"[^\p{L}]+", "")) < F.col("word_chars")),
         Rule("blank_filler", F.col("word_chars") * 4 < F.char_length(t)),
         Rule("placeholder", F.lower(t).contains("lorem ipsum")),
+        Rule("bullets", 10 * share(r"^[\x20\x09-\x0D]*[*\u2022-]") > 9 * F.col("n_lines")),
+        Rule("ellipses", 10 * share(r"(\.\.\.|\u2026)[\x20\x09-\x0D]*$") > 3 * F.col("n_lines")),
+        Rule("endless_word", t.rlike(r"[^\x20\x09-\x0D]{1000}")),
     ]
 
 
-def cascade_order(df: DataFrame, stated: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Orders rules by rejections per second, both measured on a bounded sample of already measured rows."""
-    sample = df.limit(sample_rows).persist()
+def cascade_order(df: DataFrame, stated: list[Rule], text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Orders rules by rejections for their cost, both measured on a random sample of the raw rows."""
+    total = df.count()
+    if not total:
+        return stated
+    sample = measures(df.sample(min(1.0, sample_rows / total), seed=7), text).persist()
     try:
         rows = sample.count()
         if not rows:
             return stated
         shown = sample.withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(SAMPLE_REPEAT))))
         shares = sample.agg(*[F.avg(r.rejects.cast("int")).alias(r.name) for r in stated]).first()
-        gains = {}
-        for rule in stated:
+
+        def seconds(condition: Column) -> float:
             began = time.perf_counter()
-            shown.agg(F.count_if(rule.rejects)).collect()
-            gains[rule.name] = shares[rule.name] / max(time.perf_counter() - began, 1e-4)
-        return sorted(stated, key=lambda r: -gains[r.name])
+            shown.agg(F.count_if(condition)).collect()
+            return time.perf_counter() - began
+
+        seconds(F.col("n_words") < 0)  # the first run also warms up
+        nothing = seconds(F.col("n_words") < 0)
+        cost = {r.name: max(seconds(r.rejects) - nothing, 1e-4) / (rows * SAMPLE_REPEAT) for r in stated}
+        return sorted(stated, key=lambda r: -shares[r.name] / cost[r.name])
     finally:
         sample.unpersist()
 
@@ -133,6 +153,7 @@ def judge(df: DataFrame, ordered: list[Rule]) -> DataFrame:
 
 
 def quality(df: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """All measures and the verdict for each row of df; keeps its columns."""
-    shown = measures(df, text)
-    return judge(shown, cascade_order(shown, rules(text), sample_rows))
+    """All measures and the verdict for each row of df; keeps its other columns, but for those named like the results."""
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "base_failed", "rejected_by", "kept"]
+    df = df.drop(*[c for c in made if c != text])
+    return judge(measures(df, text), cascade_order(df, rules(text), text, sample_rows))

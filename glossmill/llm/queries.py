@@ -86,7 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_line_dedup, op10_toxicity, pipeline)
 }
 
-#: WARC: SHA-1 is not in every SQL engine, so the digest is stated by DuckDB's own function.
 ORACLES: dict[str, str] = {
     "op8_suffix_dedup": """
         WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -118,14 +117,16 @@ ORACLES: dict[str, str] = {
         cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, unnest([0, 1, 2]) AS v(k) GROUP BY doc_id),
         b AS (SELECT w.doc_id, text, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
                      length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
-                     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words
+                     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+                     len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[*\x{2022}-]'))) AS n_bullets, len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|\x{2026})[\x20\x09-\x0D]*$'))) AS n_ellipses
               FROM w LEFT JOIN cov USING (doc_id)),
         f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT (base_failed OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words OR 10 * n_symbols > 3 * n_words
                     OR 10 * n_dup_lines > 7 * n_lines OR 100 * n_repeat_words > 45 * n_words
                     OR 2 * length(regexp_replace(text, '[^\p{L}]+', '', 'g')) < word_chars
-                    OR 4 * word_chars < length(text) OR contains(lower(text), 'lorem ipsum')) AS kept
+                    OR 4 * word_chars < length(text) OR contains(lower(text), 'lorem ipsum')
+                    OR 10 * n_bullets > 9 * n_lines OR 10 * n_ellipses > 3 * n_lines OR regexp_matches(text, '[^\x20\x09-\x0D]{1000}')) AS kept
         FROM f
     """,
 }

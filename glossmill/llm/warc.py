@@ -4,10 +4,14 @@ Records are kept in two tables in the shared folder: `payloads` holds each paylo
 SHA-256, and `records` holds each record's exact header bytes with that address. A record is rebuilt by
 joining the two; whoever reads a payload computes its digest anew, so bytes never pass under a wrong address.
 
+Addresses that very many records share are looked up by broadcast, a thousand of them at most; a payload is so
+only where it is small, which all those are that many responses hold.
+
 Defined cases: a null payload is empty; payloads shorter than `least` bytes are always responses; of longer
 equal ones the largest id is the response and the others revisit it; null urls give an empty target; line
-breaks in a url are percent-encoded; repeated ids each get a record, and of such rows one payload is kept.
-Extra columns are ignored; an empty table gives empty archives.
+breaks in a url are percent-encoded; repeated ids each get a record, and of such rows one payload is kept. A row
+with a null id has a record without an id field, and revisits where a row with an id holds its payload; where
+none does, it is a response. Extra columns are ignored; an empty table gives empty archives.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.llm.common import map_texts, stored, utf8
+from glossmill.llm.common import cut, looked_up, map_texts, stored, utf8
 
 LEAST = 1000
 DATE = "2000-01-01T00:00:00Z"
@@ -37,7 +41,7 @@ class Archive:
 
 def _uid(column: Column) -> Column:
     """A record's name: a digest of its id laid out as a UUID."""
-    h = F.md5(column.cast("string"))
+    h = F.md5(F.coalesce(column.cast("string"), F.lit("")))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
@@ -46,9 +50,10 @@ def write_archive(df: DataFrame, key: str = "page_id", url: str = "url", payload
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     rows = df.select(F.col(key).alias("id"), F.col(url).alias("url"), body.alias("payload")).withColumn("sha256", F.sha2("payload", 256))
     thin = rows.select("id", "url", "sha256", F.hex(F.unhex(F.sha1("payload"))).alias("sha1"), F.octet_length("payload").cast("long").alias("n"))
-    first = thin.where(F.col("n") >= least).groupBy("sha256").agg(F.max("id").alias("holder"))
-    judged = thin.join(first, "sha256", "left")
-    revisits = F.col("holder").isNotNull() & (F.col("holder") != F.col("id"))
+    # Only payloads that stand twice need a lookup.
+    first = cut(thin.where(F.col("n") >= least).groupBy("sha256").agg(F.max("id").alias("holder"), F.count("*").alias("uses")).where("uses > 1"))
+    judged = looked_up(thin, first, ["sha256"], "uses", ["id", "url"])
+    revisits = F.col("holder").isNotNull() & ~F.col("holder").eqNullSafe(F.col("id"))
     target = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), "\r", "%0D"), "\n", "%0A")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     header = F.concat(
@@ -58,7 +63,7 @@ def write_archive(df: DataFrame, key: str = "page_id", url: str = "url", payload
         line("WARC-Date", F.lit(DATE)),
         line("WARC-Target-URI", target),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.lower("sha1"))),
-        line("X-Page-Id", F.col("id").cast("string")),
+        F.coalesce(line("X-Page-Id", F.col("id").cast("string")), F.lit("")),
         line("X-Payload-Length", F.col("n").cast("string")),
         F.when(revisits, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", F.concat(F.lit("<urn:uuid:"), _uid(F.col("holder")), F.lit(">"))), line("X-Refers-To-Page", F.col("holder").cast("string")))).otherwise(""),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -73,7 +78,10 @@ def write_archive(df: DataFrame, key: str = "page_id", url: str = "url", payload
 
 def rebuild(archive: Archive) -> DataFrame:
     """id, record: the bytes of every original record. A revisit has no block, so it needs no payload."""
-    full = archive.records.where("kind = 'response'").join(archive.payloads, "sha256", "left")
+    responses = archive.records.where("kind = 'response'")
+    uses = responses.groupBy("sha256").agg(F.count("*").alias("uses"))
+    held = archive.payloads.join(uses, "sha256")
+    full = looked_up(responses, held, ["sha256"], "uses", ["header"], F.octet_length("payload") < LEAST, archive.records.count())
     bare = archive.records.where("kind = 'revisit'").withColumn("payload", F.lit(b""))
     return full.unionByName(bare).select("id", "sha256", F.concat("header", F.coalesce("payload", F.lit(b"")), F.lit(b"\r\n\r\n")).alias("record"))
 
@@ -117,7 +125,7 @@ def read_archive(archive: Archive, key: str = "page_id") -> DataFrame:
             if kind == "response" and (hashlib.sha256(block).hexdigest() != sha256 or hashlib.sha1(block).hexdigest() != digest):
                 raise ValueError("WARC: a payload differs from its digest")
             refers = fields.get("X-Refers-To-Page")
-            for column, value in zip(out, (int(fields["X-Page-Id"]), int(fields["X-Payload-Length"]), digest, kind, None if refers is None else int(refers)), strict=True):
+            for column, value in zip(out, (int(fields["X-Page-Id"]) if "X-Page-Id" in fields else None, int(fields["X-Payload-Length"]), digest, kind, None if refers is None else int(refers)), strict=True):
                 column.append(value)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names)
 

@@ -77,6 +77,19 @@ def test_archive(spark):
     assert warc.read_archive(warc.write_archive(pages.limit(0))).collect() == []
 
 
+def test_archive_of_null_ids_and_hot_payloads(spark, monkeypatch):
+    from glossmill.llm import common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 3)
+    long, other = "y" * 1500, "z" * 1500
+    data = [(i, "u", "" if i % 2 else long) for i in range(20)] + [(None, "u", long), (None, "u", other), (None, None, ""), (30, "u", "x" * 2_000_000)]
+    rows = warc.read_archive(warc.write_archive(spark.createDataFrame(data, "page_id long, url string, html string"))).collect()
+    got = sorted((r.page_id if r.page_id is not None else -1, r.payload_bytes, r.record_type, r.refers_to) for r in rows)
+    want = [(i, 0 if i % 2 else 1500, "response" if i % 2 or i == 18 else "revisit", None if i % 2 or i == 18 else 18) for i in range(20)]
+    want += [(-1, 1500, "revisit", 18), (-1, 1500, "response", None), (-1, 0, "response", None), (30, 2_000_000, "response", None)]
+    assert got == sorted(want, key=lambda x: (x[0], x[1], x[2])) or sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize(
     ("url", "host", "path", "rule", "verdict"),
     [

@@ -26,24 +26,26 @@ def brute_measures(text):
 TEXTS = [None, "", "a", "a b", "a b c a b c", "x\n\nx\n x\nx", "# * | <b>", "é\u00a0ü w\x0bv", "a " * 3000, " ".join(f"w{i % 97}" for i in range(500)), "the cat sat on the mat and the cat sat"]
 
 
-@pytest.mark.parametrize("bits", [20, 3])
-def test_quality_measures(spark, monkeypatch, bits):
+@pytest.mark.parametrize(("bits", "mask"), [(20, -1), (3, -1), (20, 0x3FF << 20), (20, 7 << 20)])
+def test_quality_measures(spark, monkeypatch, bits, mask):
     monkeypatch.setattr(quality, "POSITION_BITS", bits)
-    df = spark.createDataFrame([(i, t, "k") for i, t in enumerate([*TEXTS, *TEXTS])], "doc_id long, text string, kept string").drop("kept")
+    monkeypatch.setattr(quality, "HASH_MASK", mask)  # few bits of the hash: windows collide
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS, *TEXTS])], "doc_id long, text string")
     for r in quality.measures(df).collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_measures(r.text), r.text
 
 
 def test_quality_cascade(spark):
     good = " ".join(f"word{i}" for i in range(80))
-    rows = [(1, good), (2, " ".join(f"w{i}##" for i in range(80))), (3, "too short"), (4, "a b c " * 40), (5, None), (6, "\n".join([good] * 2))]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rows = [(1, good), (2, " ".join(f"w{i}##" for i in range(80))), (3, "too short"), (4, "a b c " * 40), (5, None), (6, "\n".join([good] * 2)), (7, good + " " + "x" * 1000), (8, "\n".join(f"{c} {good[120 * i:120 * i + 110]}..." for i, c in enumerate("-*•-"))), (9, "\n".join(f"- {good[120 * i:120 * i + 110]}" for i in range(4)))]
+    df = spark.createDataFrame([(*r, "mine", 7) for r in rows], "doc_id long, text string, kept string, n_words int")
     got = {r.doc_id: (r.base_failed, r.kept, r.rejected_by) for r in quality.quality(df).collect()}
     assert got[1] == (False, True, None) and got[2][:2] == (False, False)
     assert got[2][2] in ("symbols", "few_letters")  # whichever the measured order tries first
+    assert got[7][2] in ("endless_word", "word_length") and got[8][2] in ("bullets", "ellipses") and got[9][2] == "bullets"
     assert got[3] == got[4] == got[5] == (True, False, "base")
     assert quality.quality(df.limit(0)).collect() == []
-    shown = quality.measures(df)
+    shown = quality.measures(df.select("doc_id", "text"))
     orders = [quality.rules(), quality.rules()[::-1]]
     kept = [sorted((r.doc_id, r.kept) for r in quality.judge(shown, o).collect()) for o in orders]
     assert kept[0] == kept[1]
