@@ -139,11 +139,34 @@ def test_segmentation(name):
     assert abs(cost - brute_split(name, uses, 1000)[0]) < 1e-9
 
 
-def test_judge(spark):
-    data = [(i, f"http://site{i}.org/en/{i}", "<p>cheap pills news online</p>", "v") for i in range(30)] + [(100 + i, f"http://bad{i}.com/de/casino", "<p>news</p>", "v") for i in range(20)]
-    data += [(200, "http://cheappills.net/x", None, "v"), (201, "http://newsonline.net/en/3", "", "v"), (202, None, None, "v"), (202, None, None, "v"), (203, "http://" + "a" * 300 + ".net/", "x", "v")]
-    rows = {r.page_id: r for r in urls.judge(spark.createDataFrame(data, "page_id long, url string, html string, words string")).collect()}
-    assert len(rows) == 54
-    assert rows[200].verdict == "block" and rows[201].verdict == "allow" and rows[202].host == "" and rows[202].verdict == "allow"
-    assert "h:cheap" in rows[200].tokens and "h:pills" in rows[200].tokens
+def test_long_words_in_long_names(spark):
+    long = "q" + "ab" * 60
+    counts = spark.createDataFrame([(long, 5), ("x", 3), ("cat", 9), ("q" + "ab" * 50, 2)], "word string, uses long")
+    hosts = spark.createDataFrame([(f"cat{long}x.x7.net",), ("a" * 3000,), ("x.cat",)], "host string")
+    got = {r.host: r.words for r in urls.segmented(hosts, counts).collect()}
+    assert got[f"cat{long}x.x7.net"][:5] == ["cat", long, "x", "x", "7"] and got["x.cat"] == ["x", "cat"] and "".join(got["a" * 3000]) == "a" * 3000
+
+
+def test_judge_against_counting_by_hand(spark):
+    from math import log
+
+    data = [(i, f"http://news{i % 3}.org/en/{i % 5}", "<p>cheap pills news online site</p>") for i in range(30)]
+    data += [(100 + i, f"http://cheappills.com/de/casino/{i % 4}", "<p>news</p>") for i in range(20)] + [(150 + i, f"http://newssite.com/fr/a{i}", None) for i in range(6)]
+    data += [(200, "http://cheappills.net/x", None), (201, "http://newsonline.net/en/3", ""), (202, None, None), (202, None, None), (203, "http://" + "a" * 300 + ".net/", "x"), (None, "http://com/", "x")]
+    pages = spark.createDataFrame([(*d, "v", "u") for d in data], "page_id long, url string, html string, words string, uid string")
+    rows = urls.judge(pages).collect()
+    assert len(rows) == len(data)
+    ruled = [r for r in rows if r.rule]
+    assert all(t not in r.tokens for r in ruled for t in ("h:org", "h:com", "p:de", "p:fr")) and any("p:en" in r.tokens for r in ruled)
+    uses = {v: [t for r in ruled if r.verdict == v for t in r.tokens] for v in ("block", "allow")}
+    vocabulary = len(set(uses["block"]) | set(uses["allow"]))
+    n = {v: sum(r.verdict == v for r in ruled) for v in uses}
+    for r in rows:
+        want = log((n["block"] + 1) / (n["allow"] + 1))
+        for t in r.tokens:
+            want += log((uses["block"].count(t) + 1) / (len(uses["block"]) + vocabulary)) - log((uses["allow"].count(t) + 1) / (len(uses["allow"]) + vocabulary))
+        assert abs(r.score - want) < 1e-8
+        assert r.rule or r.verdict == ("block" if want > 0 else "allow")
+    by_id = {r.page_id: r for r in rows}
+    assert by_id[200].verdict == "block" and by_id[201].verdict == "allow" and by_id[202].host == "" and "h:cheap" in by_id[200].tokens
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
