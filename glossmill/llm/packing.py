@@ -233,7 +233,7 @@ def assign(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, islan
             lengths = pdf["length"].to_numpy()
             elites = [_compact(pdf[c].to_numpy().astype(np.int64)) for c in ("own", "guest") if not pdf[c].isna().any()]
             one, island = int(pdf["shard"].iat[0]), int(pdf["island"].iat[0])
-            best = evolve(lengths, elites, hash((one, island, epoch)) & 0xFFFFFFFF, capacity)
+            best = evolve(lengths, elites, zlib.crc32(f"{one} {island} {epoch}".encode()), capacity)
             return pdf.assign(own=best, guest=pd.array([pd.NA] * len(pdf), "Int64"))
 
         return work
@@ -244,7 +244,8 @@ def assign(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, islan
             # Elites migrate round the ring of islands.
             sent = now.select("shard", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int").alias("island"), "uid", "length", F.lit(None).cast("long").alias("own"), F.col("own").alias("guest"))
             now = now.unionByName(sent).groupBy("shard", "island", "uid").agg(F.max("length").alias("length"), F.max("own").alias("own"), F.max("guest").alias("guest"))
-        now = now.groupBy("shard", "island").applyInPandas(step(epoch), schema)
+        # Stored, as each epoch's result is read twice.
+        now = stored(now.groupBy("shard", "island").applyInPandas(step(epoch), schema), "islands")
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         shown = {i: part.sort_values("uid") for i, part in pdf.groupby("island")}

@@ -16,12 +16,46 @@ def test_png_filters(kind):
     assert media.decode_png(media.encode_png(samples, row_filter=kind)).tobytes() == samples
 
 
-def test_png_mixed_filters():
+def test_png_mixed_filters_of_several_images():
     rng = np.random.default_rng(1)
-    kinds = [0, 1, 2, 2, 3, 4, 4, 1, 2, 0, 3]
-    rows = rng.integers(0, 256, (len(kinds), 64)).astype(np.uint8)
-    lined = np.concatenate([np.frombuffer(zlib.decompress(_idat(media.encode_png(rows.tobytes(), row_filter=k))), np.uint8).reshape(-1, 65)[i : i + 1] for i, k in enumerate(kinds)])
-    assert (media.unfilter(lined) == rows).all()
+    images, lined = [], []
+    for n in (11, 1, 0, 90, 3):
+        rows, kinds = rng.integers(0, 256, (n, 64)).astype(np.uint8), rng.integers(0, 5, n)
+        images.append(rows)
+        lined.append(np.concatenate([kinds[:, None].astype(np.uint8), media.filtered(rows)[kinds, np.arange(n)]], axis=1))
+    for got, want in zip(media.unfilter(lined), images, strict=True):
+        assert (got == want).all()
+    with pytest.raises(ValueError):
+        media.unfilter([np.full((1, 65), 5, np.uint8)])
+
+
+def test_filters_by_the_letter():
+    """Each filter sample by sample, and the choice for each row."""
+    rows = np.frombuffer("The quick brown fox, the lazy dog and naïve façades. ".encode() * 20, np.uint8)[:960].reshape(-1, 64).astype(int)
+
+    def guess(kind, y, x):
+        a, b = rows[y][x - 1] if x else 0, rows[y - 1][x] if y else 0
+        c = rows[y - 1][x - 1] if x and y else 0
+        near = min((abs(a + b - c - v), i, v) for i, v in enumerate((a, b, c)))
+        return (0, a, b, (a + b) // 2, near[2])[kind]
+
+    want = [[[(rows[y][x] - guess(kind, y, x)) % 256 for x in range(64)] for y in range(len(rows))] for kind in range(5)]
+    assert media.filtered(rows.astype(np.uint8)).tolist() == want
+    raw = np.frombuffer(zlib.decompress(_idat(media.encode_png(rows.astype(np.uint8).tobytes()))), np.uint8).reshape(-1, 65)
+    cost = [[sum(min(v, 256 - v) for v in row) for row in kind] for kind in want]
+    assert raw[:, 0].tolist() == [min(range(5), key=lambda k: (cost[k][y], k)) for y in range(len(rows))]
+    assert raw[:, 1:].tolist() == [want[k][y] for y, k in enumerate(raw[:, 0])]
+
+
+def test_cosine_hash_by_the_letter():
+    from math import cos, pi
+
+    rows = np.random.default_rng(2).integers(0, 256, (77, 64)).astype(np.uint8)
+    grid = [[float(np.mean([[int(rows[y][x]) for x in range(64 * j // 32, 64 * (j + 1) // 32)] for y in range(77 * i // 32, 77 * (i + 1) // 32)])) for j in range(32)] for i in range(32)]
+    low = [round(sum(grid[y][x] * cos((2 * y + 1) * u * pi / 64) * cos((2 * x + 1) * v * pi / 64) for y in range(32) for x in range(32)), 6) for u in range(8) for v in range(8)]
+    middle = sorted(low)[31:33]
+    bits = "".join(str(int(v > sum(middle) / 2)) for v in low)
+    assert media.cosine_hash(rows) == int(bits, 2).to_bytes(8, "big")
 
 
 def _idat(data):
@@ -47,7 +81,9 @@ def test_media_columns(spark):
         whole = raw + b"\0" * (-len(raw) % 64 if raw else 64)
         r = rows[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(whole), hashlib.sha256(whole).hexdigest(), zlib.crc32(whole[-64:]))
-        assert len(r.feature) == 16 and bytes(r.cosine_bits).hex() == r.feature
+        stored = media.encode_png(whole)
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+        assert r.feature == media.cosine_hash(np.frombuffer(whole, np.uint8).reshape(-1, 64)).hex() == bytes(r.cosine_bits).hex()
     assert rows[2][1:] == rows[6][1:] and rows[0][1:] == rows[1][1:]
     assert media.media_columns(df.limit(0)).collect() == []
 
