@@ -3,10 +3,11 @@
 Training takes a sample of labelled rows of bounded expected size. For every token, and for every opening of
 PREFIX letters of a longer token, it counts the toxic and the clean texts that use it (a text counts once,
 as words come in bursts); the log-odds between the two carry a Dirichlet prior, part flat and part drawn from
-the pooled counts, and only those several standard deviations from zero are kept (at most MAX_TOKENS). A text is then a sequence of scores: a token's log-odds
+the pooled counts, and all those several standard deviations from zero are kept; there are no more than the
+sample's texts have words. A text is then a sequence of scores: a token's log-odds
 less a constant drift. A linear-time scan finds every maximal scoring segment. Extreme-value theory gives
 each segment its expected number under clean text, K n exp(-lambda S); the evidence of the significant ones is
-added up, and a logistic curve fitted on the sample maps that sum to a score from 0 to 1.
+added up, and a logistic curve fitted on the sample maps the logarithm of that sum to a score from 0 to 1.
 
 Defined cases: null and empty texts, and texts without a known token, have no segment and get the curve's
 value at zero; a sample without both classes gives every row its prior rate; repeated rows score alike;
@@ -26,14 +27,14 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.common import map_texts, stored
 
-#: Bounds of the fit: expected rows of the sample, tokens that are kept.
-TRAIN_ROWS, MAX_TOKENS = 20_000, 20_000
+#: Bound of the fit: expected rows of the sample.
+TRAIN_ROWS = 20_000
 #: A token longer than PREFIX letters backs off to its opening, kept under the key opening + "*".
 PREFIX = 5
 #: Prior (flat part, weight of the pooled share), least standard deviations of a kept token, range of a weight, drift.
 FLAT, PRIOR, LEAST_Z, MOST_WEIGHT, DRIFT = 0.5, 2.0, 3.0, 6.0, 0.1
-#: A segment counts if so few like it are expected in clean text; the evidence of a text is cut at MOST_EVIDENCE.
-LEAST_E, MOST_EVIDENCE = 0.1, 40.0
+#: A segment counts if so few like it are expected in clean text.
+LEAST_E = 0.1
 TOXIC_AT = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -86,10 +87,10 @@ def events_of(text: str, weights: dict[str, float]) -> tuple[int, list[tuple[int
 
 
 def evidence(n: int, segments: list[tuple[int, int, float]], model: Model) -> float:
-    """Sum over significant segments of lambda S - ln(K n)."""
+    """ln(1 + the sum over significant segments of lambda S - ln(K n))."""
     size = np.log(max(model.k * max(n, 1), 1e-12))
     each = [model.rate * s - size for _, _, s in segments]
-    return min(MOST_EVIDENCE, sum(e for e in each if e > 0 and np.exp(-e) <= LEAST_E))
+    return float(np.log1p(sum(e for e in each if e > 0 and np.exp(-e) <= LEAST_E)))
 
 
 def held_out(key: Column) -> Column:
@@ -132,7 +133,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
     return parts.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("uses").alias("uses"))
 
 
-def log_odds(counts: DataFrame, most: int = MAX_TOKENS) -> tuple[dict[str, float], list[tuple[float, float]]]:
+def log_odds(counts: DataFrame) -> tuple[dict[str, float], list[tuple[float, float]]]:
     """Weights of the kept tokens, and pairs (chance in clean text, score) for extreme-value theory."""
     counts = counts.persist()
     try:
@@ -143,7 +144,7 @@ def log_odds(counts: DataFrame, most: int = MAX_TOKENS) -> tuple[dict[str, float
         prior = FLAT + PRIOR * (F.col("toxic") + F.col("clean")) / (nt + nc)
         side = lambda y, n: (F.col(y) + prior) / (n - F.col(y) + FLAT + PRIOR)
         odds = counts.where("token <> ''").select("token", "uses", (F.log(side("toxic", nt)) - F.log(side("clean", nc))).alias("d"), F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior)).alias("sd"))
-        kept = odds.where(F.abs("d") >= LEAST_Z * F.col("sd")).orderBy(F.desc(F.abs(F.col("d") / F.col("sd"))), "token").limit(most).collect()
+        kept = odds.where(F.abs("d") >= LEAST_Z * F.col("sd")).orderBy("token").collect()
     finally:
         counts.unpersist()
     weights = {r["token"]: float(np.clip(r["d"], -MOST_WEIGHT, MOST_WEIGHT)) for r in kept}
@@ -208,7 +209,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         out = []
         for t in batch.column(0).to_pylist():
             n, events = events_of(t or "", weights)
-            out.append(round(evidence(n, maximal_segments(events), model), 1))
+            out.append(round(evidence(n, maximal_segments(events), model), 2))
         return pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column(1)], ["x", "y"])
 
     cells = map_texts(train.select("text", F.when(F.col("y") > 0, 1).otherwise(0).alias("y")), weigh, "x double, y int", "text").groupBy("x", "y").count().collect()

@@ -155,6 +155,36 @@ def test_packing(spark):
     assert packing.pack(df.limit(0), capacity=64).collect() == []
 
 
+def test_every_piece_against_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    texts = [None, "", "a short one", "naïve façade 😀", "many words here " * 3000, "x"]
+    df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)] + [(None, "y z", 5)], "doc_id long, text string, length int")
+    rows = {(r.doc_id, r.piece): r for r in packing.pack(df).collect()}
+    for k, t in [*enumerate(texts), (None, "y z")]:
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
+        at = [0, *range(len(ids) % 2048 or 2048, len(ids), 2048)]
+        for i, (a, b) in enumerate(zip(at, [*at[1:], len(ids)], strict=True)):
+            r = rows.pop((k, i))
+            assert (r.start, r.length, r.ids_crc32) == (a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))
+    assert not rows
+
+
+def test_evolution_beats_best_fit():
+    """Triples that fill bins exactly, which best fit by falling lengths takes apart."""
+    rng = np.random.default_rng(5)
+    wins = 0
+    for seed in range(5):
+        a, b = rng.integers(38, 50, 40), rng.integers(26, 30, 40)
+        lengths = np.r_[a, b, 100 - a - b]
+        plain = packing.best_fit(lengths, np.argsort(-lengths, kind="stable"), 100)
+        best = packing.evolve(lengths, [], seed, 100)
+        assert len(set(best)) <= len(set(plain)) and np.bincount(best, lengths).max() <= 100
+        wins += len(set(best)) < len(set(plain))
+    assert wins >= 3
+
+
 def test_cut_points():
     assert packing.cut_points(10, 4) == [(0, 2), (2, 4), (6, 4)]
     assert packing.cut_points(8, 4) == [(0, 4), (4, 4)]
