@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import itertools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,6 +18,7 @@ from pyspark.sql.types import StructType
 SLICE_BYTES = 4 << 20
 #: A key with this share of all rows, and with so many rows at least, counts as hot.
 HOT_KEYS, HOT_LEAST = 1000, 64
+_cuts = itertools.count(1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Cuts the lineage: a reliable checkpoint in the shared folder, safe against lost executors."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if next(_cuts) % 4 == 0:
+        release(df.sparkSession)
+    return out
 
 
 def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
@@ -57,7 +62,7 @@ def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
+    """Lets Spark's cleaner drop the shuffle files, broadcasts and compiled plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.java.lang.System.gc()
 
@@ -70,11 +75,13 @@ def looked_up(left: DataFrame, right: DataFrame, on: list[str], uses: str, sprea
     row of right may be large, `fits` says which ones may be broadcast. right is read several times.
     """
     values = [c for c in right.columns if c not in on and c != uses]
-    total = right.agg(F.sum(uses)).first()[0] or 0 if total is None else total
-    is_hot = (F.col(uses) >= max(HOT_LEAST, total // HOT_KEYS)) & (fits if fits is not None else F.lit(True))
-    hot = right.where(is_hot).select(*on, F.struct(*values).alias("_gm_hot"))
-    if hot.isEmpty():
+    fits = F.lit(True) if fits is None else fits
+    counted, most = right.agg(F.sum(uses), F.max(F.when(fits, F.col(uses)))).first()
+    hot_at = max(HOT_LEAST, (counted or 0 if total is None else total) // HOT_KEYS)
+    if (most or 0) < hot_at:
         return left.join(right.drop(uses), on, "left")
+    is_hot = (F.col(uses) >= hot_at) & fits
+    hot = right.where(is_hot).select(*on, F.struct(*values).alias("_gm_hot"))
     rest = right.where(~is_hot).select(*on, F.struct(*values).alias("_gm_rest"), F.lit(0).cast("long").alias("_gm_salt"))
     served = left.join(F.broadcast(hot), on, "left").withColumn("_gm_salt", F.when(F.col("_gm_hot").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*spread), F.lit(1 << 20))).cast("long"))
     found = served.join(rest, [*on, "_gm_salt"], "left").withColumn("_gm_hot", F.coalesce("_gm_hot", "_gm_rest"))

@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from glossmill.llm.common import cut, looked_up
 
 
+#: Fewer edges than this are joined as they are.
+MANY = 20_000
+
+
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]
 
 
+def _met(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """edges (u, v) with m of their u; few edges have no hot node."""
+    return looked_up(edges, least, ["u"], "uses", ["v"], total=total) if total >= MANY else edges.join(least.drop("uses"), "u")
+
+
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """edges (u, v), any order -> (node, label), label the least node that `node` reaches.
 
@@ -27,12 +36,11 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
             break
         # Large star: every larger neighbour moves to the least node of the neighbourhood.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("uses"))).withColumn("m", F.least("u", "m"))
-        large = looked_up(both, least, ["u"], "uses", ["v"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("uses")).withColumn("m", F.least("u", "m"))
+        large = _met(both, least, state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: smaller neighbours and the node itself move to the least of them.
-        large = cut(large)
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("uses")))
-        small = looked_up(large, low, ["u"], "uses", ["v"]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("uses"))
+        small = _met(large, low, state[0]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v")
         now = cut(small.distinct())
         before, state = state, _state(now)
         if state == before:

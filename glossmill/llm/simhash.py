@@ -272,7 +272,7 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     # Members of large buckets, with all probes that reach them: in blocks, each with the first one.
     reached = cut(probes.join(many.select("part", "bucket"), ["part", "bucket"]).distinct())
     sizes = cut(reached.groupBy("part", "bucket").agg(F.count("*").alias("uses")).withColumn("blocks", F.ceil(F.col("uses") / BLOCK).cast("int")))
-    dealt = cut(looked_up(reached, sizes, ["part", "bucket"], "uses", ["fp"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int")))
+    dealt = looked_up(reached, sizes, ["part", "bucket"], "uses", ["fp"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int"))
     others = F.when(F.col("blocks") > 1, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
 
     def span(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -280,11 +280,11 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     first = dealt.select("part", "bucket", "fp", F.explode(F.when(F.col("block") > 0, F.array("block")).otherwise(others)).alias("b")).groupBy("part", "bucket", "b").applyInPandas(span, "u long, v long")
-    found = cut(small.unionByName(first).distinct())
-    wide = dealt.where("blocks > 2")
-    if wide.isEmpty():
+    found = small.unionByName(first).distinct()
+    if sizes.where("blocks > 2").isEmpty():
         return found
-    return found.unionByName(apart(wide, "fp", components(found), BLOCK).groupBy("part", "bucket", "a", "b").applyInPandas(span, "u long, v long")).distinct()
+    found = cut(found)
+    return found.unionByName(apart(dealt.where("blocks > 2"), "fp", components(found), BLOCK).groupBy("part", "bucket", "a", "b").applyInPandas(span, "u long, v long")).distinct()
 
 
 def apart(dealt: DataFrame, node: str, labels: DataFrame, most: int) -> DataFrame:
@@ -312,8 +312,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     labels = components(links(nodes.select("fp"), radius))
     # Each fingerprint's label; one that no link touches stands for itself.
     named = cut(nodes.join(labels, nodes["fp"] == labels["node"], "left").select("fp", "least", "uses", F.coalesce("label", "fp").alias("label")))
-    tops = cut(named.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("members")))
-    found = cut(looked_up(named, tops, ["label"], "members", ["fp"]).select("fp", "component_id", "uses"))
+    tops = named.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+    found = looked_up(named, tops, ["label"], "members", ["fp"]).select("fp", "component_id", "uses")
     return looked_up(marked, found, ["fp"], "uses", [key]).select(key, "fp", "component_id")
 
 
@@ -340,7 +340,7 @@ def verified(edges: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The edges (u, v) between ids whose shingle sets have a Jaccard similarity of `least` or more."""
     pairs, total = edges, edges.count()
     for end, side in (("u", "a"), ("v", "b")):
-        uses = cut(edges.groupBy(end).agg(F.count("*").alias("uses")))
+        uses = edges.groupBy(end).agg(F.count("*").alias("uses"))
         held = sets.select(F.col("id").alias(end), F.col("shingles").alias(side)).join(uses, end)
         pairs = looked_up(pairs, held, [end], "uses", ["v" if end == "u" else "u"], F.octet_length(side) <= HOT_BYTES, total)
 
@@ -418,8 +418,8 @@ def _members(df: DataFrame, key: str, text: str, width: int, radius: int, least:
     """k, th of every row, and `best`, the least (k, th) of its group."""
     marked = cut(sketches(df, key, text, width, least))
     units = marked.groupBy("mark").agg(F.min(F.struct("k", "th")).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("uses"))
-    # Numbers of the units: stable, as the checkpointed rows are numbered and checkpointed once more.
-    units = cut(cut(units).withColumn("id", F.monotonically_increasing_id()))
+    # Numbers of the units: checkpointed rows always come in the same order.
+    units = cut(units).withColumn("id", F.monotonically_increasing_id())
     points = cut(marked.select("fp", "mark").distinct().join(units.select("mark", "id"), "mark").select("fp", "id"))
     heads = cut(points.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("uses")))
     star = looked_up(points, heads, ["fp"], "uses", ["id"]).where("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
@@ -445,8 +445,8 @@ def _members(df: DataFrame, key: str, text: str, width: int, radius: int, least:
     if not large.isEmpty():
         labels = cut(components(similar.unionByName(crowds(large, labels, sets, least))))
     named = cut(units.join(labels, units["id"] == labels["node"], "left").select("mark", "rep", "uses", F.coalesce("label", "id").alias("label")))
-    tops = cut(named.groupBy("label").agg(F.min("rep").alias("best"), F.count("*").alias("members")))
-    of_mark = cut(looked_up(named, tops, ["label"], "members", ["mark"]).select("mark", "uses", "best"))
+    tops = named.groupBy("label").agg(F.min("rep").alias("best"), F.count("*").alias("members"))
+    of_mark = looked_up(named, tops, ["label"], "members", ["mark"]).select("mark", "uses", "best")
     return looked_up(marked.select("k", "th", "mark"), of_mark, ["mark"], "uses", ["k", "th"]).select("k", "th", "best")
 
 
