@@ -55,12 +55,18 @@ def dominant_area() -> Column:
 
 
 def low_scorers(candidates: DataFrame, texts: DataFrame) -> DataFrame:
-    """phrase and labels of the few pinned texts (label, text) that contain it."""
+    """phrase and labels of the pinned texts (label, text) that contain it as a string.
+
+    Phrases meet the texts by their opening letters, as sample contexts do.
+    """
     from glossmill.functions.text import normalise
+    from glossmill.operators.ngrams import CUT
 
-    pinned = F.broadcast(texts.select("label", normalise(F.col("text")).alias("hay")))
-    needle = candidates.select("phrase", normalise(F.col("phrase")).alias("needle")).where("needle <> ''")
-    return needle.join(pinned, F.col("hay").contains(F.col("needle"))).groupBy("phrase").agg(F.sort_array(F.collect_set("label")).alias("appears_in"))
+    needle = candidates.select("phrase", normalise(F.col("phrase")).alias("needle")).where("needle <> ''").withColumn("head", F.substring("needle", 1, CUT))
+    n = F.length("hay")
+    openings = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(CUT), n - i + 1)), lambda k: F.substring(F.col("hay"), i, k))))
+    hay = texts.select("label", normalise(F.col("text")).alias("hay")).where("hay <> ''").select("label", "hay", F.explode(F.array_distinct(openings)).alias("head"))
+    return needle.join(hay, "head").where(F.col("hay").contains(F.col("needle"))).groupBy("phrase").agg(F.sort_array(F.collect_set("label")).alias("appears_in"))
 
 
 def route(enriched: DataFrame, per_area: int = TOP_PER_AREA) -> DataFrame:

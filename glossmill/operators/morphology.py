@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from glossmill.functions.scores import root_tier
 from glossmill.functions.text import strip_flexion
+from glossmill.scratch import settled
 
 #: Affixes and number roots of standard Esperanto.
 SUFFIXES = ["aĉ", "ad", "aĵ", "an", "ant", "ar", "at", "ĉj", "ebl", "ec", "eg", "ej", "em", "end", "er", "estr", "et", "id", "ig", "iĝ", "il", "in", "ind", "ing", "int", "ism", "ist", "it", "nj", "obl", "on", "ont", "op", "ot", "uj", "ul", "um"]
@@ -44,78 +45,131 @@ def reduce_once(stems: DataFrame, attested: DataFrame) -> DataFrame:
     return left.groupBy("stem").agg(F.min("t").alias("t")).select("stem", F.col("t.rest").alias("reduced"))
 
 
-def primitives(stems: DataFrame, most_rounds: int = 8) -> DataFrame:
-    """stem and the primitive root it comes down to, by rounds of reduction; each round is a join by key."""
-    attested = stems.select("stem").distinct()
-    numbers = stems.sparkSession.createDataFrame([(x,) for x in NUMBER_ROOTS], "stem string")
-    step = reduce_once(attested, attested.unionByName(numbers).distinct()).persist()
-    now = attested.select("stem", F.col("stem").alias("root"))
-    for _ in range(most_rounds):
-        now = now.join(step.select(F.col("stem").alias("root"), "reduced"), "root", "left").select("stem", F.coalesce("reduced", "root").alias("root"))
-    return now
-
+def primitives(stems: DataFrame) -> DataFrame:
+    """stem and the primitive root it comes down to, however many affixes it has.
 
-def productivity(stems: DataFrame, most_rounds: int = 8) -> DataFrame:
-    counts = primitives(stems, most_rounds).groupBy("root").agg(F.count("*").alias("productivity"))
+    Each round joins the reductions with themselves, so a chain of n affixes takes log n rounds; as a reduction
+    is shorter than its stem, the rounds end.
+    """
+    attested = settled(stems.select("stem").where("stem is not null").distinct(), "stems")
+    numbers = stems.sparkSession.createDataFrame([(x,) for x in NUMBER_ROOTS], "stem string")
+    known = attested.unionByName(numbers).distinct()
+    step = settled(reduce_once(known, known), "reductions")
+    while True:
+        further = step.select(F.col("stem").alias("reduced"), F.col("reduced").alias("next"))
+        step = settled(step.join(further, "reduced", "left").select("stem", F.coalesce("next", "reduced").alias("reduced"), F.col("next").isNotNull().alias("moved")), "reductions")
+        if step.where("moved").isEmpty():
+            break
+        step = step.drop("moved")
+    return attested.join(step, "stem", "left").select("stem", F.coalesce("reduced", "stem").alias("root"))
+
+
+def productivity(stems: DataFrame) -> DataFrame:
+    """root, productivity (stems that come down to it) and tier; number roots count once at least."""
+    numbers = stems.sparkSession.createDataFrame([(x,) for x in NUMBER_ROOTS], "root string")
+    counts = primitives(stems).groupBy("root").agg(F.count("*").alias("n"))
+    counts = counts.join(numbers.withColumn("number", F.lit(1)), "root", "full").select("root", F.greatest(F.coalesce("n", F.lit(0)), F.coalesce("number", F.lit(0))).cast("long").alias("productivity"))
     return counts.withColumn("tier", root_tier(F.col("productivity")))
 
 
 class Decomposer:
-    """Splits a stem to prefixes, roots, connectors and suffixes by memoised search over an inventory.
-
-    roots: root -> (tier, productivity). A solid root is a number root, core or extended, or attested at least
-    twice. Of all analyses the one with the best worst tier, then the fewest parts, then the longest first
-    root wins; exact ties go to the first in sorted order.
+    """Splits a stem to prefixes, roots, connectors and suffixes over an inventory.
+
+    roots: root -> (tier, productivity). A solid root (a number root, core, extended, or attested at least twice)
+    is never split, wherever it stands. Other strings are an attested root as a whole, a prefix or a suffix with
+    an analysable rest, or any root, a connector or none, and an analysable rest. The analysis with the best
+    worst tier wins, then the one with the fewest parts, then the one with the longest first root; exact ties go
+    to the whole, then prefixes, suffixes and roots, the longest first. Rests are shorter than what they are
+    rests of, and are worked off a stack, so no depth is too deep.
     """
 
     RANK = {"core": 0, "extended": 1, "tail": 2}
+    #: Analyses remembered before the memory starts anew.
+    MOST = 200_000
 
     def __init__(self, roots: dict[str, tuple[str, int]], words: tuple[str, ...] = (), suffixes: list[str] = SUFFIXES, prefixes: list[str] | None = None, numbers: list[str] = NUMBER_ROOTS):
-        self.roots, self.words, self.numbers = roots, set(words), set(numbers)
-        self.suffixes = sorted(suffixes, key=lambda s: (-len(s), s))
-        self.prefixes = sorted(set(prefixes if prefixes is not None else [*PREFIXES, *PREPOSITIONS]), key=lambda s: (-len(s), s))
-        self.analyse = lru_cache(maxsize=100_000)(self._analyse)
-
-    def rank(self, stem: str) -> int | None:
-        if stem in self.numbers:
-            return 0
-        found = self.roots.get(stem)
-        if found is None or (found[0] == "tail" and found[1] < 2):
-            return None
-        return self.RANK[found[0]]
-
-    def _analyse(self, stem: str, depth: int = 0) -> tuple | None:
-        """(worst rank, parts, -length of the first root, prefixes, roots, connectors, suffixes)."""
-        shown = []
-        whole = self.rank(stem)
-        if whole is not None:
-            shown.append((whole, 1, -len(stem), (), (stem,), (), ()))
-        if depth < 6:
-            for p in self.prefixes:
-                if stem.startswith(p) and len(stem) > len(p) and (r := self.analyse(stem[len(p) :], depth + 1)):
-                    shown.append((r[0], r[1] + 1, r[2], (p, *r[3]), r[4], r[5], r[6]))
-            for s in self.suffixes:
-                if stem.endswith(s) and len(stem) > len(s) and (r := self.analyse(stem[: -len(s)], depth + 1)):
-                    shown.append((r[0], r[1] + 1, r[2], r[3], r[4], r[5], (*r[6], s)))
-            for i in range(2, len(stem) - 1):
-                first = self.rank(stem[:i])
-                if first is None:
-                    continue
-                for joint in ("", "o", "a", "e", "i"):
-                    if stem.startswith(joint, i) and (r := self.analyse(stem[i + len(joint) :], depth + 1)) and not r[3]:
-                        shown.append((max(first, r[0]), r[1] + 1, -i, (), (stem[:i], *r[4]), ((joint,) if joint else ()) + r[5], r[6]))
+        self.words, self.numbers = set(words), set(numbers)
+        self.roots = {**roots, **{n: ("core", max(1, roots[n][1] if n in roots else 1)) for n in numbers}}
+        by_length = lambda some: sorted(set(some), key=lambda x: (-len(x), x))
+        self.suffixes, self.prefixes = by_length(suffixes), by_length(prefixes if prefixes is not None else [*PREFIXES, *PREPOSITIONS])
+        self.longest = max(map(len, self.roots), default=0)
+        self.known: dict[str, tuple | None] = {}
+
+    def solid(self, stem: str) -> bool:
+        tier, n = self.roots.get(stem, ("", 0))
+        return tier in ("core", "extended") or n >= 2
+
+    def rank(self, root: str) -> int:
+        return self.RANK[self.roots[root][0]]
+
+    def _steps(self, stem: str) -> Iterator[tuple[str, str, str, str]]:
+        """(kind, affix or root, connector, rest) of every way to take a part off."""
+        for p in self.prefixes:
+            if len(p) < len(stem) and stem.startswith(p):
+                yield "prefix", p, "", stem[len(p) :]
+        for x in self.suffixes:
+            if len(x) < len(stem) and stem.endswith(x):
+                yield "suffix", x, "", stem[: -len(x)]
+        for i in range(min(len(stem) - 1, self.longest), 1, -1):
+            if stem[:i] in self.roots:
+                yield "root", stem[:i], "", stem[i:]
+                if stem[i] in "oaei" and i + 1 < len(stem):
+                    yield "root", stem[:i], stem[i], stem[i + 1 :]
+
+    def _best(self, stem: str) -> tuple | None:
+        """(worst rank, parts, -length of the first root, prefixes, roots, connectors, suffixes) from the rests' analyses."""
+        shown = [(self.rank(stem), 1, -len(stem), (), (stem,), (), ())] if stem in self.roots else []
+        for kind, part, joint, rest in self._steps(stem):
+            r = self.known[rest]
+            if r is None:
+                continue
+            rank, parts, first, prefixes, roots, joints, suffixes = r
+            if kind == "prefix":
+                shown.append((rank, parts + 1, first, (part, *prefixes), roots, joints, suffixes))
+            elif kind == "suffix":
+                shown.append((rank, parts + 1, first, prefixes, roots, joints, (*suffixes, part)))
+            else:
+                shown.append((max(rank, self.rank(part)), parts + 1, -len(part), prefixes, (part, *roots), (joint, *joints), suffixes))
         return min(shown, key=lambda x: x[:3]) if shown else None
 
+    def analyse(self, stem: str) -> tuple | None:
+        if len(self.known) > self.MOST:
+            self.known.clear()
+        stack = [stem]
+        while stack:
+            top = stack[-1]
+            if top in self.known:
+                stack.pop()
+            elif self.solid(top):
+                self.known[top] = (self.rank(top), 1, -len(top), (), (top,), (), ())
+            else:
+                open_ = [rest for *_, rest in self._steps(top) if rest not in self.known]
+                if open_:
+                    stack += open_
+                else:
+                    self.known[top] = self._best(top)
+        return self.known[stem]
+
     def decompose(self, stem: str) -> dict:
+        stem = stem.strip().lower()
+        nothing = {"prefixes": [], "roots": [], "connectors": [], "suffixes": [], "morphemes": 0, "head_tier": None, "category": None}
         if stem in self.words or (stem.endswith("n") and stem[:-1] in self.words):
-            return {"kind": "function_word", "prefixes": [], "roots": [], "connectors": [], "suffixes": [], "morphemes": 1}
-        r = self.analyse(stem)
+            return {**nothing, "kind": "function_word", "morphemes": 1}
+        r = self.analyse(stem) if stem else None
         if r is None:
-            return {"kind": "unresolved", "prefixes": [], "roots": [], "connectors": [], "suffixes": [], "morphemes": 0}
-        return {"kind": "compound" if len(r[4]) > 1 else "simple" if r[1] == 1 else "derived", "prefixes": list(r[3]), "roots": list(r[4]), "connectors": list(r[5]), "suffixes": list(r[6]), "morphemes": r[1]}
+            return {**nothing, "kind": "unresolved", "category": self.category(stem)}
+        kind = "compound" if len(r[4]) > 1 else "simple" if r[1] == 1 else "derived"
+        return {"kind": kind, "prefixes": list(r[3]), "roots": list(r[4]), "connectors": list(r[5]), "suffixes": list(r[6]), "morphemes": r[1], "head_tier": self.roots[r[4][-1]][0], "category": None}
+
+    def category(self, stem: str) -> str:
+        """Why a stem has no analysis: an artifact (up to two letters, a bare affix), a compound number or unknown."""
+        if len(stem) <= 2 or stem in self.suffixes or stem in self.prefixes:
+            return "artifact"
+        opening = max((n for n in self.numbers if stem.startswith(n) and stem != n), key=len, default=None)
+        return "compound_number" if opening and any(stem[len(opening) :].startswith(n) for n in self.numbers) else "unknown"
 
 
-DECOMPOSED = "stem string, kind string, prefixes array<string>, roots array<string>, connectors array<string>, suffixes array<string>, morphemes int"
+DECOMPOSED = "stem string, kind string, prefixes array<string>, roots array<string>, connectors array<string>, suffixes array<string>, morphemes int, head_tier string, category string"
 
 
 def decompose(stems: DataFrame, roots: dict[str, tuple[str, int]], words: tuple[str, ...] = ()) -> DataFrame:
@@ -124,7 +178,7 @@ def decompose(stems: DataFrame, roots: dict[str, tuple[str, int]], words: tuple[
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decomposer = Decomposer(roots, words)
         for pdf in batches:
-            yield pd.DataFrame([{"stem": s, **decomposer.decompose(s)} for s in pdf["stem"]], columns=["stem", "kind", "prefixes", "roots", "connectors", "suffixes", "morphemes"])
+            yield pd.DataFrame([{"stem": s, **decomposer.decompose(s)} for s in pdf["stem"]], columns=[c.split(" ")[0] for c in DECOMPOSED.split(", ")])
 
     return stems.select("stem").where("stem is not null").distinct().mapInPandas(work, DECOMPOSED)
 
@@ -133,3 +187,33 @@ def concept_roots(concepts: DataFrame, decomposed: DataFrame) -> DataFrame:
     """concept_id, root, position, is_head: the last root is the head."""
     joined = concepts.join(decomposed, "stem")
     return joined.select("concept_id", F.posexplode("roots").alias("position", "root"), (F.size("roots") - 1).alias("last")).select("concept_id", "root", "position", (F.col("position") == F.col("last")).alias("is_head"))
+
+
+def decomposition_summary(decomposed: DataFrame) -> DataFrame:
+    """Stems by kind, tier of the head (the last root) and category of what is unresolved."""
+    return decomposed.groupBy("kind", "head_tier", "category").agg(F.count("*").alias("n"))
+
+
+def root_support(concept_roots: DataFrame) -> DataFrame:
+    """root and the number of distinct concepts that have it."""
+    return concept_roots.select("root", "concept_id").distinct().groupBy("root").agg(F.count("*").alias("n_concepts"))
+
+
+def inventory_document(counts: DataFrame, most: int = 200_000) -> dict:
+    """The inventory of roots (root, productivity, tier[, gloss]) as one JSON document; a bounded list, else an error."""
+    rows = counts.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"an inventory holds at most {most} roots")
+    roots = {r["root"]: {"gloss": r["gloss"] if "gloss" in counts.columns else "", "prod": r["productivity"], "tier": r["tier"]} for r in sorted(rows, key=lambda r: r["root"])}
+    return {"roots": roots, "suffixes": SUFFIXES, "prefixes": [*PREFIXES, *PREPOSITIONS], "correlatives": [], "other": [], "number_roots": NUMBER_ROOTS}
+
+
+def load_inventory(document: str) -> tuple[dict[str, tuple[str, int]], tuple[str, ...]]:
+    """Roots and function words of an inventory's JSON; raises where a key is missing or roots have no tier."""
+    found = json.loads(document)
+    missing = [k for k in ("roots", "suffixes", "prefixes", "correlatives", "other", "number_roots") if k not in found]
+    if missing:
+        raise ValueError(f"inventory: missing {', '.join(missing)}")
+    if any(not isinstance(v, dict) or "tier" not in v for v in found["roots"].values()):
+        raise ValueError("inventory: roots must state gloss, prod and tier")
+    return {k.lower(): (v["tier"], int(v.get("prod", 0))) for k, v in found["roots"].items()}, tuple(w.lower() for w in (*found["correlatives"], *found["other"]))

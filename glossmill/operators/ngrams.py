@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import scores
 
+#: Letters of a phrase by which it meets the strings of a text, and phrases that one automaton holds.
+CUT, MOST_NEEDLES = 12, 200_000
+
 
 def windows(words: Column, n: int) -> Column:
     """All windows of n neighbours, joined by blanks; sequence() counts down, so short arrays are guarded."""
@@ -39,11 +43,12 @@ def ngram_counts_with_documents(mined: DataFrame, key: str, n: int) -> DataFrame
     return grams.groupBy("phrase", key).agg(F.count("*").alias("f")).groupBy("phrase").agg(F.sum("f").alias("frequency"), F.count("*").alias("doc_count"))
 
 
-def document_ngrams(df: DataFrame, text: str, n: int, words_per_sentence: Column) -> DataFrame:
-    """phrase, frequency, doc_count from rows that each hold a whole document: one shuffle."""
+def document_ngrams(df: DataFrame, text: str, n: int, words_per_sentence: Column, by: list[str] | None = None) -> DataFrame:
+    """phrase[, by], frequency, doc_count from rows that each hold a whole document: one shuffle."""
+    by = by or []
     grams = F.sort_array(F.flatten(F.transform(words_per_sentence, lambda words: windows(words, n))))
-    rows = df.select(grams.alias("all")).select(F.explode(F.transform("all", lambda g, i: F.struct(g.alias("phrase"), F.when((i > 0) & (F.get("all", i - 1) == g), 0).otherwise(1).alias("first")))).alias("g"))
-    return rows.groupBy("g.phrase").agg(F.count("*").alias("frequency"), F.sum("g.first").alias("doc_count"))
+    rows = df.select(*by, grams.alias("all")).select(*by, F.explode(F.transform("all", lambda g, i: F.struct(g.alias("phrase"), F.when((i > 0) & (F.get("all", i - 1) == g), 0).otherwise(1).alias("first")))).alias("g"))
+    return rows.groupBy("g.phrase", *by).agg(F.count("*").alias("frequency"), F.sum("g.first").alias("doc_count"))
 
 
 def scored_bigrams(counts: DataFrame, unigrams: DataFrame, total: DataFrame) -> DataFrame:
@@ -89,9 +94,7 @@ def subsumed(candidates: DataFrame, share: float = 0.5, slack: float = 2.0) -> D
     end where they can (each start, each end), which a hash join then matches: work is linear in the
     containers' length squared and not in the square of the number of candidates.
     """
-    n = F.length("y.phrase")
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(F.col("y.phrase"), i, k))))
-    parts = candidates.alias("y").select(F.col("y.phrase").alias("container"), F.col("y.frequency").alias("fy"), F.col("y.pmi").alias("py"), F.explode(F.array_distinct(spans)).alias("phrase")).where("phrase <> container")
+    parts = candidates.alias("y").select(F.col("y.phrase").alias("container"), F.col("y.frequency").alias("fy"), F.col("y.pmi").alias("py"), F.explode(substrings(F.col("y.phrase"))).alias("phrase")).where("phrase <> container")
     hit = candidates.join(parts, "phrase").where((F.col("fy") >= share * F.col("frequency")) & (F.col("py") >= F.col("pmi") - slack))
     return hit.select("phrase").distinct()
 
@@ -101,21 +104,58 @@ def without_subsumed(candidates: DataFrame, share: float = 0.5, slack: float = 2
 
 
 def known_overlap(candidates: DataFrame, terms: DataFrame) -> DataFrame:
-    """First term (by term) that contains a candidate or is contained in it. terms: a bounded list (term)."""
-    from glossmill.functions.text import bidirectional_contains
+    """First term (by term) that contains a candidate or is contained in it.
+
+    Both sides are cut into their substrings, which meet the other side whole by key: work grows with the lengths'
+    squares and not with the product of the tables. A null contains nothing.
+    """
+    few, known = candidates.select("phrase").distinct(), terms.select("term").distinct()
+    inside = few.select("phrase", F.explode(substrings(F.col("phrase"))).alias("term")).join(known, "term")
+    around = known.select("term", F.explode(substrings(F.col("term"))).alias("phrase")).join(few, "phrase")
+    return inside.unionByName(around).groupBy("phrase").agg(F.min("term").alias("overlaps_known_term"))
+
 
-    few = F.broadcast(terms.select("term")) if terms.limit(100_001).count() <= 100_000 else terms.select("term")
-    return candidates.join(few, bidirectional_contains(F.col("phrase"), F.col("term"))).groupBy("phrase").agg(F.min("term").alias("overlaps_known_term"))
+def substrings(text: Column) -> Column:
+    """All distinct substrings that are not empty."""
+    n = F.length(text)
+    every = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(text, i, k))))
+    return F.when(n > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
-def sample_context(candidates: DataFrame, sentences: DataFrame, width: int = 200, around: int = 60) -> DataFrame:
-    """The first sentence that holds each phrase, cut to the phrase's surroundings where it is long.
+def sample_context(candidates: DataFrame, sentences: DataFrame, width: int = 200, around: int = 60, most: int = MOST_NEEDLES) -> DataFrame:
+    """The first sentence that holds each phrase as a string, cut to the phrase's surroundings where it is long.
 
-    candidates are few (a top-k); sentences stay distributed.
+    One pass over the sentences (doc_id, sent_idx, sentence) looks for all phrases at once, with an automaton of the
+    candidates, at most `most` of them, else it is an error. Each Arrow batch sends one sentence for a phrase.
     """
-    held = sentences.join(F.broadcast(candidates.select("phrase").limit(10_000)), F.lower("sentence").contains(F.col("phrase")))
-    first = held.groupBy("phrase").agg(F.min(F.struct("doc_id", "sent_idx", "sentence")).alias("s")).select("phrase", F.col("s.doc_id").alias("doc_id"), F.col("s.sent_idx").alias("sent_idx"), F.col("s.sentence").alias("sentence"))
-    at = F.expr("locate(phrase, lower(sentence))")
-    start, stop = F.greatest(F.lit(1), at - around), F.least(F.length("sentence"), at + F.length("phrase") - 1 + around)
-    cut = F.concat(F.when(start > 1, "…").otherwise(""), F.expr("substring(sentence, %s, %s)" % (f"greatest(1, locate(phrase, lower(sentence)) - {around})", f"least(length(sentence), locate(phrase, lower(sentence)) + length(phrase) - 1 + {around}) - greatest(1, locate(phrase, lower(sentence)) - {around}) + 1")), F.when(stop < F.length("sentence"), "…").otherwise(""))
+    needles = [r["phrase"] for r in candidates.select("phrase").where("phrase <> ''").distinct().limit(most + 1).collect()]
+    if len(needles) > most:
+        raise ValueError(f"contexts are looked up for at most {most} phrases")
+
+    def work(batches):
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for i, phrase in enumerate(needles):
+            automaton.add_word(phrase, i)
+        if needles:
+            automaton.make_automaton()
+        for batch in batches:
+            best: dict[int, list[int]] = {}
+            for place, hay in enumerate(batch.column(3).to_pylist()):
+                if hay and needles:
+                    for _, i in automaton.iter(hay):
+                        best.setdefault(i, []).append(place)
+            rows = batch.to_pylist()
+            low = {i: min({(rows[j]["doc_id"], rows[j]["sent_idx"], rows[j]["sentence"]) for j in at}) for i, at in best.items()}
+            out = [[needles[i] for i in low], *([x[k] for x in low.values()] for k in range(3))]
+            kinds = [pa.string(), *(f.type for f in list(batch.schema)[:3])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["phrase", "doc_id", "sent_idx", "sentence"])
+
+    kinds = dict(sentences.dtypes)
+    held = sentences.where("doc_id is not null").select("doc_id", "sent_idx", "sentence", F.lower("sentence").alias("hay")).mapInArrow(work, f"phrase string, doc_id {kinds['doc_id']}, sent_idx {kinds['sent_idx']}, sentence string")
+    first = held.groupBy("phrase").agg(F.min(F.struct("doc_id", "sent_idx", "sentence")).alias("s")).select("phrase", "s.*")
+    at, n = F.expr("locate(phrase, lower(sentence))"), F.length("phrase")
+    start, stop = F.greatest(F.lit(1), at - around), F.least(F.length("sentence"), at + n - 1 + around)
+    cut = F.concat(F.when(start > 1, "…").otherwise(""), F.substring("sentence", start, stop - start + 1), F.when(stop < F.length("sentence"), "…").otherwise(""))
     return first.withColumn("context", F.when(F.length("sentence") > width, cut).otherwise(F.col("sentence"))).select("phrase", "doc_id", "sent_idx", "context")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossmill.functions import scores
 from glossmill.functions.text import normalise_definition
+from glossmill.scratch import settled
 
 
 def insert_or_ignore(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,10 +79,22 @@ def optional_match(pairs: list[tuple[Column, Column]]) -> Column:
     return reduce(lambda a, b: a & b, [m.isNull() | (m == r) for m, r in pairs])
 
 
-def numeric_then_text(key: Column) -> list[Column]:
+def numeric_then_text(key: str) -> list[Column]:
     """Sort keys: whole numbers first by value, then texts."""
-    number = F.expr(f"try_cast({key._jc.toString()} as bigint)")
-    return [number.isNull(), number, key]
+    number = F.expr(f"try_cast(`{key}` as bigint)")
+    return [number.isNull(), number, F.col(key)]
+
+
+def placed(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df with `place`, 1 for the first row in the order. Rows stay dealt by range; only the parts' sizes are gathered."""
+    ordered = settled(df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "placed")
+    sizes = sorted((r["_part"], r["n"], r["low"]) for r in ordered.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("low")).collect())
+    before, total = [], 0
+    for part, n, low in sizes:
+        before.append((part, total - low))
+        total += n
+    shifts = df.sparkSession.createDataFrame(before, "_part int, _shift long")
+    return ordered.join(F.broadcast(shifts), "_part").withColumn("place", F.col("_at") + F.col("_shift") + 1).drop("_part", "_at", "_shift")
 
 
 def decided(log: DataFrame, record: str = "record_key") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glossmill.functions.scores import quantised
 from glossmill.operators import coverage, tokens
-from glossmill.plans.common import LEXICON_SQL, PHRASES_SQL, RUNS_SQL, SPLIT_SQL, UNITS_SQL, benchmark_phrases, dealt, lexicon, matches_sql, read, runs
+from glossmill.plans.common import LEXICON_SQL, PHRASES_SQL, RUNS_SQL, SPLIT_SQL, UNITS_SQL, benchmark_phrases, lexicon, matches_sql, read, runs
 from glossmill.plans.registry import query
 
 KEYS = ["doc_id", "sent_idx", "run_idx"]
@@ -71,12 +71,12 @@ def stratum_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"{_BASE}, {_PER}, z AS (SELECT *, {_RATES} FROM m), u AS (SELECT lang, k.measure, CASE k.measure WHEN 'variety' THEN variety_q WHEN 'cooccur' THEN cooccur_q ELSE multi_q END AS v FROM z JOIN documents USING (doc_id), unnest(['variety', 'cooccur', 'multi']) AS k(measure)) "
-    "SELECT measure, floor(avg(v) FILTER (WHERE lang = 'en') + 0.5)::BIGINT AS en, floor(avg(v) FILTER (WHERE lang = 'fr') + 0.5)::BIGINT AS fr, floor(avg(v) FILTER (WHERE lang = 'de') + 0.5)::BIGINT AS de FROM u GROUP BY measure"
+    "SELECT measure, floor(avg(v) FILTER (WHERE lang = 'en') + 0.5)::BIGINT AS en, floor(avg(v) FILTER (WHERE lang = 'fr') + 0.5)::BIGINT AS fr, floor(avg(v) FILTER (WHERE lang = 'de') + 0.5)::BIGINT AS de, floor(avg(v) FILTER (WHERE lang = 'es') + 0.5)::BIGINT AS es FROM u GROUP BY measure"
 )
 def measure_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     strata = read(spark, sf_dir, "documents").select("doc_id", "lang")
     long = _measured(spark, sf_dir).join(strata, "doc_id").select("lang", F.expr("stack(3, 'variety', variety_q, 'cooccur', cooccur_q, 'multi', multi_q) as (measure, v)"))
-    return long.groupBy("measure").pivot("lang", ["en", "fr", "de"]).agg(F.floor(F.avg("v") + 0.5).cast("long"))
+    return long.groupBy("measure").pivot("lang", ["en", "fr", "de", "es"]).agg(F.floor(F.avg("v") + 0.5).cast("long"))
 
 
 @query(f"{_BASE} SELECT unit AS token, count(*) AS n FROM units WHERE category = 'UNKNOWN' GROUP BY unit")
@@ -108,7 +108,7 @@ _CHAT_RUNS = r"runs AS (SELECT conv_id, turn, sent_idx, j - 1 AS run_idx, regexp
 )
 def chat_turn_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage of each user turn."""
-    turns = dealt(read(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", "text"))
+    turns = read(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
     c = coverage.coverage_counts(tokens.token_runs(turns), benchmark_phrases(spark, sf_dir), lexicon(spark, sf_dir), ["conv_id", "turn", "sent_idx", "run_idx"], ["conv_id", "turn"])
     return c.select("conv_id", "turn", "t4", (F.col("t1") + F.col("t2")).alias("common_units"), (F.col("t1") + F.col("t2") + F.col("t3") + F.col("t4") + F.col("unknown")).alias("total"))
 

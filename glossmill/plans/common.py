@@ -13,15 +13,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """Spreads a table of few files over all cores; large tables have enough splits of their own."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return dealt(read(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text"))))
+    return read(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
 
 
 def area_of(source: Column) -> Column:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import scores
-from glossmill.operators import areas
-from glossmill.operators.ngrams import windows
-from glossmill.plans.common import AREA_SQL, MINED_SQL, area_of, benchmark_phrases, mined, read
+from glossmill.operators import areas, ngrams, tokens
+from glossmill.plans.common import AREA_SQL, MINED_SQL, area_of, benchmark_phrases, documents, read
 from glossmill.plans.registry import query
+from glossmill.scratch import settled
 
 LEAST = 6
 _COUNTS = ", ".join(f"sum(CASE WHEN area = '{a}' THEN doc_count ELSE 0 END)::BIGINT AS d_{a}" for a in scores.AREAS)
@@ -25,9 +25,11 @@ _BASE = f"""WITH {MINED_SQL}, g AS (SELECT doc_id, {AREA_SQL} AS area, source, a
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grams = mined(spark, sf_dir, "doc_id", "text", "source").select("doc_id", "source", F.explode(windows(F.col("words"), 2)).alias("phrase"))
-    per_doc = grams.groupBy("phrase", "source", "doc_id").agg(F.count("*").alias("frequency"))
-    return per_doc.select("phrase", area_of(F.col("source")).alias("area"), F.col("source").alias("source_file"), F.lit(1).cast("long").alias("doc_count"), "frequency")
+    """Bigrams by source, counted in rows that each hold a whole document, so no row per document is shuffled."""
+    stop = F.array(*[F.lit(w) for w in tokens.STOP_WORDS])
+    words = F.transform(tokens.sentences_of(F.col("text")), lambda s: F.filter(tokens.words_of(s), lambda w: ~F.array_contains(stop, w)))
+    rows = ngrams.document_ngrams(documents(spark, sf_dir, "text", "source"), "text", 2, words, ["source"])
+    return rows.select("phrase", area_of(F.col("source")).alias("area"), F.col("source").alias("source_file"), "doc_count", "frequency")
 
 
 def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +110,7 @@ def low_scorer_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def review_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enrich, drop what the store knows, route, and spill beyond the best of each area."""
-    fresh = _risky(spark, sf_dir).join(benchmark_phrases(spark, sf_dir), "phrase", "left_anti")
+    fresh = settled(_risky(spark, sf_dir).join(benchmark_phrases(spark, sf_dir), "phrase", "left_anti"), "merged")
     low = areas.low_scorers(fresh.select("phrase"), _pinned(spark, sf_dir))
     return areas.route(fresh.join(low, "phrase", "left")).select("phrase", "dominant_area", "bucket")
 

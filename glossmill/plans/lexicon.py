@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,41 +29,54 @@ def flexion_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stems(spark, sf_dir)
 
 
-def _round(n: int, affixes_s: str, affixes_p: str) -> str:
-    return (
-        f"c{n} AS (SELECT r.root, 0 AS k, -length(a) AS neg, left(r.root, length(r.root) - length(a)) AS rest FROM (SELECT DISTINCT root FROM r{n - 1}) r, unnest({affixes_s}) AS s(a) WHERE r.root LIKE '%' || a AND length(r.root) - length(a) >= 3 "
-        f"UNION ALL SELECT r.root, 1, -length(a), substring(r.root, length(a) + 1) FROM (SELECT DISTINCT root FROM r{n - 1}) r, unnest({affixes_p}) AS s(a) WHERE r.root LIKE a || '%' AND length(r.root) - length(a) >= 3), "
-        f"d{n} AS (SELECT root, min((k, neg, rest)) AS t FROM c{n} WHERE rest IN (SELECT stem FROM att) GROUP BY root), "
-        f"r{n} AS (SELECT r.stem, coalesce(split_part(t::VARCHAR, 'zzz', 2), '') AS junk, CASE WHEN t IS NULL THEN r.root ELSE t[3] END AS root FROM r{n - 1} r LEFT JOIN d{n} d ON d.root = r.root)"
-    )
-
-
 _S = "[" + ", ".join(f"'{x}'" for x in morphology.SUFFIXES) + "]"
 _P = "[" + ", ".join(f"'{x}'" for x in morphology.PREFIXES) + "]"
 _NUM = ", ".join(f"('{x}')" for x in morphology.NUMBER_ROOTS)
-_ROOTS = f"WITH {_STEMS}, base AS (SELECT DISTINCT stem FROM st), att AS (SELECT stem FROM base UNION SELECT x FROM (VALUES {_NUM}) v(x)), r0 AS (SELECT stem, '' AS junk, stem AS root FROM base), " + ", ".join(_round(i, _S, _P) for i in range(1, 5))
+_ROOTS = f"""WITH RECURSIVE {_STEMS}, base AS (SELECT DISTINCT stem FROM st), num(stem) AS (VALUES {_NUM}), att AS (SELECT stem FROM base UNION SELECT stem FROM num),
+    c AS (SELECT stem, 0 AS k, -length(a) AS neg, left(stem, length(stem) - length(a)) AS rest FROM att, unnest({_S}) AS s(a) WHERE stem LIKE '%' || a AND length(stem) - length(a) >= 3
+        UNION ALL SELECT stem, 1, -length(a), substring(stem, length(a) + 1) FROM att, unnest({_P}) AS s(a) WHERE stem LIKE a || '%' AND length(stem) - length(a) >= 3),
+    d AS (SELECT stem, min((k, neg, rest))[3] AS rest FROM c WHERE rest IN (SELECT stem FROM att) GROUP BY stem),
+    walk AS (SELECT stem, stem AS root FROM base UNION ALL SELECT walk.stem, d.rest FROM walk JOIN d ON d.stem = walk.root),
+    n AS (SELECT root, count(*) AS n FROM walk WHERE root NOT IN (SELECT stem FROM d) GROUP BY root),
+    p AS (SELECT coalesce(n.root, num.stem) AS root, coalesce(n, 1)::BIGINT AS n FROM n FULL JOIN num ON num.stem = n.root)"""
 
 
-@query(f"{_ROOTS} SELECT root, count(*) AS productivity, CASE WHEN count(*) >= 3 THEN 'core' WHEN count(*) = 2 THEN 'extended' ELSE 'tail' END AS tier FROM r4 GROUP BY root")
+@query(f"{_ROOTS} SELECT root, n AS productivity, CASE WHEN n >= 3 THEN 'core' WHEN n = 2 THEN 'extended' ELSE 'tail' END AS tier FROM p")
 def root_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four rounds of peeling, as many as the SQL states."""
-    return morphology.productivity(_stems(spark, sf_dir).select("stem").distinct(), 4)
+    """Affixes are peeled until none is left to peel."""
+    return morphology.productivity(_stems(spark, sf_dir).select("stem").distinct())
 
 
-@query(f"{_ROOTS}, p AS (SELECT root, count(*) AS n FROM r4 GROUP BY root) SELECT CASE WHEN n >= 3 THEN 'core' WHEN n = 2 THEN 'extended' ELSE 'tail' END AS tier, count(*) AS n_roots, sum(n)::BIGINT AS n_stems FROM p GROUP BY 1")
+@query(f"{_ROOTS} SELECT CASE WHEN n >= 3 THEN 'core' WHEN n = 2 THEN 'extended' ELSE 'tail' END AS tier, count(*) AS n_roots, sum(n)::BIGINT AS n_stems FROM p GROUP BY 1")
 def root_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = morphology.productivity(_stems(spark, sf_dir).select("stem").distinct(), 4)
+    found = morphology.productivity(_stems(spark, sf_dir).select("stem").distinct())
     return found.groupBy(root_tier(F.col("productivity")).alias("tier")).agg(F.count("*").alias("n_roots"), F.sum("productivity").alias("n_stems"))
 
 
-#: A small inventory for the query below: root -> (tier, productivity).
-INVENTORY = {"patr": ("core", 5), "san": ("core", 9), "vapor": ("extended", 2), "ŝip": ("core", 4), "klimat": ("tail", 2), "th": ("core", 9), "er": ("core", 5), "on": ("extended", 2), "ing": ("tail", 3), "re": ("core", 4), "at": ("core", 3)}
+def _decomposed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus' stems over the inventory of its own core and extended roots, a list that the inventory bounds."""
+    stems = _stems(spark, sf_dir).select("stem").distinct()
+    document = morphology.inventory_document(morphology.productivity(stems).where("productivity >= 2"))
+    roots, words = morphology.load_inventory(json.dumps(document))
+    return morphology.decompose(stems, roots, words)
 
 
 @query()
 def decompose_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A search with memory, not expressible in SQL; tested against known analyses."""
-    return morphology.decompose(_stems(spark, sf_dir), INVENTORY)
+    return _decomposed(spark, sf_dir)
+
+
+@query()
+def decomposition_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return morphology.decomposition_summary(_decomposed(spark, sf_dir))
+
+
+@query("WITH r AS (SELECT p_partkey AS id, unnest(string_split(lower(p_name), ' ')) AS root FROM part) SELECT root, count(DISTINCT id) AS n_concepts FROM r GROUP BY root")
+def root_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of a part's name stand for its roots."""
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("concept_id"), F.explode(F.split(F.lower("p_name"), " ")).alias("root"))
+    return morphology.root_support(rows)
 
 
 _LINES = "l AS (SELECT doc_id, i - 1 AS line_no, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents) d, unnest(range(1, len(ls) + 1)) AS u(i))"

@@ -10,6 +10,7 @@ from glossmill.functions.text import nominative_lt, normalise
 from glossmill.operators import ngrams, tokens
 from glossmill.plans.common import LEXICON_SQL, MINED_SQL, PHRASES_SQL, SENTENCES_SQL, UNI_SQL, benchmark_phrases, documents, grams_sql, lexicon, mined
 from glossmill.plans.registry import query
+from glossmill.scratch import settled
 
 LEAST_FREQUENCY, LEAST_PMI, LEAST_DOCUMENTS, TOP = 5, 2.0, 3, 500
 _LN2 = "ln(2.0)"
@@ -46,7 +47,7 @@ def ngram_doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unigrams = ngrams.unigram_counts(mined(spark, sf_dir))
+    unigrams = settled(ngrams.unigram_counts(mined(spark, sf_dir)), "unigrams")
     return ngrams.scored_bigrams(_bigrams(spark, sf_dir), unigrams, ngrams.total_of(unigrams))
 
 
@@ -107,40 +108,36 @@ def known_phrase_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(benchmark_phrases(spark, sf_dir), "phrase", "left_anti").select("phrase", "frequency")
 
 
-@query(
-    f"""WITH {LEXICON_SQL}, {PHRASES_SQL}, {_SCORED_SQL}, cand AS (SELECT * FROM scored WHERE pmi >= {LEAST_PMI}),
+_NOVEL_SQL = f"""{LEXICON_SQL}, {PHRASES_SQL}, {_SCORED_SQL}, cand AS (SELECT * FROM scored WHERE pmi >= {LEAST_PMI}),
     kept AS (SELECT * FROM cand x WHERE NOT EXISTS (SELECT 1 FROM cand y WHERE y.phrase <> x.phrase AND contains(y.phrase, x.phrase) AND y.frequency >= 0.5 * x.frequency AND y.pmi >= x.pmi - 2.0)),
-    novel AS (SELECT * FROM kept WHERE (split_part(phrase, ' ', 1) NOT IN (SELECT word FROM lex) OR split_part(phrase, ' ', 2) NOT IN (SELECT word FROM lex)) AND length(split_part(phrase, ' ', 1)) > 1 AND length(split_part(phrase, ' ', 2)) > 1 AND phrase NOT IN (SELECT phrase FROM phrases) AND doc_count >= {LEAST_DOCUMENTS})
-    SELECT phrase, frequency, doc_count, floor(g2 * 100 + 0.5)::BIGINT AS score_q FROM novel ORDER BY doc_count DESC, floor(g2 * 100 + 0.5)::BIGINT DESC, frequency DESC, phrase LIMIT {TOP}"""
-)
+    novel AS (SELECT * FROM kept WHERE (split_part(phrase, ' ', 1) NOT IN (SELECT word FROM lex) OR split_part(phrase, ' ', 2) NOT IN (SELECT word FROM lex)) AND length(split_part(phrase, ' ', 1)) > 1 AND length(split_part(phrase, ' ', 2)) > 1 AND phrase NOT IN (SELECT phrase FROM phrases) AND doc_count >= {LEAST_DOCUMENTS}),
+    top AS (SELECT phrase, frequency, doc_count, floor(g2 * 100 + 0.5)::BIGINT AS score_q FROM novel ORDER BY doc_count DESC, floor(g2 * 100 + 0.5)::BIGINT DESC, frequency DESC, phrase LIMIT {TOP})"""
+
+
+@query(f"WITH {_NOVEL_SQL} SELECT phrase, frequency, doc_count, score_q FROM top")
 def mine_candidates_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole miner: count, score, subsume, filter by lexicon and known phrases, rank, limit."""
-    candidates = _scored(spark, sf_dir).where(F.col("pmi") >= LEAST_PMI)
+    # Stored, as both sides of the subsumption and the filters behind it read them.
+    candidates = settled(_scored(spark, sf_dir).where(F.col("pmi") >= LEAST_PMI), "candidates")
     kept = ngrams.without_subsumed(candidates).where(ngrams.clean_components(F.split("phrase", " ")))
     novel = ngrams.lexicon_filter(kept, lexicon(spark, sf_dir)).join(benchmark_phrases(spark, sf_dir), "phrase", "left_anti").where(F.col("doc_count") >= LEAST_DOCUMENTS)
     ranked = novel.withColumn("score_q", scores.quantised(F.col("g2"), 100)).orderBy(F.desc("doc_count"), F.desc("score_q"), F.desc("frequency"), "phrase").limit(TOP)
     return ranked.select("phrase", "frequency", "doc_count", "score_q")
 
 
-_TOP_SQL = f"{MINED_SQL}, {grams_sql('g', 2)}, top AS (SELECT phrase, count(*) AS f FROM g GROUP BY phrase ORDER BY f DESC, phrase LIMIT 50)"
-
-
-def _top_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.ngram_counts(mined(spark, sf_dir), range(2, 3)).orderBy(F.desc("frequency"), "phrase").limit(50).select("phrase")
-
-
 @query(
-    f"""WITH {_TOP_SQL}, held AS (SELECT phrase, doc_id, sent_idx, sentence, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, sent_idx, sentence) AS r FROM top JOIN sents ON contains(lower(sentence), phrase)),
+    f"""WITH {_NOVEL_SQL}, held AS (SELECT phrase, doc_id, sent_idx, sentence, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, sent_idx, sentence) AS r FROM top JOIN sents ON contains(lower(sentence), phrase)),
     a AS (SELECT phrase, doc_id, sent_idx, sentence, greatest(1, strpos(lower(sentence), phrase) - 60) AS s, least(length(sentence), strpos(lower(sentence), phrase) + length(phrase) - 1 + 60) AS e FROM held WHERE r = 1)
     SELECT phrase, doc_id, sent_idx::INT AS sent_idx, CASE WHEN length(sentence) > 200 THEN (CASE WHEN s > 1 THEN '…' ELSE '' END) || substring(sentence, s, e - s + 1) || (CASE WHEN e < length(sentence) THEN '…' ELSE '' END) ELSE sentence END AS context FROM a"""
 )
 def sample_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.sample_context(_top_bigrams(spark, sf_dir), tokens.sentences(documents(spark, sf_dir)))
+    """A context for every ranked candidate."""
+    return ngrams.sample_context(settled(mine_candidates_topk(spark, sf_dir), "ranked"), tokens.sentences(documents(spark, sf_dir)))
 
 
-@query(f"WITH {PHRASES_SQL}, {_TOP_SQL} SELECT top.phrase, min(p.phrase) AS overlaps_known_term FROM top JOIN phrases p ON contains(top.phrase, p.phrase) OR contains(p.phrase, top.phrase) GROUP BY top.phrase")
+@query(f"WITH {_NOVEL_SQL} SELECT top.phrase, min(p.phrase) AS overlaps_known_term FROM top JOIN phrases p ON contains(top.phrase, p.phrase) OR contains(p.phrase, top.phrase) GROUP BY top.phrase")
 def known_term_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.known_overlap(_top_bigrams(spark, sf_dir), benchmark_phrases(spark, sf_dir).withColumnRenamed("phrase", "term"))
+    return ngrams.known_overlap(mine_candidates_topk(spark, sf_dir), benchmark_phrases(spark, sf_dir).withColumnRenamed("phrase", "term"))
 
 
 _LT_SQL = "CASE " + " ".join(f"WHEN word LIKE '%{e}' AND length(word) > {len(e)} THEN left(word, length(word) - {len(e)}) || '{r}'" for e, r in [("ių", "ys"), ("ės", "ė"), ("io", "is"), ("ui", "us"), ("os", "a"), ("ą", "as"), ("ę", "ė"), ("į", "is")]) + " ELSE word END"

@@ -53,20 +53,19 @@ def synonym_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WITH k AS (SELECT DISTINCT CASE WHEN p_partkey % 3 = 0 THEN p_size::VARCHAR ELSE p_brand END AS key FROM part) SELECT key, row_number() OVER (ORDER BY try_cast(key AS BIGINT) IS NULL, try_cast(key AS BIGINT), key) AS place FROM k"
 )
 def numeric_then_lexical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places of the few distinct keys (brands and sizes, a fixed list) in their order."""
+    """Places of the distinct keys in their order: a range sort, and the sizes of its parts on the driver."""
     keys = read(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 3 == 0, F.col("p_size").cast("string")).otherwise(F.col("p_brand")).alias("key")).distinct()
-    number = F.expr("try_cast(key as bigint)")
-    ranked = keys.agg(F.sort_array(F.collect_list(F.struct(number.isNull().alias("t"), number.alias("n"), "key"))).alias("all"))
-    return ranked.select(F.posexplode("all").alias("p", "x")).select("x.key", (F.col("p") + 1).cast("long").alias("place"))
+    return store.placed(keys, store.numeric_then_text("key")).select("key", "place")
 
 
-_OLD = "old AS (SELECT o_custkey AS k, o_orderpriority AS p FROM orders WHERE o_orderkey % 3 = 0), new AS (SELECT o_custkey AS k, o_orderpriority AS p FROM orders WHERE o_orderkey % 3 = 1)"
+_OLD = "old AS (SELECT o_custkey AS k, o_orderpriority AS p FROM orders WHERE o_orderkey % 3 = 0), new AS (SELECT o_custkey AS k, o_orderpriority AS p FROM orders WHERE o_orderkey % 3 <> 0)"
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All of orders in two: a third is the store, the rest the batch."""
     orders = read(spark, sf_dir, "orders")
-    side = lambda i: orders.where(F.col("o_orderkey") % 3 == i).select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("p"))
-    return side(0), side(1)
+    side = lambda held: orders.where(held).select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("p"))
+    return side(F.col("o_orderkey") % 3 == 0), side(F.col("o_orderkey") % 3 != 0)
 
 
 @query(f"WITH {_OLD} SELECT DISTINCT k, p FROM new WHERE (k, p) NOT IN (SELECT k, p FROM old)")
@@ -167,7 +166,7 @@ _AREAS = "['law', 'tariff_regulation', 'non_tariff_regulation', 'customs_procedu
 
 
 @query(
-    f"WITH r AS (SELECT l_partkey AS id, ({_AREAS})[l_suppkey % 8 + 1] AS area FROM lineitem WHERE l_partkey % 5 <> 0), c AS (SELECT id, a.area, count(r.area) FILTER (WHERE r.area = a.area) AS d FROM r, unnest(({_AREAS})[1:7]) AS a(area) GROUP BY ALL), "
+    f"WITH r AS (SELECT l_partkey AS id, ({_AREAS})[l_suppkey % 8 + 1] AS area FROM lineitem), c AS (SELECT id, a.area, count(r.area) FILTER (WHERE r.area = a.area) AS d FROM r, unnest(({_AREAS})[1:7]) AS a(area) GROUP BY ALL), "
     f"m AS (SELECT id, max(d) AS top FROM c GROUP BY id), s AS (SELECT c.id, string_agg(CASE WHEN top > 0 THEN upper(to_hex(least(15, floor(16.0 * d / top)::BIGINT))) ELSE '0' END, '' ORDER BY list_position({_AREAS}, area)) AS sig FROM c JOIN m USING (id) GROUP BY c.id) SELECT p_partkey AS id, sig AS area_signature FROM part LEFT JOIN s ON s.id = p_partkey"
 )
 def signature_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +174,7 @@ def signature_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.functions.scores import AREAS, CROSS_CUTTING
 
     names = F.array(*[F.lit(x) for x in (*AREAS, CROSS_CUTTING)])
-    rows = read(spark, sf_dir, "lineitem").where("l_partkey % 5 <> 0").select(F.col("l_partkey").alias("id"), F.get(names, (F.col("l_suppkey") % 8).cast("int")).alias("area"), F.lit(1).alias("doc_count"))
+    rows = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("id"), F.get(names, (F.col("l_suppkey") % 8).cast("int")).alias("area"), F.lit(1).alias("doc_count"))
     concepts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.lit("stale").alias("area_signature"))
     return store.recompute_signatures(concepts, rows, null_empty=True)
 

@@ -142,16 +142,70 @@ def test_upsert(spark):
     assert {(r.group, r.lang): r.action for r in store.upsert_definitions(stored, batch).collect()} == {("g1", "en"): "merge", ("g1", "lt"): "conflict", ("g1", "fr"): "add_lang", ("g2", "en"): "new"}
 
 
-def test_decomposition(spark):
-    d = morphology.Decomposer({"patr": ("core", 5), "san": ("core", 9), "vapor": ("extended", 2), "ŝip": ("core", 4), "foo": ("tail", 2), "sin": ("core", 3), "odd": ("tail", 1)}, ("kun",))
-    assert d.decompose("malsanulej") == {"kind": "derived", "prefixes": ["mal"], "roots": ["san"], "connectors": [], "suffixes": ["ul", "ej"], "morphemes": 4}
+ROOTS = {"patr": ("core", 5), "san": ("core", 9), "vapor": ("extended", 2), "ŝip": ("core", 4), "foo": ("tail", 2), "sin": ("core", 3), "odd": ("tail", 1), "klimat": ("tail", 1)}
+
+
+def test_decomposition():
+    d = morphology.Decomposer(ROOTS, ("kun",))
+    got = d.decompose("malsanulej")
+    assert (got["kind"], got["prefixes"], got["roots"], got["suffixes"], got["morphemes"], got["head_tier"]) == ("derived", ["mal"], ["san"], ["ul", "ej"], 4, "core")
     assert d.decompose("vaporŝip")["roots"] == ["vapor", "ŝip"]
+    assert d.decompose("vaporoŝip")["connectors"] == ["o"]
     assert d.decompose("foosin")["roots"] == ["foo", "sin"]
-    assert d.decompose("kun")["kind"] == "function_word"
-    assert d.decompose("odd")["kind"] == "unresolved"
-    stems = spark.createDataFrame([("sanul",), ("san",), ("malsan",), ("tri",)], "stem string")
+    assert d.decompose("kun")["kind"] == d.decompose("kunn")["kind"] == "function_word"
+    assert d.decompose("klimat")["kind"] == "simple" and d.decompose("klimat")["head_tier"] == "tail"
+    assert d.decompose("odd")["roots"] == ["odd"] and d.decompose("")["kind"] == "unresolved"
+    assert d.decompose("zzz")["category"] == "unknown" and d.decompose("x")["category"] == d.decompose("ism")["category"] == "artifact"
+    assert d.decompose("dudekx")["category"] == "compound_number"
+
+
+def test_solid_roots_are_never_split():
+    d = morphology.Decomposer({"abcd": ("extended", 2), "ab": ("core", 9), "cd": ("core", 9), "xabcd": ("tail", 1)})
+    assert d.decompose("abcd")["roots"] == ["abcd"]
+    assert d.decompose("malabcd")["roots"] == ["abcd"]
+
+
+def test_chains_of_any_length():
+    got = morphology.Decomposer({"patr": ("core", 5)}).decompose("malmalmalmalpatr" + "inetegidar" * 40)
+    assert got["roots"] == ["patr"] and got["prefixes"] == ["mal"] * 4 and len(got["suffixes"]) >= 160
+
+
+def test_productivity_to_the_last_affix(spark):
+    stems = spark.createDataFrame([("sanul",), ("san",), ("malsan",), ("tri",), (None,)], "stem string")
     roots = {r.root: (r.productivity, r.tier) for r in morphology.productivity(stems).collect()}
-    assert roots["san"] == (3, "core")
+    assert roots["san"] == (3, "core") and roots["dek"] == (1, "tail") and len(roots) == 1 + len(morphology.NUMBER_ROOTS)
+    chain = ["dom"]
+    for suffix in ("et", "eg", "ul", "in", "ar", "ej", "ist", "id", "an", "il", "um", "aĉ"):
+        chain.append(chain[-1] + suffix)
+    got = {r.stem: r.root for r in morphology.primitives(spark.createDataFrame([(x,) for x in chain], "stem string")).collect()}
+    assert got == {x: "dom" for x in chain}
+
+
+def test_inventory(spark):
+    import json
+
+    import pytest
+
+    counts = morphology.productivity(spark.createDataFrame([("san",), ("sanul",)], "stem string"))
+    document = morphology.inventory_document(counts)
+    roots, words = morphology.load_inventory(json.dumps(document))
+    assert roots["san"] == ("extended", 2) and words == ()
+    with pytest.raises(ValueError):
+        morphology.load_inventory("{}")
+    with pytest.raises(ValueError):
+        morphology.load_inventory(json.dumps({**document, "roots": {"a": ["gloss"]}}))
+    done = morphology.decompose(spark.createDataFrame([("sanul",), ("qq",)], "stem string"), roots)
+    assert {(r.kind, r.category): r.n for r in morphology.decomposition_summary(done).collect()} == {("derived", None): 1, ("unresolved", "artifact"): 1}
+
+
+def test_contexts_of_many_candidates(spark):
+    texts = [(i, 0, f"Here is word{i} again") for i in range(10_500)]
+    found = ngrams.sample_context(spark.createDataFrame([(f"word{i} a",) for i in range(10_500)], "phrase string"), spark.createDataFrame(texts, "doc_id long, sent_idx int, sentence string"))
+    assert found.count() == 10_500
+    import pytest
+
+    with pytest.raises(ValueError):
+        ngrams.sample_context(spark.createDataFrame([("a",), ("b",)], "phrase string"), spark.createDataFrame(texts, "doc_id long, sent_idx int, sentence string"), most=1)
 
 
 def test_concept_roots(spark):
