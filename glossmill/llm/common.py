@@ -56,7 +56,7 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back."""
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    df.write.options(**{"compression": "zstd", **options}).parquet(path)
     release(df.sparkSession)
     return df.sparkSession.read.parquet(path)
 

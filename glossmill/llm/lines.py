@@ -70,7 +70,7 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = LI
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], batch.schema.field(0).type), pa.array(out[2], pa.int32())], ["digest", "k", "at"])
 
     # Combined by hash within tasks, so a window that very many texts share sends one row from each.
-    found = cut(df.select(key, text).mapInArrow(places, f"digest binary, k {kind}, at int"))
+    found = stored(df.select(key, text).mapInArrow(places, f"digest binary, k {kind}, at int"), "line-windows")
     shared = cut(found.groupBy("digest").agg(F.count("*").alias("uses"), F.min(F.struct("k", "at")).alias("first")).where("uses > 1"))
     named = looked_up(found, shared, ["digest"], "uses", ["k", "at"]).where("first is not null")
     wanted = named.groupBy("k").agg(F.collect_set(F.struct("digest", "first")).alias("_gm_shared")).withColumnRenamed("k", "_gm_k")
