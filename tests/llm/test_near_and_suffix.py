@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from glossmill.llm import lines, simhash, suffixes
-from glossmill.llm.graph import components
+from glossmill.llm.graph import components, least_reached
 
 SCHEMA = "doc_id long, text string, lang string, fp string, k string"
 
@@ -203,15 +204,28 @@ def brute_links(nodes, pairs):
     return label
 
 
-def test_components_of_a_long_path(spark):
+@pytest.mark.parametrize("one_task", [0, 250_000])
+def test_components_of_a_long_path(spark, one_task):
     rng = random.Random(2)
     names = list(range(300))
     rng.shuffle(names)
     edges = [(names[i], names[i + 1]) for i in range(200)] + [(5, 5)]
-    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "u long, v long"), one_task=one_task).collect()}
     assert got == {n: min(names[:201]) for n in names[:201]}
 
 
+def test_one_task_finds_the_components_of_any_graph():
+    rng = np.random.default_rng(3)
+    for n, m in ((2, 1), (30, 12), (400, 350), (400, 2_000)):
+        u, v = rng.integers(-n, n, (2, m))
+        label = {x: x for x in (*u.tolist(), *v.tolist())}
+        for _ in label:
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
+                label[a] = label[b] = min(label[a], label[b])
+        nodes, labels = least_reached(u, v)
+        assert dict(zip(nodes.tolist(), labels.tolist(), strict=True)) == label
+
+
 def brute_removed(docs, size=100):
     first = {}
     for i, t in sorted(docs, key=lambda d: d[0]):
