@@ -23,7 +23,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from glossmill.plans import analysis, curation, lexicon, mining, storage  # noqa: F401
+    from glossmill.plans import analysis, curation, lexicon, mining, review, storage  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
