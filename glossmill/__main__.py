@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import scores
-from glossmill.operators import areas, coverage, ngrams, statutory, store, tokens
+from glossmill.operators import areas, coverage, ngrams, review, statutory, store, tokens, writer
 from glossmill.plans import reports
+from glossmill.scratch import settled
 from glossmill.sources import docx, files, markup
 
 
@@ -112,6 +113,34 @@ def _approve(spark: SparkSession, a: argparse.Namespace) -> None:
     files.write_jsonl(found.withColumn("approved", F.when(chosen, "true").otherwise(F.col("approved"))), a.output)
 
 
+STORE = ("concepts", "phrases", "occurrences", "attestation")
+
+
+def _write(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A new snapshot of the store (a folder of four tables) with the approved records; an error without any."""
+    held = writer.empty_store(spark)
+    if a.store:
+        held = writer.Store(*[spark.read.parquet(f"{a.store}/{x}") for x in STORE])
+    records = files.jsonl(spark, a.input, f"{files.CANDIDATE}, attestation array<struct<area:string,doc_count:long,frequency:long,source_file:string>>", comments=True)
+    records = review.require_approved(settled(records.withColumn("ord", F.monotonically_increasing_id()), "records"))
+    is_merged = F.col("attestation").isNotNull()
+    after = writer.write_batch(held, records.where(is_merged), records.where(~is_merged & F.col("phrase").isNotNull()), a.domain)
+    for name in STORE:
+        getattr(after, name).write.mode("errorifexists").parquet(f"{a.output}/{name}")
+    print(f"concepts: {after.concepts.count()}, new: {after.concepts.count() - held.concepts.count()}")
+
+
+def _quality(spark: SparkSession, a: argparse.Namespace) -> None:
+    """States and confidence of candidates, and how many are named entities as well."""
+    found = files.jsonl(spark, a.input, files.CANDIDATE, comments=True)
+    named = a.names or files.named_entities(spark, a.input)
+    level = found.withColumn("confidence", scores.confidence(F.col("frequency"), F.col("pmi")))
+    for row in sorted(review.state_counts(level, ["confidence"]).collect()):
+        print(f"{row.confidence}: {row.total} ({row.approved} approved, {row.pending} pending)")
+    overlap = review.name_overlap(found, files.jsonl(spark, named, "phrase string, phrase_normalized string")).count() if named else 0
+    print(f"named entities: {overlap}")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="glossmill")
     commands = top.add_subparsers(dest="command", required=True)
@@ -133,6 +162,8 @@ def parser() -> argparse.ArgumentParser:
     add("docx", _docx, need("input"), need("output"))
     add("conflicts", _conflicts, need("input"))
     add("approve", _approve, need("input"), need("output"), may("lang", nargs="*"))
+    add("write", _write, need("input"), need("domain"), need("output"), may("store"))
+    add("quality", _quality, need("input"), may("names"))
     return top
 
 

@@ -79,9 +79,49 @@ def record_kind(columns: list[str]):
     return F.when(definition & glossary, "glossary").when(definition, "markup").when(has("record_type"), "dropped").when(has("attestation"), "merged").when(has("phrase"), "statistical").otherwise("statutory")
 
 
+def found(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern matches, in order; none where nothing is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(x.getPath().toString() for x in status or [])
+
+
+def stores(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Name and path of each store (a .db file) in a folder."""
+    return {x.rsplit("/", 1)[-1][:-3]: x for x in found(spark, f"{folder}/*.db")}
+
+
+def named_entities(spark: SparkSession, path: str) -> str | None:
+    """The file of named entities beside a file of candidates, where there is one."""
+    folder, _, name = path.rpartition("/")
+    stem = name.rsplit(".", 1)[0]
+    for part, other in (("statistical_candidates", "ne_candidates"), ("mwe", "ne")):
+        beside = f"{folder or '.'}/{stem.replace(part, other)}.jsonl"
+        if part in stem and found(spark, beside):
+            return beside
+    return None
+
+
+def enrichments(spark: SparkSession, path: str) -> DataFrame:
+    """v1_id and eo_word of the enrichments that are approved and have a word; the last of an id wins. No file gives no rows."""
+    schema = "v1_id long, eo_word string, approved string"
+    if not found(spark, path):
+        return spark.createDataFrame([], "v1_id long, eo_word string")
+    fine = ~F.coalesce("approved", F.lit("")).isin("", "false", "0") & (F.coalesce("eo_word", F.lit("")) != "")
+    rows = jsonl(spark, path, schema).withColumn("ord", F.monotonically_increasing_id())
+    return rows.where(fine).groupBy("v1_id").agg(F.max_by("eo_word", "ord").alias("eo_word"))
+
+
 # Sinks
 
 
+def combine_jsonl(spark: SparkSession, paths: list[str], target: str) -> None:
+    """The lines of all files that exist, without blank ones; of no file nothing is written but an empty folder."""
+    there = [x for p in paths for x in found(spark, p)]
+    rows = spark.read.text(there) if there else spark.createDataFrame([], "value string")
+    rows.select(F.trim("value").alias("value")).where("value <> ''").write.mode("overwrite").text(target)
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
