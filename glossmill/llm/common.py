@@ -67,6 +67,12 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.java.lang.System.gc()
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder through the file system that holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def looked_up(left: DataFrame, right: DataFrame, on: list[str], uses: str, spread: list[str], fits: Column | None = None, total: int | None = None) -> DataFrame:
     """left with right's other columns; right has one row for each key `on`, and in `uses` how many rows of left have it.
 

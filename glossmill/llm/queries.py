@@ -82,6 +82,12 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"))
 
 
+def op12_click_throttling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glossmill.llm.throttle import throttle
+
+    return throttle(table(spark, sf_dir, "clicks"))
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glossmill.llm.languages import fit, held_out, predict
 
@@ -97,7 +103,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_line_dedup, op10_toxicity, op11_alignment, op13_language_id, pipeline)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_media_columns, op4_url_filter, op5_quality_rules, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_line_dedup, op10_toxicity, op11_alignment, op12_click_throttling, op13_language_id, pipeline)
 }
 
 ORACLES: dict[str, str] = {
