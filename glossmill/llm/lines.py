@@ -1,10 +1,11 @@
 """Line deduplication on content-defined chunks of lines.
 
-A rolling hash runs over the hashes of the lines that hold a word, LINES of them at a time. The windows whose
-hash stands elsewhere before make the chunk: it reaches from the first line of the first such window to the last
-line of the last one next to it, so its borders lie where the rolling hashes stop being repeated. They depend on
-the lines alone, and lines put in or taken out elsewhere move none. Each window of a chunk is compared byte by byte
-with the first of its hash (smallest key, then place); the lines of equal ones go, and the first one stays.
+A rolling hash runs over the hashes of the lines that hold a word, LINES of them at a time. A window whose hash
+stands more than once has a first copy (smallest key, then place). The lines of all first copies are protected: none
+of them is ever removed, so every repeated passage keeps a whole copy, also where passages overlap. Other copies go
+unless they touch a protected line; before that each is compared with its first copy byte by byte. Removed windows
+that touch make a chunk, whose borders lie where the rolling hashes stop being repeated or reach a protected line. They
+depend on the lines alone, and lines put in or taken out elsewhere move none.
 
 Only hashes, keys and places are exchanged at first. Texts are then dealt once, to be joined with the hashes they
 share, and only the shared windows' bytes meet for the comparison, each against the single first one. Hashes
@@ -116,9 +117,10 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = LI
                         held.pop(digest, None)
                     lines_, removed, gone, kept, last = t.split("\n"), 0, 0, [], 0
                     if held:
-                        for a, b, digest in windows(t.encode(), size)[1]:
-                            first = held.get(digest)
-                            if first is not None and not (first["k"] == k and first["at"] == a):
+                        known = [(a, b, held[digest]["k"] == k and held[digest]["at"] == a) for a, b, digest in windows(t.encode(), size)[1] if digest in held]
+                        protected = set().union(*(range(a, b) for a, b, is_first in known if is_first))
+                        for a, b, is_first in known:
+                            if not is_first and protected.isdisjoint(range(a, b)):
                                 kept += lines_[last:a]
                                 last, removed, gone = b, removed + b - max(a, last), gone + (a >= last)
                         t = "\n".join(kept + lines_[last:])
