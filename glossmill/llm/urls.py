@@ -7,7 +7,7 @@ unigram counts of words in the pages' own texts.
 
 The model learns from all urls that rules decide, without what decided them: the host name and path prefix of the
 rule that fired are no features there, so that it can't just learn the rules again. Counts stand in an exact table
-by token, which meets the urls' tokens by key. A token that no ruled url has is smoothed like any other.
+by token, which meets the urls' tokens by key. A token that no ruled url has weighs nothing.
 
 Defined cases: null urls and urls without "://" have an empty host and path, fit no rule and get the verdict
 of the prior; null page texts give no words; names that no counted word covers stay whole or fall into
@@ -149,7 +149,8 @@ def scored(rows: DataFrame, train: Column) -> DataFrame:
     blocked, allowed = ruled.agg(F.count_if(F.col("verdict") == "block"), F.count_if(F.col("verdict") == "allow")).first()
     prior, size = log((blocked + 1) / (allowed + 1)), max(seen["v"], 1) * SMOOTHING
     of = lambda c: F.log((F.col(c) + SMOOTHING) / ((seen[c[0]] or 0) + size))
-    weights = table.select("token", "uses", (of("block") - of("allow")).alias("weight"))
+    # A token that no ruled url has tells nothing.
+    weights = table.where("block + allow > 0").select("token", "uses", (of("block") - of("allow")).alias("weight"))
     sums = looked_up(each, weights, ["token"], "uses", ["uid"]).groupBy("uid").agg(F.sum("weight").alias("sum"))
     # Sums of doubles differ in their last digits with the order of rows.
     return rows.join(sums, "uid", "left").withColumn("score", F.round(F.lit(prior) + F.coalesce("sum", F.lit(0.0)), 9)).drop("sum")

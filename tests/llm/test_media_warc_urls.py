@@ -199,10 +199,31 @@ def test_judge_against_counting_by_hand(spark):
     n = {v: sum(r.verdict == v for r in ruled) for v in uses}
     for r in rows:
         want = log((n["block"] + 1) / (n["allow"] + 1))
-        for t in r.tokens:
+        for t in [t for t in r.tokens if t in uses["block"] or t in uses["allow"]]:
             want += log((uses["block"].count(t) + 1) / (len(uses["block"]) + vocabulary)) - log((uses["allow"].count(t) + 1) / (len(uses["allow"]) + vocabulary))
         assert abs(r.score - want) < 1e-8
         assert r.rule or r.verdict == ("block" if want > 0 else "allow")
     by_id = {r.page_id: r for r in rows}
     assert by_id[200].verdict == "block" and by_id[201].verdict == "allow" and by_id[202].host == "" and "h:cheap" in by_id[200].tokens
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_verdicts_follow_bayes_and_unseen_tokens_do_not_vote(spark):
+    from fractions import Fraction
+
+    data = [(i, f"http://a{i % 3}.org/en/garden/{i % 4}", "garden") for i in range(24)] + [(50 + i, f"http://b{i % 2}.com/de/bets/{i % 3}", "bets") for i in range(8)]
+    data += [(100, "http://zq0xv.net/", None), (101, "http://zq0xv.net/ooo/ppp/qqq/rrr/sss/ttt/uuu/vvv", None), (102, "http://zq0xv.net/bets/bets/ooo", None), (103, "http://zq0xv.net/garden/bets", None)]
+    rows = {r.page_id: r for r in urls.judge(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert rows[100].verdict == rows[101].verdict == "allow" and rows[100].score == rows[101].score and rows[102].verdict == "block"
+    sides = {v: [r.tokens for r in rows.values() if r.rule and r.verdict == v] for v in ("block", "allow")}
+    seen = {t for side in sides.values() for own in side for t in own}
+    for r in rows.values():
+        chance = {}
+        for v, side in sides.items():
+            bag = [t for own in side for t in own]
+            chance[v] = Fraction(len(side) + 1)
+            for t in r.tokens:
+                if t in seen:
+                    chance[v] *= Fraction(bag.count(t) + 1, len(bag) + len(seen))
+        if not r.rule:
+            assert r.verdict == ("block" if chance["block"] > chance["allow"] else "allow")
