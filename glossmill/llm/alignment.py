@@ -25,7 +25,7 @@ import re
 from collections import Counter
 from functools import cache
 from hashlib import sha256
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +34,17 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.common import looked_up, map_texts, sliced, stored
 
-#: A worker remembers at most so many distinct units or groups, then starts anew; longer units are not remembered.
+#: A worker remembers at most so many distinct units or groups, then keeps those at hand; longer units are not remembered.
 REMEMBERED, LONGEST = 250_000, 120
+#: New units are encoded together, about so many in a text.
+TOGETHER = 4000
 #: Groups with this share of all memberships are broadcast, with their two sums: at most so many rows. Where rows meet, a
 #: group of more than KEY characters is known by its SHA-256.
 HOT_SHARE, KEY = 65_536, 64
-_UNITS, _ODD, _SAFE = re.compile(r"[ \n]+[^ \n]*"), re.compile(r"[^\S \n]"), re.compile(r"(?<=\S)(?=[ \n])")
+MARKS = ".,;:!?"
+#: A word's closing mark starts a unit of its own behind these letters.
+_CLOSING = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ӿ][.,;:!?]")
+_SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 MARK = "▁"
 
 
@@ -73,66 +78,131 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
         self.blank = self.b.piece_to_id(MARK)
-        #: No piece may reach over a border before a blank or a line break, else texts are not cut.
+        #: No piece may reach over a unit's border, else texts are not cut.
         self.cuts = not any(MARK in p.lstrip(MARK) or "\n" in p for p in names)
+        self.closes = not any(_CLOSING.search(p) for p in names)
+        self.a_size = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_size[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        #: What a unit is known by: a word without the blank before it, else the unit itself.
         self.where: dict[str, int] = {}
-        self.texts: list[str | None] = []
-        self.parts: list[tuple[str, ...]] = []
+        self.parts: list[tuple[str, ...] | None] = []
         self.sizes = np.zeros((0, 4), np.int64)
         self.names: dict[str, str] = {}
-
-    def groups(self, units: list[str]) -> list[list[tuple[list[int], list[int]]] | None]:
-        """Groups (A ids, B ids) of each unit, or None where joined bytes differ."""
-        found_a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
-        lead = [u.startswith(" ") for u in units]
-        found_b = self.b.encode([u[1:] if x else u for u, x in zip(units, lead, strict=True)], num_threads=1)
-        out: list[list[tuple[list[int], list[int]]] | None] = []
-        for u, x, a, b in zip(units, lead, found_a, found_b, strict=True):
-            if x and len(u) == 1:
-                b = [self.blank]
-            elif not x:
-                b = b[1:] if b and b[0] == self.blank else [0]  # the blank that B adds is not the unit's
-            raw = u.encode()
-            ta, tb = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(ta) != raw or b"".join(tb) != raw:
-                out.append(None)
-                continue
-            ends_a, ends_b = list(accumulate(map(len, ta))), list(accumulate(map(len, tb)))
-            both, i, j, cut = set(ends_a) & set(ends_b), 0, 0, []
-            at_b = {e: n for n, e in enumerate(ends_b, 1)}
-            for n, e in enumerate(ends_a, 1):
-                if e in both:
-                    cut.append((a[i:n], b[j : at_b[e]]))
-                    i, j = n, at_b[e]
-            out.append(cut)
+        self.short: dict[tuple[int, int], dict[int, str]] = {}
+        self.marks: dict[str, tuple[tuple[str, ...] | None, np.ndarray]] = {}
+
+    def groups(self, text: str) -> tuple[np.ndarray, list[str], np.ndarray] | None:
+        """Of a text that starts with a blank: where its groups end (bytes), their texts and tokens of A and B; None if bytes differ."""
+        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:]) if len(text) > 1 else [self.blank]
+        raw = text.encode()
+        if b"".join(self.a_bytes.get(i, b"") for i in a) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        place = np.full(len(raw) + 1, -1, np.int64)
+        place[ends_a] = np.arange(len(a))
+        at_b = np.flatnonzero(place[ends_b] >= 0)
+        ends = ends_b[at_b]
+        at_a, at_b = np.r_[0, place[ends] + 1], np.r_[0, at_b + 1]
+        tokens = np.stack([np.diff(at_a), np.diff(at_b)], axis=1)
+        texts = np.empty(len(ends), object)
+        shape = tokens[:, 0] << 32 | tokens[:, 1]
+        for kind in np.unique(shape).tolist():
+            x, y = kind >> 32, kind & 0xFFFFFFFF
+            at = np.flatnonzero(shape == kind)
+            ids = np.concatenate([a[at_a[at, None] + np.arange(x)], b[at_b[at, None] + np.arange(y)]], axis=1)
+            texts[at] = self.spelt(x, y, ids)
+        return ends, texts.tolist(), tokens
+
+    def spelt(self, x: int, y: int, ids: np.ndarray) -> list[str]:
+        """Texts of groups of x tokens of A and y of B. Short groups are known by their packed ids."""
+        if x + y > 4 or ids.max() >= 1 << 16:
+            return [self.names.setdefault(t, t) for t in (f"{','.join(map(str, own[:x]))}|{','.join(map(str, own[x:]))}" for own in ids.tolist())]
+        known = self.short.setdefault((x, y), {})
+        codes = (ids.astype(np.uint64) << (np.arange(x + y, dtype=np.uint64) * np.uint64(16))).sum(axis=1, dtype=np.uint64).tolist()
+        out = list(map(known.get, codes))
+        for i in [i for i, t in enumerate(out) if t is None]:
+            own = list(map(str, ids[i].tolist()))
+            out[i] = known.setdefault(codes[i], f"{','.join(own[:x])}|{','.join(own[x:])}")
         return out
 
-    def _texts(self, cut: list[tuple[list[int], list[int]]]) -> tuple[str, ...]:
-        parts = (f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in cut)
-        return tuple(self.names.setdefault(p, p) for p in parts)
-
     def learn(self, units: set[str]) -> None:
-        fresh = [u for u in units if u not in self.where]
+        fresh = units - self.where.keys()
         if len(self.where) + len(fresh) > REMEMBERED:
-            self.forget()
-            fresh = list(units)
-        sizes = np.zeros((len(fresh), 4), np.int64)
-        for n, (u, cut) in enumerate(zip(fresh, self.groups(fresh) if fresh else [], strict=True)):
-            self.where[u] = len(self.texts)
-            parts = self._texts(cut) if cut is not None else ()
-            self.parts.append(parts)
-            self.texts.append(";".join(parts) if cut is not None else None)
-            for a, b in cut or ():
-                sizes[n] += (len(a), len(b), 1, len(a) * len(b))
-        self.sizes = np.concatenate([self.sizes, sizes])
-
-    def forget(self) -> None:
-        self.where, self.texts, self.parts, self.sizes, self.names = {}, [], [], np.zeros((0, 4), np.int64), {}
+            at = [(u, self.where[u]) for u in units - fresh]
+            self.parts, self.sizes = [self.parts[i] for _, i in at], self.sizes[[i for _, i in at]]
+            self.where = {u: n for n, (u, _) in enumerate(at)}
+            self.names, self.short = {}, {}
+        odd = {u for u in fresh if u[0] == "\n" or " " in u or not u.isprintable()}
+        plain = fresh - odd
+        closed = [u for u in plain if u[-1] in MARKS and _CLOSING.fullmatch(u, len(u) - 2)] if self.closes else []
+        words = list((plain - set(closed) | {u[:-1] for u in closed}) - self.where.keys())
+        breaks = [u for u in odd if u[0] == "\n" and u[-1] != "\n" and " " not in u and u.lstrip("\n").isprintable()]
+        for some, guard in ((words, ""), (breaks, " x")):
+            for start in range(0, len(some), TOGETHER):
+                self._together(some[start : start + TOGETHER], guard)
+        for u in odd - set(breaks):
+            self._together([u], " x")
+        if closed:
+            bases, marks = [self.where[u[:-1]] for u in closed], [self.mark(u[-1]) for u in closed]
+            self.sizes = np.concatenate([self.sizes, self.sizes[bases] + np.array([size for _, size in marks])])
+            self.where.update(zip(closed, range(len(self.parts), len(self.parts) + len(closed)), strict=True))
+            self.parts += [None if self.parts[i] is None or mark is None else self.parts[i] + mark for i, (mark, _) in zip(bases, marks, strict=True)]
+
+    def mark(self, mark: str) -> tuple[tuple[str, ...] | None, np.ndarray]:
+        """Groups and sizes of a closing mark behind a letter."""
+        if mark not in self.marks:
+            found = self.groups(" x" + mark)
+            if found is None:
+                self.marks[mark] = (None, np.zeros(4, np.int64))
+            else:
+                ends, texts, tokens = found
+                own = int(np.searchsorted(ends, 2, "right"))
+                self.marks[mark] = (tuple(texts[own:]), np.array([*tokens[own:].sum(axis=0), len(texts) - own, tokens[own:].prod(axis=1).sum()]))
+        return self.marks[mark]
+
+    def _together(self, units: list[str], guard: str) -> None:
+        """Encodes units as one text, each behind a guard, and remembers what lies within each."""
+        whole = [u if u[:1].isspace() else " " + u for u in units]
+        found = self.groups("".join(guard + u for u in whole))
+        if found is None:
+            if len(units) > 1:
+                for u in units:
+                    self._together([u], " x")
+                return
+            self.where[units[0]] = len(self.parts)
+            self.parts.append(None)
+            self.sizes = np.concatenate([self.sizes, np.zeros((1, 4), np.int64)])
+            return
+        ends, texts, tokens = found
+        length = np.array([len(u.encode()) for u in whole], np.int64)
+        behind = np.cumsum(length + len(guard))
+        first, last = np.searchsorted(ends, behind - length, "right"), np.searchsorted(ends, behind, "right")
+        sums = np.r_[np.zeros((1, 4), np.int64), np.cumsum(np.column_stack([tokens, np.ones(len(tokens), np.int64), tokens.prod(axis=1)]), axis=0)]
+        self.sizes = np.concatenate([self.sizes, sums[last] - sums[first]])
+        for u, i, j in zip(units, first.tolist(), last.tolist(), strict=True):
+            self.where[u] = len(self.parts)
+            self.parts.append(tuple(texts[i:j]))
 
     def cut(self, text: str) -> list[str]:
+        """The units of a text behind a blank."""
         if not self.cuts:
-            return [" " + text]
-        return _SAFE.split(" " + text) if _ODD.search(text) else _UNITS.findall(" " + text)
+            return [text if not text[:1].isspace() else " " + text]
+        if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] in " \n" or text[0] == "\n" or not text.replace("\n", "").isprintable():
+            return [u[1:] if u[0] == " " and u[1:] and not u[1].isspace() else u for u in _SAFE.split(" " + text)]
+        if "\n" not in text:
+            return text.split(" ")
+        out: list[str] = []
+        breaks = ""
+        for line in text.split("\n"):
+            if line:
+                words = line.split(" ")
+                words[0] = breaks + words[0]
+                out += words
+                breaks = ""
+            breaks += "\n"
+        return out
 
     def align(self, texts: list[str | None]) -> list[tuple[int, int, int, int, str | None, dict[str, int]]]:
         """Tokens of A and B, groups, links, the groups in order as text (None: no tokens), and how often each group occurs."""
@@ -140,30 +210,25 @@ class Aligner:
         self.learn(set(chain.from_iterable(units)))
         out = []
         for text, own in zip(texts, units, strict=True):
-            counted = Counter(own)
-            at = list(map(self.where.__getitem__, counted))
-            known = [self.texts[i] for i in at]
-            if None in known:
+            at = list(map(self.where.__getitem__, own))
+            try:
+                found = list(chain.from_iterable(map(self.parts.__getitem__, at)))
+            except TypeError:  # a unit's bytes differ
                 out.append(self.whole(text))
                 continue
-            n = np.fromiter(counted.values(), np.int64, len(at)) @ self.sizes[at] if at else [0] * 4
-            often: dict[str, int] = {}
-            for i, k in zip(at, counted.values(), strict=True):
-                for g in self.parts[i]:
-                    often[g] = often.get(g, 0) + k
-            spelt = dict(zip(counted, known, strict=True))
-            out.append((*(int(x) for x in n), ";".join(map(spelt.__getitem__, own)) if own else None, often))
-        if any(len(u) > LONGEST for u in self.where):
-            self.forget()
+            n = self.sizes[at].sum(axis=0).tolist() if at else [0] * 4
+            out.append((*n, ";".join(found) if own else None, dict(Counter(found))))
+        for u in [u for u in self.where if len(u) > LONGEST]:
+            del self.where[u]
         return out
 
     def whole(self, text: str) -> tuple[int, int, int, int, str | None, dict[str, int]]:
         """A text that has a unit whose bytes differ: as a whole it may still spell itself."""
-        cut = self.groups([" " + text])[0]
-        if cut is None:
+        found = self.groups(" " + text)
+        if found is None:
             return 0, 0, 0, 0, None, {}
-        parts = self._texts(cut)
-        return sum(len(a) for a, _ in cut), sum(len(b) for _, b in cut), len(cut), sum(len(a) * len(b) for a, b in cut), ";".join(parts), dict(Counter(parts))
+        _, parts, tokens = found
+        return (*(int(x) for x in tokens.sum(axis=0)), len(parts), int(tokens.prod(axis=1).sum()), ";".join(parts), dict(Counter(parts)))
 
 
 @cache
