@@ -49,7 +49,7 @@ def measured(docs: DataFrame, keys: list[str], phrases: DataFrame, lexicon: Data
     runs = tokens.token_runs(docs)
     parts = [*keys, "sent_idx", "run_idx"]
     counts = coverage.with_summary(coverage.coverage_counts(runs, phrases, lexicon, parts, keys))
-    more = coverage.expertise(coverage.classify(runs, phrases, lexicon, parts), keys).drop("total")
+    more = coverage.expertise(runs, phrases, lexicon, parts, keys).drop("total")
     return counts.join(more, keys)
 
 

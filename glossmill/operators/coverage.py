@@ -1,8 +1,18 @@
-"""Greedy longest-match classification against a tiered vocabulary, and the measures built on it."""
+"""Greedy longest-match classification against a tiered vocabulary, and the measures built on it.
+
+A token run is an array of words that nothing but blanks part; `lemmas`, where a tagger gives them, are as many.
+At each place of a run the first of these decides, and the selection goes on behind it: the longest exact phrase
+(its words or its lemmas), the longest phrase whose first word is a true opening of the word or lemma there and whose
+other words follow as words or lemmas, else the word's own tier by word or lemma, by inflection, and by a fallback
+lexicon.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import scores
@@ -11,39 +21,153 @@ from glossmill.operators.ngrams import windows
 LONGEST_MATCH = 3
 
 
-def phrase_matches(runs: DataFrame, phrases: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, pos, len, phrase of the chosen matches in token runs (keys, words).
+def _spans(words: str, n: int, order: int) -> Column:
+    return F.transform(windows(F.col(words), n), lambda g, i: F.struct(i.alias("pos"), F.lit(n).alias("len"), F.lit(order).alias("ord"), g.alias("phrase")))
+
+
+def _exact(runs: DataFrame, phrases: DataFrame, keys: list[str], lemmas: bool) -> DataFrame:
+    """Windows of up to three words (or their lemmas) that are phrases; windows meet the phrases in a hash join."""
+    spans = [_spans("words", n, 0) for n in range(1, LONGEST_MATCH + 1)] + [_spans("lemmas", n, 1) for n in range(1, LONGEST_MATCH + 1)] * lemmas
+    return runs.select(*keys, F.explode(F.concat(*spans)).alias("m")).select(*keys, "m.*").join(phrases.select("phrase").distinct(), "phrase")
+
+
+def _inflected(runs: DataFrame, phrases: DataFrame, keys: list[str], lemmas: bool) -> DataFrame:
+    """Places whose word (or lemma) truly starts with a phrase's first word, the others following, as words or lemmas.
 
-    Windows of up to three words meet the phrases in a hash join (broadcast where the phrases are few; Spark
-    decides by size). The matches of a run, sorted by place and the longest first, are then chosen from left
-    to right, each at or behind the end of the one before. Only matches are shuffled, never the windows.
+    What follows the first word meets the phrases' distinct endings, each of which knows the lengths that its first
+    words have. Only where an ending stands are those openings of the word spelt, and meet whole phrases by key.
     """
-    spans = F.concat(*[_spans(n) for n in range(1, LONGEST_MATCH + 1)])
-    hits = runs.select(*keys, F.explode(spans).alias("m")).select(*keys, "m.*").join(phrases.select("phrase").distinct(), "phrase")
-    per_run = hits.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", (-F.col("len")).alias("neg"), "phrase"))).alias("ms"))
-    empty = F.array().cast("array<struct<pos:int,neg:int,phrase:string>>")
-    chosen = F.aggregate("ms", F.struct(F.lit(0).alias("free"), empty.alias("out")), lambda s, m: F.when(m["pos"] >= s["free"], F.struct((m["pos"] - m["neg"]).alias("free"), F.concat(s["out"], F.array(m)).alias("out"))).otherwise(s), lambda s: s["out"])
-    return per_run.select(*keys, F.explode(chosen).alias("m")).select(*keys, "m.pos", (-F.col("m.neg")).alias("len"), "m.phrase")
+    cut = phrases.select("phrase", F.split("phrase", " ").alias("parts")).where(F.size("parts").between(2, LONGEST_MATCH)).select("phrase", F.col("parts")[0].alias("head"), F.array_join(F.slice("parts", F.lit(2), F.size("parts") - 1), " ").alias("rest"))
+    endings = cut.groupBy("rest").agg(F.sort_array(F.collect_set(F.length("head"))).alias("lengths"))
+    kinds = ["words", "lemmas"] if lemmas else ["words"]
 
+    def places(n: int, *sides: str) -> Column:
+        """Where a phrase of n words may start, and what follows its first word, each read from its side."""
+        rest = lambda i: F.concat_ws(" ", *[F.get(F.col(side), i + j) for j, side in enumerate(sides, 1)])
+        made = F.transform(F.sequence(F.lit(0), F.size("words") - n), lambda i: F.struct(i.alias("pos"), F.lit(n).alias("len"), rest(i).alias("rest")))
+        return F.when(F.size("words") >= n, made).otherwise(F.array().cast("array<struct<pos:int,len:int,rest:string>>"))
 
-def _spans(n: int):
-    return F.transform(windows(F.col("words"), n), lambda g, i: F.struct(i.alias("pos"), F.lit(n).alias("len"), g.alias("phrase")))
+    def openings(side: str) -> Column:
+        return F.transform(F.filter("lengths", lambda n: n < F.length(side)), lambda n: F.substring(F.col(side), F.lit(1), n))
 
+    starts = F.array_distinct(F.concat(*[places(2, k) for k in kinds], *[places(3, k, m) for k in kinds for m in kinds]))
+    at = runs.select(*keys, *kinds, F.explode(starts).alias("m")).select(*keys, "m.*", *[F.get(F.col(k), F.col("m.pos")).alias(f"_{k}") for k in kinds])
+    near = at.join(endings, "rest")
+    shown = F.array_distinct(F.concat(*[openings(f"_{k}") for k in kinds]))
+    tries = near.select(*keys, "pos", "len", "rest", F.explode(shown).alias("head"))
+    return tries.join(cut, ["head", "rest"]).select(*keys, "pos", "len", F.length("head").alias("head"), "phrase")
 
-def inflected_matches(tokens: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Phrases of two or three words whose first word is a true opening of a run's word and whose others follow it.
 
-    tokens: (id, pos, words). Instead of comparing every word with every phrase, all proper openings of the
-    words meet the phrases' first words by key. Of several the longest first word wins, then the first phrase.
+def _chosen(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """From left to right the best hit of each place at or behind the end of the one before: keys, picks.
+
+    A run's hits are sorted in one row; the fold over them is linear, also in runs of very many hits.
+    """
+    ranked = hits.groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct("pos", "ord", (-F.col("len")).alias("neg"), "far", "phrase"))).alias("ms"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("pos", pa.int32()), ("len", pa.int32()), ("phrase", pa.string()), ("step", pa.string())]))
+        for batch in batches:
+            out = []
+            for ms in batch.column(len(keys)).to_pylist():
+                free, picks = 0, []
+                for m in ms:
+                    if m["pos"] >= free:
+                        free = m["pos"] - m["neg"]
+                        picks.append({"pos": m["pos"], "len": -m["neg"], "phrase": m["phrase"], "step": STEPS[m["ord"] % 3]})
+                out.append(picks)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), pa.array(out, kind)], [*keys, "picks"])
+
+    types = dict(hits.dtypes)
+    return ranked.mapInArrow(fold, ", ".join(f"{k} {types[k]}" for k in keys) + ", picks array<struct<pos:int,len:int,phrase:string,step:string>>")
+
+
+#: How a phrase was found.
+STEPS = ("text", "lemma", "opening")
+
+
+def picks(runs: DataFrame, phrases: DataFrame, keys: list[str], inflected: bool = False) -> DataFrame:
+    """keys and picks (pos, len, phrase, step) of runs with a match. Only matches are shuffled, never the windows."""
+    lemmas = "lemmas" in runs.columns
+    # Exact hits of one place come first: the longest, then words before lemmas.
+    hits = _exact(runs, phrases, keys, lemmas).select(*keys, "pos", F.col("ord"), "len", F.lit(0).alias("far"), "phrase")
+    if lemmas or inflected:
+        hits = hits.select(*keys, "pos", F.lit(0).alias("phase"), "ord", "len", "far", "phrase")
+        if inflected:
+            more = _inflected(runs, phrases, keys, lemmas).select(*keys, "pos", F.lit(1).alias("phase"), F.lit(2).alias("ord"), "len", (-F.col("head")).alias("far"), "phrase")
+            hits = hits.unionByName(more)
+        # One order for both phases: exact before openings, longer before shorter, words before lemmas, long first words first.
+        hits = hits.select(*keys, "pos", ((F.col("phase") * LONGEST_MATCH + (LONGEST_MATCH - F.col("len"))) * 3 + F.col("ord")).cast("int").alias("ord"), "len", "far", "phrase")
+    else:
+        hits = hits.withColumn("ord", ((LONGEST_MATCH - F.col("len")) * 3).cast("int"))
+    return _chosen(hits, keys)
+
+
+def phrase_matches(runs: DataFrame, phrases: DataFrame, keys: list[str], inflected: bool = False) -> DataFrame:
+    """keys, pos, len, phrase, step of the chosen matches."""
+    return picks(runs, phrases, keys, inflected).select(*keys, F.explode("picks").alias("m")).select(*keys, "m.*")
+
+
+def with_synonyms(matches: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """matches with `synonym_of`, the canonical phrase of those that have one (phrase, canonical)."""
+    return matches.join(synonyms.select("phrase", F.col("canonical").alias("synonym_of")), "phrase", "left")
+
+
+def _uncovered(runs: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, pos, word, lemma of the words that no pick covers, marked inside the run's own row."""
+    everywhere = F.sequence(F.lit(0), F.size("words") - 1)
+    covered = F.flatten(F.transform("picks", lambda m: F.sequence(m["pos"], m["pos"] + m["len"] - 1)))
+    free = F.when(F.col("picks").isNull(), everywhere).otherwise(F.array_except(everywhere, covered))
+    lemmas = F.col("lemmas" if "lemmas" in runs.columns else "words")
+    rest = F.transform(free, lambda i: F.struct(i.alias("pos"), F.get(F.col("words"), i).alias("word"), F.get(lemmas, i).alias("lemma")))
+    return runs.where(F.size("words") > 0).join(found, keys, "left").select(*keys, F.explode(rest).alias("w")).select(*keys, "w.*")
+
+
+def resolve(words: DataFrame, lexicon: DataFrame, inflections: DataFrame | None = None, fallback: DataFrame | None = None) -> DataFrame:
+    """Distinct word, lemma with category and step: word, inflection, fallback, or null for UNKNOWN.
+
+    Tiers 1 and 2 by word or lemma come first, then by the lemma that inflections (inflected, lemma) give, then tier 3, then
+    tiers 1 and 2 of the fallback lexicon. Of several tiers of one word the lowest counts.
     """
-    split = F.split("phrase", " ")
-    heads = phrases.select("phrase", split.alias("parts")).where(F.size("parts").isin(2, 3)).withColumn("head", F.col("parts")[0])
-    word = F.get(F.col("words"), F.col("pos"))
-    openings = F.when(F.length(word) > 1, F.transform(F.sequence(F.lit(1), F.length(word) - 1), lambda k: F.substring(word, F.lit(1), k))).otherwise(F.array().cast("array<string>"))
-    tries = tokens.select("*", F.explode(openings).alias("head"))
-    fits = F.slice("words", F.col("pos") + 2, F.size("parts") - 1) == F.slice("parts", F.lit(2), F.size("parts") - 1)
-    hit = tries.join(heads, "head").where(fits)
-    return hit.groupBy("id", "pos").agg(F.max_by("phrase", F.struct(F.size("parts"), F.length("head"))).alias("phrase"), F.max(F.size("parts")).alias("len"))
+
+    def tier_of(df: DataFrame, table: DataFrame, on: str, name: str) -> DataFrame:
+        least = table.groupBy("word").agg(F.min("tier").alias(name)).withColumnRenamed("word", on)
+        return df.join(least, on, "left")
+
+    out = words.select("word", "lemma").distinct()
+    out = tier_of(tier_of(out, lexicon, "word", "_w"), lexicon, "lemma", "_l")
+    own, via, back = F.least("_w", "_l"), F.lit(None).cast("int"), F.lit(None).cast("int")
+    if inflections is not None:
+        forms = inflections.groupBy("inflected").agg(F.max("lemma").alias("_canon"))
+        for on, name in (("word", "_cw"), ("lemma", "_cl")):
+            out = out.join(forms.select(F.col("inflected").alias(on), F.col("_canon").alias(name)), on, "left")
+        out = tier_of(out.withColumn("_c", F.coalesce("_cw", "_cl")), lexicon, "_c", "_v")
+        via = F.col("_v")
+    if fallback is not None:
+        out = tier_of(tier_of(out, fallback, "word", "_fw"), fallback, "lemma", "_fl")
+        back = F.least("_fw", "_fl")
+    named = lambda t: F.concat(F.lit("TIER"), t.cast("string"))
+    category = F.when(own <= 2, named(own)).when(via <= 2, named(via)).when(own == 3, F.lit("TIER3")).when(back <= 2, named(back)).otherwise("UNKNOWN")
+    step = F.when(own <= 2, "word").when(via <= 2, "inflection").when(own == 3, "word").when(back <= 2, "fallback")
+    return out.select("word", "lemma", category.alias("category"), step.alias("step"))
+
+
+def cascade(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, inflections: DataFrame, fallback: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per unit by the full cascade: keys, pos, len, unit, category, step (of a phrase: text, lemma or opening)."""
+    found = picks(runs, phrases, keys, inflected=True)
+    rest = _uncovered(runs, found, keys)
+    words = rest.join(resolve(rest, lexicon, inflections, fallback), ["word", "lemma"]).select(*keys, "pos", F.lit(1).alias("len"), F.col("word").alias("unit"), "category", "step")
+    units = found.select(*keys, F.explode("picks").alias("m")).select(*keys, "m.pos", "m.len", F.col("m.phrase").alias("unit"), F.lit("TIER4").alias("category"), "m.step")
+    return units.unionByName(words)
+
+
+def cascade_counts(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, inflections: DataFrame, fallback: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """by, category, step, n. Words are counted before they meet the lexicons, so a row per word never crosses a shuffle."""
+    found = picks(runs, phrases, keys, inflected=True)
+    counted = _uncovered(runs, found, keys).groupBy(*by, "word", "lemma").agg(F.count("*").alias("n"))
+    words = counted.join(resolve(counted, lexicon, inflections, fallback), ["word", "lemma"]).select(*by, "category", "step", "n")
+    units = found.select(*by, F.explode("picks.step").alias("step")).select(*by, F.lit("TIER4").alias("category"), "step", F.lit(1).cast("long").alias("n"))
+    return units.unionByName(words).groupBy(*by, "category", "step").agg(F.sum("n").alias("n"))
 
 
 def ranked_lexicon(doc_counts: DataFrame, bounds: tuple[int, ...] = (100, 500, 1000)) -> DataFrame:
@@ -58,52 +182,62 @@ def ranked_lexicon(doc_counts: DataFrame, bounds: tuple[int, ...] = (100, 500, 1
 
 def classify(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
     """One row per classified unit: keys, pos, len, unit, category; a match is one unit whatever its length."""
-    chosen = phrase_matches(runs, phrases, keys)
-    units = chosen.select(*keys, "pos", "len", F.col("phrase").alias("unit"), F.lit("TIER4").alias("category"))
-    covered = chosen.select(*keys, F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("len") - 1)).alias("pos"))
-    words = runs.select(*keys, F.posexplode("words").alias("pos", "unit"))
-    rest = words.join(covered, [*keys, "pos"], "left_anti").join(lexicon.select(F.col("word").alias("unit"), "tier"), "unit", "left")
+    found = picks(runs, phrases, keys)
+    units = found.select(*keys, F.explode("picks").alias("m")).select(*keys, "m.pos", "m.len", F.col("m.phrase").alias("unit"), F.lit("TIER4").alias("category"))
     named = F.when(F.col("tier").isNull(), "UNKNOWN").otherwise(F.concat(F.lit("TIER"), F.col("tier")))
-    return units.unionByName(rest.select(*keys, "pos", F.lit(1).alias("len"), "unit", named.alias("category")))
+    rest = _uncovered(runs, found, keys).join(lexicon.select("word", "tier"), "word", "left")
+    return units.unionByName(rest.select(*keys, "pos", F.lit(1).alias("len"), F.col("word").alias("unit"), named.alias("category")))
 
 
-def coverage_counts(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    """t1, t2, t3, t4, unknown of each `by` (a prefix of keys), without a row per unit crossing a shuffle.
+def _tallies(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Rows by `by` whose sums are t1, t2, t3, t4 and unknown, and whose `concept` is a match's phrase.
 
-    Words are counted by tier over everything; what the matches cover is then taken off.
+    Words are counted by tier over everything; what the matches cover is taken off. The words stay where they are until
+    they are counted, so what crosses a shuffle is a row for each `by`.
     """
     chosen = phrase_matches(runs, phrases, keys)
-    tiers = lexicon.select("word", "tier")
-    all_words = runs.select(*by, F.explode("words").alias("word")).join(tiers, "word", "left")
-    inside = chosen.select(*by, F.explode(F.split("phrase", " ")).alias("word")).join(tiers, "word", "left")
-    sums = lambda df, sign: df.select(*by, *[(sign * (F.col("tier") == t).cast("long")).alias(f"t{t}") for t in (1, 2, 3)], (sign * F.col("tier").isNull().cast("long")).alias("unknown"), F.lit(0).cast("long").alias("t4"))
-    zero = F.lit(0).cast("long")
-    parts = [sums(all_words, 1), sums(inside, -1), chosen.select(*by, *[zero.alias(c) for c in ("t1", "t2", "t3", "unknown")], F.lit(1).cast("long").alias("t4"))]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return out.groupBy(*by).agg(*[F.sum(F.coalesce(F.col(c), zero)).alias(c) for c in ("t1", "t2", "t3", "t4", "unknown")])
+    tiers, zero, none = lexicon.select("word", "tier"), F.lit(0).cast("long"), F.lit(None).cast("string")
+
+    def sums(df: DataFrame, sign: int) -> DataFrame:
+        found = [(sign * (F.coalesce("tier", F.lit(0)) == t).cast("long")).alias(f"t{t}") for t in (1, 2, 3)]
+        return df.join(tiers, "word", "left").select(*by, *found, (sign * F.col("tier").isNull().cast("long")).alias("unknown"), zero.alias("t4"), none.alias("concept"))
+
+    words, inside = runs.select(*by, F.explode("words").alias("word")), chosen.select(*by, F.explode(F.split("phrase", " ")).alias("word"))
+    units = chosen.select(*by, *[zero.alias(c) for c in ("t1", "t2", "t3", "unknown")], F.lit(1).cast("long").alias("t4"), F.col("phrase").alias("concept"))
+    return sums(words, 1).unionByName(sums(inside, -1)).unionByName(units)
+
+
+def coverage_counts(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """t1, t2, t3, t4, unknown of each `by` (a prefix of keys)."""
+    return _tallies(runs, phrases, lexicon, keys, by).groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("t1", "t2", "t3", "t4", "unknown")])
+
+
+def unknown_counts(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
+    """word and n of the words outside the lexicon and outside all matches: all uses less those inside matches."""
+    chosen = phrase_matches(runs, phrases, keys)
+    one = lambda df, of, n: df.select(F.explode(of).alias("word"), F.lit(n).cast("long").alias("n"))
+    counted = one(runs, F.col("words"), 1).unionByName(one(chosen, F.split("phrase", " "), -1)).groupBy("word").agg(F.sum("n").alias("n"))
+    return counted.where("n > 0").join(lexicon.select("word"), "word", "left_anti")
 
 
 def with_summary(counts: DataFrame) -> DataFrame:
     return counts.withColumns(scores.coverage_columns(*(F.col(c) for c in ("t1", "t2", "t3", "t4", "unknown"))))
 
 
-def expertise(units: DataFrame, by: list[str], sentence: str = "sent_idx") -> DataFrame:
-    """Density, variety and co-occurrence of domain units (keys incl. sentence, unit, category), per `by`.
-
-    Two levels: sentences first, then `by`. Sentences without a unit do not count.
-    """
-    t4, t3 = F.col("category") == "TIER4", F.col("category") == "TIER3"
-    per = units.groupBy(*by, sentence).agg(F.collect_set(F.when(t4, F.col("unit"))).alias("concepts"), F.count_if(t4).alias("n4"), F.count_if(t3).alias("n3"), F.count("*").alias("n"), F.count_if(F.col("category") == "UNKNOWN").alias("nu"))
+def expertise(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, keys: list[str], by: list[str], sentence: str = "sent_idx") -> DataFrame:
+    """Density, variety and co-occurrence of domain units, per `by`: sentences first, then `by`. Sentences without a unit do not count."""
+    per = _tallies(runs, phrases, lexicon, keys, [*by, sentence]).groupBy(*by, sentence).agg(F.collect_set("concept").alias("concepts"), *[F.sum(c).alias(c) for c in ("t1", "t2", "t3", "t4", "unknown")])
+    per = per.withColumn("n", F.col("t1") + F.col("t2") + F.col("t3") + F.col("t4") + F.col("unknown")).where("n > 0")
     k = F.size("concepts")
     return per.groupBy(*by).agg(
         F.count("*").alias("n_sentences"),
         F.sum("n").alias("total"),
-        F.sum("n4").alias("t4_units"),
-        F.sum("n3").alias("t3_units"),
-        F.sum("nu").alias("unknown_units"),
+        F.sum("t4").alias("t4_units"),
+        F.sum("t3").alias("t3_units"),
+        F.sum("unknown").alias("unknown_units"),
         F.size(F.array_distinct(F.flatten(F.collect_list("concepts")))).cast("long").alias("distinct_t4"),
         F.sum(F.expr("size(concepts) * (size(concepts) - 1) div 2")).cast("long").alias("pairs"),
         F.count_if(k >= 1).alias("any_sentences"),
         F.count_if(k >= 2).alias("multi_sentences"),
-        F.sum(F.when(k >= 1, F.col("n3")).otherwise(0)).alias("anchored_t3"),
+        F.sum(F.when(k >= 1, F.col("t3")).otherwise(0)).alias("anchored_t3"),
     )

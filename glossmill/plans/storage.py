@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmill.operators import store
+from glossmill.operators import definitions, store
 from glossmill.plans.common import read
 from glossmill.plans.registry import query
 
@@ -132,6 +132,60 @@ def definition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.upsert_definitions(part.where("id % 2 = 0"), batch).select("p_partkey", "action")
 
 
+# Definition groups: three parts make a group, with brand and size class as phrase and the type as definition;
+# every seventh part is stored already.
+_GROUPS = (
+    "p AS (SELECT p_partkey, p_partkey // 3 AS g, CASE p_partkey % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' ELSE 'lt' END AS lang, lower(p_brand) || ' ' || (p_size % 4) AS phrase, p_type AS d, 'm' || (p_size % 6) AS p_mfgr FROM part), "
+    "s AS (SELECT * FROM p WHERE p_partkey % 7 = 0), b AS (SELECT * FROM p WHERE p_partkey % 7 <> 0), "
+    "hs AS (SELECT lang, phrase, arg_min(d, p_partkey) AS hd, min(p_partkey) AS hid FROM s GROUP BY ALL), hb AS (SELECT lang, phrase, arg_min(d, p_partkey) AS hd, arg_min(g, p_partkey) AS hg, min(p_partkey) AS hr FROM b GROUP BY ALL), "
+    "h AS (SELECT lang, phrase, CASE WHEN hid IS NOT NULL THEN hs.hd ELSE hb.hd END AS hd, hid, CASE WHEN hid IS NULL THEN hg END AS hg, CASE WHEN hid IS NULL THEN hr END AS hr FROM hs FULL JOIN hb USING (lang, phrase)), "
+    "m AS (SELECT g, hid, hg FROM b JOIN h USING (lang, phrase) WHERE lower(trim(d)) = lower(trim(hd)) AND (hid IS NOT NULL OR hg < g) QUALIFY row_number() OVER (PARTITION BY g ORDER BY p_partkey) = 1), "
+    "c AS (SELECT DISTINCT b.g, m.hid AS id, CASE WHEN m.g IS NULL THEN b.g END AS root FROM b LEFT JOIN m ON m.g = b.g WHERE m.g IS NULL OR m.hid IS NOT NULL UNION ALL SELECT m.g, c.id, c.root FROM c JOIN m ON m.hid IS NULL AND m.hg = c.g), "
+    "a AS (SELECT b.*, h.hd, c.id AS sid, c.root, CASE WHEN c.id IS NULL AND c.root = b.g THEN 'new' WHEN h.hid IS NULL AND h.hr >= b.p_partkey THEN 'add_lang' WHEN lower(trim(b.d)) = lower(trim(h.hd)) THEN 'merge' ELSE 'conflict' END AS action FROM b JOIN h USING (lang, phrase) JOIN c ON c.g = b.g), "
+    "o AS (SELECT g, r, (SELECT max(p_partkey) FROM s) + row_number() OVER (ORDER BY g, r NULLS FIRST) AS id FROM (SELECT DISTINCT g, NULL AS r FROM a WHERE action = 'new' UNION ALL SELECT g, p_partkey FROM a WHERE action = 'conflict') x), "
+    "w AS (SELECT a.*, coalesce(a.sid, og.id) AS gid, coalesce(ow.id, a.sid, og.id) AS id FROM a LEFT JOIN o og ON og.g = a.root AND og.r IS NULL LEFT JOIN o ow ON ow.g = a.g AND ow.r = a.p_partkey)"
+)
+
+
+def _definition_tables(spark: SparkSession, sf_dir: str) -> tuple[definitions.Definitions, DataFrame]:
+    lang = F.when(F.col("p_partkey") % 3 == 0, "en").when(F.col("p_partkey") % 3 == 1, "fr").otherwise("lt")
+    phrase = F.concat_ws(" ", F.lower("p_brand"), F.col("p_size") % 4)
+    p = read(spark, sf_dir, "part").select("p_partkey", lang.alias("lang"), phrase.alias("phrase"), F.col("p_type").alias("definition"), F.concat(F.lit("m"), F.col("p_size") % 6).alias("source"))
+    held = p.where("p_partkey % 7 = 0")
+    rows = held.select(F.col("p_partkey").alias("seq"), F.col("p_partkey").alias("id"), "lang", "phrase", "definition")
+    concepts = held.select(F.col("p_partkey").alias("id"), F.lit("document_specific").alias("scope"), F.lit("emerging").alias("status"), F.lit(False).alias("promotable"), F.col("source").alias("first_seen_source"), F.lit("parts").alias("domain"))
+    store_ = definitions.Definitions(concepts, rows, held.select(F.col("p_partkey").alias("id"), "lang", "source"), spark.createDataFrame([], definitions.CONFLICT))
+    return store_, p.where("p_partkey % 7 <> 0").withColumnRenamed("p_partkey", "r").withColumn("g", F.expr("r div 3"))
+
+
+@query(f"WITH RECURSIVE {_GROUPS} SELECT p_partkey, action, id::BIGINT AS concept_id FROM w")
+def definition_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of each record of the batch, in batch order, and its concept."""
+    return definitions.actions(*_definition_tables(spark, sf_dir)).select(F.col("r").alias("p_partkey"), "action", F.col("id").alias("concept_id"))
+
+
+@query(
+    f"WITH RECURSIVE {_GROUPS}, l AS (SELECT id, max(p_partkey) AS last FROM w WHERE action = 'merge' GROUP BY id), "
+    "n AS (SELECT id, count(DISTINCT p_mfgr) AS n FROM (SELECT l.id, w.p_mfgr FROM w JOIN l ON l.id = w.id WHERE w.p_partkey <= last UNION ALL SELECT l.id, s.p_mfgr FROM s JOIN l ON l.id = s.p_partkey) x GROUP BY id), "
+    "k AS (SELECT p_partkey AS id, p_mfgr AS f FROM s UNION ALL SELECT id, arg_min(p_mfgr, p_partkey) FROM w WHERE action IN ('new', 'conflict') GROUP BY id) "
+    "SELECT k.id::BIGINT AS id, CASE WHEN n >= 2 THEN 'domain' ELSE 'document_specific' END AS scope, CASE WHEN n >= 3 THEN 'crystallized' WHEN n = 2 THEN 'established' ELSE 'emerging' END AS status, f AS first_seen_source FROM k LEFT JOIN n ON n.id = k.id"
+)
+def definition_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The concepts after the batch."""
+    return definitions.write(*_definition_tables(spark, sf_dir), "parts").concepts.select("id", "scope", "status", "first_seen_source")
+
+
+@query(
+    f"WITH RECURSIVE {_GROUPS}, rw AS (SELECT p_partkey AS seq, p_partkey AS id, lang, phrase, d, FALSE AS fresh FROM s UNION ALL SELECT (SELECT max(p_partkey) FROM s) + p_partkey, id, lang, phrase, d, action = 'new' FROM w WHERE action <> 'merge'), "
+    "ld AS (SELECT lang, phrase, lower(trim(d)) AS nd, arg_min(id, seq) AS id, arg_min(d, seq) AS d, min(seq) AS seq FROM rw GROUP BY ALL) "
+    "SELECT gid::BIGINT AS id_a, id::BIGINT AS id_b, 'A: ' || left(hd, 100) || ' | B: ' || left(d, 100) AS detail FROM w WHERE action = 'conflict' UNION ALL "
+    "SELECT ld.id::BIGINT, rw.id::BIGINT, 'A: ' || left(ld.d, 100) || ' | B: ' || left(rw.d, 100) FROM rw JOIN ld ON ld.lang = rw.lang AND ld.phrase = rw.phrase AND ld.seq < rw.seq AND ld.nd <> lower(trim(rw.d)) AND ld.id <> rw.id WHERE rw.fresh"
+)
+def definition_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conflicts that the batch brings."""
+    return definitions.write(*_definition_tables(spark, sf_dir), "parts").conflicts
+
+
 @query("SELECT DISTINCT lang FROM documents INTERSECT SELECT DISTINCT lang FROM documents WHERE source = 'src1'")
 def common_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("lang", "source")

@@ -72,7 +72,7 @@ def test_lexicon_filter_and_overlap(spark):
 def test_greedy_matches(spark):
     runs = spark.createDataFrame([(0, ["a", "b", "c", "a", "b", "x"]), (1, ["b", "c"])], "id int, words array<string>")
     phrases = spark.createDataFrame([("a b",), ("a b c",), ("b c",), ("x",)], "phrase string")
-    got = rows(coverage.phrase_matches(runs, phrases, ["id"]))
+    got = rows(coverage.phrase_matches(runs, phrases, ["id"]).drop("step"))
     assert got == [(0, 0, 3, "a b c"), (0, 3, 2, "a b"), (0, 5, 1, "x"), (1, 0, 2, "b c")]
 
 
@@ -93,16 +93,69 @@ def test_coverage_counts_agree_with_units(spark):
 
 
 def test_expertise(spark):
-    units = spark.createDataFrame([(0, 0, "a", "TIER4"), (0, 0, "b", "TIER4"), (0, 0, "b", "TIER4"), (0, 0, "c", "TIER4"), (0, 0, "t", "TIER3"), (0, 1, "t", "TIER3"), (0, 1, "u", "UNKNOWN")], "doc_id int, sent_idx int, unit string, category string")
-    r = coverage.expertise(units, ["doc_id"]).first()
+    runs = spark.createDataFrame([(0, 0, 0, ["a", "b", "b", "c", "t"]), (0, 1, 0, ["t", "u"]), (0, 2, 0, [])], "doc_id int, sent_idx int, run_idx int, words array<string>")
+    phrases, lex = spark.createDataFrame([("a",), ("b",), ("c",)], "phrase string"), spark.createDataFrame([("t", 3)], "word string, tier int")
+    r = coverage.expertise(runs, phrases, lex, ["doc_id", "sent_idx", "run_idx"], ["doc_id"]).first()
     assert (r.pairs, r.any_sentences, r.multi_sentences, r.distinct_t4, r.t3_units, r.anchored_t3, r.n_sentences, r.total) == (3, 1, 1, 3, 2, 1, 2, 7)
-
-
-def test_inflected_matches(spark):
-    t = spark.createDataFrame([(0, 0, ["individualia", "veikla"]), (1, 0, ["individuali", "veikla"])], "id int, pos int, words array<string>")
-    phrases = spark.createDataFrame([("individuali veikla",), ("individual veikla",)], "phrase string")
-    got = rows(coverage.inflected_matches(t, phrases).select("id", "phrase"))
-    assert got == [(0, "individuali veikla"), (1, "individual veikla")]
+    assert rows(coverage.unknown_counts(runs, phrases, lex, ["doc_id", "sent_idx", "run_idx"])) == [("u", 1)]
+
+
+def cascade_of(spark, words, lemmas, phrases, tiers, forms=(), fallback=()):
+    runs = spark.createDataFrame([(0, words, lemmas)], "id int, words array<string>, lemmas array<string>")
+    table = lambda data, schema: spark.createDataFrame(list(data), schema)
+    found = coverage.cascade(runs, table([(p,) for p in phrases], "phrase string"), table(tiers, "word string, tier int"), table(forms, "inflected string, lemma string"), table(fallback, "word string, tier int"), ["id"])
+    return [tuple(r)[1:] for r in found.orderBy("pos").collect()]
+
+
+def test_cascade_steps(spark):
+    got = cascade_of(spark, ["individualia", "veikla", "yra", "gera"], ["individualias", "veikla", "būti", "geras"], ["individuali veikla"], [("geras", 2)])
+    assert got == [(0, 2, "individuali veikla", "TIER4", "opening"), (2, 1, "yra", "UNKNOWN", None), (3, 1, "gera", "TIER2", "word")]
+    # Exact goes before openings at one place, the longest first; lemmas count as well as words.
+    got = cascade_of(spark, ["customs", "duties", "apply"], ["customs", "duty", "apply"], ["customs duty", "customs", "custom duties apply"], [])
+    assert got == [(0, 2, "customs duty", "TIER4", "lemma"), (2, 1, "apply", "UNKNOWN", None)]
+    # An earlier opening takes words from a later exact phrase.
+    got = cascade_of(spark, ["goods", "entry", "point"], ["goods", "entry", "point"], ["good entry", "entry point"], [("point", 1)])
+    assert got == [(0, 2, "good entry", "TIER4", "opening"), (2, 1, "point", "TIER1", "word")]
+    # A word that equals the first word is no opening of itself; a phrase must fit in whole.
+    assert cascade_of(spark, ["good", "entry"], ["good", "entry"], ["good exit", "good entry now"], []) == [(0, 1, "good", "UNKNOWN", None), (1, 1, "entry", "UNKNOWN", None)]
+    # Tiers: word or lemma, then inflection for tiers 1 and 2, then tier 3, then the fallback.
+    words = ["is", "ran", "walked", "odd", "chat", "rare"]
+    got = cascade_of(spark, words, ["is", "run", "walked", "odd", "chat", "rare"], [], [("be", 1), ("run", 2), ("walked", 3), ("walk", 3), ("odd", 3)], [("is", "be"), ("walked", "walk"), ("odd", "be")], [("chat", 2), ("rare", 3)])
+    assert [(c, s) for _, _, _, c, s in got] == [("TIER1", "inflection"), ("TIER2", "word"), ("TIER3", "word"), ("TIER1", "inflection"), ("TIER2", "fallback"), ("UNKNOWN", None)]
+
+
+def test_cascade_against_a_plain_loop(spark):
+    import random
+
+    rng = random.Random(4)
+    vocabulary = ["a", "ab", "abc", "b", "ba", "bac", "c", "ca"]
+    for trial in range(6):
+        words = [rng.choice(vocabulary) for _ in range(40)]
+        lemmas = [w[:-1] if len(w) > 2 and rng.random() < 0.5 else w for w in words]
+        phrases = sorted({" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 4))) for _ in range(14)})
+        want, i = [], 0
+        while i < len(words):
+            best = None
+            for n in (3, 2, 1):
+                for step, side in (("text", words), ("lemma", lemmas)):
+                    if best is None and i + n <= len(words) and " ".join(side[i : i + n]) in phrases:
+                        best = (n, " ".join(side[i : i + n]), step)
+            for n in (3, 2):
+                fits = [p for p in phrases if best is None and len(p.split()) == n and i + n <= len(words) and any(s[i].startswith(p.split()[0]) and s[i] != p.split()[0] for s in (words, lemmas)) and all(x in (words[i + j], lemmas[i + j]) for j, x in enumerate(p.split()) if j)]
+                if fits:
+                    best = (n, min(fits, key=lambda p: (-len(p.split()[0]), p)), "opening")
+            if best:
+                want.append((i, best[0], best[1], "TIER4", best[2]))
+            else:
+                want.append((i, 1, words[i], "UNKNOWN", None))
+            i += best[0] if best else 1
+        assert cascade_of(spark, words, lemmas, phrases, []) == want, trial
+
+
+def test_very_long_runs_are_matched(spark):
+    words = ["x", "y"] * 20_000
+    runs = spark.createDataFrame([(0, words)], "id int, words array<string>")
+    assert coverage.phrase_matches(runs, spark.createDataFrame([("x y",)], "phrase string"), ["id"]).count() == 20_000
 
 
 def test_merge_and_route(spark):
