@@ -56,7 +56,7 @@ def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     key = data.copy()
     for back in range(1, ORDER + 1):
         earlier = np.full(len(data), _BLANK, np.uint64)
-        earlier[back:] = data[: len(data) - back]
+        earlier[back:] = data[: max(len(data) - back, 0)]
         earlier[place == back - 1] = _BLANK
         inside = place >= back - 1
         key[inside] |= earlier[inside] << np.uint64(8 * back)

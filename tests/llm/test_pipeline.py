@@ -53,5 +53,5 @@ def test_registration():
     import __spark_entry__ as e
 
     names = [n for n in e.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in e.queries() and set(e.oracle_sql()) <= set(e.queries())
