@@ -150,6 +150,12 @@ class Decomposer:
                     self.known[top] = self._best(top)
         return self.known[stem]
 
+    def within(self, roots: dict[str, tuple[str, int]]) -> Decomposer:
+        """Itself over other roots, what it remembers left behind."""
+        self.roots = {**roots, **{n: ("core", max(1, roots[n][1] if n in roots else 1)) for n in self.numbers}}
+        self.longest, self.known = max(map(len, self.roots), default=0), {}
+        return self
+
     def decompose(self, stem: str) -> dict:
         stem = stem.strip().lower()
         nothing = {"prefixes": [], "roots": [], "connectors": [], "suffixes": [], "morphemes": 0, "head_tier": None, "category": None}
@@ -170,17 +176,40 @@ class Decomposer:
 
 
 DECOMPOSED = "stem string, kind string, prefixes array<string>, roots array<string>, connectors array<string>, suffixes array<string>, morphemes int, head_tier string, category string"
+ROOTS = "root string, tier string, productivity long"
+#: Strings of stems up to this length meet the roots as they are; longer roots meet them by an opening of this length.
+OPENING = 32
+
+
+def roots_within(stems: DataFrame, roots: DataFrame) -> DataFrame:
+    """stem and `found`, the roots (root, tier, productivity) that stand somewhere in it; stems without any have null.
+
+    A stem's own strings meet the roots by key, so the inventory may be of any size.
+    """
+    low = stems.select("stem", F.lower(F.trim("stem")).alias("_low"))
+    n = F.length("_low")
+    openings = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(OPENING), n - i + 1)), lambda k: F.substring(F.col("_low"), i, k)))
+    parts = low.where(n > 0).select("stem", "_low", F.explode(F.array_distinct(F.flatten(openings))).alias("part"))
+    named = roots.select(F.lower("root").alias("root"), "tier", F.coalesce("productivity", F.lit(0)).cast("long").alias("productivity")).groupBy("root").agg(F.max_by(F.struct("tier", "productivity"), "productivity").alias("v")).select("root", "v.*")
+    short = parts.join(named.where(F.length("root") <= OPENING).withColumn("part", F.col("root")), "part").select("stem", "root", "tier", "productivity")
+    long = parts.where(F.length("part") == OPENING).join(named.where(F.length("root") > OPENING).withColumn("part", F.substring("root", 1, OPENING)), "part").where(F.col("_low").contains(F.col("root"))).select("stem", "root", "tier", "productivity").distinct()
+    found = short.unionByName(long).groupBy("stem").agg(F.collect_list(F.struct("root", "tier", "productivity")).alias("found"))
+    return stems.select("stem").join(found, "stem", "left")
 
 
-def decompose(stems: DataFrame, roots: dict[str, tuple[str, int]], words: tuple[str, ...] = ()) -> DataFrame:
-    """Each distinct stem once, in Arrow batches; the inventory is a bounded parameter."""
+def decompose(stems: DataFrame, roots: DataFrame, words: tuple[str, ...] = ()) -> DataFrame:
+    """Each distinct stem once, over the roots (root, tier, productivity) that it contains; a split can use no others."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decomposer = Decomposer(roots, words)
+        decomposer, columns = Decomposer({}, words), [c.split(" ")[0] for c in DECOMPOSED.split(", ")]
         for pdf in batches:
-            yield pd.DataFrame([{"stem": s, **decomposer.decompose(s)} for s in pdf["stem"]], columns=[c.split(" ")[0] for c in DECOMPOSED.split(", ")])
+            out = []
+            for stem, found in zip(pdf["stem"], pdf["found"], strict=True):
+                own = {r["root"]: (r["tier"], r["productivity"]) for r in found} if found is not None else {}
+                out.append({"stem": stem, **decomposer.within(own).decompose(stem)})
+            yield pd.DataFrame(out, columns=columns)
 
-    return stems.select("stem").where("stem is not null").distinct().mapInPandas(work, DECOMPOSED)
+    return roots_within(stems.select("stem").where("stem is not null").distinct(), roots).mapInPandas(work, DECOMPOSED)
 
 
 def concept_roots(concepts: DataFrame, decomposed: DataFrame) -> DataFrame:
@@ -199,13 +228,34 @@ def root_support(concept_roots: DataFrame) -> DataFrame:
     return concept_roots.select("root", "concept_id").distinct().groupBy("root").agg(F.count("*").alias("n_concepts"))
 
 
-def inventory_document(counts: DataFrame, most: int = 200_000) -> dict:
-    """The inventory of roots (root, productivity, tier[, gloss]) as one JSON document; a bounded list, else an error."""
-    rows = counts.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"an inventory holds at most {most} roots")
-    roots = {r["root"]: {"gloss": r["gloss"] if "gloss" in counts.columns else "", "prod": r["productivity"], "tier": r["tier"]} for r in sorted(rows, key=lambda r: r["root"])}
-    return {"roots": roots, "suffixes": SUFFIXES, "prefixes": [*PREFIXES, *PREPOSITIONS], "correlatives": [], "other": [], "number_roots": NUMBER_ROOTS}
+def write_inventory(counts: DataFrame, folder: str) -> None:
+    """An inventory of roots (root, productivity, tier[, gloss]) as a folder, written by the tasks that hold the roots.
+
+    roots: JSON lines in the order of the roots; list: the roots alone, one a line; affixes: one JSON document.
+    """
+    gloss = F.coalesce("gloss", F.lit("")) if "gloss" in counts.columns else F.lit("")
+    ordered = settled(counts.select("root", gloss.alias("gloss"), F.col("productivity").alias("prod"), "tier").orderBy("root"), "inventory")
+    ordered.write.json(f"{folder}/roots")
+    ordered.select("root").write.text(f"{folder}/list")
+    affixes = {"suffixes": SUFFIXES, "prefixes": [*PREFIXES, *PREPOSITIONS], "correlatives": [], "other": [], "number_roots": NUMBER_ROOTS}
+    counts.sparkSession.createDataFrame([(json.dumps(affixes, ensure_ascii=False),)], "value string").write.text(f"{folder}/affixes")
+
+
+def read_inventory(spark, folder: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """Roots (root, tier, productivity) and function words of such a folder; raises where a part is missing or roots have no tier."""
+    found = json.loads("".join(r["value"] for r in spark.read.text(f"{folder}/affixes").collect()))
+    missing = [k for k in ("suffixes", "prefixes", "correlatives", "other", "number_roots") if k not in found]
+    if missing:
+        raise ValueError(f"inventory: missing {', '.join(missing)}")
+    roots = spark.read.schema("root string, gloss string, prod long, tier string").json(f"{folder}/roots")
+    if not roots.where("root IS NULL OR tier IS NULL").isEmpty():
+        raise ValueError("inventory: roots must state gloss, prod and tier")
+    return roots.select("root", "tier", F.col("prod").alias("productivity")), tuple(w.lower() for w in (*found["correlatives"], *found["other"]))
+
+
+def root_table(spark, roots: dict[str, tuple[str, int]]) -> DataFrame:
+    """A stated inventory as a table of roots."""
+    return spark.createDataFrame([(r, tier, n) for r, (tier, n) in roots.items()], ROOTS)
 
 
 def load_inventory(document: str) -> tuple[dict[str, tuple[str, int]], tuple[str, ...]]:

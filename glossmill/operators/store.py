@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossmill.functions import scores
@@ -97,12 +97,27 @@ def placed(df: DataFrame, order: list[Column]) -> DataFrame:
     return ordered.join(F.broadcast(shifts), "_part").withColumn("place", F.col("_at") + F.col("_shift") + 1).drop("_part", "_at", "_shift")
 
 
-def decided(log: DataFrame, record: str = "record_key") -> DataFrame:
-    """State of each record from a log (record_key, action, ts): the last action that was not undone."""
-    live = log.where("action <> 'undo'")
-    undone = log.where("action = 'undo'").groupBy(record).agg(F.max("ts").alias("undo_ts"))
-    kept = live.join(undone, record, "left").where("undo_ts is null or ts > undo_ts")
-    return kept.groupBy(record).agg(F.max_by("action", "ts").alias("action"))
+def standing(log: DataFrame, by: list[str], order: str = "ts", action: str = "action") -> DataFrame:
+    """The actions of a log that no undo has taken back. Each undo takes back the last action of its `by` that still stands, or nothing.
+
+    Actions open brackets and undos close them. An action's depth is the running sum of both, held at zero from below; it is taken
+    back if the depth falls below its own later on, which a running least depth from the end shows.
+    """
+    along = Window.partitionBy(*by).orderBy(order)
+    behind = Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    sums = log.withColumn("_sum", F.sum(F.when(F.col(action) == "undo", -1).otherwise(1)).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    depth = F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    later = sums.withColumn("_depth", depth).withColumn("_later", F.min("_depth").over(behind))
+    return later.where((F.col(action) != "undo") & (F.coalesce("_later", "_depth") >= F.col("_depth"))).drop("_sum", "_depth", "_later")
+
+
+def decided(log: DataFrame, record: str = "record_key", session: list[str] | None = None) -> DataFrame:
+    """State of each record from a log (record_key, action, ts): its last action that stands.
+
+    Undos take back actions of their record; with `session` (columns) those of their session, whichever record they were on, and
+    need no record themselves.
+    """
+    return standing(log, session or [record]).groupBy(record).agg(F.max_by("action", "ts").alias("action"))
 
 
 def backfill_source(df: DataFrame, source: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,16 +52,14 @@ def root_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decomposed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus' stems over the inventory of its own core and extended roots, a list that the inventory bounds."""
+    """The corpus' stems over the whole inventory of its own roots, tail roots among them."""
     stems = _stems(spark, sf_dir).select("stem").distinct()
-    document = morphology.inventory_document(morphology.productivity(stems).where("productivity >= 2"))
-    roots, words = morphology.load_inventory(json.dumps(document))
-    return morphology.decompose(stems, roots, words)
+    return morphology.decompose(stems, morphology.productivity(stems))
 
 
 @query()
 def decompose_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A search with memory, not expressible in SQL; tested against known analyses."""
+    """A search with memory, not expressible in SQL; tested against known analyses and a search over the whole inventory."""
     return _decomposed(spark, sf_dir)
 
 

@@ -100,8 +100,10 @@ def override_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "WITH l AS (SELECT user_id AS record_key, CASE event_type WHEN 'click' THEN 'approve' WHEN 'purchase' THEN 'reject' WHEN 'refund' THEN 'undo' ELSE 'skip' END AS action, event_id AS ts FROM events), u AS (SELECT record_key, max(ts) AS t FROM l WHERE action = 'undo' GROUP BY 1) "
-    "SELECT l.record_key, max_by(action, ts) AS action FROM l LEFT JOIN u USING (record_key) WHERE action <> 'undo' AND (t IS NULL OR ts > t) GROUP BY l.record_key"
+    "WITH l AS (SELECT user_id AS record_key, CASE event_type WHEN 'click' THEN 'approve' WHEN 'purchase' THEN 'reject' WHEN 'refund' THEN 'undo' ELSE 'skip' END AS action, event_id AS ts FROM events), "
+    "s AS (SELECT *, sum(CASE action WHEN 'undo' THEN -1 ELSE 1 END) OVER (PARTITION BY record_key ORDER BY ts) AS s FROM l), d AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY record_key ORDER BY ts)) AS depth FROM s), "
+    "m AS (SELECT *, min(depth) OVER (PARTITION BY record_key ORDER BY ts ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM d) "
+    "SELECT record_key, max_by(action, ts) AS action FROM m WHERE action <> 'undo' AND coalesce(later, depth) >= depth GROUP BY record_key"
 )
 def decision_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")

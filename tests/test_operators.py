@@ -176,7 +176,7 @@ def test_store(spark):
     assert Counter(tuple(r) for r in store.insert_or_ignore(old, new, ["k", "s"]).collect()) == {("c", "1"): 1, ("b", None): 1}
     assert Counter(r.k for r in store.append_except_keys(old.where("s is not null"), new.where("s is not null"), ["k"]).collect()) == {"c": 2}
     log = spark.createDataFrame([("r", "approve", 1), ("r", "reject", 2), ("r", "undo", 3), ("q", "undo", 1), ("q", "approve", 2)], "record_key string, action string, ts int")
-    assert rows(store.decided(log)) == [("q", "approve")]
+    assert rows(store.decided(log)) == [("q", "approve"), ("r", "approve")]
 
 
 def test_conflicts(spark):
@@ -240,17 +240,73 @@ def test_inventory(spark):
     import pytest
 
     counts = morphology.productivity(spark.createDataFrame([("san",), ("sanul",)], "stem string"))
-    document = morphology.inventory_document(counts)
+    document = {"roots": {r.root: {"gloss": "", "prod": r.productivity, "tier": r.tier} for r in counts.collect()}, "suffixes": [], "prefixes": [], "correlatives": [], "other": [], "number_roots": []}
     roots, words = morphology.load_inventory(json.dumps(document))
     assert roots["san"] == ("extended", 2) and words == ()
     with pytest.raises(ValueError):
         morphology.load_inventory("{}")
     with pytest.raises(ValueError):
         morphology.load_inventory(json.dumps({**document, "roots": {"a": ["gloss"]}}))
-    done = morphology.decompose(spark.createDataFrame([("sanul",), ("qq",)], "stem string"), roots)
+    done = morphology.decompose(spark.createDataFrame([("sanul",), ("qq",)], "stem string"), morphology.root_table(spark, roots))
     assert {(r.kind, r.category): r.n for r in morphology.decomposition_summary(done).collect()} == {("derived", None): 1, ("unresolved", "artifact"): 1}
 
 
+def test_inventory_as_a_folder(spark, tmp_path):
+    import pytest
+
+    counts = morphology.productivity(spark.createDataFrame([("san",), ("sanul",), ("ŝip",)], "stem string"))
+    morphology.write_inventory(counts, str(tmp_path / "held"))
+    roots, words = morphology.read_inventory(spark, str(tmp_path / "held"))
+    assert {r.root: (r.tier, r.productivity) for r in roots.collect()} == {r.root: (r.tier, r.productivity) for r in counts.collect()} and words == ()
+    listed = [r.value for r in spark.read.text(str(tmp_path / "held" / "list")).collect()]
+    assert sorted(listed) == sorted(r.root for r in counts.collect())
+    (tmp_path / "bad" / "affixes").mkdir(parents=True)
+    (tmp_path / "bad" / "affixes" / "a.txt").write_text("{}")
+    with pytest.raises(ValueError):
+        morphology.read_inventory(spark, str(tmp_path / "bad"))
+
+
+def test_roots_by_key_give_what_the_whole_inventory_gives(spark):
+    import random
+
+    rng = random.Random(8)
+    syllables = ["san", "ul", "mal", "patr", "o", "a", "ŝip", "vap", "or", "ej", "re", "x", "dek", "du"]
+    word = lambda n: "".join(rng.choice(syllables) for _ in range(n))
+    stems = sorted({word(rng.randrange(1, 5)) for _ in range(300)} | {"a" * 80 + "san", "", " San "})
+    inventory = {w: (rng.choice(["core", "extended", "tail", "tail"]), rng.randrange(1, 4)) for w in {word(rng.randrange(1, 3)) for _ in range(60)}} | {"a" * 40: ("tail", 1)}
+    whole = morphology.Decomposer(inventory, ("dudu",))
+    got = {r.stem: r.asDict() for r in morphology.decompose(spark.createDataFrame([(x,) for x in stems], "stem string"), morphology.root_table(spark, inventory), ("dudu",)).collect()}
+    assert len(got) == len(stems)
+    for stem in stems:
+        want = whole.decompose(stem)
+        assert {k: got[stem][k] for k in want} == want, stem
+
+
+def test_undo_takes_back_the_last_action_that_stands(spark):
+    import random
+
+    rng = random.Random(2)
+    log, stacks, sessions = [], {}, {}
+    for ts in range(400):
+        record, action = rng.randrange(6), rng.choice(["approve", "reject", "skip", "undo", "undo"])
+        log.append((record % 2, record, action, ts))
+        stack, whole = stacks.setdefault(record, []), sessions.setdefault(record % 2, [])
+        if action == "undo":
+            for some in (stack, whole):
+                some and some.pop()
+        else:
+            stack.append(action)
+            whole.append((record, action))
+    table = spark.createDataFrame(log, "who long, record_key long, action string, ts long")
+    assert {r.record_key: r.action for r in store.decided(table).collect()} == {k: s[-1] for k, s in stacks.items() if s}
+    want = {}
+    for whole in sessions.values():
+        want.update(dict(whole))
+    assert {r.record_key: r.action for r in store.decided(table, session=["who"]).collect()} == want
+    nested = spark.createDataFrame([(1, "approve", 1), (1, "reject", 2), (1, "skip", 3), (1, "undo", 4), (1, "undo", 5), (2, "undo", 1), (2, "skip", 2)], "record_key long, action string, ts long")
+    assert rows(store.decided(nested)) == [(1, "approve"), (2, "skip")]
+
+
 def test_contexts_of_many_candidates(spark):
     texts = [(i, 0, f"Here is word{i} again") for i in range(10_500)]
     found = ngrams.sample_context(spark.createDataFrame([(f"word{i} a",) for i in range(10_500)], "phrase string"), spark.createDataFrame(texts, "doc_id long, sent_idx int, sentence string"))
@@ -262,7 +318,7 @@ def test_contexts_of_many_candidates(spark):
 
 
 def test_concept_roots(spark):
-    done = morphology.decompose(spark.createDataFrame([("vaporŝip",), (None,)], "stem string"), {"vapor": ("core", 3), "ŝip": ("core", 3)})
+    done = morphology.decompose(spark.createDataFrame([("vaporŝip",), (None,)], "stem string"), morphology.root_table(spark, {"vapor": ("core", 3), "ŝip": ("core", 3)}))
     got = morphology.concept_roots(spark.createDataFrame([(7, "vaporŝip")], "concept_id int, stem string"), done)
     assert rows(got) == [(7, "vapor", 0, False), (7, "ŝip", 1, True)]
 
