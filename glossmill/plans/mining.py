@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glossmill.functions import scores
 from glossmill.functions.text import nominative_lt, normalise
-from glossmill.operators import ngrams, tokens
+from glossmill.operators import ngrams, tagging, tokens
 from glossmill.plans.common import LEXICON_SQL, MINED_SQL, PHRASES_SQL, SENTENCES_SQL, UNI_SQL, benchmark_phrases, documents, grams_sql, lexicon, mined
 from glossmill.plans.registry import query
 from glossmill.scratch import settled
@@ -178,3 +178,31 @@ def confidence_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = lambda name: F.count_if(F.col("confidence") == name)
     summed = rated.agg(c("high").alias("high"), c("medium").alias("medium"), c("low").alias("low"), F.count_if((F.col("confidence") == "high") & F.col("noise")).alias("noise_in_high"))
     return summed.select("high", "medium", "low", ((F.col("high") > 0) & (F.col("noise_in_high") == 0)).alias("auto_approve"), F.expr("greatest(1L, medium div 6 + (high + 2) div 3)").alias("review_minutes"))
+
+
+def _rule(word: str) -> tuple[str, str]:
+    """Stands for a tagger's model: the lemma drops a final s of longer words, the part of speech follows the length."""
+    return (word[:-1] if len(word) > 3 and word.endswith("s") else word), ("NOUN", "ADJ", "PROPN", "ADP", "VERB")[len(word) % 5]
+
+
+_TAG_SQL = "CASE length({0}) % 5 WHEN 0 THEN 'NOUN' WHEN 1 THEN 'ADJ' WHEN 2 THEN 'PROPN' WHEN 3 THEN 'ADP' ELSE 'VERB' END"
+
+
+@query(
+    f"""WITH {LEXICON_SQL}, {MINED_SQL}, {UNI_SQL}, g AS (SELECT doc_id, source, sent_idx, i, n::INT AS n, words[i:i + n - 1] AS ws FROM mined, unnest([2, 3]) AS k(n), unnest(range(1, len(words) - n + 2)) AS u(i)),
+    c AS (SELECT array_to_string(ws, ' ') AS phrase, n AS ngram_size, any_value(ws) AS ws, count(*)::BIGINT AS frequency, count(DISTINCT doc_id)::BIGINT AS doc_count, min((doc_id, sent_idx, i, source))[4] AS source_file FROM g GROUP BY ALL HAVING count(*) >= {LEAST_FREQUENCY}),
+    p AS (SELECT c.*, list_transform(ws, lambda w: {_TAG_SQL.format('w')}) AS ts FROM c), f AS (SELECT * FROM p WHERE NOT list_contains(ts, 'VERB') AND ts[1] <> 'ADP' AND ts[len(ts)] <> 'ADP'),
+    e AS (SELECT f.phrase, f.ngram_size, u.i, ws[u.i] AS w FROM f, unnest(range(1, len(ws) + 1)) AS u(i)), t AS (SELECT e.*, lex.word IS NOT NULL AS common FROM e LEFT JOIN lex ON lex.word = CASE WHEN length(w) > 3 AND w LIKE '%s' THEN left(w, length(w) - 1) ELSE w END),
+    a AS (SELECT phrase, ngram_size, coalesce(string_agg(w, ',' ORDER BY i) FILTER (WHERE NOT common), '') AS novel, coalesce(string_agg(w, ',' ORDER BY i) FILTER (WHERE common), '') AS common, bool_or(NOT common) AS any_new FROM t GROUP BY ALL),
+    l AS (SELECT f.phrase, f.ngram_size, sum(ln(freq) / {_LN2}) AS logs FROM f, unnest(ws) AS u(w) JOIN uni ON uni.word = u.w GROUP BY ALL)
+    SELECT f.phrase, f.ngram_size, frequency, doc_count, array_to_string(ts, ' ') AS pos_pattern, source_file, novel, common, floor((ln(frequency) / {_LN2} + (f.ngram_size - 1) * ln(n::DOUBLE) / {_LN2} - logs) * 1000 + 0.5)::BIGINT AS pmi_q FROM f JOIN a USING (phrase, ngram_size) JOIN l USING (phrase, ngram_size), tot WHERE any_new"""
+)
+def tagged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of two and three words with the pattern and file of their first occurrence, filtered by part of speech and by lemma."""
+    docs = settled(tagging.tagged(documents(spark, sf_dir, "doc_id", "source", "text"), tagging.dictionary_tagger({}, _rule)), "tagged")
+    words = settled(tagging.lemma_counts(docs, "doc_id"), "lemmas")
+    counts = tagging.candidate_counts(docs, "doc_id", "source", range(2, 4)).where(F.col("frequency") >= LEAST_FREQUENCY).where(scores.pos_shape_ok(F.col("pos_pattern")))
+    found = settled(tagging.lexicon_components(counts, words, lexicon(spark, sf_dir)), "tagged-candidates")
+    scored = ngrams.scored_ngrams(found, words.select("word", "freq"), ngrams.total_of(words))
+    joined = lambda c, name: F.array_join(c, ",").alias(name)
+    return scored.select("phrase", "ngram_size", "frequency", "doc_count", "pos_pattern", "source_file", joined("novel_components", "novel"), joined("common_components", "common"), scores.quantised(F.col("pmi"), 1000).alias("pmi_q"))
