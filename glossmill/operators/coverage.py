@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import scores
+from glossmill.operators import tokens
 from glossmill.operators.ngrams import windows
+from glossmill.scratch import settled
 
 LONGEST_MATCH = 3
 
@@ -241,3 +243,48 @@ def expertise(runs: DataFrame, phrases: DataFrame, lexicon: DataFrame, keys: lis
         F.count_if(k >= 2).alias("multi_sentences"),
         F.sum(F.when(k >= 1, F.col("t3")).otherwise(0)).alias("anchored_t3"),
     )
+
+
+#: The columns of a file's row, in the order of its CSV.
+FILE_ROW = [
+    "filename", "stratum", "total_tokens", "t1_count", "t2_count", "t3_count", "t4_count", "unknown_count", "n_sentences", "t4_ratio", "common_ratio",
+    "distinct_t4", "t4_variety", "cooccur_pairs", "cooccur_density", "multi_concept_ratio", "t3_anchor_density", "t3_anchor_rate", "unknown_tokens",
+]
+
+
+def file_rows(files: DataFrame, phrases: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """The row of measures of each file (filename, stratum, text): FILE_ROW.
+
+    One scan gives the tallies of every sentence, which hold the whole text's as well; a second one the sentences themselves and
+    the unknown words, which are those with more uses than matches have taken. unknown_tokens is a JSON list, in order.
+    """
+    keys, by = ["filename", "stratum", "sent_idx", "run_idx"], ["filename", "stratum"]
+    found = tokens.token_runs(files)
+    runs = settled(found, "file-runs")
+    counts = ("t1", "t2", "t3", "t4", "unknown")
+    per = _tallies(runs, phrases, lexicon, keys, [*by, "sent_idx"]).groupBy(*by, "sent_idx").agg(F.collect_set("concept").alias("concepts"), *[F.sum(c).alias(c) for c in counts])
+    k = F.size("concepts")
+    sums = per.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in counts],
+        F.size(F.array_distinct(F.flatten(F.collect_list("concepts")))).cast("long").alias("distinct_t4"),
+        F.sum(F.expr("size(concepts) * (size(concepts) - 1) div 2")).cast("long").alias("pairs"),
+        F.count_if(k >= 1).alias("any"),
+        F.count_if(k >= 2).alias("multi"),
+        F.sum(F.when(k >= 1, F.col("t3")).otherwise(0)).alias("anchored"),
+    )
+    chosen = phrase_matches(runs, phrases, keys)
+    one = lambda df, of, n: df.select(*by, F.explode(of).alias("word"), F.lit(n).cast("long").alias("n"))
+    left = one(runs, F.col("words"), 1).unionByName(one(chosen, F.split("phrase", " "), -1)).groupBy(*by, "word").agg(F.sum("n").alias("n")).where("n > 0")
+    unknown = left.join(lexicon.select("word"), "word", "left_anti").groupBy(*by).agg(F.to_json(F.sort_array(F.collect_list("word"))).alias("unknown_tokens"))
+    spoken = F.size(F.filter(tokens.sentences_of(F.coalesce("text", F.lit(""))), lambda x: F.trim(x) != "")).cast("long")
+    rows = files.select(*by, spoken.alias("n_sentences")).join(sums, by, "left").join(unknown, by, "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    share = lambda a, b: F.round(a / F.greatest(b, F.lit(1)), 4)
+    rows = rows.select(*by, "n_sentences", "unknown_tokens", *[n(c).alias(c) for c in (*counts, "distinct_t4", "pairs", "any", "multi", "anchored")]).withColumns(scores.coverage_columns(*(F.col(c) for c in counts)))
+    values = [
+        "filename", "stratum", F.col("total").alias("total_tokens"), *[F.col(c).alias(f"{c}_count") for c in counts], "n_sentences", F.round("ratio", 4).alias("t4_ratio"), F.round("common", 4).alias("common_ratio"),
+        "distinct_t4", share(F.col("distinct_t4"), F.col("total")).alias("t4_variety"), F.col("pairs").alias("cooccur_pairs"), share(F.col("pairs"), F.col("n_sentences")).alias("cooccur_density"),
+        share(F.col("multi"), F.col("any")).alias("multi_concept_ratio"), share(F.col("anchored"), F.col("n_sentences")).alias("t3_anchor_density"),
+        F.when(F.col("t3") > 0, F.round(F.col("anchored") / F.col("t3"), 4)).alias("t3_anchor_rate"), F.coalesce("unknown_tokens", F.lit("[]")).alias("unknown_tokens"),
+    ]
+    return rows.select(*values).select(*FILE_ROW)

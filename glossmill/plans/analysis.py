@@ -174,3 +174,21 @@ def cascade_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     synonyms = phrases.where(F.size(F.split("phrase", " ")) == 3).select("phrase", F.substring_index("phrase", " ", 2).alias("canonical"))
     found = coverage.with_synonyms(coverage.phrase_matches(_lemmatised(spark, sf_dir), phrases, KEYS, inflected=True), synonyms)
     return found.select("doc_id", *[F.col(c).cast("long").alias(c) for c in ("sent_idx", "run_idx", "pos")], "len", F.col("phrase").alias("matched_phrase"), "step", "synonym_of")
+
+
+@query(
+    f"{_BASE}, {_PER}, {_COUNTS}, k AS (SELECT doc_id, to_json(list_sort(list(DISTINCT unit)))::VARCHAR AS unknown_tokens FROM units WHERE category = 'UNKNOWN' GROUP BY doc_id), "
+    "ns AS (SELECT doc_id, source, len(list_filter(l, lambda x: trim(x, ' ') <> ''))::BIGINT AS n_sentences FROM (SELECT doc_id, source, " + SPLIT_SQL.format("coalesce(text, '')") + " AS l FROM documents) d), "
+    "j AS (SELECT ns.doc_id, ns.source, ns.n_sentences, coalesce(t1, 0) AS t1, coalesce(t2, 0) AS t2, coalesce(t3, 0) AS t3, coalesce(t4, 0) AS t4, coalesce(unknown, 0) AS unknown, coalesce(distinct_t4, 0) AS d4, coalesce(pairs, 0) AS pairs, coalesce(any_sentences, 0) AS anys, coalesce(multi_sentences, 0) AS multi, coalesce(anchored_t3, 0) AS anchored FROM ns LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)), "
+    "q AS (SELECT *, t1 + t2 + t3 + t4 + unknown AS total FROM j), r AS (SELECT *, CASE WHEN total > 0 THEN (t1 + t2)::DOUBLE / total ELSE 0 END AS common, CASE WHEN total > 0 THEN t4::DOUBLE / total ELSE 0 END AS domain FROM q) "
+    "SELECT r.doc_id::VARCHAR AS filename, source AS stratum, total::BIGINT AS total_tokens, t1::BIGINT AS t1_count, t2::BIGINT AS t2_count, t3::BIGINT AS t3_count, t4::BIGINT AS t4_count, unknown::BIGINT AS unknown_count, n_sentences, "
+    f"{_Q.format('CASE WHEN common > 0 THEN domain / common ELSE 0 END')} AS t4_ratio_q, {_Q.format('common')} AS common_ratio_q, d4::BIGINT AS distinct_t4, {_Q.format('d4::DOUBLE / greatest(total, 1)')} AS t4_variety_q, pairs::BIGINT AS cooccur_pairs, "
+    f"{_Q.format('pairs::DOUBLE / greatest(n_sentences, 1)')} AS cooccur_density_q, {_Q.format('multi::DOUBLE / greatest(anys, 1)')} AS multi_concept_ratio_q, {_Q.format('anchored::DOUBLE / greatest(n_sentences, 1)')} AS t3_anchor_density_q, "
+    f"CASE WHEN t3 > 0 THEN {_Q.format('anchored::DOUBLE / t3')} END AS t3_anchor_rate_q, md5(coalesce(unknown_tokens, '[]')) AS unknown_md5 FROM r LEFT JOIN k USING (doc_id)"
+)
+def file_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row of each file: documents stand for files, sources for strata."""
+    files = documents(spark, sf_dir, "doc_id", "source", "text").select(F.col("doc_id").cast("string").alias("filename"), F.col("source").alias("stratum"), "text")
+    rows = coverage.file_rows(files, benchmark_phrases(spark, sf_dir), lexicon(spark, sf_dir))
+    rates = ["t4_ratio", "common_ratio", "t4_variety", "cooccur_density", "multi_concept_ratio", "t3_anchor_density", "t3_anchor_rate"]
+    return rows.select(*[c for c in coverage.FILE_ROW if c not in (*rates, "unknown_tokens")], *[quantised(F.col(c)).alias(f"{c}_q") for c in rates], F.md5(F.col("unknown_tokens").cast("binary")).alias("unknown_md5"))

@@ -6,7 +6,7 @@ import sqlite3
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, WriterCommitMessage
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructType
 
 _KINDS = {"INT": LongType(), "REA": DoubleType(), "FLO": DoubleType(), "DOU": DoubleType(), "BLO": BinaryType()}
@@ -22,11 +22,40 @@ class Span(InputPartition):
     high: int
 
 
+#: Comparisons that SQLite makes as Spark does; texts are compared by their bytes in both.
+_SIGNS = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+
+
+def condition(f: Filter) -> tuple[str, list] | None:
+    """A filter on one column as SQL with its values, or None where SQLite would not say the same."""
+    if len(f.attribute) != 1:
+        return None
+    column = _quoted(f.attribute[0])
+    if isinstance(f, (IsNull, IsNotNull)):
+        return f"{column} is {'not ' * isinstance(f, IsNotNull)}null", []
+    values = list(f.value) if isinstance(f, In) else [getattr(f, "value", None)]
+    if any(type(v) not in (int, float, str) for v in values) or len({type(v) is str for v in values}) > 1:
+        return None
+    if isinstance(f, In):
+        return f"{column} in ({', '.join('?' * len(values))})", values
+    sign = _SIGNS.get(type(f))
+    return (f"{column} {sign} ?", values) if sign else None
+
+
 class SqliteReader(DataSourceReader):
-    """Splits a table by ranges of rowid."""
+    """Splits a table by ranges of rowid; filters that SQLite can make are made there."""
 
     def __init__(self, schema: StructType, options: dict):
         self.schema, self.path, self.table, self.parts = schema, options["path"], options["dbtable"], int(options.get("numpartitions", 4))
+        self.where: list[tuple[str, list]] = []
+
+    def pushFilters(self, filters):
+        for f in filters:
+            found = condition(f)
+            if found is None:
+                yield f
+            else:
+                self.where.append(found)
 
     def partitions(self):
         with sqlite3.connect(self.path) as db:
@@ -39,7 +68,8 @@ class SqliteReader(DataSourceReader):
     def read(self, partition):
         columns = ", ".join(_quoted(f.name) for f in self.schema.fields)
         with sqlite3.connect(self.path) as db:
-            yield from db.execute(f"select {columns} from {_quoted(self.table)} where rowid between ? and ? order by rowid", (partition.low, partition.high))
+            more = "".join(f" and {sql}" for sql, _ in self.where)
+            yield from db.execute(f"select {columns} from {_quoted(self.table)} where rowid between ? and ?{more} order by rowid", (partition.low, partition.high, *(v for _, values in self.where for v in values)))
 
 
 class SqliteWriter(DataSourceWriter):
@@ -66,10 +96,11 @@ class SqliteSource(DataSource):
         return "sqlite"
 
     def schema(self) -> StructType:
-        out = StructType()
+        out, wanted = StructType(), self.options.get("columns")
         with sqlite3.connect(self.options["path"]) as db:
             for _, column, kind, *_ in db.execute(f"pragma table_info({_quoted(self.options['dbtable'])})"):
-                out = out.add(column, _KINDS.get(kind.upper()[:3], StringType()))
+                if wanted is None or column in wanted.split(","):
+                    out = out.add(column, _KINDS.get(kind.upper()[:3], StringType()))
         return out
 
     def reader(self, schema: StructType) -> SqliteReader:
@@ -79,9 +110,12 @@ class SqliteSource(DataSource):
         return SqliteWriter(schema, dict(self.options), overwrite)
 
 
-def read(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read(spark: SparkSession, path: str, table: str, columns: list[str] | None = None) -> DataFrame:
+    """A table, or only some of its columns: the others are not read. Filters on it go to SQLite."""
     spark.dataSource.register(SqliteSource)
-    return spark.read.format("sqlite").option("path", path).option("dbtable", table).load()
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    reader = spark.read.format("sqlite").option("path", path).option("dbtable", table)
+    return (reader.option("columns", ",".join(columns)) if columns else reader).load()
 
 
 def write(df: DataFrame, path: str, table: str, mode: str = "append") -> None:
