@@ -135,17 +135,50 @@ def word_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lex.map_words(entries, mapping).select("concept_id", "mapped")
 
 
-@query()
+# Documents as statutes: every second line becomes a numbered clause whose first two words are the term; the lines between continue it.
+_TRIM = "trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160))"
+_CLAUSE_SQL = r"'^(\d+(?:\s\d+)?)\.\s+(.+)'"
+
+
+@query(
+    rf"""WITH l AS (SELECT doc_id, i - 1 AS line_no, replace(replace(ls[i], '(', ''), ')', '') AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents) d, unnest(range(1, len(ls) + 1)) AS u(i)),
+    d AS (SELECT doc_id, line_no, {_TRIM.format("replace(" + _TRIM.format("CASE WHEN line_no % 2 = 0 THEN (line_no + 1) || '. ' || regexp_replace(line, '^([^ ]+ [^ ]+) ', chr(92) || '1 – ') ELSE line END").replace("chr(92) || '1 – '", "'" + chr(92) + "1 – '") + ", '**', '')")} AS line FROM l),
+    k AS (SELECT *, regexp_matches(line, {_CLAUSE_SQL}) AS is_clause FROM d WHERE NOT regexp_matches(line, '(?i)^(?:Nr\.|Straipsnio|Papildyta|Ŝanĝoj|Aldonita|TAR pastaba|Noto pri|N-ro)') AND NOT regexp_matches(line, '(?i)publikigita en la TAR')),
+    g AS (SELECT *, sum(is_clause::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS seg FROM k),
+    c AS (SELECT doc_id, seg, list(line ORDER BY line_no) AS body FROM g WHERE seg > 0 GROUP BY ALL),
+    r AS (SELECT doc_id, replace(regexp_extract(body[1], {_CLAUSE_SQL}, 1), ' ', '') AS clause_num, regexp_extract(body[1], {_CLAUSE_SQL}, 2) AS rest, list_filter(body[2:], lambda x: x <> '') AS more FROM c),
+    p AS (SELECT *, least(nullif(strpos(rest, ' – '), 0), nullif(strpos(rest, ' - '), 0)) AS cut_at FROM r),
+    f AS (SELECT doc_id, clause_num, {_TRIM.format("substring(rest, 1, cut_at - 1)")} AS term_raw, {_TRIM.format("substring(rest, cut_at + 3)")} AS behind, more FROM p WHERE cut_at > 0)
+    SELECT doc_id::VARCHAR AS source_file, clause_num, term_raw, lower(term_raw) AS term_normalized, CASE WHEN regexp_matches(behind, '(?i)^as\s+defined\s+in\s+.') THEN 'by_reference' ELSE 'direct' END AS definition_type, md5(array_to_string(list_concat([behind], more), ' ')) AS definition_md5 FROM f"""
+)
 def definition_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Defined terms of a small statute; a state machine over lines, tested against known records."""
-    lines = ["Article 1. Scope", "1. This law applies.", "Article 2. Definitions", "1. Customs debt – the duty to pay.", "continued here", "2. Goods (hereinafter) - any thing.", "1) a part", "Article 3. Other", "1. Not – this."]
-    rows = spark.createDataFrame([("demo.txt", i, x) for i, x in enumerate(lines)], "source_file string, line_no int, line string")
-    return statutory.definitions(rows, "2", "en")
+    """Defined terms in the clauses of one article of each document."""
+    lines = _lines(spark, sf_dir).withColumn("line", F.translate("line", "()", ""))
+    clause = F.concat((F.col("line_no") + 1).cast("string"), F.lit(". "), F.regexp_replace("line", "^([^ ]+ [^ ]+) ", "$1 – "))
+    body = lines.select(F.col("doc_id").cast("string").alias("source_file"), "line_no", F.when(F.col("line_no") % 2 == 0, clause).otherwise(F.col("line")).alias("line"))
+    heads = documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("source_file"), F.lit(-1).alias("line_no"), F.lit("Article 2. Definitions").alias("line"))
+    found = statutory.definitions(heads.unionByName(body), "2", "en")
+    return found.select("source_file", "clause_num", "term_raw", "term_normalized", "definition_type", F.md5(F.col("definition_raw").cast("binary")).alias("definition_md5"))
 
 
-@query()
-def html_definition_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Definitions of a small page in markup; a tree walk, tested against known records."""
-    from glossmill.sources.markup import DEMO, definitions
+# Documents as pages of law: each line with two words is a numbered item that defines them.
+_LETTERS_SQL = "trim(regexp_replace(line, '[^A-Za-z]+', ' ', 'g'))"
+
 
-    return definitions(spark.createDataFrame([("demo", "en", DEMO)], "celex_id string, lang string, html string"))
+@query(
+    f"""WITH {_LINES}, w AS (SELECT doc_id, line_no, {_LETTERS_SQL} AS s FROM l), t AS (SELECT doc_id, line_no, string_split(s, ' ') AS ws FROM w WHERE s LIKE '% % %')
+    SELECT doc_id::VARCHAR AS celex_id, 'divlayout' AS layout, '2' AS article_number, (line_no + 1)::VARCHAR AS number, ws[1] || ' ' || ws[2] AS term, lower(ws[1] || ' ' || ws[2]) AS term_normalized, md5(array_to_string(ws[3:], ' ')) AS definition_md5 FROM t"""
+)
+def html_definition_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Definitions read from a tree of markup."""
+    from glossmill.sources.markup import definitions
+
+    letters = F.trim(F.regexp_replace("line", "[^A-Za-z]+", " "))
+    lines = _lines(spark, sf_dir).withColumn("s", letters).where(F.col("s").like("% % %"))
+    item = F.concat(F.lit('<div class="grid-container"><div class="grid-list-column-1"><span>('), F.col("line_no") + 1, F.lit(')</span></div><div class="grid-list-column-2"><p class="norm">‘'), F.substring_index("s", " ", 2), F.lit("’ means "), F.expr("substring(s, length(substring_index(s, ' ', 2)) + 2)"), F.lit(";</p></div></div>"))
+    pages = lines.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line_no", item.alias("item")))).alias("items"))
+    start = '<div id="docHtml"><div id="art_2" class="eli-subdivision"><p class="title-article-norm">Article 2</p><p class="stitle-article-norm">Definitions</p>'
+    html = F.concat(F.lit(start), F.array_join(F.transform("items", lambda x: x["item"]), ""), F.lit("</div></div>"))
+    found = definitions(pages.select(F.col("doc_id").cast("string").alias("celex_id"), F.lit("en").alias("lang"), html.alias("html")))
+    number = F.regexp_extract("list_path", r"(\d+)", 1)
+    return found.select("celex_id", "layout", "article_number", number.alias("number"), "term", "term_normalized", F.md5(F.col("definition").cast("binary")).alias("definition_md5"))
