@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossmill import flows
 from glossmill.functions import scores
 from glossmill.operators import areas, coverage, ngrams, review, statutory, store, tokens, writer
 from glossmill.plans import reports
@@ -130,6 +131,14 @@ def _write(spark: SparkSession, a: argparse.Namespace) -> None:
     print(f"concepts: {after.concepts.count()}, new: {after.concepts.count() - held.concepts.count()}")
 
 
+def _ingest(spark: SparkSession, a: argparse.Namespace) -> None:
+    """From documents to the store; run again, it goes on where it stopped."""
+    options = {"input": a.input, "lang": a.lang, "celex": a.celex, "article": a.article, "domain": a.domain, "reviewed": a.reviewed, "store": a.store}
+    flow = (flows.markup_flow if a.source == "markup" else flows.document_flow)(a.folder, **options)
+    for stage, state in flows.run(spark, flow):
+        print(f"{stage}: {state}")
+
+
 def _quality(spark: SparkSession, a: argparse.Namespace) -> None:
     """States and confidence of candidates, and how many are named entities as well."""
     found = files.jsonl(spark, a.input, files.CANDIDATE, comments=True)
@@ -163,6 +172,7 @@ def parser() -> argparse.ArgumentParser:
     add("conflicts", _conflicts, need("input"))
     add("approve", _approve, need("input"), need("output"), may("lang", nargs="*"))
     add("write", _write, need("input"), need("domain"), need("output"), may("store"))
+    add("ingest", _ingest, (("--source",), {"choices": ["docx", "markup"], "default": "docx"}), need("input"), need("folder"), need("lang"), need("domain"), may("celex"), may("article"), may("reviewed"), may("store"))
     add("quality", _quality, need("input"), may("names"))
     return top
 

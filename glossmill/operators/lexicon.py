@@ -19,8 +19,12 @@ DOMAIN_STEMS = [
 ]
 
 
-def seed_reasons(pool: DataFrame, lexicon: DataFrame, domain: DataFrame, stems: list[str] = DOMAIN_STEMS, names: DataFrame | None = None) -> DataFrame:
-    """pool (token, n) with the first rule that rejects each token, or `kept`."""
+#: Tokens that are parts of words.
+FRAGMENTS = ["non", "pre", "re", "anti", "sub", "co", "mis", "de"]
+
+
+def seed_reasons(pool: DataFrame, lexicon: DataFrame, domain: DataFrame, stems: list[str] = DOMAIN_STEMS, names: DataFrame | None = None, fragments: list[str] = FRAGMENTS, stops: DataFrame | None = None) -> DataFrame:
+    """pool (token, n) with the first rule that rejects each token, or `kept`. stops: word and reason of what a second pass leaves out by hand."""
     t = F.lower("token")
     joined = pool.join(lexicon.select(F.col("word").alias("lex_word")).distinct(), t == F.col("lex_word"), "left").join(domain.select(F.col("word").alias("domain_word")).distinct(), t == F.col("domain_word"), "left")
     reason = (
@@ -34,6 +38,11 @@ def seed_reasons(pool: DataFrame, lexicon: DataFrame, domain: DataFrame, stems:
     if names is not None:
         joined = joined.join(names.select(F.col("word").alias("name_word")).distinct(), t == F.col("name_word"), "left")
         reason = reason.when(F.col("name_word").isNotNull(), "name")
+    if fragments:
+        reason = reason.when(t.isin(fragments), "fragment")
+    if stops is not None:
+        joined = joined.join(stops.groupBy(F.lower("word").alias("stop_word")).agg(F.min("reason").alias("stop_reason")), t == F.col("stop_word"), "left")
+        reason = reason.when(F.col("stop_word").isNotNull(), F.concat(F.lit("manual_"), F.col("stop_reason")))
     return joined.select("token", "n", reason.otherwise("kept").alias("reason"))
 
 
@@ -45,6 +54,13 @@ def seed_guard(seeded: DataFrame) -> int:
     return kept
 
 
+def seeds(existing: DataFrame, reasons: DataFrame, lang: str, source: str, tier: int = 3) -> DataFrame:
+    """Rows to append for the tokens that were kept, none whose word the lexicon has in that language; an error where their number is suspicious."""
+    seed_guard(reasons)
+    kept = reasons.where("reason = 'kept'").select(F.col("token").alias("word"), F.lit(None).cast("string").alias("pos"))
+    return load_phrases(existing, kept, tier, lang, source)
+
+
 def load_phrases(existing: DataFrame, phrases: DataFrame, tier: int, lang: str, source: str) -> DataFrame:
     """Rows of phrases (word, pos) to append: one per word in lower case, none that exists in lang."""
     new = phrases.select(F.lower(F.trim("word")).alias("word"), F.coalesce("pos", F.lit("PHRASE")).alias("pos")).where("word <> ''").dropDuplicates(["word"])

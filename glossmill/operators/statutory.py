@@ -48,16 +48,20 @@ def article_lines(lines: DataFrame, article: str, lang: str) -> DataFrame:
 
 
 def separator_at(text: Column) -> Column:
-    """Place (from 1) of the first dash between blanks outside parentheses, 0 if there is none."""
+    """Place (from 1) of the first dash between blanks outside parentheses, 0 if there is none.
 
-    def step(s: Column, i: Column) -> Column:
-        c, three = F.substring(text, i, F.lit(1)), F.substring(text, i, F.lit(3))
-        depth = F.when(c == "(", s["depth"] + 1).when(c == ")", s["depth"] - 1).otherwise(s["depth"])
-        found = F.when((s["found"] == 0) & (s["depth"] == 0) & three.isin(" – ", " - "), i).otherwise(s["found"])
-        return F.struct(depth.alias("depth"), found.alias("found"))
+    The text is cut at the dashes, and lengths and parentheses of the parts are added up: linear in the text.
+    """
+    count = lambda x, c: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("found"))
-    return F.when(F.length(text) > 0, F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda s: s["found"])).otherwise(0)
+    def step(s: Column, part: Column) -> Column:
+        at, depth = s["at"] + F.length(part), s["depth"] + count(part, "(") - count(part, ")")
+        found = F.when((s["found"] == 0) & (depth == 0), at + 1).otherwise(s["found"])
+        return F.struct((at + 3).alias("at"), depth.alias("depth"), found.alias("found"))
+
+    parts = F.split(text, " [–-] ", -1)
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("found"))
+    return F.when(F.size(parts) > 1, F.aggregate(F.slice(parts, F.lit(1), F.size(parts) - 1), start, step, lambda s: s["found"])).otherwise(0)
 
 
 def definitions(lines: DataFrame, article: str, lang: str) -> DataFrame:

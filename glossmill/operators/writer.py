@@ -86,7 +86,16 @@ def upsert(store: Store, records: DataFrame, domain: str, signatures: bool) -> S
     return Store(settled(concepts, "concepts"), settled(phrases, "phrases"), occurrences, attestation)
 
 
-def upsert_statistical(store: Store, candidates: DataFrame, domain: str) -> Store:
+def overridden(records: DataFrame, overrides: DataFrame | None) -> DataFrame:
+    """records with the phrases that overrides (lang, phrase_normalized, new_phrase, new_normalized) give them, before they meet the store."""
+    if overrides is None:
+        return records
+    one = overrides.groupBy("lang", "phrase_normalized").agg(F.last(F.struct("new_phrase", "new_normalized")).alias("_new"))
+    found = records.join(one, ["lang", "phrase_normalized"], "left")
+    return found.withColumns({"phrase": F.coalesce("_new.new_phrase", "phrase"), "phrase_normalized": F.coalesce("_new.new_normalized", "phrase_normalized")}).select(*records.columns)
+
+
+def upsert_statistical(store: Store, candidates: DataFrame, domain: str, overrides: DataFrame | None = None) -> Store:
     """candidates (ord, phrase, lang, source_file, frequency): an occurrence for each; no attestation, no signatures."""
     note = F.concat(F.lit("statistical_pmi_freq"), F.coalesce("frequency", F.lit(0)).cast("string"))
     records = candidates.select(
@@ -94,10 +103,10 @@ def upsert_statistical(store: Store, candidates: DataFrame, domain: str) -> Stor
         F.array(F.struct(F.col("source_file").alias("source_doc"), note.alias("clause_ref"))).alias("occurrences"),
         F.expr("cast(array() as array<struct<area:string,doc_count:long,frequency:long,source_file:string>>)").alias("attestation"),
     )
-    return upsert(store, records, domain, signatures=False)
+    return upsert(store, overridden(records, overrides), domain, signatures=False)
 
 
-def upsert_merged(store: Store, merged: DataFrame, domain: str) -> Store:
+def upsert_merged(store: Store, merged: DataFrame, domain: str, overrides: DataFrame | None = None) -> Store:
     """merged (ord, phrase_normalized, lang, attestation[, phrase, phrase_inflected, pos_pattern]): an occurrence for each row of the attestation."""
     given = lambda c: F.when(F.col(c) != "", F.col(c)) if c in merged.columns else F.lit(None).cast("string")
     note = lambda a: F.concat(F.lit("area:"), F.coalesce(a["area"], F.lit("?")), F.lit(" freq"), F.coalesce(a["frequency"], F.lit(0)).cast("string"))
@@ -107,12 +116,12 @@ def upsert_merged(store: Store, merged: DataFrame, domain: str) -> Store:
         F.transform(rows, lambda a: F.struct(a["source_file"].alias("source_doc"), note(a).alias("clause_ref"))).alias("occurrences"),
         rows.alias("attestation"),
     )
-    return upsert(store, records, domain, signatures=True)
+    return upsert(store, overridden(records, overrides), domain, signatures=True)
 
 
-def write_batch(store: Store, merged: DataFrame, statistical: DataFrame, domain: str) -> Store:
+def write_batch(store: Store, merged: DataFrame, statistical: DataFrame, domain: str, overrides: DataFrame | None = None) -> Store:
     """Approved merged candidates first, then approved statistical ones, which may meet the concepts just opened."""
-    return upsert_statistical(upsert_merged(store, merged.where(approved()), domain), statistical.where(approved()), domain)
+    return upsert_statistical(upsert_merged(store, merged.where(approved()), domain, overrides), statistical.where(approved()), domain, overrides)
 
 
 def empty_store(spark) -> Store:

@@ -82,7 +82,7 @@ def unknown_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"{_BASE}, pool AS (SELECT unit AS token, count(*) AS n FROM units WHERE category = 'UNKNOWN' GROUP BY unit), one AS (SELECT DISTINCT unnest(string_split(phrase, ' ')) AS word FROM phrases) "
-    "SELECT token, n, CASE WHEN n < 5 THEN 'frequency' WHEN length(token) < 3 THEN 'short' WHEN NOT regexp_full_match(token, '[a-z][a-z-]*[a-z]') THEN 'characters' WHEN lex.word IS NOT NULL THEN 'lexicon' WHEN one.word IS NOT NULL THEN 'domain' WHEN regexp_matches(token, '^(th|er|an)') THEN 'stem' ELSE 'kept' END AS reason FROM pool LEFT JOIN lex ON lex.word = token LEFT JOIN one ON one.word = token"
+    "SELECT token, n, CASE WHEN n < 5 THEN 'frequency' WHEN length(token) < 3 THEN 'short' WHEN NOT regexp_full_match(token, '[a-z][a-z-]*[a-z]') THEN 'characters' WHEN lex.word IS NOT NULL THEN 'lexicon' WHEN one.word IS NOT NULL THEN 'domain' WHEN regexp_matches(token, '^(th|er|an)') THEN 'stem' WHEN token IN ('non', 'pre', 're', 'anti', 'sub', 'co', 'mis', 'de') THEN 'fragment' ELSE 'kept' END AS reason FROM pool LEFT JOIN lex ON lex.word = token LEFT JOIN one ON one.word = token"
 )
 def tier3_seed_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first failing rule of every unknown token; the stems are a parameter of the operator."""

@@ -346,3 +346,9 @@ def test_lexicon(spark):
     v = spark.createDataFrame([(1, "big", "adj", 1, "s", "granda"), (2, "large", "adj", 2, "s", "granda"), (3, "odd", "adj", 2, "s", None)], "id int, word string, pos string, tier int, source string, eo_word string")
     concepts, lang = lexicon.migrate_vocabulary(v)
     assert (concepts.count(), lang.count()) == (2, 3)
+
+
+def test_separator_outside_parentheses(spark):
+    texts = ["a – b", "a (x – y) - b", "(a - b", "a) - b", "no dash", "", None, " - a", "a - - b", "x" * 5000 + " – y"]
+    got = [r.at for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", statutory.separator_at(F.col("t")).alias("at")).orderBy("i").collect()]
+    assert got == [2, 10, 0, 0, 0, 0, 0, 1, 2, 5001]

@@ -91,3 +91,30 @@ def test_write_and_quality_commands(spark, tmp_path, capsys):
     (tmp_path / "none.jsonl").write_text(json.dumps(candidates[1]))
     with pytest.raises(ValueError, match="approved"):
         main(["write", "--input", str(tmp_path / "none.jsonl"), "--domain", "d", "--output", str(tmp_path / "s3")])
+
+
+def test_overrides_hold_on_write(spark):
+    overrides = spark.createDataFrame([("en", "custom duty", "Customs Duty", "customs duty"), ("lt", "x y", "z", "z")], "lang string, phrase_normalized string, new_phrase string, new_normalized string")
+    first = spark.createDataFrame([(1, "Customs Duty", "en", "a", 4, "true"), (2, "custom duty", "en", "b", 5, "true"), (3, "x y", "en", "c", 1, "true"), (4, "x y", "lt", "c", 1, "true")], STAT)
+    held = writer.upsert_statistical(writer.empty_store(spark), first, "d", overrides)
+    assert rows(held.phrases, "lang", "phrase", "phrase_normalized") == [("en", "Customs Duty", "customs duty"), ("en", "x y", "x y"), ("lt", "z", "z")]
+    assert rows(held.concepts, "id", "status")[0] == (1, "established")
+    merged = spark.createDataFrame([(1, "custom duty", None, "en", "true", [("law", 4, 9, "x")])], f"ord long, phrase_normalized string, phrase_inflected string, lang string, approved string, attestation {ATT}")
+    after = writer.write_batch(held, merged, first.limit(0), "d", overrides)
+    assert after.concepts.count() == 3 and rows(after.attestation, "id", "area") == [(1, "law")]
+
+
+def test_seeds_pass_all_filters_and_the_guard(spark):
+    from glossmill.operators import lexicon
+
+    pool = spark.createDataFrame([(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}k", 9) for i in range(30)] + [("anti", 9), ("cargo", 9), ("litre", 9), ("london", 9), ("rare", 1)], "token string, n long")
+    none = spark.createDataFrame([], "word string")
+    stops = spark.createDataFrame([("Cargo", "domain"), ("litre", "noise")], "word string, reason string")
+    found = lexicon.seed_reasons(pool, none, none, names=spark.createDataFrame([("london",)], "word string"), stops=stops)
+    reasons = {r.token: r.reason for r in found.collect()}
+    assert [reasons[x] for x in ("anti", "cargo", "litre", "london", "rare", "waak")] == ["fragment", "manual_domain", "manual_noise", "name", "frequency", "kept"]
+    existing = spark.createDataFrame([("WAAK", "en"), ("wabk", "lt")], "word string, lang string")
+    new = lexicon.seeds(existing, found, "en", "pool")
+    assert new.count() == 29 and rows(new.where("word = 'wabk'"), "pos", "tier", "lang") == [("PHRASE", 3, "en")]
+    with pytest.raises(ValueError):
+        lexicon.seeds(existing, found.where("token < 'wab'"), "en", "pool")
