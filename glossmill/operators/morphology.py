@@ -218,6 +218,18 @@ def concept_roots(concepts: DataFrame, decomposed: DataFrame) -> DataFrame:
     return joined.select("concept_id", F.posexplode("roots").alias("position", "root"), (F.size("roots") - 1).alias("last")).select("concept_id", "root", "position", (F.col("position") == F.col("last")).alias("is_head"))
 
 
+def rebuilt_concepts(concepts: DataFrame, roots: DataFrame, words: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The tables concepts and concept_root anew from concepts (concept_id, eo_word, ...) and an inventory, for a new snapshot.
+
+    A concept gets the kind of its word (null without one), the tier of its head and its number of morphemes; earlier values go.
+    """
+    made = ["eo_kind", "eo_head_tier", "eo_morphemes"]
+    stemmed = concepts.drop(*made).withColumn("stem", strip_flexion(F.lower(F.trim("eo_word"))))
+    done = settled(decompose(stemmed.select("stem"), roots, words), "decomposed")
+    values = done.select("stem", F.col("kind").alias("eo_kind"), F.col("head_tier").alias("eo_head_tier"), F.col("morphemes").alias("eo_morphemes"))
+    return {"concepts": stemmed.join(values, "stem", "left").drop("stem"), "concept_root": concept_roots(stemmed.select("concept_id", "stem"), done)}
+
+
 def decomposition_summary(decomposed: DataFrame) -> DataFrame:
     """Stems by kind, tier of the head (the last root) and category of what is unresolved."""
     return decomposed.groupBy("kind", "head_tier", "category").agg(F.count("*").alias("n"))

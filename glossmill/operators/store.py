@@ -97,6 +97,23 @@ def placed(df: DataFrame, order: list[Column]) -> DataFrame:
     return ordered.join(F.broadcast(shifts), "_part").withColumn("place", F.col("_at") + F.col("_shift") + 1).drop("_part", "_at", "_shift")
 
 
+def link_synonyms(phrases: DataFrame, pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """pairs (lang, canonical, synonym) with id_a, id_b and reason: null where the pair is to be linked, else why it is not.
+
+    A phrase's concept is the least id (id, lang, phrase) that has it. Reasons, the first that holds: no canonical, no synonym, one
+    concept, linked (links: id_a, id_b, either way), repeated (a pair that names the same two concepts comes before it by its phrases).
+    """
+    held = phrases.groupBy("lang", "phrase").agg(F.min("id").alias("id"))
+    side = lambda name, as_: held.select("lang", F.col("phrase").alias(name), F.col("id").alias(as_))
+    named = pairs.select("lang", "canonical", "synonym").distinct().join(side("canonical", "id_a"), ["lang", "canonical"], "left").join(side("synonym", "id_b"), ["lang", "synonym"], "left")
+    ends = lambda df: df.withColumn("_low", F.least("id_a", "id_b")).withColumn("_high", F.greatest("id_a", "id_b"))
+    known = ends(links).select("_low", "_high", F.lit(True).alias("_known")).distinct()
+    first = ends(named).where("id_a <> id_b").groupBy("_low", "_high").agg(F.min(F.struct("lang", "canonical", "synonym")).alias("_first"))
+    found = ends(named).join(known, ["_low", "_high"], "left").join(first, ["_low", "_high"], "left")
+    reason = F.when(F.col("id_a").isNull(), "no canonical").when(F.col("id_b").isNull(), "no synonym").when(F.col("id_a") == F.col("id_b"), "one concept").when(F.col("_known"), "linked").when(F.col("_first") != F.struct("lang", "canonical", "synonym"), "repeated")
+    return found.select("lang", "canonical", "synonym", "id_a", "id_b", reason.alias("reason"))
+
+
 def standing(log: DataFrame, by: list[str], order: str = "ts", action: str = "action") -> DataFrame:
     """The actions of a log that no undo has taken back. Each undo takes back the last action of its `by` that still stands, or nothing.
 

@@ -13,8 +13,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many partitions as there are cores at least. A scan that has as many, as any large table's does, stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
+    return spread(read(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text"))))
 
 
 def area_of(source: Column) -> Column:

@@ -188,6 +188,21 @@ def definition_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return definitions.write(*_definition_tables(spark, sf_dir), "parts").conflicts
 
 
+@query(
+    "WITH p AS (SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN 'en' ELSE 'lt' END AS lang, p_name AS phrase FROM part), h AS (SELECT lang, phrase, min(id) AS id FROM p GROUP BY ALL), "
+    "q AS (SELECT DISTINCT a.lang, a.phrase AS canonical, CASE WHEN b.id % 11 = 0 THEN b.phrase || ' x' ELSE b.phrase END AS synonym FROM p a JOIN p b ON b.id = a.id + 1), k AS (SELECT least(p_partkey, p_size) AS lo, greatest(p_partkey, p_size) AS hi FROM part), "
+    "n AS (SELECT q.*, a.id AS id_a, b.id AS id_b, least(a.id, b.id) AS lo, greatest(a.id, b.id) AS hi FROM q LEFT JOIN h a ON a.lang = q.lang AND a.phrase = q.canonical LEFT JOIN h b ON b.lang = q.lang AND b.phrase = q.synonym) "
+    "SELECT lang, canonical, synonym, id_a, id_b, CASE WHEN id_a IS NULL THEN 'no canonical' WHEN id_b IS NULL THEN 'no synonym' WHEN id_a = id_b THEN 'one concept' WHEN EXISTS (SELECT 1 FROM k WHERE k.lo = n.lo AND k.hi = n.hi) THEN 'linked' WHEN row_number() OVER (PARTITION BY lo, hi ORDER BY lang, canonical, synonym) > 1 THEN 'repeated' END AS reason FROM n"
+)
+def synonym_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbouring parts' names as pairs of synonyms; every eleventh is no stored phrase."""
+    part = read(spark, sf_dir, "part")
+    phrases = part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 2 == 0, "en").otherwise("lt").alias("lang"), F.col("p_name").alias("phrase"))
+    other = phrases.select((F.col("id") - 1).alias("id"), F.when(F.col("id") % 11 == 0, F.concat("phrase", F.lit(" x"))).otherwise(F.col("phrase")).alias("synonym"))
+    pairs = phrases.withColumnRenamed("phrase", "canonical").join(other, "id")
+    return store.link_synonyms(phrases, pairs, part.select(F.col("p_partkey").alias("id_a"), F.col("p_size").cast("long").alias("id_b")))
+
+
 @query("SELECT DISTINCT lang FROM documents INTERSECT SELECT DISTINCT lang FROM documents WHERE source = 'src1'")
 def common_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("lang", "source")

@@ -352,3 +352,24 @@ def test_separator_outside_parentheses(spark):
     texts = ["a – b", "a (x – y) - b", "(a - b", "a) - b", "no dash", "", None, " - a", "a - - b", "x" * 5000 + " – y"]
     got = [r.at for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", statutory.separator_at(F.col("t")).alias("at")).orderBy("i").collect()]
     assert got == [2, 10, 0, 0, 0, 0, 0, 1, 2, 5001]
+
+
+def test_synonyms_are_linked_or_told_why_not(spark):
+    phrases = spark.createDataFrame([(1, "en", "a"), (1, "en", "a1"), (2, "en", "b"), (9, "en", "b"), (3, "en", "c"), (4, "lt", "a")], "id long, lang string, phrase string")
+    pairs = spark.createDataFrame([("en", "a", "b"), ("en", "b", "a1"), ("en", "a", "a1"), ("en", "a", "zz"), ("en", "zz", "a"), ("en", "c", "a"), ("lt", "a", "b")], "lang string, canonical string, synonym string")
+    got = {(r.lang, r.canonical, r.synonym): (r.id_a, r.id_b, r.reason) for r in store.link_synonyms(phrases, pairs, spark.createDataFrame([(1, 3)], "id_a long, id_b long")).collect()}
+    assert got == {("en", "a", "b"): (1, 2, None), ("en", "b", "a1"): (2, 1, "repeated"), ("en", "a", "a1"): (1, 1, "one concept"), ("en", "a", "zz"): (1, None, "no synonym"), ("en", "zz", "a"): (None, 1, "no canonical"), ("en", "c", "a"): (3, 1, "linked"), ("lt", "a", "b"): (4, None, "no synonym")}
+
+
+def test_concepts_are_rebuilt_into_a_new_snapshot(spark, tmp_path):
+    from glossmill.sources import snapshots
+
+    folder = str(tmp_path / "lexicon")
+    concepts = spark.createDataFrame([(1, "vaporŝipo", "old"), (2, None, None), (3, "Malsanulejo", None)], "concept_id long, eo_word string, eo_kind string")
+    snapshots.commit(spark, folder, {"concepts": concepts})
+    held = snapshots.read(spark, folder, ["concepts"])
+    snapshots.commit(spark, folder, morphology.rebuilt_concepts(held["concepts"], morphology.root_table(spark, ROOTS)))
+    now = snapshots.read(spark, folder, ["concepts", "concept_root"])
+    assert rows(now["concepts"].select("concept_id", "eo_kind", "eo_head_tier", "eo_morphemes").where("eo_kind is not null")) == [(1, "compound", "core", 2), (3, "derived", "core", 4)]
+    assert now["concepts"].count() == 3 and rows(now["concept_root"]) == [(1, "vapor", 0, False), (1, "ŝip", 1, True), (3, "san", 0, True)]
+    assert snapshots.numbers(spark, folder) == [1, 2]
