@@ -94,12 +94,29 @@ def looked_up(left: DataFrame, right: DataFrame, on: list[str], uses: str, sprea
     return found.select(*left.columns, *[F.col(f"_gm_hot.{c}").alias(c) for c in values])
 
 
+def met(left: DataFrame, right: DataFrame, on: list[str], uses: str) -> DataFrame:
+    """The rows of left whose key right has, with right's other columns; as `looked_up`, without the rows that find nothing.
+
+    Hot keys, HOT_KEYS at most, are known by their hashes, by which both sides are parted; so each row takes one join, and
+    a task of the shuffle gets no row of a hot key. Keys that share a hash go the same way. Both sides are read twice.
+    """
+    values = [c for c in right.columns if c not in on and c != uses]
+    right = right.select(*on, *values, uses)
+    counted = right.agg(F.sum(uses)).first()[0] or 0
+    digest = F.xxhash64(*on)
+    hot = [r[0] for r in right.where(F.col(uses) >= max(HOT_LEAST, counted // HOT_KEYS)).select(digest).distinct().collect()]
+    if not hot:
+        return left.join(right.drop(uses), on)
+    is_hot = digest.isin(hot)
+    return left.where(is_hot).join(F.broadcast(right.where(is_hot).drop(uses)), on).unionByName(left.where(~is_hot).join(right.where(~is_hot).drop(uses), on))
+
+
 def sliced(batches: Iterator[pa.RecordBatch], text: str | int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts batches into slices of at most about `most` bytes in the column `text` (a longer value stands alone)."""
+    """Cuts batches into slices of at most about `most` bytes in the column `text`, or as it states them where it holds whole numbers (a longer value stands alone)."""
     for batch in batches:
         column = batch.column(text)
         start = size = 0
-        lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+        lengths = pc.fill_null(column if pa.types.is_integer(column.type) else pc.binary_length(column), 0).to_pylist()
         for i, n in enumerate(lengths):
             if size and size + n > most:
                 yield batch.slice(start, i - start)

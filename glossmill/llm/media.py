@@ -177,7 +177,10 @@ def store_media(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def read_media(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Decodes stored media and gives digests and the hash, in a binary and a text column."""
+    """Decodes stored media and gives digests and the hash, in a binary and a text column.
+
+    Files are decoded together in slices of bounded payload, as a small file may hold a large one.
+    """
     fields = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "cosine_bits", "feature"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -193,7 +196,7 @@ def read_media(df: DataFrame, key: str = "doc_id") -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], [key, *fields])
 
     kind = dict(df.dtypes)[key]
-    return map_texts(df.select(key, "n_bytes", "media"), work, f"{key} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, cosine_bits binary, feature string", "media")
+    return map_texts(df.select(key, "n_bytes", "media"), work, f"{key} {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, cosine_bits binary, feature string", "n_bytes")
 
 
 def media_columns(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

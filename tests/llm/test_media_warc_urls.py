@@ -227,3 +227,13 @@ def test_verdicts_follow_bayes_and_unseen_tokens_do_not_vote(spark):
                     chance[v] *= Fraction(bag.count(t) + 1, len(bag) + len(seen))
         if not r.rule:
             assert r.verdict == ("block" if chance["block"] > chance["allow"] else "allow")
+
+
+def test_media_are_decoded_in_slices_of_their_payload(spark, monkeypatch):
+    import pyarrow as pa
+
+    from glossmill.llm import common
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([900, 900, 5000, None]), pa.array([b"a", b"b", b"c", b"d"])], ["k", "n_bytes", "media"])
+    assert [x.num_rows for x in common.sliced(iter([batch]), "n_bytes", 1000)] == [1, 1, 1, 1]
+    assert [x.num_rows for x in common.sliced(iter([batch]), "media", 1000)] == [4]
