@@ -373,6 +373,9 @@ def test_hot_keys_are_looked_up_alike(spark, monkeypatch):
     right = spark.createDataFrame([(k, 10 * k, 30 if k == 0 else 4 if k == 3 else 1) for k in range(7)], "k long, v long, uses long")
     got = {r.i: r.v for r in common.looked_up(left, right, ["k"], "uses", ["i"]).collect()}
     assert got == {**{i: 10 * (i % 7 if i % 2 else 0) for i in range(60)}, 99: None, 98: None}
+    for least in (3, 1000):  # with hot keys, and without
+        monkeypatch.setattr(common, "HOT_LEAST", least)
+        assert {r.i: r.v for r in common.met(left, right, ["k"], "uses").collect()} == {i: v for i, v in got.items() if v is not None}
 
 
 def test_keep_one_tells_rows_apart(spark):
