@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.llm.common import cut, looked_up, map_texts, stored, utf8
+from glossmill.llm.common import cut, looked_up, map_texts, met, release, stored, utf8
 from glossmill.llm.graph import components
 
 BITS = 64
@@ -269,16 +269,19 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     small = probes.join(members, ["part", "bucket"]).where((F.col("v") < fp) & (F.bit_count(fp.bitwiseXOR(F.col("v"))) <= radius)).select(F.col("fp").alias("u"), "v")
     if many.isEmpty():
         return small.distinct()
-    # Members of large buckets, with all probes that reach them: in blocks, each with the first one.
-    reached = cut(probes.join(many.select("part", "bucket"), ["part", "bucket"]).distinct())
-    sizes = cut(reached.groupBy("part", "bucket").agg(F.count("*").alias("uses")).withColumn("blocks", F.ceil(F.col("uses") / BLOCK).cast("int")))
-    dealt = looked_up(reached, sizes, ["part", "bucket"], "uses", ["fp"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int"))
-    others = F.when(F.col("blocks") > 1, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
+    # Members of large buckets, with all probes that reach them, each once: masks differ.
+    reached = cut(probes.join(many.select("part", "bucket"), ["part", "bucket"]))
 
     def span(pdf: pd.DataFrame) -> pd.DataFrame:
         u, v = pivots(np.unique(pdf["fp"].to_numpy().view(np.uint64)), radius)
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
+    sizes = cut(reached.groupBy("part", "bucket").agg(F.count("*").alias("uses")).where(F.col("uses") > BLOCK).withColumn("blocks", F.ceil(F.col("uses") / BLOCK).cast("int")))
+    if sizes.isEmpty():
+        return small.unionByName(reached.groupBy("part", "bucket").applyInPandas(span, "u long, v long")).distinct()
+    # Where a bucket is larger than a block: in blocks, each with the first one.
+    dealt = looked_up(reached, sizes, ["part", "bucket"], "uses", ["fp"]).withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks").cast("long")).cast("int"))
+    others = F.when(F.col("blocks") > 1, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))
     first = dealt.select("part", "bucket", "fp", F.explode(F.when(F.col("block") > 0, F.array("block")).otherwise(others)).alias("b")).groupBy("part", "bucket", "b").applyInPandas(span, "u long, v long")
     found = small.unionByName(first).distinct()
     if sizes.where("blocks > 2").isEmpty():
@@ -428,19 +431,21 @@ def _members(df: DataFrame, key: str, text: str, width: int, radius: int, least:
     across = found.join(name("u"), "u").join(name("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
     banded = units.select("id", "n", F.posexplode("bands").alias("part", "bucket"))
     sizes = cut(banded.groupBy("part", "bucket").agg(F.count("*").alias("uses"), F.min("id").alias("hub")).where("uses > 1").withColumn("members", F.col("uses")))
-    index = cut(looked_up(banded, sizes, ["part", "bucket"], "uses", ["id"]).where("members is not null"))
+    index = cut(met(banded, sizes, ["part", "bucket"], "uses"))
     few, large = index.where(F.col("members") <= CROWD), index.where(F.col("members") > CROWD)
     other = few.select("part", "bucket", F.col("id").alias("v"), F.col("n").alias("m"))
     close = F.least("n", "m") >= F.greatest("n", "m") * (least - 1e-9)  # the similarity is no more than the sizes' ratio
     shared = few.join(other, ["part", "bucket"]).where((F.col("v") < F.col("id")) & close).select(F.col("id").alias("u"), "v")
     spokes = large.select(F.col("id").alias("u"), F.col("hub").alias("v"))
     edges = cut(star.unionByName(across).unionByName(shared).unionByName(spokes).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    release(df.sparkSession)
     # One row of each unit that has a candidate shows its shingles.
     needed = units.join(edges.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "id").select("mark", "id", "rep")
     rows = df.select(F.col(key).alias("k"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
     shown = rows.join(needed.select("rep"), rows["k"].eqNullSafe(F.col("rep.k")) & (rows["th"] == F.col("rep.th")), "left_semi")
     sets = stored(shingle_sets(shown, width).join(needed.select("mark", "id"), "mark").select("id", "shingles").dropDuplicates(["id"]), "shingles")
     similar = cut(verified(edges, sets, least))
+    release(df.sparkSession)
     labels = cut(components(similar))
     if not large.isEmpty():
         labels = cut(components(similar.unionByName(crowds(large, labels, sets, least))))
@@ -458,6 +463,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", width: int
     """
     members = _members(df, key, text, width, radius, least)
     gone = cut(members.where(~(F.col("k").eqNullSafe(F.col("best.k")) & (F.col("th") == F.col("best.th")))).select(F.col("k").alias("_gm_k"), F.col("th").alias("_gm_th")).distinct())
+    release(df.sparkSession)
     return df.join(gone, df[key].eqNullSafe(gone["_gm_k"]) & (F.xxhash64(text) == gone["_gm_th"]), "left_anti")
 
 
