@@ -84,7 +84,7 @@ def trigram_pmi(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def subsumption_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores are left equal here, so that only containment and frequency decide."""
-    counts = ngrams.ngram_counts(mined(spark, sf_dir), range(2, 4)).where("frequency >= 8").select("phrase", "frequency", F.lit(0.0).alias("pmi"))
+    counts = settled(ngrams.ngram_counts(mined(spark, sf_dir), range(2, 4)).where("frequency >= 8").select("phrase", "frequency", F.lit(0.0).alias("pmi")), "counts")
     return ngrams.without_subsumed(counts).select("phrase", "frequency")
 
 
@@ -137,7 +137,7 @@ def sample_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_NOVEL_SQL} SELECT top.phrase, min(p.phrase) AS overlaps_known_term FROM top JOIN phrases p ON contains(top.phrase, p.phrase) OR contains(p.phrase, top.phrase) GROUP BY top.phrase")
 def known_term_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.known_overlap(mine_candidates_topk(spark, sf_dir), benchmark_phrases(spark, sf_dir).withColumnRenamed("phrase", "term"))
+    return ngrams.known_overlap(settled(mine_candidates_topk(spark, sf_dir), "ranked"), benchmark_phrases(spark, sf_dir).withColumnRenamed("phrase", "term"))
 
 
 _LT_SQL = "CASE " + " ".join(f"WHEN word LIKE '%{e}' AND length(word) > {len(e)} THEN left(word, length(word) - {len(e)}) || '{r}'" for e, r in [("ių", "ys"), ("ės", "ė"), ("io", "is"), ("ui", "us"), ("os", "a"), ("ą", "as"), ("ę", "ė"), ("į", "is")]) + " ELSE word END"

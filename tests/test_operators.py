@@ -48,6 +48,22 @@ def test_stop_words_go_before_windows(spark):
     assert [r.phrase for r in ngrams.ngram_counts(tokens.mined_sentences(docs), range(2, 3)).collect()] == ["release goods"]
 
 
+def test_what_containment_spells_is_never_broadcast(spark):
+    df = spark.createDataFrame([(f"word{i} of{i}", 10, 1.0) for i in range(50)], "phrase string, frequency long, pmi double")
+    terms = spark.createDataFrame([(f"term{i} of{i}",) for i in range(50)], "term string")
+    words = spark.createDataFrame([("word1", 5)], "word string, freq long")
+    spelt = [ngrams.subsumed(df), ngrams.known_overlap(df, terms), ngrams.scored_bigrams(df.drop("pmi"), words, ngrams.total_of(words)).drop("n")]
+    assert [x._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") for x in spelt] == [0, 0, 0]
+
+
+def test_containment_equals_a_plain_search_of_strings(spark):
+    made = ["a b", "aa b", "a ba", "ca b d", "c", "cab", " b", "b ", "a  b", "aa  bd", "", "a", "x aa b y", "ab ab", "bab aba", "é b", "né ba", "ca bx d", "b"]
+    rows = [(p, 1 + i % 4, float(i % 3)) for i, p in enumerate(made)]
+    wanted = {x for x, f, s in rows if x and any(y != x and x in y and g >= 0.5 * f and t >= s - 1.0 for y, g, t in rows)}
+    found = ngrams.subsumed(spark.createDataFrame(rows, "phrase string, frequency long, pmi double"), slack=1.0)
+    assert {r.phrase for r in found.collect()} == wanted
+
+
 def test_subsumption(spark):
     def survivors(frequency, pmi):
         df = spark.createDataFrame([("pajamų mokestis", 10, 3.0), ("gyventojų pajamų mokestis", frequency, pmi)], "phrase string, frequency int, pmi double")
