@@ -36,8 +36,7 @@ def ngram_counts_2_4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bigrams(spark: SparkSession, sf_dir: str, least: int = LEAST_FREQUENCY) -> DataFrame:
-    stop = F.array(*[F.lit(w) for w in tokens.STOP_WORDS])
-    words = F.transform(tokens.sentences_of(F.col("text")), lambda s: F.filter(tokens.words_of(s), lambda w: ~F.array_contains(stop, w)))
+    words = F.transform(tokens.sentences_of(F.col("text")), lambda s: F.filter(tokens.words_of(s), lambda w: ~w.isin(tokens.STOP_WORDS)))
     return ngrams.document_ngrams(documents(spark, sf_dir), "text", 2, words).where(F.col("frequency") >= least)
 
 

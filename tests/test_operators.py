@@ -64,6 +64,18 @@ def test_containment_equals_a_plain_search_of_strings(spark):
     assert {r.phrase for r in found.collect()} == wanted
 
 
+def test_cascade_counts_are_those_of_its_rows_and_join_no_run_again(spark):
+    runs = spark.createDataFrame([(1, 0, ["taxes", "dutys", "free", "cats", "cat", "walked"], ["taxe", "duty", "free", "cat", "cat", "walked"]), (2, 0, ["none"], ["none"])], "d long, r int, words array<string>, lemmas array<string>")
+    table = lambda rows, schema: spark.createDataFrame(rows, schema)
+    phrases, lex, fall = table([("tax duty",), ("cat walked",)], "phrase string"), table([("cat", 1), ("walk", 2)], "word string, tier int"), table([("free", 1)], "word string, tier int")
+    args = (runs, phrases, lex, table([("walked", "walk")], "inflected string, lemma string"), fall, ["d", "r"])
+    counted = coverage.cascade_counts(*args, ["d"])
+    rows = coverage.cascade(*args).groupBy("d", "category", "step").count()
+    assert sorted(map(tuple, counted.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    # Neither the runs nor their words cross a shuffle by the run's key.
+    assert "SortMergeJoin" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_subsumption(spark):
     def survivors(frequency, pmi):
         df = spark.createDataFrame([("pajamų mokestis", 10, 3.0), ("gyventojų pajamų mokestis", frequency, pmi)], "phrase string, frequency int, pmi double")
