@@ -76,6 +76,14 @@ def test_cascade_counts_are_those_of_its_rows_and_join_no_run_again(spark):
     assert "SortMergeJoin" not in counted._jdf.queryExecution().executedPlan().toString()
 
 
+def test_shares_of_a_file_are_not_rounded_twice(spark):
+    # 57 of 800 is 0.07125, which lies just below the middle as a double: 712, but 713 if rounded to four places before.
+    files = spark.createDataFrame([("f", "s", " ".join(["known"] * 57 + ["other"] * 743))], "filename string, stratum string, text string")
+    phrases, lex = spark.createDataFrame([("no match",)], "phrase string"), spark.createDataFrame([("known", 1)], "word string, tier int")
+    share = coverage.file_values(files, phrases, lex).select(F.floor(F.col("common_ratio") * 10000 + 0.5).alias("q")).first()
+    assert (share.q, coverage.file_rows(files, phrases, lex).first().common_ratio) == (712, 0.0713)
+
+
 def test_subsumption(spark):
     def survivors(frequency, pmi):
         df = spark.createDataFrame([("pajamų mokestis", 10, 3.0), ("gyventojų pajamų mokestis", frequency, pmi)], "phrase string, frequency int, pmi double")
