@@ -100,3 +100,14 @@ def test_sqlite(spark, tmp_path):
     back = sqlite.read(spark, path, "t")
     assert back.dtypes == [("id", "bigint"), ("word", "string"), ("score", "double")]
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_pages_are_parsed_in_slices_of_bounded_bytes():
+    import pyarrow as pa
+
+    from glossmill.sources import markup
+
+    batch = pa.RecordBatch.from_pydict({"celex_id": [str(i) for i in range(40)], "html": [None, "x" * 3_000_000, *["y" * 100_000] * 38]})
+    parts = list(markup._slices(batch))
+    assert [r for p in parts for r in p.column("celex_id").to_pylist()] == [str(i) for i in range(40)]
+    assert all(p.num_rows == 1 or sum(len(h or "") for h in p.column("html").to_pylist()) <= markup.SLICE_BYTES for p in parts)
