@@ -33,7 +33,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 @dataclass
 class Archive:
-    """records: id, header, sha256, kind; payloads: sha256, payload."""
+    """records: id, header, sha256, kind; payloads: sha256, payload, size, and in `uses` the rows that have it."""
 
     records: DataFrame
     payloads: DataFrame
@@ -72,16 +72,17 @@ def write_archive(df: DataFrame, key: str = "page_id", url: str = "url", payload
     )
     records = stored(judged.select("id", "sha256", F.when(revisits, "revisit").otherwise("response").alias("kind"), header.cast("binary").alias("header")), "warc-records")
     # The combine before the shuffle leaves one copy of a payload for each task.
-    payloads = stored(rows.groupBy("sha256").agg(F.first("payload").alias("payload")), "warc-payloads")
+    payloads = stored(rows.groupBy("sha256").agg(F.first("payload").alias("payload"), F.count("*").alias("uses")).withColumn("size", F.octet_length("payload")), "warc-payloads")
     return Archive(records, payloads)
 
 
 def rebuild(archive: Archive) -> DataFrame:
-    """id, record: the bytes of every original record. A revisit has no block, so it needs no payload."""
+    """id, record: the bytes of every original record. A revisit has no block, so it needs no payload.
+
+    Payloads are shuffled once: how often they are used and how long they are stands beside them.
+    """
     responses = archive.records.where("kind = 'response'")
-    uses = responses.groupBy("sha256").agg(F.count("*").alias("uses"))
-    held = archive.payloads.join(uses, "sha256")
-    full = looked_up(responses, held, ["sha256"], "uses", ["header"], F.octet_length("payload") < LEAST, archive.records.count())
+    full = looked_up(responses, archive.payloads, ["sha256"], "uses", ["header"], F.col("size") < LEAST, archive.records.count()).drop("size")
     bare = archive.records.where("kind = 'revisit'").withColumn("payload", F.lit(b""))
     return full.unionByName(bare).select("id", "sha256", F.concat("header", F.coalesce("payload", F.lit(b"")), F.lit(b"\r\n\r\n")).alias("record"))
 

@@ -237,3 +237,18 @@ def test_media_are_decoded_in_slices_of_their_payload(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4]), pa.array([900, 900, 5000, None]), pa.array([b"a", b"b", b"c", b"d"])], ["k", "n_bytes", "media"])
     assert [x.num_rows for x in common.sliced(iter([batch]), "n_bytes", 1000)] == [1, 1, 1, 1]
     assert [x.num_rows for x in common.sliced(iter([batch]), "media", 1000)] == [4]
+
+
+def test_rebuilding_records_shuffles_payloads_once(spark):
+    rows = [(i, f"http://a/{i}", f"page {i} " + "x" * 1200) for i in range(20)]
+    archive = warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    # Counting and joining read the payloads' table alone; a join of it with the records' counts came before.
+    assert archive.payloads.agg(F.sum("uses"), F.min("size")).first()[:] == (20, 1207)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = warc.rebuild(archive)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Join") == 1
