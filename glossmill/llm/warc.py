@@ -72,7 +72,7 @@ def write_archive(df: DataFrame, key: str = "page_id", url: str = "url", payload
     )
     records = stored(judged.select("id", "sha256", F.when(revisits, "revisit").otherwise("response").alias("kind"), header.cast("binary").alias("header")), "warc-records")
     # The combine before the shuffle leaves one copy of a payload for each task.
-    payloads = stored(rows.groupBy("sha256").agg(F.first("payload").alias("payload"), F.count("*").alias("uses")).withColumn("size", F.octet_length("payload")), "warc-payloads")
+    payloads = stored(rows.groupBy("sha256").agg(F.first("payload").alias("payload"), F.count("*").alias("uses")).withColumn("size", F.octet_length("payload")), "warc-payloads", **{"parquet.compression.codec.zstd.level": "9"})
     return Archive(records, payloads)
 
 
