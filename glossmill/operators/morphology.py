@@ -179,26 +179,53 @@ DECOMPOSED = "stem string, kind string, prefixes array<string>, roots array<stri
 ROOTS = "root string, tier string, productivity long"
 #: Strings of stems up to this length meet the roots as they are; longer roots meet them by an opening of this length.
 OPENING = 32
+#: Roots that are broadcast at most; more of them meet the stems' strings in a shuffle.
+MOST_BROADCAST = 400_000
+FOUND = "root:string,tier:string,productivity:bigint"
 
 
-def roots_within(stems: DataFrame, roots: DataFrame) -> DataFrame:
-    """stem and `found`, the roots (root, tier, productivity) that stand somewhere in it; stems without any have null.
+def named_roots(roots: DataFrame) -> DataFrame:
+    """root, tier and productivity in lower case, each root once."""
+    named = roots.select(F.lower("root").alias("root"), "tier", F.coalesce("productivity", F.lit(0)).cast("long").alias("productivity"))
+    return named.groupBy("root").agg(F.max_by(F.struct("tier", "productivity"), "productivity").alias("v")).select("root", "v.*")
 
-    A stem's own strings meet the roots by key, so the inventory may be of any size.
+
+def roots_within(stems: DataFrame, roots: DataFrame, few: bool = False) -> DataFrame:
+    """stem and `found`, the named roots that stand somewhere in it; stems without any have null.
+
+    A stem's own strings meet the roots by key, so the inventory may be of any size; `few` says that it is small enough
+    for a broadcast.
     """
     low = stems.select("stem", F.lower(F.trim("stem")).alias("_low"))
     n = F.length("_low")
     openings = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(OPENING), n - i + 1)), lambda k: F.substring(F.col("_low"), i, k)))
     parts = low.where(n > 0).select("stem", "_low", F.explode(F.array_distinct(F.flatten(openings))).alias("part"))
-    named = roots.select(F.lower("root").alias("root"), "tier", F.coalesce("productivity", F.lit(0)).cast("long").alias("productivity")).groupBy("root").agg(F.max_by(F.struct("tier", "productivity"), "productivity").alias("v")).select("root", "v.*")
-    short = parts.join(named.where(F.length("root") <= OPENING).withColumn("part", F.col("root")), "part").select("stem", "root", "tier", "productivity")
-    long = parts.where(F.length("part") == OPENING).join(named.where(F.length("root") > OPENING).withColumn("part", F.substring("root", 1, OPENING)), "part").where(F.col("_low").contains(F.col("root"))).select("stem", "root", "tier", "productivity").distinct()
-    found = short.unionByName(long).groupBy("stem").agg(F.collect_list(F.struct("root", "tier", "productivity")).alias("found"))
+    keyed = roots.select("root", "tier", "productivity", F.substring("root", 1, OPENING).alias("part"))
+    met = parts.join(keyed.hint("broadcast" if few else "merge"), "part").where((F.length("root") <= OPENING) | F.col("_low").contains(F.col("root")))
+    found = met.groupBy("stem").agg(F.collect_list(F.struct("root", "tier", "productivity")).alias("found"))
     return stems.select("stem").join(found, "stem", "left")
 
 
+def roots_needed(stems: DataFrame, named: DataFrame) -> DataFrame:
+    """stem and `found`, those roots within it that its analysis can use.
+
+    A solid root needs itself alone, as it is never split. Any other root is its own analysis of the last rank in one
+    part, which only an analysis of solid roots can beat, so it needs those. All other stems need every root.
+    """
+    solid = F.col("tier").isin("core", "extended") | (F.col("productivity") >= 2) | F.col("root").isin(NUMBER_ROOTS)
+    own = stems.select("stem", F.when(F.col("stem").rlike(r"^\p{L}+$"), F.lower("stem")).alias("root")).join(named.hint("merge"), "root", "left")
+    itself = F.struct("root", "tier", "productivity")
+    marked = settled(own.select("stem", F.when(F.col("tier").isNotNull(), itself).alias("itself"), (F.col("tier").isNotNull() & F.coalesce(solid, F.lit(False))).alias("solid")), "stems-and-roots")
+    known = F.col("itself").isNotNull()
+    bearing = named.where(solid)
+    few = bearing.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    split = roots_within(marked.where(known & ~F.col("solid")), bearing, few).join(marked.select("stem", "itself"), "stem")
+    split = split.select("stem", F.concat(F.coalesce("found", F.array().cast(f"array<struct<{FOUND}>>")), F.array("itself")).alias("found"))
+    return marked.where("solid").select("stem", F.array("itself").alias("found")).unionByName(split).unionByName(roots_within(marked.where(~known), named))
+
+
 def decompose(stems: DataFrame, roots: DataFrame, words: tuple[str, ...] = ()) -> DataFrame:
-    """Each distinct stem once, over the roots (root, tier, productivity) that it contains; a split can use no others."""
+    """Each distinct stem once, over those roots (root, tier, productivity) within it that its analysis can use."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decomposer, columns = Decomposer({}, words), [c.split(" ")[0] for c in DECOMPOSED.split(", ")]
@@ -209,7 +236,8 @@ def decompose(stems: DataFrame, roots: DataFrame, words: tuple[str, ...] = ()) -
                 out.append({"stem": stem, **decomposer.within(own).decompose(stem)})
             yield pd.DataFrame(out, columns=columns)
 
-    return roots_within(stems.select("stem").where("stem is not null").distinct(), roots).mapInPandas(work, DECOMPOSED)
+    named = settled(named_roots(roots), "roots")
+    return roots_needed(stems.select("stem").where("stem is not null").distinct(), named).mapInPandas(work, DECOMPOSED)
 
 
 def concept_roots(concepts: DataFrame, decomposed: DataFrame) -> DataFrame:

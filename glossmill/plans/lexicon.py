@@ -11,6 +11,7 @@ from glossmill.operators import lexicon as lex
 from glossmill.operators import morphology, ngrams, statutory
 from glossmill.plans.common import MINED_SQL, UNI_SQL, documents, mined, read
 from glossmill.plans.registry import query
+from glossmill.scratch import settled
 from glossmill.sources.html import corpus_lines
 
 _NJ = "w1 AS (SELECT word, CASE WHEN word LIKE '%n' THEN left(word, length(word) - 1) ELSE word END AS a FROM uni), w2 AS (SELECT word, CASE WHEN a LIKE '%j' THEN left(a, length(a) - 1) ELSE a END AS b FROM w1)"
@@ -53,7 +54,7 @@ def root_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _decomposed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus' stems over the whole inventory of its own roots, tail roots among them."""
-    stems = _stems(spark, sf_dir).select("stem").distinct()
+    stems = settled(_stems(spark, sf_dir).select("stem").distinct(), "corpus-stems")
     return morphology.decompose(stems, morphology.productivity(stems))
 
 

@@ -409,3 +409,17 @@ def test_concepts_are_rebuilt_into_a_new_snapshot(spark, tmp_path):
     assert rows(now["concepts"].select("concept_id", "eo_kind", "eo_head_tier", "eo_morphemes").where("eo_kind is not null")) == [(1, "compound", "core", 2), (3, "derived", "core", 4)]
     assert now["concepts"].count() == 3 and rows(now["concept_root"]) == [(1, "vapor", 0, False), (1, "ŝip", 1, True), (3, "san", 0, True)]
     assert snapshots.numbers(spark, folder) == [1, 2]
+
+
+def test_a_stem_meets_only_the_roots_that_its_analysis_can_use(spark):
+    inventory = {"san": ("core", 9), "vapor": ("extended", 2), "vaporsan": ("tail", 1), "sanul": ("tail", 1), "por": ("tail", 1), "old": ("tail", 4), "oldsan": ("core", 3), "sanold": ("tail", 1)}
+    stems = ["san", "vaporsan", "sanul", "oldsan", "sanold", "porsan", "sanporul", "du", "dusan", "SAN", "q"]
+    named = morphology.named_roots(morphology.root_table(spark, inventory))
+    table = spark.createDataFrame([(x,) for x in stems], "stem string")
+    found = {r.stem: sorted(x["root"] for x in r.found or []) for r in morphology.roots_needed(table, named).collect()}
+    assert found["san"] == ["san"] and found["oldsan"] == ["oldsan"]
+    assert found["vaporsan"] == ["san", "vapor", "vaporsan"] and found["sanold"] == ["old", "san", "sanold"]
+    assert found["porsan"] == ["por", "san"] and found["q"] == []
+    whole = morphology.Decomposer(inventory)
+    got = {r.stem: r.asDict() for r in morphology.decompose(table, morphology.root_table(spark, inventory)).collect()}
+    assert got == {x: {"stem": x, **whole.decompose(x)} for x in stems}
