@@ -201,6 +201,8 @@ def tagged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = settled(tagging.tagged(documents(spark, sf_dir, "doc_id", "source", "text"), tagging.dictionary_tagger({}, _rule)), "tagged")
     words = settled(tagging.lemma_counts(docs, "doc_id"), "lemmas")
     counts = tagging.candidate_counts(docs, "doc_id", "source", range(2, 4)).where(F.col("frequency") >= LEAST_FREQUENCY).where(scores.pos_shape_ok(F.col("pos_pattern")))
+    # Stored, as the components and the join behind them read them.
+    counts = settled(counts, "tagged-counts")
     found = settled(tagging.lexicon_components(counts, words, lexicon(spark, sf_dir)), "tagged-candidates")
     scored = ngrams.scored_ngrams(found, words.select("word", "freq"), ngrams.total_of(words))
     joined = lambda c, name: F.array_join(c, ",").alias(name)

@@ -49,3 +49,18 @@ def test_any_function_is_a_tagger(spark):
     df = spark.createDataFrame([(1, "a b\n12\nlong enough line c")], "k int, text string")
     row = tagging.tagged(df, shout, noise=True).first()
     assert [[t.lemma for t in s] for s in row.sentences] == [["LONG", "ENOUGH", "LINE", "C"]] and row.k == 1
+
+
+def test_candidates_are_counted_once_however_often_they_are_read(spark, monkeypatch):
+    from glossmill.plans import mining
+
+    plans, stored = {}, mining.settled
+
+    def seen(df, what):
+        plans[what] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stored(df, what)
+
+    monkeypatch.setattr(mining, "settled", seen)
+    mining.tagged_candidates(spark, "/root/testdata/sf0.001")
+    assert plans["tagged-counts"].count("sentences") > 0
+    assert "sentences" not in plans["tagged-candidates"]
