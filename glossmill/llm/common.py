@@ -53,12 +53,19 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
-def stored(df: DataFrame, what: str, **options: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back."""
-    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    df.write.options(**{"compression": "zstd", **options}).parquet(path)
-    release(df.sparkSession)
-    return df.sparkSession.read.parquet(path)
+def stored(df: DataFrame, what: str, by: list[str] | None = None, **options: str) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back. With `by` it is bucketed by these columns, so joins on them move only the other side."""
+    spark, name = df.sparkSession, f"{what}-{uuid.uuid4().hex}"
+    path, options = f"{shared_dir(spark)}/{name}", {"compression": "zstd", **options}
+    if by is None:
+        df.write.options(**options).parquet(path)
+        release(spark)
+        return spark.read.parquet(path)
+    table_name, buckets = name.replace("-", "_"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt as the buckets are, so that each one is a file.
+    df.repartition(buckets, *by).write.format("parquet").options(**options, path=path).bucketBy(buckets, *by).saveAsTable(table_name)
+    release(spark)
+    return spark.table(table_name)
 
 
 def release(spark: SparkSession) -> None:

@@ -71,15 +71,16 @@ def write_archive(df: DataFrame, key: str = "page_id", url: str = "url", payload
         F.lit("\r\n"),
     )
     records = stored(judged.select("id", "sha256", F.when(revisits, "revisit").otherwise("response").alias("kind"), header.cast("binary").alias("header")), "warc-records")
-    # The combine before the shuffle leaves one copy of a payload for each task.
-    payloads = stored(rows.groupBy("sha256").agg(F.first("payload").alias("payload"), F.count("*").alias("uses")).withColumn("size", F.octet_length("payload")), "warc-payloads", **{"parquet.compression.codec.zstd.level": "9"})
+    # The combine before the shuffle leaves one copy of a payload for each task; bucketed, payloads are not shuffled again on reading.
+    payloads = rows.groupBy("sha256").agg(F.first("payload").alias("payload"), F.count("*").alias("uses")).withColumn("size", F.octet_length("payload"))
+    payloads = stored(payloads, "warc-payloads", ["sha256"], **{"parquet.compression.codec.zstd.level": "9"})
     return Archive(records, payloads)
 
 
 def rebuild(archive: Archive) -> DataFrame:
     """id, record: the bytes of every original record. A revisit has no block, so it needs no payload.
 
-    Payloads are shuffled once: how often they are used and how long they are stands beside them.
+    Payloads stay in their buckets, which the headers come to: how often they are used and how long they are stands beside them.
     """
     responses = archive.records.where("kind = 'response'")
     full = looked_up(responses, archive.payloads, ["sha256"], "uses", ["header"], F.col("size") < LEAST, archive.records.count()).drop("size")

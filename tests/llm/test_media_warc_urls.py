@@ -252,3 +252,18 @@ def test_rebuilding_records_shuffles_payloads_once(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Join") == 1
+
+
+def test_payloads_stay_in_their_buckets_when_records_are_rebuilt(spark):
+    rows = [(i, f"http://x.org/{i}", f"{i % 20} " * 700) for i in range(50)]
+    archive = warc.write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rebuilt = warc.rebuild(archive)
+        plan = rebuilt._jdf.queryExecution().executedPlan().toString()
+        assert rebuilt.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "payload" in line]
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
