@@ -47,6 +47,8 @@ from glossmill.llm.common import SLICE_BYTES, sliced, stored, utf8
 SIZE, GRAM = 100, 32
 #: Bytes of suffixes in a range, hashes' bytes of text in a bucket, sampled suffixes for each range.
 BUCKET, HASH_BUCKET, SAMPLE = 32 << 20, 256 << 20, 16
+#: Texts are hashed in slices of so many bytes: a slice takes about 70 times as much memory.
+SCAN_BYTES = 1 << 20
 #: A task deals its anchors' hashes when it holds so many.
 FLUSH = 1 << 20
 #: A sample of at most so many rows is sent to all tasks; a larger one is joined by key.
@@ -330,14 +332,17 @@ def splitters_of(sample: list[bytes], ranges: int) -> list[bytes]:
 
 
 def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SIZE, bucket_bytes: int = BUCKET) -> DataFrame:
-    """k, mark, start, stop: spans that go, of rows told apart by key (a long) and mark; spans may overlap."""
+    """k, mark, start, stop: spans that go, of rows told apart by key (a long, not null) and mark; spans may overlap.
+
+    df is read several times; bucketed by key and mark, its texts are not shuffled.
+    """
     spark = df.sparkSession
     bytes_ = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-bytes_ // HASH_BUCKET))
 
     def scan(batches):
         kept: list[tuple[np.ndarray, ...]] = []
-        for batch in sliced(batches, 2):
+        for batch in sliced(batches, 2, SCAN_BYTES):
             ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             doc, at, n, left, h = runs_of(utf8(batch.column(2)), size)
             kept.append((ids[doc], marks[doc], at.astype(np.uint32), n.astype(np.uint8), left.astype(np.uint8), h))
@@ -385,7 +390,7 @@ def repeated_spans(df: DataFrame, key: str, text: str, mark: str, size: int = SI
             known += [[*p[:2], *(c[chosen] for c in p[2:])] for p, chosen in zip(parts, keep, strict=True) if chosen.any()]
         return pd.DataFrame({c: np.concatenate([x[i] for x in known]).astype(kind) if known else np.zeros(0, kind) for i, (c, kind) in enumerate((("k", np.int64), ("mark", np.int64), ("at", np.int32), ("n", np.int32), ("lead", np.int32)), 2)})
 
-    thin = df.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("k"), F.col(mark).alias("mark"), F.col(text).alias("t"))
+    thin = df.select(F.col(key).alias("k"), F.col(mark).alias("mark"), F.col(text).alias("t"))
     repeats = stored(thin.mapInArrow(scan, "kind int, bucket int, blob binary").groupBy("bucket").applyInPandas(repeated, "k long, mark long, at int, n int, lead int"), "suffix-repeats")
     runs, held = repeats.agg(F.count("*"), F.sum(F.col("n") + F.lit(size - 1))).first()
     ranges = max(spark.sparkContext.defaultParallelism, -(-(held or 0) // bucket_bytes))
@@ -508,18 +513,21 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SI
     With `replace`, `text` itself becomes the remaining text, without bytes left of a cut character.
     """
     added = ["n_bytes", "n_removed", "n_spans"]
-    marked = df.drop(*[c for c in (*added, "kept_bytes") if c not in (key, text)]).withColumn("_gm_text", F.xxhash64(text))
-    spans = repeated_spans(marked, key, text, "_gm_text", size, bucket_bytes)
+    given = df.drop(*[c for c in (*added, "kept_bytes") if c not in (key, text)])
+    marked = given.withColumns({"_gm_key": F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))), "_gm_text": F.xxhash64(text)})
+    # Both joins with the texts find them in their buckets, so they are shuffled once.
+    marked = stored(marked, "suffix-texts", ["_gm_key", "_gm_text"])
+    spans = repeated_spans(marked, "_gm_key", text, "_gm_text", size, bucket_bytes)
     lists = spans.groupBy("k", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("_gm_spans")).withColumnsRenamed({"k": "_gm_k", "mark": "_gm_mark"})
-    joined = marked.join(lists, (F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))) == F.col("_gm_k")) & (F.col("_gm_text") == F.col("_gm_mark")), "left").drop("_gm_k", "_gm_mark")
-    fields = [f for f in marked.schema.fields if f.name != "_gm_text"]
+    joined = marked.join(lists, (F.col("_gm_key") == F.col("_gm_k")) & (F.col("_gm_text") == F.col("_gm_mark")), "left").drop("_gm_k", "_gm_mark")
+    fields = given.schema.fields
     names = [f.name for f in fields]
     at_text = names.index(text)
 
     def cut_out(batches):
         for batch in sliced(batches, at_text):
             out: tuple[list, ...] = ([], [], [], [])
-            for given, t, spans_ in zip(batch.column(at_text), utf8(batch.column(at_text)), batch.column(len(names)).to_pylist(), strict=True):
+            for value, t, spans_ in zip(batch.column(at_text), utf8(batch.column(at_text)), batch.column(len(names)).to_pylist(), strict=True):
                 removed = n = 0
                 kept = t
                 if spans_:
@@ -532,9 +540,9 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SI
                         last, removed, n = b, removed + b - a, n + 1
                     kept = b"".join([*parts, t[last:]])
                 if replace:
-                    kept = kept.decode(errors="ignore") if given.is_valid else None
-                for column, value in zip(out, (len(t), removed, n, kept), strict=True):
-                    column.append(value)
+                    kept = kept.decode(errors="ignore") if value.is_valid else None
+                for column, x in zip(out, (len(t), removed, n, kept), strict=True):
+                    column.append(x)
             columns = [batch.column(i) for i in range(len(names))]
             counts = [pa.array(c, pa.int64()) for c in out[:3]]
             if replace:

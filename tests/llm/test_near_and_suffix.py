@@ -382,3 +382,28 @@ def test_keep_one_tells_rows_apart(spark):
     x, y = (" ".join(f"{c}{i}" for i in range(30)) for c in "xy")
     rows = spark.createDataFrame([(1, x), (2, x), (2, y), (None, y + " more"), (3, "z"), (3, "z")], "doc_id long, text string")
     assert sorted(((r.doc_id or 0, r.text) for r in simhash.keep_one(rows).collect())) == sorted([(1, x), (0, y + " more"), (3, "z"), (3, "z")])
+
+
+def test_texts_stay_in_their_buckets_and_are_scanned_in_small_slices(spark):
+    import tracemalloc
+
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        passage = "".join(random.Random(1).choices("abcdefgh", k=300))
+        done = suffixes.dedup(spark.createDataFrame([(i, f"{i} text {i * 7919} " + passage * (i % 2)) for i in range(20)], "doc_id long, text string"))
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.n_removed > 0 for r in done.collect()) == [False] * 11 + [True] * 9
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    # Only the lists of spans are shuffled.
+    assert "Bucketed: true" in plan and not [line for line in plan.splitlines() if "Exchange" in line and "text#" in line]
+    assert plan.count("SortMergeJoin") == 1 and plan.split("SortMergeJoin")[1].count("Exchange") == 1
+    text = np.random.default_rng(3).integers(97, 123, suffixes.SCAN_BYTES, np.uint8).tobytes()
+    tracemalloc.start()
+    suffixes.runs_of([text[i : i + 2000] for i in range(0, len(text), 2000)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
