@@ -20,7 +20,8 @@ _STEMS = f"{MINED_SQL}, {UNI_SQL}, {_NJ}, st AS (SELECT word, {_FLEX} AS stem FR
 
 
 def _stems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.unigram_counts(mined(spark, sf_dir)).select("word", strip_flexion(F.col("word")).alias("stem"))
+    """Each distinct word and its stem. Words are stored, as Spark moves what is asked of stems before the count otherwise, and strips every use of a word."""
+    return settled(ngrams.unigram_counts(mined(spark, sf_dir)).select("word"), "corpus-words").select("word", strip_flexion(F.col("word")).alias("stem"))
 
 
 @query(f"WITH {_STEMS} SELECT word, stem FROM st")

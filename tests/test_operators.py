@@ -423,3 +423,13 @@ def test_a_stem_meets_only_the_roots_that_its_analysis_can_use(spark):
     whole = morphology.Decomposer(inventory)
     got = {r.stem: r.asDict() for r in morphology.decompose(table, morphology.root_table(spark, inventory)).collect()}
     assert got == {x: {"stem": x, **whole.decompose(x)} for x in stems}
+
+
+def test_stems_are_made_of_distinct_words_not_of_every_use(spark, tmp_path):
+    from glossmill.plans import lexicon as plans
+
+    spark.createDataFrame([(1, "Domoj domojn domo. Domo domo!")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    asked = plans._stems(spark, str(tmp_path)).select("stem").distinct().where("stem is not null")
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    assert rows(asked) == [("dom",)]
