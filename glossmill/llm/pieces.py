@@ -92,7 +92,8 @@ class Model:
         self.packed = [int(i).to_bytes(4, "little") for i in range(n)]
         special = {i for i in range(n) if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)}
         self.normal = [i for i in range(n) if i not in special]
-        self.longest = max(len(self.names[i]) for i in self.normal)
+        self.lengths = np.array([len(x) for x in self.names], np.int64)
+        self.longest = int(self.lengths[self.normal].max())
         self.power = np.array([pow(int(_BASE), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
         keys = np.zeros(len(self.normal), np.uint64)
         for length, rows in self._by_length([self.names[i] for i in self.normal]).items():
@@ -167,20 +168,27 @@ class Model:
                         out[i] = ids
         return out
 
-    def _merge_block(self, words: list[str], n: int) -> list[list[int]]:
-        h, rows = self._prefix_hashes(self._matrix(words, n)), np.arange(len(words))
-        end = np.tile(np.arange(1, n + 2), (len(words), 1))  # of the symbol that starts there
-        before = np.tile(np.arange(-1, n), (len(words), 1))  # start of the symbol before
-        gain = np.full((len(words), n + 1), -np.inf)
+    def _ends(self, words: list[str], sizes: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix hashes, and the end of the symbol that starts at each place when nothing merges any more.
+
+        Words of any lengths `sizes` advance together, padded to the longest. Where a merge would cross `cut`, a word is left
+        there at once, with an end beyond the cut.
+        """
+        w, n = len(words), int(sizes.max())
+        h, rows = self._prefix_hashes(self._matrix([x.ljust(n) for x in words], n)), np.arange(w)
+        end = np.tile(np.arange(1, n + 2), (w, 1))  # of the symbol that starts there
+        before = np.tile(np.arange(-1, n), (w, 1))  # start of the symbol before
+        gain = np.full((w, n + 1), -np.inf)
+        if n > 1:
+            found = self.lookup(h[:, 2:] - h[:, :-2] * self.power[2] + np.uint64(2)) if self.longest > 1 else np.full((w, n - 1), -1)
+            gain[:, : n - 1] = np.where((found >= 0) & (np.arange(2, n + 1) <= sizes[:, None]), self.scores[found], -np.inf)
 
         def rate(r: np.ndarray, i: np.ndarray) -> None:
             stop = end[r, end[r, i]]
-            ok = stop <= n
+            ok = stop <= sizes[r]
             found = np.where(ok, self.probe(h, r, i, np.minimum(stop, n)), -1)
             gain[r, i] = np.where(found >= 0, self.scores[found], -np.inf)
 
-        for i in range(n - 1):
-            rate(rows, np.full(len(words), i))
         live = rows
         while len(live):
             best = gain[live].argmax(axis=1)
@@ -193,11 +201,18 @@ class Model:
             end[live, best], before[live, stop] = stop, best
             gain[live, second] = -np.inf
             gain[live, best] = -np.inf
-            inner = stop < n
-            rate(live[inner], best[inner])
-            left = before[live, best]
+            if cut is not None:
+                inside = (best >= cut[live]) | (stop <= cut[live])
+                end[live[~inside], 0] = n + 1
+                live, best, stop = live[inside], best[inside], stop[inside]
+            inner, left = stop < sizes[live], before[live, best]
             has = left >= 0
-            rate(live[has], left[has])
+            rate(np.r_[live[inner], live[has]], np.r_[best[inner], left[has]])
+        return h, end
+
+    def _merge_block(self, words: list[str], n: int) -> list[list[int]]:
+        rows = np.arange(len(words))
+        h, end = self._ends(words, np.full(len(words), n))
         out = []
         for r in range(len(words)):
             i, spans = 0, []
@@ -214,6 +229,17 @@ class Model:
             at += len(s)
         return result
 
+    def _stay(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether merging the joined text of two pieces, left * len(names) + right, leaves just these two."""
+        a, b = np.divmod(pairs, len(self.names))
+        cut, sizes = self.lengths[a], self.lengths[a] + self.lengths[b]
+        out = np.zeros(len(pairs), bool)
+        for at in range(0, len(pairs), UNIT_BLOCK):
+            some = slice(at, at + UNIT_BLOCK)
+            _, end = self._ends([self.names[i] + self.names[j] for i, j in zip(a[some].tolist(), b[some].tolist(), strict=True)], sizes[some], cut[some])
+            out[some] = (end[:, 0] == cut[some]) & (end[np.arange(len(end)), cut[some]] == sizes[some])
+        return out
+
     def allowed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether two pieces can be neighbours in a BPE result; -1 on the left: start or unknown character."""
         out = self.alone[right].copy()
@@ -225,8 +251,7 @@ class Model:
         at = np.minimum(np.searchsorted(self.pair_keys, distinct), max(len(self.pair_keys) - 1, 0))
         fresh = distinct if not len(self.pair_keys) else distinct[self.pair_keys[at] != distinct]
         if len(fresh):
-            pairs = [divmod(int(x), len(self.names)) for x in fresh]
-            ok = np.array([x == [a, b] for x, (a, b) in zip(self.merge([self.names[a] + self.names[b] for a, b in pairs]), pairs, strict=True)], bool)
+            ok = self._stay(fresh)
             keys = np.concatenate([self.pair_keys if len(self.pair_keys) < PAIRS else distinct[:0], fresh])
             values = np.concatenate([self.pair_ok if len(self.pair_keys) < PAIRS else ok[:0], ok])
             order = np.argsort(keys, kind="stable")

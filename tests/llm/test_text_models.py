@@ -278,3 +278,16 @@ def test_toxicity(spark):
     blind = toxicity.fit(d, y.limit(0))
     assert all(r.score < 0.5 for r in toxicity.score(d, blind).collect())
     assert toxicity.score(d.limit(0), model).collect() == []
+
+
+def test_pairs_of_all_lengths_are_merged_together_and_as_one_by_one():
+    m = pieces.Model(pieces.model_path())
+    some = np.random.default_rng(5)
+    left, right = some.choice(m.normal, 3000), some.choice(m.normal[:2000], 3000)
+    joined = m.merge([m.names[a] + m.names[b] for a, b in zip(left, right, strict=True)])
+    wanted = [x == [a, b] for x, a, b in zip(joined, left.tolist(), right.tolist(), strict=True)]
+    sizes, ends = [], m._ends
+    m._ends = lambda words, *rest: sizes.append(len(words)) or ends(words, *rest)
+    keys = left.astype(np.int64) * len(m.names) + right
+    assert m._stay(keys).tolist() == wanted and 0 < sum(wanted) < 3000
+    assert sizes == [3000]
