@@ -433,3 +433,11 @@ def test_stems_are_made_of_distinct_words_not_of_every_use(spark, tmp_path):
     plan = asked._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
     assert rows(asked) == [("dom",)]
+
+
+def test_matches_are_chosen_once_for_units_and_their_words(spark):
+    runs = spark.createDataFrame([(0, 0, 0, ["a", "b", "c", "t"]), (0, 1, 0, ["t", "u"])], "doc_id int, sent_idx int, run_idx int, words array<string>")
+    phrases, lex = spark.createDataFrame([("a b",), ("b c",)], "phrase string"), spark.createDataFrame([("a", 1), ("c", 2), ("t", 3)], "word string, tier int")
+    counts = coverage.coverage_counts(runs, phrases, lex, ["doc_id", "sent_idx", "run_idx"], ["doc_id"])
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert rows(counts.select("t1", "t2", "t3", "t4", "unknown")) == [(0, 1, 2, 1, 1)]
