@@ -1,7 +1,7 @@
 """The tagger boundary: any tagger gives words, lemmas and parts of speech, and what is mined keeps them.
 
 A tagger is a function of a list of sentences that gives, for each, its tokens as (text, lemma, pos, skip); it runs over
-Arrow batches, is called once per batch, and may load its model on first use. `dictionary_tagger` makes one of a stated
+Arrow batches, is called once per slice of bounded bytes, and may load its model on first use. `dictionary_tagger` makes one of a stated
 table. Everything behind the boundary is columns: candidates carry the pattern, file and place of their first occurrence,
 and a word its first lemma, through the same shuffle that counts them.
 """
@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,9 @@ TOKEN = "struct<text:string,lemma:string,pos:string,skip:boolean>"
 #: Parts of speech that are left out of what is mined.
 IDLE = ["PUNCT", "SPACE", "NUM", "SYM"]
 MOST_ENTRIES = 500_000
+#: Sentences are tagged, and their tokens handed on, in slices of about so many bytes.
+SLICE_BYTES = 1 << 20
+_TOKEN = pa.struct([("text", pa.string()), ("lemma", pa.string()), ("pos", pa.string()), ("skip", pa.bool_())])
 
 
 def dictionary_tagger(entries: dict[str, tuple[str, str]], other: Callable[[str], tuple[str, str]], stop_words: list[str] = STOP_WORDS) -> Tagger:
@@ -47,23 +52,56 @@ def dictionary_tagger(entries: dict[str, tuple[str, str]], other: Callable[[str]
     return tag
 
 
+def _cuts(sizes: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours that together have at most about `most` bytes; a longer one stands alone."""
+    start = size = 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and size + n > most:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _lengths(strings: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(strings), 0).to_numpy(zero_copy_only=False)
+
+
+def _starts(lists: pa.ListArray) -> pa.Array:
+    """Offsets of lists into their flattened values."""
+    return pa.array(np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]), pa.int32())
+
+
+def _slices(batch: pa.RecordBatch, at: int, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+    """A batch cut by the bytes in column `at`, a list of strings; each part with that column."""
+    column = batch.column(at)
+    ends = np.concatenate([[0], np.cumsum(_lengths(column.flatten()))])
+    for i, j in _cuts(np.diff(ends[_starts(column).to_numpy()]), most):
+        part = batch.slice(i, j - i)
+        yield part, part.column(at)
+
+
+def _tokens(tagged: list[list[Token]]) -> pa.ListArray:
+    """Tagged sentences as Arrow; strings that tokens share are not copied before."""
+    flat = [t for sentence in tagged for t in sentence]
+    fields = [pa.array([t[i] for t in flat], _TOKEN[i].type) for i in range(4)]
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tagged)]), pa.int32()), pa.StructArray.from_arrays(fields, fields=list(_TOKEN)))
+
+
 def tagged(df: DataFrame, tagger: Tagger, text: str = "text", noise: bool = False) -> DataFrame:
     """df without `text`, with `sentences`, each an array of tokens. With `noise` lines that are noise are left out before."""
     body = F.coalesce(F.col(text), F.lit(""))
     if noise:
         body = F.array_join(F.filter(F.split(body, "\n"), lambda x: ~is_noise_line(x)), "\n")
     rest = [c for c in df.columns if c != text]
-    kind = pa.list_(pa.list_(pa.struct([("text", pa.string()), ("lemma", pa.string()), ("pos", pa.string()), ("skip", pa.bool_())])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = batch.column(len(rest)).to_pylist()
-            flat = tagger([s for own in docs for s in own])
-            out, at = [], 0
-            for own in docs:
-                out.append([[{"text": t, "lemma": lemma, "pos": pos, "skip": skip} for t, lemma, pos, skip in tokens] for tokens in flat[at : at + len(own)]])
-                at += len(own)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(rest))), pa.array(out, kind)], [*rest, "sentences"])
+            for part, own in _slices(batch, len(rest)):
+                found = own.flatten()
+                tokens = pa.concat_arrays([_tokens(tagger(found[a:b].to_pylist())) for a, b in _cuts(_lengths(found))] or [_tokens([])])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], pa.ListArray.from_arrays(_starts(own), tokens)], [*rest, "sentences"])
 
     types = dict(df.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in rest), f"sentences array<array<{TOKEN}>>"])

@@ -64,3 +64,18 @@ def test_candidates_are_counted_once_however_often_they_are_read(spark, monkeypa
     mining.tagged_candidates(spark, "/root/testdata/sf0.001")
     assert plans["tagged-counts"].count("sentences") > 0
     assert "sentences" not in plans["tagged-candidates"]
+
+
+def test_a_tagger_gets_slices_of_bounded_bytes(spark):
+    """A batch of 10,000 long documents used to be tagged, and held as rows of tokens, at once."""
+    def sizes(sentences):
+        told = str(sum(len(s) for s in sentences))
+        return [[(s[:1], told, "X", False)] for s in sentences]
+
+    text = ("a" * 99 + ". ") * 4000
+    df = spark.createDataFrame([(k, text) for k in range(6)], "k int, text string").coalesce(1)
+    rows = tagging.tagged(df, sizes).select("k", F.size("sentences").alias("n"), F.explode(F.flatten("sentences")).alias("t")).select("k", "n", F.col("t.lemma").cast("int").alias("told")).collect()
+    assert max(r.told for r in rows) <= tagging.SLICE_BYTES and {r.n for r in rows} == {4001}
+    assert Counter(r.k for r in rows) == {k: 4001 for k in range(6)}
+    one = tagging.tagged(spark.createDataFrame([(1, text * 4)], "k int, text string"), sizes).select(F.explode(F.flatten("sentences")).alias("t")).select(F.col("t.lemma").cast("int")).collect()
+    assert len(one) == 16001 and max(r[0] for r in one) <= tagging.SLICE_BYTES
