@@ -3,11 +3,16 @@
 A tagger is a function of a list of sentences that gives, for each, its tokens as (text, lemma, pos, skip); it runs over
 Arrow batches, is called once per slice of bounded bytes, and may load its model on first use. `dictionary_tagger` makes one of a stated
 table. Everything behind the boundary is columns: candidates carry the pattern, file and place of their first occurrence,
-and a word its first lemma, through the same shuffle that counts them.
+and a word its first lemma, through the same shuffle that counts them. Both are combined slice by slice before it.
+
+Where a least frequency is asked for, windows are first counted in slots of a hash; only those in a slot that reaches it are
+spelt and counted by themselves. A slot counts no less than each of its phrases, so none is lost, and what shares a slot goes
+when it is counted.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +23,7 @@ from pyspark.sql import functions as F
 
 from glossmill.functions.text import is_noise_line
 from glossmill.operators.tokens import STOP_WORDS, sentences_of
+from glossmill.scratch import settled
 
 Token = tuple[str, str, str, bool]
 Tagger = Callable[[list[str]], list[list[Token]]]
@@ -27,6 +33,10 @@ IDLE = ["PUNCT", "SPACE", "NUM", "SYM"]
 MOST_ENTRIES = 500_000
 #: Sentences are tagged, and their tokens handed on, in slices of about so many bytes.
 SLICE_BYTES = 1 << 20
+#: Words are counted in slices of about so many bytes, and slots are handed on when so many are at hand.
+COUNT_BYTES, FLUSH = 1 << 22, 1 << 22
+#: Slots are whole numbers of 32 bits, dealt by their first bits. What is looked up has 16 bits for each slot kept, 32 MB at most.
+SLOT_BITS, PART_BITS, LEAST_BITS, MOST_BITS = 32, 9, 16, 28
 _TOKEN = pa.struct([("text", pa.string()), ("lemma", pa.string()), ("pos", pa.string()), ("skip", pa.bool_())])
 
 
@@ -82,6 +92,14 @@ def _slices(batch: pa.RecordBatch, at: int, most: int = SLICE_BYTES) -> Iterator
         yield part, part.column(at)
 
 
+def _ordered(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Slices in the order of the key in the first column; where Arrow may order a type unlike Spark, each row stands alone."""
+    kind, t = batch.column(0).type, pa.types
+    same = any(f(kind) for f in (t.is_integer, t.is_string, t.is_large_string, t.is_binary, t.is_decimal, t.is_date, t.is_timestamp))
+    for part, _ in _slices(batch, at, COUNT_BYTES if same else 0):
+        yield part.take(pc.sort_indices(part.column(0), null_placement="at_start")) if same else part
+
+
 def _tokens(tagged: list[list[Token]]) -> pa.ListArray:
     """Tagged sentences as Arrow; strings that tokens share are not copied before."""
     flat = [t for sentence in tagged for t in sentence]
@@ -89,8 +107,8 @@ def _tokens(tagged: list[list[Token]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tagged)]), pa.int32()), pa.StructArray.from_arrays(fields, fields=list(_TOKEN)))
 
 
-def tagged(df: DataFrame, tagger: Tagger, text: str = "text", noise: bool = False) -> DataFrame:
-    """df without `text`, with `sentences`, each an array of tokens. With `noise` lines that are noise are left out before."""
+def _behind(df: DataFrame, text: str, noise: bool, tagger: Tagger, made: Callable[[Iterator[list[list[Token]]], pa.Array], list[pa.Array]], columns: dict[str, str]) -> DataFrame:
+    """df without `text`, with the columns that `made` gives of a slice's tagged sentences and where each document's begin."""
     body = F.coalesce(F.col(text), F.lit(""))
     if noise:
         body = F.array_join(F.filter(F.split(body, "\n"), lambda x: ~is_noise_line(x)), "\n")
@@ -100,49 +118,250 @@ def tagged(df: DataFrame, tagger: Tagger, text: str = "text", noise: bool = Fals
         for batch in batches:
             for part, own in _slices(batch, len(rest)):
                 found = own.flatten()
-                tokens = pa.concat_arrays([_tokens(tagger(found[a:b].to_pylist())) for a, b in _cuts(_lengths(found))] or [_tokens([])])
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], pa.ListArray.from_arrays(_starts(own), tokens)], [*rest, "sentences"])
+                each = (tagger(found[a:b].to_pylist()) for a, b in _cuts(_lengths(found)))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *made(each, _starts(own))], [*rest, *columns])
 
     types = dict(df.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in rest), f"sentences array<array<{TOKEN}>>"])
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in [*((c, types[c]) for c in rest), *columns.items()])
     return df.select(*rest, sentences_of(body).alias("sentences")).mapInArrow(run, schema)
 
 
+def tagged(df: DataFrame, tagger: Tagger, text: str = "text", noise: bool = False) -> DataFrame:
+    """df without `text`, with `sentences`, each an array of tokens. With `noise` lines that are noise are left out before."""
+
+    def made(each: Iterator[list[list[Token]]], starts: pa.Array) -> list[pa.Array]:
+        return [pa.ListArray.from_arrays(starts, pa.concat_arrays([_tokens(x) for x in each] or [_tokens([])]))]
+
+    return _behind(df, text, noise, tagger, made, {"sentences": f"array<array<{TOKEN}>>"})
+
+
+_MINED = {"words": "array<string>", "lemmas": "array<string>", "pos": "array<string>", "sentences": "array<int>"}
+
+
+def mined(df: DataFrame, tagger: Tagger, text: str = "text", noise: bool = False) -> DataFrame:
+    """df without `text`, with what is mined of each document, place by place: words and lemmas (null where equal) in lower case, parts of speech, and numbers of sentences."""
+    idle = set(IDLE)
+
+    def made(each: Iterator[list[list[Token]]], starts: pa.Array) -> list[pa.Array]:
+        words, lemmas, pos, sizes = [], [], [], []
+        for some in each:
+            kept = [[t for t in s if not t[3] and t[2] not in idle] for s in some]
+            flat = [t for s in kept for t in s]
+            low = [t[0].lower() for t in flat]
+            words.append(pa.array(low, pa.string()))
+            lemmas.append(pa.array([None if (x := t[1].lower()) == w else x for t, w in zip(flat, low, strict=True)], pa.string()))
+            pos.append(pa.array([t[2] for t in flat], pa.string()))
+            sizes += map(len, kept)
+        first = starts.to_numpy()
+        number = np.arange(len(sizes)) - np.repeat(first[:-1], np.diff(first))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)])[first], pa.int32())
+        joined = [pa.concat_arrays(x or [pa.array([], pa.string())]) for x in (words, lemmas, pos)]
+        return [pa.ListArray.from_arrays(offsets, x) for x in (*joined, pa.array(np.repeat(number, np.array(sizes, np.int64)), pa.int32()))]
+
+    return _behind(df, text, noise, tagger, made, _MINED)
+
+
 def mined_tokens(sentence: Column) -> Column:
     """Tokens that are mined: words in lower case, without stop words and idle parts of speech."""
     kept = F.filter(sentence, lambda t: ~t["skip"] & ~t["pos"].isin(IDLE))
     return F.transform(kept, lambda t: F.struct(F.lower(t["text"]).alias("text"), F.lower(t["lemma"]).alias("lemma"), t["pos"].alias("pos")))
 
 
-def candidate_counts(docs: DataFrame, key: str, source: str, sizes: range = range(2, 5)) -> DataFrame:
-    """phrase, ngram_size, frequency, doc_count, pos_pattern and source_file of the first occurrence; one shuffle.
+def _flat(docs: DataFrame) -> DataFrame:
+    """Tagged documents in the form that `mined` gives; what has it already stays."""
+    if set(_MINED) <= set(docs.columns):
+        return docs
+    token = lambda t, i: F.struct(t["text"].alias("words"), F.nullif(t["lemma"], t["text"]).alias("lemmas"), t["pos"].alias("pos"), i.alias("sentences"))
+    all_of = F.flatten(F.transform("sentences", lambda s, i: F.transform(mined_tokens(s), lambda t: token(t, i))))
+    rest = [c for c in docs.columns if c != "sentences"]
+    return docs.select(*rest, all_of.alias("_gm_all")).select(*rest, *(F.col("_gm_all")[c].alias(c) for c in _MINED))
 
-    docs: a row per document (key, source, sentences). The first occurrence is the least by key, sentence and place. A document's
-    windows are sorted within its row, so that the first of equal ones stands for the document.
-    """
-    words = F.transform("sentences", mined_tokens)
 
-    def windows(n: int) -> Column:
-        def of(sentence: Column, at: Column) -> Column:
-            part = lambda i, name: F.array_join(F.transform(F.slice(sentence, i, n), lambda t: t[name]), " ")
-            made = F.transform(F.sequence(F.lit(1), F.size(sentence) - n + 1), lambda i: F.struct(part(i, "text").alias("phrase"), F.lit(n).alias("n"), at.alias("sent"), i.alias("place"), part(i, "pos").alias("pattern")))
-            return F.when(F.size(sentence) >= n, made).otherwise(F.array().cast("array<struct<phrase:string,n:int,sent:int,place:int,pattern:string>>"))
+def _hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, and the power by which what stands before it is multiplied: a phrase's hash depends on its string alone, wherever blanks are its words' own."""
+    from pandas.util import hash_array
+
+    of = lambda parts: hash_array(np.array(parts, dtype=object), categorize=False)
+    found, power = of(words), np.full(len(words), _STEP, np.uint64)
+    for i, w in enumerate(words):
+        if " " in w:
+            parts = of(w.split(" "))
+            found[i], power[i] = parts[0], _STEP ** np.uint64(len(parts))
+            for h in parts[1:]:
+                found[i] = found[i] * _STEP + h
+    return found, power
+
+
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+class _Windows:
+    """Windows of a slice of documents (words, sentences): where they begin, and their slots."""
+
+    def __init__(self, words: pa.ListArray, sentences: pa.ListArray) -> None:
+        self.starts = _starts(words).to_numpy()
+        found = words.flatten().dictionary_encode()
+        self.codes, self.words = found.indices.to_numpy(), found.dictionary
+        self.doc = np.repeat(np.arange(len(words)), np.diff(self.starts))
+        number = sentences.flatten().to_numpy()
+        new = np.ones(len(number), bool)
+        new[1:] = (self.doc[1:] != self.doc[:-1]) | (number[1:] != number[:-1])
+        self.run = np.cumsum(new)
+
+    def begin(self, n: int) -> np.ndarray:
+        last = len(self.run) - n + 1
+        return np.flatnonzero(self.run[:last] == self.run[n - 1 :]) if last > 0 else np.zeros(0, np.int64)
+
+    def slots(self, begin: np.ndarray, n: int) -> np.ndarray:
+        if not len(begin):
+            return np.zeros(0, np.uint32)
+        if not hasattr(self, "hashes"):
+            self.hashes = _hashes(self.words.to_pylist())
+        at, power = (x[self.codes] for x in self.hashes)
+        h = at[begin]
+        for k in range(1, n):
+            h = h * power[begin + k] + at[begin + k]
+        h = (h + np.uint64(n)) * _MIX
+        return ((h ^ (h >> np.uint64(29))) * _STEP >> np.uint64(32)).astype(np.uint32)
 
-        return F.flatten(F.transform(words, of))
 
-    every = docs.select(key, source, F.sort_array(F.concat(*[windows(n) for n in sizes])).alias("all"))
-    marked = F.transform("all", lambda g, i: F.struct(g.alias("g"), F.when((i > 0) & (F.get("all", i - 1)["phrase"] == g["phrase"]) & (F.get("all", i - 1)["n"] == g["n"]), 0).otherwise(1).alias("first")))
-    rows = every.select(key, source, F.explode(marked).alias("x"))
-    met = F.struct(F.col(key), F.col("x.g.sent"), F.col("x.g.place"))
-    counted = rows.groupBy(F.col("x.g.phrase").alias("phrase"), F.col("x.g.n").alias("ngram_size")).agg(F.count("*").alias("frequency"), F.sum("x.first").alias("doc_count"), F.min_by(F.struct(F.col("x.g.pattern").alias("pos_pattern"), F.col(source).alias("source_file")), met).alias("m"))
-    return counted.select("phrase", "ngram_size", "frequency", "doc_count", "m.*")
+def _joined(parts: list[pa.Array]) -> pa.Array:
+    return pc.binary_join_element_wise(*parts, " ")
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers of 32 bits by planes of bytes: of sorted ones' differences most are zeros."""
+    return zlib.compress(np.ascontiguousarray(numbers, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _frequent_slots(docs: DataFrame, sizes: range, least: int) -> DataFrame:
+    """part, n and slots: those in which at least `least` windows of all documents are. A task holds a slice, FLUSH slots, or one part's counts."""
+    width = SLOT_BITS - PART_BITS
+
+    def told(waiting: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        slots, counts = np.unique(np.concatenate(waiting), return_counts=True)
+        counts, edges = np.minimum(counts, least), np.searchsorted(slots, np.arange((1 << PART_BITS) + 1, dtype=np.uint64) << np.uint64(width))
+        parts = [p for p in range(1 << PART_BITS) if edges[p] < edges[p + 1]]
+        own = [slice(edges[p], edges[p + 1]) for p in parts]
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([_packed(np.diff(slots[x], prepend=np.uint32(0))) for x in own], pa.binary()), pa.array([_packed(counts[x]) for x in own], pa.binary())], ["part", "slots", "counts"])
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, held = [], 0
+        for batch in batches:
+            for part, words in _slices(batch, 0, COUNT_BYTES):
+                of = _Windows(words, part.column(1))
+                for n in sizes:
+                    waiting.append(of.slots(of.begin(n), n))
+                    held += len(waiting[-1])
+                if held >= FLUSH:
+                    yield from told(waiting)
+                    waiting, held = [], 0
+        if held:
+            yield from told(waiting)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a part are neighbours."""
+        counts, now = np.zeros(1 << width, np.uint32), None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            found = np.flatnonzero(counts >= least)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(found)], pa.int64()), pa.array([_packed(np.diff(found, prepend=0))], pa.binary())], ["part", "n", "slots"])
+            counts[:] = 0
+
+        for batch in batches:
+            for part, slots, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now:
+                    yield from done() if now is not None else ()
+                    now = part
+                at = np.cumsum(_unpacked(slots), dtype=np.int64) - (part << width)
+                counts[at] = np.minimum(counts[at] + _unpacked(more), least)
+        yield from done() if now is not None else ()
+
+    rows = _flat(docs).select("words", "sentences").mapInArrow(seen, "part int, slots binary, counts binary")
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(kept, "part int, n long, slots binary")
+
+
+def _lookup(docs: DataFrame, sizes: range, least: int) -> tuple[np.ndarray, int]:
+    """Bits that are set for frequent slots, by a slot's first bits, and how many bits those are. Its size is bounded, so all tasks get it whole."""
+    slots = settled(_frequent_slots(docs, sizes, least), "slots")
+    kept = slots.agg(F.sum("n")).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * kept).bit_length()))
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, slots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.zeros(1 << (bits - PART_BITS), bool)
+                own[np.cumsum(_unpacked(slots), dtype=np.int64) >> (SLOT_BITS - bits)] = True
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(own).tobytes()], pa.binary())], ["part", "own"])
+
+    out = np.zeros((1 << PART_BITS, 1 << (bits - PART_BITS - 3)), np.uint8)
+    for row in slots.select("part", "slots").mapInArrow(drawn, "part int, own binary").toLocalIterator():
+        out[row["part"]] = np.frombuffer(row["own"], np.uint8)
+    return out.ravel(), bits
+
+
+def candidate_counts(docs: DataFrame, key: str, source: str, sizes: range = range(2, 5), least: int = 1) -> DataFrame:
+    """phrase, ngram_size, frequency, doc_count, pos_pattern and source_file of the first occurrence; one shuffle of phrases.
+
+    docs: a row per document (key, source, and what `tagged` or `mined` gives). The first occurrence is the least by key and place.
+    With `least` only phrases of that frequency or more are given; what can't reach it is not spelt.
+    """
+    flat = _flat(docs)
+    passed = docs.sparkSession.sparkContext.broadcast(_lookup(flat, sizes, least)) if least > 1 else None
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _ordered(batch, 2):
+                of = _Windows(part.column(2), part.column(4))
+                tags = part.column(3).flatten()
+                for n in sizes:
+                    begin = of.begin(n)
+                    if passed is not None:
+                        table, bits = passed.value
+                        slot = of.slots(begin, n) >> np.uint32(SLOT_BITS - bits)
+                        begin = begin[(table[slot >> np.uint32(3)] >> (7 - (slot & np.uint32(7))).astype(np.uint8)) & 1 == 1]
+                    if not len(begin):
+                        continue
+                    # By phrase and not by its words, which may have blanks of their own.
+                    found = _joined([of.words.take(pa.array(of.codes[begin + k])) for k in range(n)]).dictionary_encode()
+                    code, doc = found.indices.to_numpy().astype(np.int64), of.doc[begin]
+                    first = np.unique(code, return_index=True)[1]
+                    pairs = np.unique(code * part.num_rows + doc) // part.num_rows
+                    own, at = pa.array(doc[first]), begin[first]
+                    numbers = [pa.array(np.bincount(x), pa.int64()) for x in (code, pairs)]
+                    columns = [found.dictionary, pa.array(np.full(len(first), n), pa.int32()), *numbers, part.column(0).take(own), pa.array(at - of.starts[doc[first]], pa.int32()), _joined([tags.take(pa.array(at + k)) for k in range(n)]), part.column(1).take(own)]
+                    yield pa.RecordBatch.from_arrays(columns, ["phrase", "ngram_size", "frequency", "doc_count", "key", "place", "pos_pattern", "source_file"])
+
+    types = dict(flat.dtypes)
+    schema = f"phrase string, ngram_size int, frequency long, doc_count long, key {types[key]}, place int, pos_pattern string, source_file {types[source]}"
+    rows = flat.select(F.col(key).alias("key"), F.col(source).alias("source"), "words", "pos", "sentences").mapInArrow(counted, schema)
+    total = rows.groupBy("phrase", "ngram_size").agg(F.sum("frequency").alias("frequency"), F.sum("doc_count").alias("doc_count"), F.min_by(F.struct("pos_pattern", "source_file"), F.struct("key", "place")).alias("m"))
+    return total.where(F.col("frequency") >= least).select("phrase", "ngram_size", "frequency", "doc_count", "m.*")
 
 
 def lemma_counts(docs: DataFrame, key: str) -> DataFrame:
     """word, freq and the lemma of its first occurrence."""
-    flat = F.flatten(F.transform("sentences", lambda s, i: F.transform(mined_tokens(s), lambda t, j: F.struct(t["text"].alias("word"), t["lemma"].alias("lemma"), i.alias("sent"), j.alias("place")))))
-    rows = docs.select(key, F.explode(flat).alias("t"))
-    return rows.groupBy(F.col("t.word").alias("word")).agg(F.count("*").alias("freq"), F.min_by("t.lemma", F.struct(F.col(key), F.col("t.sent"), F.col("t.place"))).alias("lemma"))
+    flat = _flat(docs)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _ordered(batch, 1):
+                starts = _starts(part.column(1)).to_numpy()
+                doc = np.repeat(np.arange(part.num_rows), np.diff(starts))
+                words = part.column(1).flatten().dictionary_encode()
+                _, first, code = np.unique(words.indices.to_numpy(), return_index=True, return_inverse=True)
+                own = pa.array(doc[first])
+                yield pa.RecordBatch.from_arrays([words.dictionary, pa.array(np.bincount(code), pa.int64()), part.column(0).take(own), pa.array(first - starts[doc[first]], pa.int32()), part.column(2).flatten().take(pa.array(first))], ["word", "freq", "key", "place", "lemma"])
+
+    rows = flat.select(F.col(key).alias("key"), "words", "lemmas").mapInArrow(counted, f"word string, freq long, key {dict(flat.dtypes)[key]}, place int, lemma string")
+    # A struct, as min_by passes over nulls.
+    total = rows.groupBy("word").agg(F.sum("freq").alias("freq"), F.min_by(F.struct("lemma"), F.struct("key", "place")).alias("m"))
+    return total.select("word", "freq", F.coalesce("m.lemma", "word").alias("lemma"))
 
 
 def lexicon_components(candidates: DataFrame, words: DataFrame, common: DataFrame) -> DataFrame:

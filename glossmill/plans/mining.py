@@ -198,9 +198,9 @@ _TAG_SQL = "CASE length({0}) % 5 WHEN 0 THEN 'NOUN' WHEN 1 THEN 'ADJ' WHEN 2 THE
 )
 def tagged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of two and three words with the pattern and file of their first occurrence, filtered by part of speech and by lemma."""
-    docs = settled(tagging.tagged(documents(spark, sf_dir, "doc_id", "source", "text"), tagging.dictionary_tagger({}, _rule)), "tagged")
+    docs = settled(tagging.mined(documents(spark, sf_dir, "doc_id", "source", "text"), tagging.dictionary_tagger({}, _rule)), "tagged")
     words = settled(tagging.lemma_counts(docs, "doc_id"), "lemmas")
-    counts = tagging.candidate_counts(docs, "doc_id", "source", range(2, 4)).where(F.col("frequency") >= LEAST_FREQUENCY).where(scores.pos_shape_ok(F.col("pos_pattern")))
+    counts = tagging.candidate_counts(docs, "doc_id", "source", range(2, 4), LEAST_FREQUENCY).where(scores.pos_shape_ok(F.col("pos_pattern")))
     # Stored, as the components and the join behind them read them.
     counts = settled(counts, "tagged-counts")
     found = settled(tagging.lexicon_components(counts, words, lexicon(spark, sf_dir)), "tagged-candidates")

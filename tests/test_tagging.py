@@ -79,3 +79,54 @@ def test_a_tagger_gets_slices_of_bounded_bytes(spark):
     assert Counter(r.k for r in rows) == {k: 4001 for k in range(6)}
     one = tagging.tagged(spark.createDataFrame([(1, text * 4)], "k int, text string"), sizes).select(F.explode(F.flatten("sentences")).alias("t")).select(F.col("t.lemma").cast("int")).collect()
     assert len(one) == 16001 and max(r[0] for r in one) <= tagging.SLICE_BYTES
+
+
+def _plain(rows, tagger, sizes, least, order):
+    """frequency, documents, pattern and file by phrase and size, by a plain loop."""
+    found = {}
+    for row in sorted(rows, key=lambda r: order(r[0])):
+        seen = set()
+        for sentence in tagger([s for s in (row[2] or "").split("|")]):
+            kept = [t for t in sentence if not t[3] and t[2] not in tagging.IDLE]
+            for n in sizes:
+                for i in range(len(kept) - n + 1):
+                    at = (" ".join(t[0].lower() for t in kept[i : i + n]), n)
+                    x = found.setdefault(at, [0, 0, " ".join(t[2] for t in kept[i : i + n]), row[1]])
+                    x[0] += 1
+                    x[1] += at not in seen
+                    seen.add(at)
+    return {k: tuple(v) for k, v in found.items() if v[0] >= least}
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_least_frequency_loses_no_phrase(spark, kind):
+    """Counts by slots let through all phrases that reach the least frequency, those whose words have blanks too; firsts follow the key's order."""
+    import random
+
+    draw = random.Random(7)
+    words = ["a", "b b", "b", "C", "é", "", "d", "2", "stop", "x " * 3]
+
+    def tagger(sentences):
+        return [[(w, w, "NUM" if w == "2" else f"P{i % 3}", w == "stop") for i, w in enumerate(s.split("~"))] if s else [] for s in sentences]
+
+    keys = draw.sample(range(-50, 50), 60)
+    make = {"long": int, "string": lambda k: f"é{k}", "double": lambda k: k / 4}[kind]
+    rows = [(make(k), f"f{k}", "|".join("~".join(draw.choices(words, k=draw.randrange(9))) for _ in range(draw.randrange(5)))) for k in keys] + [(None, "none", "a~b~a~b"), (make(99), "nul", None)]
+    order = lambda k: (k is not None, k.encode() if isinstance(k, str) else k)
+    docs = spark.createDataFrame([(k, f, (t or "").replace("|", ". ")) for k, f, t in rows], f"k {kind}, f string, text string").repartition(3)
+    asked = lambda sentences: tagger([s[:-1] if s.endswith(".") else s for s in sentences])
+    for made in (tagging.tagged(docs, asked), tagging.mined(docs, asked)):
+        for least in (1, 3, 5):
+            got = {(r.phrase, r.ngram_size): (r.frequency, r.doc_count, r.pos_pattern, r.source_file) for r in tagging.candidate_counts(made, "k", "f", range(2, 4), least).collect()}
+            assert got == _plain(rows, tagger, range(2, 4), least, order) and got
+
+
+def test_mined_keeps_what_tagged_words_are(spark):
+    data = [(2, "b", "Customs duties apply. The customs duties, again!"), (1, "a", "Import customs Duties 22 times"), (3, "c", None), (4, "d", "")]
+    df, tagger = spark.createDataFrame(data, "doc_id long, source string, text string"), tagging.dictionary_tagger(ENTRIES, lambda word: (word, "ADJ"))
+    own = tagging.mined(df, tagger)
+    rows = {r.doc_id: r for r in own.collect()}
+    assert rows[2].words == ["customs", "duties", "apply", "customs", "duties", "again"] and rows[2].sentences == [0, 0, 0, 1, 1, 1]
+    assert rows[2].lemmas == [None, "duty", None, None, "duty", None] and rows[3].words == rows[4].words == []
+    both = [sorted(map(tuple, tagging.lemma_counts(x, "doc_id").collect())) for x in (own, tagging.tagged(df, tagger))]
+    assert both[0] == both[1] and ("duties", 3, "duty") in both[0]
