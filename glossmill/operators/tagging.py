@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions.text import is_noise_line
@@ -31,15 +32,31 @@ TOKEN = "struct<text:string,lemma:string,pos:string,skip:boolean>"
 #: Parts of speech that are left out of what is mined.
 IDLE = ["PUNCT", "SPACE", "NUM", "SYM"]
 MOST_ENTRIES = 500_000
+#: Words whose tokens a dictionary's tagger holds from one call to the next.
+MOST_HELD = 100_000
 #: Sentences are tagged, and their tokens handed on, in slices of about so many bytes.
 SLICE_BYTES = 1 << 20
+#: Documents that Spark hands over at once: their words, tags and numbers are held outside the heap and again in the worker.
+BATCH_ROWS = 1000
 #: Words are counted in slices of about so many bytes, and slots are handed on when so many are at hand.
-COUNT_BYTES, FLUSH = 1 << 22, 1 << 22
+COUNT_BYTES, FLUSH = 1 << 21, 1 << 21
 #: Slots are whole numbers of 32 bits, dealt by their first bits. What is looked up has 16 bits for each slot kept, 32 MB at most.
 SLOT_BITS, PART_BITS, LEAST_BITS, MOST_BITS = 32, 9, 16, 28
 _TOKEN = pa.struct([("text", pa.string()), ("lemma", pa.string()), ("pos", pa.string()), ("skip", pa.bool_())])
 
 
+class _Held(dict):
+    """What was made of a key, made when it is first asked for."""
+
+    def __init__(self, make: Callable[[str], Token]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> Token:
+        made = self[key] = self.make(key)
+        return made
+
+
 def dictionary_tagger(entries: dict[str, tuple[str, str]], other: Callable[[str], tuple[str, str]], stop_words: list[str] = STOP_WORDS) -> Tagger:
     """Lemma and part of speech of a word from a bounded table, of all other words from `other`; what is no word is PUNCT and skipped."""
     import regex
@@ -48,20 +65,32 @@ def dictionary_tagger(entries: dict[str, tuple[str, str]], other: Callable[[str]
         raise ValueError(f"a dictionary holds at most {MOST_ENTRIES} words")
     token, stop = regex.compile(r"\p{L}+|[^\p{L}\s]+"), set(stop_words)
 
-    def tag(sentences: list[str]) -> list[list[Token]]:
-        known: dict[str, Token] = {}
+    def one(found: str) -> Token:
+        low = found.lower()
+        return (found, *(entries.get(low) or other(low)), low in stop) if found[0].isalpha() else (found, found, "PUNCT", True)
 
-        def one(found: str) -> Token:
-            if found not in known:
-                low = found.lower()
-                known[found] = (found, *(entries.get(low) or other(low)), low in stop) if found[0].isalpha() else (found, found, "PUNCT", True)
-            return known[found]
+    known = _Held(one)
 
-        return [[one(x) for x in token.findall(s or "")] for s in sentences]
+    def tag(sentences: list[str]) -> list[list[Token]]:
+        if len(known) > MOST_HELD:
+            known.clear()
+        return [list(map(known.__getitem__, token.findall(s or ""))) for s in sentences]
 
     return tag
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """What is run inside gets Arrow batches of at most so many rows; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _cuts(sizes: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours that together have at most about `most` bytes; a longer one stands alone."""
     start = size = 0
@@ -145,18 +174,23 @@ def mined(df: DataFrame, tagger: Tagger, text: str = "text", noise: bool = False
     def made(each: Iterator[list[list[Token]]], starts: pa.Array) -> list[pa.Array]:
         words, lemmas, pos, sizes = [], [], [], []
         for some in each:
-            kept = [[t for t in s if not t[3] and t[2] not in idle] for s in some]
-            flat = [t for s in kept for t in s]
-            low = [t[0].lower() for t in flat]
-            words.append(pa.array(low, pa.string()))
-            lemmas.append(pa.array([None if (x := t[1].lower()) == w else x for t, w in zip(flat, low, strict=True)], pa.string()))
-            pos.append(pa.array([t[2] for t in flat], pa.string()))
-            sizes += map(len, kept)
+            flat = [t for sentence in some for t in sentence]
+            # A token that stands in many places is looked at once.
+            _, first, code = np.unique(np.fromiter(map(id, flat), np.int64, len(flat)), return_index=True, return_inverse=True)
+            own = [flat[i] for i in first.tolist()]
+            kept = np.array([not t[3] and t[2] not in idle for t in own], bool)[code]
+            low = [t[0].lower() for t in own]
+            at = pa.array(code[kept])
+            words.append(pa.array(low, pa.string()).take(at))
+            lemmas.append(pa.array([None if (x := t[1].lower()) == w else x for t, w in zip(own, low, strict=True)], pa.string()).take(at))
+            pos.append(pa.array([t[2] for t in own], pa.string()).take(at))
+            sizes.append(np.bincount(np.repeat(np.arange(len(some)), [len(x) for x in some])[kept], minlength=len(some)))
+        sizes = np.concatenate([*sizes, np.zeros(0, np.int64)])
         first = starts.to_numpy()
         number = np.arange(len(sizes)) - np.repeat(first[:-1], np.diff(first))
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)])[first], pa.int32())
         joined = [pa.concat_arrays(x or [pa.array([], pa.string())]) for x in (words, lemmas, pos)]
-        return [pa.ListArray.from_arrays(offsets, x) for x in (*joined, pa.array(np.repeat(number, np.array(sizes, np.int64)), pa.int32()))]
+        return [pa.ListArray.from_arrays(offsets, x) for x in (*joined, pa.array(np.repeat(number, sizes), pa.int32()))]
 
     return _behind(df, text, noise, tagger, made, _MINED)
 
@@ -265,21 +299,22 @@ def _frequent_slots(docs: DataFrame, sizes: range, least: int) -> DataFrame:
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a part are neighbours."""
-        counts, now = np.zeros(1 << width, np.uint32), None
+        now = None
 
         def done() -> Iterator[pa.RecordBatch]:
-            found = np.flatnonzero(counts >= least)
+            found = np.sort(np.concatenate(reached))
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(found)], pa.int64()), pa.array([_packed(np.diff(found, prepend=0))], pa.binary())], ["part", "n", "slots"])
-            counts[:] = 0
 
         for batch in batches:
             for part, slots, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if part != now:
                     yield from done() if now is not None else ()
-                    now = part
+                    now, counts, reached = part, np.zeros(1 << width, np.uint32), []
                 at = np.cumsum(_unpacked(slots), dtype=np.int64) - (part << width)
-                counts[at] = np.minimum(counts[at] + _unpacked(more), least)
+                before = counts[at]
+                counts[at] = after = np.minimum(before + _unpacked(more), least)
+                reached.append(at[(before < least) & (after >= least)])
         yield from done() if now is not None else ()
 
     rows = _flat(docs).select("words", "sentences").mapInArrow(seen, "part int, slots binary, counts binary")
@@ -288,7 +323,8 @@ def _frequent_slots(docs: DataFrame, sizes: range, least: int) -> DataFrame:
 
 def _lookup(docs: DataFrame, sizes: range, least: int) -> tuple[np.ndarray, int]:
     """Bits that are set for frequent slots, by a slot's first bits, and how many bits those are. Its size is bounded, so all tasks get it whole."""
-    slots = settled(_frequent_slots(docs, sizes, least), "slots")
+    with small_batches(docs.sparkSession):
+        slots = settled(_frequent_slots(docs, sizes, least), "slots")
     kept = slots.agg(F.sum("n")).first()[0] or 0
     bits = min(MOST_BITS, max(LEAST_BITS, (16 * kept).bit_length()))
 
@@ -309,7 +345,8 @@ def candidate_counts(docs: DataFrame, key: str, source: str, sizes: range = rang
     """phrase, ngram_size, frequency, doc_count, pos_pattern and source_file of the first occurrence; one shuffle of phrases.
 
     docs: a row per document (key, source, and what `tagged` or `mined` gives). The first occurrence is the least by key and place.
-    With `least` only phrases of that frequency or more are given; what can't reach it is not spelt.
+    With `least` only phrases of that frequency or more are given; what can't reach it is not spelt. Long documents are best
+    counted within `small_batches`.
     """
     flat = _flat(docs)
     passed = docs.sparkSession.sparkContext.broadcast(_lookup(flat, sizes, least)) if least > 1 else None

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,17 @@ def test_mined_keeps_what_tagged_words_are(spark):
     assert rows[2].lemmas == [None, "duty", None, None, "duty", None] and rows[3].words == rows[4].words == []
     both = [sorted(map(tuple, tagging.lemma_counts(x, "doc_id").collect())) for x in (own, tagging.tagged(df, tagger))]
     assert both[0] == both[1] and ("duties", 3, "duty") in both[0]
+
+
+def test_documents_are_handed_over_in_small_batches(spark, monkeypatch):
+    """Batches of 10,000 documents were held outside the heap of an executor and again in each of its workers."""
+    from glossmill.plans import mining
+
+    name, told, stored = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, mining.settled
+    before = spark.conf.get(name)
+    monkeypatch.setattr(mining, "settled", lambda df, what: told.update({what: int(spark.conf.get(name))}) or stored(df, what))
+    mining.tagged_candidates(spark, "/root/testdata/sf0.001")
+    assert all(told[x] <= tagging.BATCH_ROWS for x in ("tagged", "lemmas", "tagged-counts")) and spark.conf.get(name) == before
+    with tagging.small_batches(spark, 10):
+        rows = spark.range(95, numPartitions=1).mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["id"]) for b in batches), "id long").collect()
+    assert [r.id for r in rows] == [10] * 9 + [5]
